@@ -41,6 +41,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+OP1 = """
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+w AS (
+  SELECT doc_id, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] AS win
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM l)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+covered AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS k FROM later),
+gone AS (SELECT doc_id, list(k) AS ks FROM covered GROUP BY doc_id)
+SELECT l.doc_id,
+  CASE WHEN ks IS NULL THEN text ELSE array_to_string(
+    list_transform(list_filter(range(1, len(ls) + 1), lambda k: NOT list_contains(ks, k)), lambda k: ls[k]), chr(10)) END AS text,
+  CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed
+FROM l LEFT JOIN gone USING (doc_id)
+"""
+
 SQL = {
+    "op1_line_dedup": OP1,
     "op3_quality_rules": OP3,
 }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspark.llm import quality
+from tallyspark.llm import line_dedup, mixing, packing, quality, simhash
 from tallyspark.llm.common import read_table
 
 
@@ -15,6 +16,35 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_mixing": op8_mixing,
 }
