@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import line_dedup, mixing, packing, quality, simhash
+from tallyspark.llm import line_dedup, mixing, packing, pii, quality, secrets, sharding, simhash, suffixes, topk
 from tallyspark.llm.common import read_table
 
 
@@ -41,10 +41,36 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rows = sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.octet_length("text").alias("text_bytes"), F.xxhash64("text").alias("text_hash"), "shard", "shard_bytes")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(read_table(spark, sf_dir, "documents")).drop("found")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents")).drop("found")
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_quality_rules": op3_quality_rules,
+    "op4_sharding": op4_sharding,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
