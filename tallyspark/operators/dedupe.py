@@ -1,0 +1,167 @@
+"""Duplicate groups, collapse with a stated survivor, near-duplicates of titles, interval merge, anchored groups."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tallyspark.operators.joins import first_per_key
+
+#: Link, title and time rules of near-duplicates of dated items.
+DAYS_APART, ALIKE, ALIKE_WITH_NAMES, SHARED_NAMES = 2, 0.6, 0.2, 2
+#: Words too common to pair items by.
+COMMON_WORDS = frozenset("the of and to in a is that for it on with as by at from this are or an".split())
+
+
+def first_wins(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    return first_per_key(rows, keys, order)
+
+
+def duplicate_groups(rows: DataFrame, key: str, item: str) -> DataFrame:
+    """(key, n, first): keys with more than one row; the least item of each stands for it."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(item).alias("first")).filter("n > 1")
+
+
+def dropped_in_any(rows: DataFrame, keys: list[list[str]], order: list[Column], item: str) -> DataFrame:
+    """Rows that survive every key's collapse: a row that loses under any key goes."""
+    lost = None
+    for key in keys:
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+        losers = rows.withColumn("__n", rank).filter("__n > 1").select(item)
+        lost = losers if lost is None else lost.unionByName(losers)
+    return rows.join(lost.distinct(), item, "left_anti")
+
+
+def merge_provenance(rows: DataFrame, key: str, source: str, rank: str) -> DataFrame:
+    """One row a key: the source of least rank owns it, the others are listed in order."""
+    g = rows.groupBy(key).agg(F.min_by(source, F.struct(rank, source)).alias("owner"), F.array_sort(F.collect_set(source)).alias("__all"))
+    return g.select(key, "owner", F.array_join(F.array_remove("__all", F.col("owner")), ",").alias("also"))
+
+
+def repeats(rows: DataFrame, key: list[str], order: list[Column], item: str) -> DataFrame:
+    """Each row with the first item of its key, null for that one itself."""
+    w = Window.partitionBy(*key).orderBy(*order)
+    first = F.first_value(item).over(w)
+    return rows.withColumn("repeats", F.when(first != F.col(item), first))
+
+
+def merge_spans(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Touching or overlapping spans (start <= reach + 1) of a key merged, with how many went in."""
+    own = Window.partitionBy(key).orderBy(start, end)
+    reach = F.max(end).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("__new", F.when(F.col(start) <= reach + 1, 0).otherwise(1))
+    marked = marked.withColumn("__g", F.sum("__new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(key, "__g").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop("__g")
+
+
+def same_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: how many keys each side has alone, and whether the two agree."""
+    j = a.select(key).distinct().withColumn("__a", F.lit(1)).join(b.select(key).distinct().withColumn("__b", F.lit(1)), key, "full")
+    g = j.agg(F.sum(F.when(F.col("__b").isNull(), 1).otherwise(0)).alias("only_left"), F.sum(F.when(F.col("__a").isNull(), 1).otherwise(0)).alias("only_right"))
+    return g.withColumn("agree", (F.col("only_left") == 0) & (F.col("only_right") == 0))
+
+
+def words(title: Column) -> Column:
+    """Distinct lower-case words of three letters and more, common ones left out."""
+    every = F.regexp_extract_all(F.lower(title), F.lit(r"([\p{L}\p{N}]{3,})"))
+    return F.array_distinct(F.filter(every, lambda w: ~w.isin(*sorted(COMMON_WORDS))))
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    union = F.size(F.array_union(a, b))
+    return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(0.0)
+
+
+def alike_pairs(items: DataFrame, item: str, title: str, day: str) -> DataFrame:
+    """Pairs (a, b, similarity) of items at most two days apart with similar titles.
+
+    Candidates share one of either's rarest words - so many that no pair of the
+    wanted similarity can miss - within a bucket of days; none is left out.
+    """
+    i = items.select(F.col(item).alias("id"), words(F.col(title)).alias("w"), F.unix_date(F.col(day).cast("date")).alias("d"))
+    posted = i.select("id", "w", "d", F.explode("w").alias("word"))
+    counts = posted.groupBy("word").agg(F.count("*").alias("n"))
+    ranked = posted.join(counts, "word").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("n", "word")))
+    # A pair with similarity s shares a word among the rarest (1 - s) * size + 1 of either.
+    prefix = ranked.filter(F.col("r") <= F.size("w") - F.ceil(F.size("w") * ALIKE) + 1)
+    a = prefix.select("word", F.col("id").alias("a"), F.col("w").alias("wa"), F.col("d").alias("da"), F.explode(F.array(F.floor(F.col("d") / 3) - 1, F.floor(F.col("d") / 3), F.floor(F.col("d") / 3) + 1)).alias("b3"))
+    b = prefix.select("word", F.col("id").alias("b"), F.col("w").alias("wb"), F.col("d").alias("db"), F.floor(F.col("d") / 3).alias("b3"))
+    j = a.join(b, ["word", "b3"]).filter((F.col("a") < F.col("b")) & (F.abs(F.col("da") - F.col("db")) <= DAYS_APART))
+    j = j.select("a", "b", "wa", "wb").dropDuplicates(["a", "b"]).withColumn("similarity", jaccard(F.col("wa"), F.col("wb")))
+    return j.filter(F.col("similarity") >= ALIKE).select("a", "b", "similarity")
+
+
+def keep_first_alike(items: DataFrame, pairs: DataFrame, item: str, most_rounds: int = 50) -> DataFrame:
+    """Greedy choice in order of ``item``: an item goes if a kept, earlier one is alike.
+
+    Each round settles items with no earlier undecided partner, as the fold in
+    order would; the rounds are as many as the longest chain of decisions.
+    """
+    spark = items.sparkSession
+    edges = pairs.select("a", "b").persist()
+    todo = edges.select(F.col("b").alias("id")).distinct().persist()
+    kept = edges.select(F.col("a").alias("id")).distinct().join(todo, "id", "left_anti").persist()
+    gone = spark.createDataFrame([], kept.schema)
+    for _ in range(most_rounds):
+        if not todo.take(1):
+            break
+        hit = edges.join(kept.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct().join(todo, "id", "left_semi")
+        gone = gone.unionByName(hit).distinct().persist()
+        left = todo.join(gone, "id", "left_anti")
+        open_edges = edges.join(gone.withColumnRenamed("id", "a"), "a", "left_anti")
+        waiting = open_edges.join(left.withColumnRenamed("id", "b"), "b", "left_semi").select(F.col("b").alias("id")).distinct()
+        free = left.join(waiting, "id", "left_anti")
+        kept = kept.unionByName(free).distinct().persist()
+        todo = waiting.persist()
+    return items.join(gone.withColumnRenamed("id", item), item, "left_anti")
+
+
+def anchored_groups(rows: DataFrame, key: str, day: str, days: int) -> DataFrame:
+    """Rows with ``group``: a row more than ``days`` after the FIRST of its group starts a new one.
+
+    The anchor depends on all rows before it, so it's a fold: one key's days are
+    folded in sorted order with ``aggregate``, whose state is the anchors.
+    """
+    dates = rows.groupBy(key).agg(F.array_sort(F.collect_set(F.col(day).cast("date"))).alias("__days"))
+    anchors = F.aggregate(
+        "__days",
+        F.array().cast("array<date>"),
+        lambda acc, d: F.when((F.size(acc) == 0) | (F.datediff(d, F.element_at(acc, -1)) > days), F.concat(acc, F.array(d))).otherwise(acc),
+    )
+    folded = dates.select(key, anchors.alias("__anchors"))
+    j = rows.join(folded, key)
+    return j.withColumn("group", F.size(F.filter("__anchors", lambda a: a <= F.col(day).cast("date")))).drop("__anchors")
+
+
+def first_fit_groups(rows: DataFrame, key: str, item: str, at: str, apart: int) -> DataFrame:
+    """Incremental grouping: in order, a row joins the first group of its key whose every member is within ``apart`` of it.
+
+    Groups of a key are bounded by the key's rows, which one task folds.
+    """
+    schema = f"{key} {rows.schema[key].dataType.simpleString()}, {item} {rows.schema[item].dataType.simpleString()}, group int"
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([at, item])
+        spans: list[list[float]] = []
+        found = []
+        for v in pdf[at]:
+            for k, (low, high) in enumerate(spans):
+                if v - low <= apart and high - v <= apart:
+                    spans[k] = [min(low, v), max(high, v)]
+                    found.append(k)
+                    break
+            else:
+                spans.append([v, v])
+                found.append(len(spans) - 1)
+        return pdf.assign(group=found)[[key, item, "group"]]
+
+    return rows.select(key, item, at).groupBy(key).applyInPandas(fold, schema)
+
+
+def unique_slugs(rows: DataFrame, item: str, base: str, region: str) -> DataFrame:
+    """(item, slug): the first item of a base gets it, the next of each region base-region, later ones a counter from 2."""
+    r = rows.select(item, base, region).withColumn("__first", F.row_number().over(Window.partitionBy(base).orderBy(item)) == 1)
+    r = r.withColumn("__k", F.row_number().over(Window.partitionBy(base, region, "__first").orderBy(item)))
+    named = F.concat_ws("-", base, region, F.when(F.col("__k") > 1, F.col("__k").cast("string")))
+    return r.select(item, F.when(F.col("__first"), F.col(base)).otherwise(named).alias("slug"))

@@ -1,0 +1,359 @@
+"""Record queries: ranks, duplicates, state, contracts, rules and text over orders, events, pages and conversations."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspark.functions import dates, identifiers, rules, text
+from tallyspark.operators import contracts, dedupe, joins, ranking, series, state
+from tallyspark.plans.holdings import table
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).cast("int")
+    return e.select("event_id", "user_id", "event_type", "value", day.alias("d"), F.col("ts").cast("date").alias("day"), "ts")
+
+
+def top_per_group(spark, sf_dir):
+    return ranking.top_n(orders(spark, sf_dir), ["priority"], [F.desc("price"), F.col("o_orderkey")], 30).select("priority", "o_orderkey", "price", "rank")
+
+
+def global_cap(spark, sf_dir):
+    return ranking.global_cap(orders(spark, sf_dir), [F.desc("day"), F.col("o_orderkey")], 80).select("o_orderkey", "day")
+
+
+def round_robin(spark, sf_dir):
+    return ranking.round_robin(orders(spark, sf_dir), "priority", [F.desc("day"), F.col("o_orderkey")], 23).select("priority", "o_orderkey", "round")
+
+
+def pick_three(spark, sf_dir):
+    return ranking.pick_three(orders(spark, sf_dir), "o_orderkey", "day", "price", "priority").select("o_orderkey", "pick")
+
+
+def best_by_score(spark, sf_dir):
+    score = F.when(F.col("status") == "F", 3).when(F.col("status") == "O", 2).otherwise(1)
+    return ranking.best_by_score(orders(spark, sf_dir), ["o_custkey"], score, [F.desc("day"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "score")
+
+
+def first_wins(spark, sf_dir):
+    return dedupe.first_wins(orders(spark, sf_dir), ["o_custkey", "priority"], [F.col("day"), F.col("o_orderkey")]).select("o_custkey", "priority", "o_orderkey")
+
+
+def duplicate_texts(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    return dedupe.duplicate_groups(d, "digest", "doc_id")
+
+
+def dropped_in_any(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return dedupe.dropped_in_any(o, [["o_custkey", "priority"], ["o_custkey", "status"]], [F.col("day"), F.col("o_orderkey")], "o_orderkey").select("o_orderkey")
+
+
+def provenance(spark, sf_dir):
+    e = event_days(spark, sf_dir)
+    rank = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "signup", 1).otherwise(2)
+    return dedupe.merge_provenance(e.withColumn("rank", rank), "user_id", "event_type", "rank")
+
+
+def repeat_marks(spark, sf_dir):
+    return dedupe.repeats(orders(spark, sf_dir), ["o_custkey", "priority"], [F.col("day"), F.col("o_orderkey")], "o_orderkey").select("o_orderkey", "repeats")
+
+
+def merged_spans(spark, sf_dir):
+    s = event_days(spark, sf_dir).select("user_id", F.col("d").alias("start"), (F.col("d") + F.floor(F.col("value") / 20).cast("int")).alias("end"))
+    return dedupe.merge_spans(s, "user_id", "start", "end")
+
+
+def same_keys(spark, sf_dir):
+    e = event_days(spark, sf_dir)
+    return dedupe.same_keys(e.filter("d < 10"), e.filter("d >= 10 and d < 20"), "user_id")
+
+
+def anchored(spark, sf_dir):
+    return dedupe.anchored_groups(event_days(spark, sf_dir).select("event_id", "user_id", "day"), "user_id", "day", 5).select("event_id", "group")
+
+
+def first_fit(spark, sf_dir):
+    e = event_days(spark, sf_dir).select("user_id", "event_id", "d")
+    return dedupe.first_fit_groups(e, "user_id", "event_id", "d", 6)
+
+
+def alike_titles(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    p = p.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 5).cast("int")))
+    return dedupe.alike_pairs(p, "page_id", "title", "day").withColumn("similarity", F.round("similarity", 6))
+
+
+def kept_titles(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    p = p.withColumn("day", F.lit("2024-01-01").cast("date"))
+    return dedupe.keep_first_alike(p, dedupe.alike_pairs(p, "page_id", "title", "day"), "page_id").select("page_id")
+
+
+def unique_slugs(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", text.slug(F.col("c_mktsegment")).alias("base"), F.col("c_nationkey").cast("string").alias("region"))
+    return dedupe.unique_slugs(c, "c_custkey", "base", "region")
+
+
+def deadline_ledger(spark, sf_dir):
+    """Twenty days of readings: a purchase's value says in how many days a user's deadline is, an error is a miss."""
+    e = event_days(spark, sf_dir)
+    day15, day20 = F.lit("2024-01-15").cast("date"), F.lit("2024-01-20").cast("date")
+    closing = F.when(F.col("event_type") == "purchase", F.date_add("day", F.floor("value").cast("int")))
+    seen = e.filter(F.col("event_type").isin("purchase", "error")).select(F.col("user_id").alias("id"), "day", closing.alias("closing"))
+    empty = spark.createDataFrame([], "id long, closing date, first_seen date, last_seen date, misses int")
+    first = state.ledger(empty, seen.filter(F.col("day") <= day15).drop("day"), day15)
+    return state.ledger(first, seen.filter((F.col("day") > day15) & (F.col("day") <= day20)).drop("day"), day20)
+
+
+def retention(spark, sf_dir):
+    e = event_days(spark, sf_dir)
+    today = F.lit("2024-01-21").cast("date")
+    previous = e.filter("d < 20").groupBy("user_id").agg(F.max("day").alias("last_confirmed"))
+    previous = previous.withColumn("grp", (F.col("user_id") % 7).cast("int"))
+    now = e.filter("d = 20").select("user_id", (F.col("user_id") % 7).cast("int").alias("grp")).distinct()
+    failed = now.select("grp").distinct().filter("grp < 4")
+    return state.retain(previous, now, failed, "user_id", "grp", today)
+
+
+def archived(spark, sf_dir):
+    e = event_days(spark, sf_dir)
+    old = e.filter("d < 20").groupBy("user_id").agg(F.min("day").alias("first_seen"), F.max("day").alias("last_seen"))
+    return state.archive(old, e.filter("d = 20").select("user_id").distinct(), "user_id", F.lit("2024-01-21").cast("date"), 10)
+
+
+def registered(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", text.slug(F.col("c_name")).alias("slug"), "c_nationkey")
+    known = c.filter("c_custkey % 3 = 0").select("c_custkey", F.concat(F.lit("seg-"), F.col("c_nationkey").cast("string"), F.lit("-"), (F.col("c_custkey") % 50).cast("string")).alias("slug"))
+    known = joins.first_per_key(known, ["slug"], [F.col("c_custkey")])
+    rows = c.select("c_custkey", F.concat(F.lit("seg-"), F.col("c_nationkey").cast("string"), F.lit("-"), (F.col("c_custkey") % 50).cast("string")).alias("slug"))
+    return state.register(known, rows, "c_custkey", "slug")
+
+
+def absences(spark, sf_dir):
+    return state.absence_spells(event_days(spark, sf_dir), "user_id", "d")
+
+
+def freshness(spark, sf_dir):
+    e = event_days(spark, sf_dir)
+    end = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    g = e.groupBy("user_id").agg(F.max("ts").alias("last"), F.max_by("event_type", F.struct("ts", "event_id")).alias("kind"))
+    age = F.floor((F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(F.col("last").cast("timestamp"))) / 3600)
+    return g.select("user_id", age.cast("long").alias("age"), state.freshness(age, F.lit(36), F.col("kind") == "error").alias("status"))
+
+
+def role_transitions(spark, sf_dir):
+    """Users' turns by whether they ask; a short turn is silent."""
+    c = table(spark, sf_dir, "conversations")
+    kind = F.when(F.length("text") < 60, "silent").when(F.col("text").contains("?"), "asks").otherwise(F.col("role"))
+    t = state.transitions(c.select("conv_id", "turn", kind.alias("state")), "conv_id", "turn", "state", "silent")
+    return t
+
+
+def signature_changes(spark, sf_dir):
+    o = orders(spark, sf_dir).withColumn("q", (F.year("day") * 4 + F.quarter("day") - 1).cast("int"))
+
+    def signed(df):
+        return df.groupBy("priority", "q").agg(F.count("*").alias("signature"))
+
+    return state.changed_signatures(signed(o.filter("o_orderkey % 500 <> 7")), signed(o), "priority", "q")
+
+
+def group_movement(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return joins.movement(o.filter("year(day) = 1998"), o.filter("year(day) = 1999"), "priority")
+
+
+def contract_counts(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return contracts.count_checks(o.filter("year(day) = 1998"), o.filter("year(day) = 1999"), 200)
+
+
+def contract_fields(spark, sf_dir):
+    return contracts.missing_fields(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "source"])
+
+
+def contract_groups(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return contracts.collapsed_groups(o.filter("year(day) = 1998"), o.filter("year(day) = 1999 and (priority <> '5-LOW' or o_orderkey % 3 = 0)"), "priority")
+
+
+def field_losses(spark, sf_dir):
+    old, new = _before_after(spark, sf_dir)
+    return contracts.field_losses(old, new, "o_orderkey", ["price", "status", "priority"])
+
+
+def protected(spark, sf_dir):
+    old, new = _before_after(spark, sf_dir)
+    return contracts.protect(old, new, "o_orderkey", ["price", "status"], "version").select("o_orderkey", "price", "status", "version", "restored")
+
+
+def _before_after(spark, sf_dir):
+    o = orders(spark, sf_dir).select("o_orderkey", "price", "status", "priority").withColumn("version", F.lit(1))
+    new = o.withColumn("price", F.when(F.col("o_orderkey") % 10 != 3, F.col("price"))).withColumn("status", F.when(F.col("o_orderkey") % 700 != 3, F.col("status")))
+    return o, new.withColumn("version", F.when(F.col("o_orderkey") % 4 == 1, 2).otherwise(1))
+
+
+def field_changes(spark, sf_dir):
+    old, new = _before_after(spark, sf_dir)
+    return joins.changed_fields(old, new, "o_orderkey", ["price", "status"]).select("o_orderkey", "field", "change")
+
+
+def refreshed(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return joins.refresh(o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 3 = 0").withColumn("status", F.lit("new")), "o_orderkey").select("o_orderkey", "status")
+
+
+def carried(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    failed = o.select("priority").distinct().filter("priority < '3'")
+    return joins.carry_forward(o.filter("year(day) = 1998"), o.filter("year(day) = 1999"), failed, "o_orderkey", "priority").select("o_orderkey", "carried")
+
+
+def unambiguous_brands(spark, sf_dir):
+    return joins.unambiguous(table(spark, sf_dir, "part").select("p_name", "p_brand"), "p_name", "p_brand")
+
+
+def filled_from_group(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").alias("grp"), F.when(F.col("p_partkey") % 3 == 0, F.when(F.col("p_size") % 2 == 0, "even").otherwise(F.col("p_type"))).alias("label"))
+    return joins.fill_from_group(p, "grp", "label")
+
+
+PREFIXES = [("10", "ten"), ("101", "ten-one"), ("12", "twelve"), ("1234", "run"), ("9", "short"), ("55", "double")]
+
+
+def longest_prefix(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"))
+    return joins.longest_prefix(c, "code", spark.createDataFrame(PREFIXES, "prefix string, value string"))
+
+
+def effective(spark, sf_dir):
+    o = orders(spark, sf_dir).select("o_orderkey", "priority", "day")
+    entries = [("1-URGENT", None, "1997-12-31", "a"), ("1-URGENT", "1998-01-01", None, "b"), ("2-HIGH", "1996-01-01", "1999-12-31", "c"), ("2-HIGH", "1999-01-01", None, "d")]
+    t = spark.createDataFrame(entries, "priority string, f string, t string, value string")
+    t = t.select("priority", F.col("f").cast("date").alias("valid_from"), F.col("t").cast("date").alias("valid_to"), "value")
+    return joins.effective_on(o, t, "priority", "day")
+
+
+SEGMENT_RULES = [(r"promo|economy", "value"), (r"^standard$|^medium$", "core"), (r"large", "premium")]
+
+
+def ordered_rules(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", rules.first_match(F.col("p_type"), SEGMENT_RULES, "other").alias("label"))
+
+
+def row_problems(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    checks = [(F.length("text") >= 40, "short"), (F.col("lang").isin("en", "de", "fr", "es"), "lang"), (~F.col("text").rlike(r"[#*$%&|<>]{3}"), "symbols"), (F.col("n_chars") <= 20000, "long")]
+    return d.select("doc_id", rules.first_failure(checks).alias("first"), rules.problems(checks).alias("every"))
+
+
+def canonical_urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.canonical_url(F.col("url")).alias("url"))
+
+
+def html_texts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.html_text(F.col("html")).alias("body"))
+
+
+def page_links(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", F.posexplode(text.links(F.col("html")))).select("page_id", F.col("pos").alias("k"), F.col("col").alias("href"))
+
+
+def folded_names(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    name = F.concat(F.col("c_name"), F.lit(" & Söhne Holdings, Inc."))
+    return c.select("c_custkey", text.slug(name).alias("slug"), text.company_core(name).alias("core"), text.ticker(F.lit(" brk.b ")).alias("ticker"))
+
+
+def line_ratios(spark, sf_dir):
+    """Lines of a document, and the share of the most repeated one."""
+    d = table(spark, sf_dir, "documents").filter("text is not null")
+    e = d.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
+    g = e.groupBy("doc_id", "line").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n_lines"), F.max("n").alias("most"))
+    return g.select("doc_id", "n_lines", F.round(F.col("most") / F.col("n_lines"), 6).alias("edge_ratio"))
+
+
+def excerpt_caps(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark")
+    return b.select("item_id", text.word_count(F.col("text")).cast("long").alias("n_words"), text.within_caps(F.col("text"), 30, 220).alias("fits"))
+
+
+def chunked(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    c = d.select("doc_id", F.explode(text.chunks(F.col("text"))).alias("c"))
+    return c.select("doc_id", "c.k", "c.start", F.length("c.text").alias("n"))
+
+
+def check_digits(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    base = F.concat(F.upper(F.substring(F.replace("p_name", F.lit(" "), F.lit("")), 1, 3)), F.lpad((F.col("p_partkey") % 100000).cast("string"), 5, "0"))
+    return p.select("p_partkey", base.alias("base"), identifiers.cusip_check_digit(base).cast("int").alias("digit"))
+
+
+def order_calendar(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    key = dates.quarter_key(F.col("day"))
+    return o.select("o_orderkey", key.alias("quarter"), dates.previous_quarter(key).alias("previous"), dates.due_quarter(F.col("day")).alias("due"), dates.next_friday(F.col("day")).alias("friday"))
+
+
+def histogram(spark, sf_dir):
+    """Orders by size bucket, empty buckets included."""
+    o = orders(spark, sf_dir)
+    edges = [250, 1000, 50000, 200000]
+    label = F.when(F.col("price") < edges[0], "a").when(F.col("price") < edges[1], "b").when(F.col("price") < edges[2], "c").when(F.col("price") < edges[3], "d").otherwise("e")
+    labels = spark.createDataFrame([(x,) for x in "abcde"], "bucket string")
+    counts = o.groupBy(label.alias("bucket")).agg(F.count("*").alias("n"))
+    return labels.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def summary_counts(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return o.groupBy("priority").pivot("status", ["F", "O", "P"]).agg(F.count("o_orderkey")).fillna(0)
+
+
+def set_statistics(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    return o.groupBy("priority").agg(F.median("price").alias("median"), F.round(F.avg("price"), 4).alias("mean"), F.count("price").alias("n"))
+
+
+def mode_by_repetition(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    g = o.groupBy("o_custkey", "priority").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))
+    return g.groupBy("o_custkey").agg(F.max_by("priority", F.struct(F.col("n"), -F.col("first"))).alias("mode"))
+
+
+def score_grade(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    g = o.groupBy("o_custkey").agg(F.count("*").alias("decks"), F.countDistinct("priority").alias("analyses"))
+    score = F.least("decks", F.lit(5)) * 8 + F.least("analyses", F.lit(8)) * 5 + 20
+    grade = F.when(score >= 80, "A").when(score >= 60, "B").when(score >= 40, "C").otherwise("D")
+    return g.select("o_custkey", score.cast("long").alias("score"), grade.alias("grade"))
+
+
+QUERIES = {
+    "rank_top_n_per_group": top_per_group, "rank_global_cap": global_cap, "rank_round_robin": round_robin, "rank_pick_three": pick_three,
+    "rank_best_by_score": best_by_score, "dedupe_first_wins": first_wins, "dedupe_duplicate_texts": duplicate_texts, "dedupe_dropped_in_any": dropped_in_any,
+    "dedupe_provenance": provenance, "dedupe_repeat_marks": repeat_marks, "dedupe_merge_spans": merged_spans, "dedupe_same_keys": same_keys,
+    "dedupe_anchored_groups": anchored, "dedupe_first_fit_groups": first_fit, "dedupe_alike_titles": alike_titles, "dedupe_kept_titles": kept_titles,
+    "dedupe_unique_slugs": unique_slugs, "state_deadline_ledger": deadline_ledger, "state_retention": retention, "state_archive": archived,
+    "state_slug_registry": registered, "state_absence_spells": absences, "state_freshness": freshness, "state_transitions": role_transitions,
+    "state_signature_changes": signature_changes, "join_group_movement": group_movement, "contract_counts": contract_counts, "contract_fields": contract_fields,
+    "contract_groups": contract_groups, "contract_field_losses": field_losses, "contract_protect": protected, "join_field_changes": field_changes,
+    "join_refresh": refreshed, "join_carry_forward": carried, "join_unambiguous": unambiguous_brands, "join_fill_from_group": filled_from_group,
+    "join_longest_prefix": longest_prefix, "join_effective_on": effective, "rules_first_match": ordered_rules, "rules_row_problems": row_problems,
+    "text_canonical_url": canonical_urls, "text_html": html_texts, "text_links": page_links, "text_folded_names": folded_names,
+    "text_line_ratios": line_ratios, "text_excerpt_caps": excerpt_caps, "text_chunks": chunked, "ids_check_digit": check_digits,
+    "dates_quarters": order_calendar, "agg_histogram": histogram, "agg_summary_counts": summary_counts, "agg_set_statistics": set_statistics,
+    "agg_mode_by_repetition": mode_by_repetition, "agg_score_grade": score_grade,
+}
+
+from tallyspark.plans.records_sql import SQL  # noqa: E402, F401

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import holdings
+from tallyspark.plans import holdings, market, records
 
-AREAS = (holdings,)
+AREAS = (holdings, market, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
