@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import holdings, market, records
+from tallyspark.plans import facts, holdings, market, records
 
-AREAS = (holdings, market, records)
+AREAS = (holdings, market, records, facts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
