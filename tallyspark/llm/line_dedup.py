@@ -56,7 +56,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
 
     The first occurrence, by id, then by a hash of the text, then by place,
     stays; null ids come first. Lines are compared as they are, parted by line
-    feeds. A text of fewer lines than a window never changes; a null text stays
+    feeds. A later occurrence covers its lines even where it overlaps the first
+    one, so a run of one line shrinks to a single one. A text of fewer lines than a window never changes; a null text stays
     null with no lines; a text all of whose lines are covered becomes empty.
     Rows that repeat an id and its text are one document and get the same
     result each. All other columns stay; ones named n_lines or n_removed are

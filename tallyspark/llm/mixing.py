@@ -110,17 +110,22 @@ def settle(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.nda
 
     A document's coin falls by its own probability; the mass that this gains or
     loses moves to the bundle, whose common probability is what the words still
-    wanted ask of it. The smallest documents end it, so the sum of words does too.
+    wanted ask of it. Where the bundle couldn't make up for one of the outcomes,
+    the other is taken.
     """
     out = p.copy()
     order = np.argsort(-size, kind="stable")
     wanted, words = float(p @ size), float(size.sum())
     for k, i in enumerate(order):
-        chance = p[i] if k == 0 else min(1.0, max(0.0, wanted / words))
         left = words - size[i]
-        if wanted > left:  # the smaller ones can't hold it
-            chance = 1.0 if wanted - left >= size[i] / 2 else chance
-        out[i] = float(draw.random() < chance)
+        fits, spared = size[i] <= wanted, wanted <= left
+        if fits and spared:
+            taken = draw.random() < (p[i] if k == 0 else wanted / words)
+        elif fits or spared:
+            taken = fits
+        else:  # either way misses: the nearer one
+            taken = size[i] - wanted < wanted - left
+        out[i] = float(taken)
         wanted, words = wanted - out[i] * size[i], left
     return out
 

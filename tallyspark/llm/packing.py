@@ -27,6 +27,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces in a leaf and in a later group, later rounds, and passes of the search over a group's bins.
 LEAF, ROUNDS, PASSES = 8192, 3, 4
+#: Sizes, and bins with a size, that the search for one exchange looks at.
+TRIES = 8
 
 _TOKENIZERS: dict[str, Callable[[str], list[int]]] = {}
 
@@ -143,12 +145,17 @@ class Swaps:
         self.fill[source] -= s
         self.fill[to] += s
 
+    def _close(self, b: int) -> None:
+        """A full bin neither gives nor takes: its pieces leave the index."""
+        for i in self.bins[b]:
+            self._note(self.sizes[i], b, -1)
+
     def _giver(self, size: int, to: int, gain: int) -> int | None:
         """A bin other than ``to`` with a piece of this size, for which the squared fill grows."""
         for tried, b in enumerate(self.holders[size]):
             if b != to and self.fill[b] < self.fill[to] + gain:
                 return b
-            if tried > 8:
+            if tried > TRIES:
                 return None
         return None
 
@@ -165,7 +172,7 @@ class Swaps:
         for out in outs:  # a move, one for one, one for two
             given = sum(self.sizes[i] for i in out)
             under = self.present & ((1 << (given + gap + 1)) - 1)
-            for _ in range(2):
+            for _ in range(TRIES):
                 size = under.bit_length() - 1
                 if size <= given or best and size - given <= best[0]:
                     break
@@ -188,6 +195,8 @@ class Swaps:
             self._shift(i, giver, to)
         if not self.bins[giver]:
             del self.bins[giver], self.fill[giver]
+        if self.fill[to] == self.capacity:
+            self._close(to)
         return True
 
     def _two(self, to: int, gap: int, least: int):
@@ -203,7 +212,7 @@ class Swaps:
                 if not self.present >> (total - a) & 1:
                     continue
                 for tried, b in enumerate(self.holders[a]):
-                    if tried > 8:
+                    if tried > TRIES:
                         break
                     if b == to or self.fill[b] >= self.fill[to] + gap:
                         continue

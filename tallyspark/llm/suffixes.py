@@ -63,31 +63,32 @@ def selected(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        docs, places, heads = [], [], []
-        for doc, body in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+        docs, hashes, places, heads = [], [], [], []
+        for doc, t1, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
             at, head = selected(body.split())
             docs.append(np.full(len(at), doc, np.int64))
+            hashes.append(np.full(len(at), t1, np.int64))
             places.append(at)
             heads.append(head)
         if docs:
-            columns = [np.concatenate(docs), np.concatenate(places), np.concatenate(heads).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "place", "head"])
+            columns = [np.concatenate(docs), np.concatenate(hashes), np.concatenate(places), np.concatenate(heads).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "t1", "place", "head"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, text, places) to rows (head, right, left, doc, place): the words after the head, and those before it, nearest first."""
+    """Rows (doc, t1, text, places) to rows (head, right, left, doc, t1, place): the words after the head, and those before it, nearest first."""
     for b in batches:
-        out: list[list] = [[] for _ in range(5)]
-        for doc, body, found in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
+        out: list[list] = [[] for _ in range(6)]
+        for doc, t1, body, found in zip(*[b.column(k).to_pylist() for k in (0, 1)], b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
             words = body.split()
             for x in found:
                 at = x["place"]
                 right = b" ".join(words[at + HEAD : at + HEAD + SIDE])
                 left = b" ".join(words[max(0, at - SIDE) : at][::-1])
-                for column, value in zip(out, (x["head"], right, left, doc, at), strict=True):
+                for column, value in zip(out, (x["head"], right, left, doc, t1, at), strict=True):
                     column.append(value)
-        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["head", "right", "left", "doc", "place"])
+        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["head", "right", "left", "doc", "t1", "place"])
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -102,20 +103,21 @@ def _common(a: bytes, b: bytes) -> int:
     return n
 
 
-_MATCH = [("doc", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("other", pa.int64()), ("other_place", pa.int64()), ("first", pa.bool_())]
-_EDGE = [("head", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("edge_doc", pa.int64()), ("edge_place", pa.int64()), ("edge", pa.int32())]
-_OUT = "doc long, start long, end long, other long, other_place long, first boolean, head long, right binary, left binary, edge_doc long, edge_place long, edge int"
+_MATCH = [(n, pa.int64()) for n in ("doc", "t1", "start", "end", "other", "head", "place")] + [("first", pa.bool_())]
+_EDGE = [("right", pa.binary()), ("left", pa.binary()), ("edge_head", pa.int64()), ("edge_doc", pa.int64()), ("edge_t1", pa.int64()), ("edge_place", pa.int64())]
+_MATCHED = "doc long, t1 long, start long, end long, other long, head long, place long, first boolean"
+_OUT = f"{_MATCHED}, right binary, left binary, edge_head long, edge_doc long, edge_t1 long, edge_place long"
 
 
 def _matches(a, b) -> Iterator[tuple]:
-    """The match of two neighbours (head, right, left, doc, place), told for both, if it has enough words."""
+    """The match of two neighbours (head, right, left, doc, t1, place), told for both, if it has enough words."""
     if a[0] != b[0] or a[3:] == b[3:]:
         return
     r, l = HEAD + _common(a[1], b[1]), _common(a[2], b[2])
     if r + l >= MIN_WORDS:
         low, high = sorted((a, b), key=lambda x: x[3:])
-        yield low[3], low[4] - l, low[4] + r, high[3], high[4], True
-        yield high[3], high[4] - l, high[4] + r, low[3], low[4], False
+        for x, other, first in ((low, high, True), (high, low, False)):
+            yield x[3], x[4], x[5] - l, x[5] + r, other[3], x[0], x[5], first
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +135,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if found:
             yield _told(found, [])
     if first is not None:
-        yield _told([], [(*first, 0), (*before, 1)])
+        yield _told([], [first, before])
 
 
 def _told(found: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*found, strict=True)) if found else [()] * len(_MATCH)
-    ends = list(zip(*edges, strict=True)) if edges else [()] * len(_EDGE)
+    ends = list(zip(*[(r[1], r[2], r[0], *r[3:]) for r in edges], strict=True)) if edges else [()] * len(_EDGE)
     arrays = [pa.array([*c, *[None] * len(edges)], t) for c, (_, t) in zip(columns, _MATCH, strict=True)]
     arrays += [pa.array([*[None] * len(found), *c], t) for c, (_, t) in zip(ends, _EDGE, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, [n for n, _ in _MATCH + _EDGE])
@@ -151,13 +153,29 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*found, strict=True) if found else [()] * len(_MATCH), _MATCH, strict=True)], [n for n, _ in _MATCH])
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All runs of ``MIN_WORDS`` words that hold a row's head: (k1, k2, doc, t1, start), by two hashes of their words."""
+    for b in batches:
+        out: list[list] = [[] for _ in range(5)]
+        for head, right, left, doc, t1, place in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            r, l = right.split(), left.split()
+            for i in range(min(SIDE, len(l)) + 1):
+                if SIDE - i <= len(r):
+                    body = b" ".join([*l[:i], b"%d" % head, *r[: SIDE - i]])
+                    row = (xxhash.xxh64_intdigest(body, 1) - (1 << 63), xxhash.xxh64_intdigest(body, 2) - (1 << 63), doc, t1, place - i)
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["k1", "k2", "doc", "t1", "start"])
+
+
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, start_word, n_words, match_doc_id, kept: merged spans of words that stand elsewhere too.
 
     Words are runs of other characters than ASCII spaces, compared as they are.
     ``kept`` spans are first occurrences, by document, then place; for each
     other span ``match_doc_id`` is the least document that a neighbour in the
-    suffix array shows it from. An exact copy of a text with ``MIN_WORDS`` words
+    suffix array, or an equal run of words, shows it from; the two kinds of a
+    document don't overlap, so a kept span can be shorter than ``MIN_WORDS``. An exact copy of a text with ``MIN_WORDS`` words
     gives one span over all of it, from the least id with this text; only that
     one is searched further. Shorter and null texts give no rows. Null ids take
     no part; rows that repeat an id and its text are one document, and of
@@ -174,33 +192,56 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     texts = saved(hashed.groupBy("t1", "t2").agg(F.min("doc").alias("least"), F.count("*").alias("n"), F.first("n_words").alias("n_words")), "distinct-texts")
     shared = texts.filter("n > 1")
     copies = hashed.join(shared.select("t1", "t2", "least"), ["t1", "t2"]).filter("doc != least")
-    copies = copies.select("doc", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), F.col("least").alias("other"), F.lit(False).alias("first"))
-    copied = shared.join(hashed.select("t1", "t2", "doc"), ["t1", "t2"]).filter("doc != least").groupBy("least", "n_words").agg(F.min("doc").alias("other"))
-    copied = copied.select(F.col("least").alias("doc"), F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), "other", F.lit(True).alias("first"))
+    copies = copies.select("doc", "t1", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), F.col("least").alias("other"), F.lit(False).alias("first"))
+    copied = shared.join(hashed.select("t1", "t2", "doc"), ["t1", "t2"]).filter("doc != least").groupBy("t1", "least", "n_words").agg(F.min("doc").alias("other"))
+    copied = copied.select(F.col("least").alias("doc"), "t1", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), "other", F.lit(True).alias("first"))
 
-    # One text of each group of copies is searched.
-    least = texts.select("t1", "t2", F.col("least").alias("doc"))
-    searched = base.select("doc", "text", *hashes).join(least, ["doc", "t1", "t2"], "left_semi").select("doc", "text")
-    anchors = saved(searched.mapInArrow(_anchors, "doc long, place long, head long"), "anchors")
+    # Only light rows are shuffled until the texts of documents with a head that returns are fetched, once.
+    keyed = base.withColumn("t1", F.xxhash64("text")).select("doc", "t1", "text")
+    anchors = saved(keyed.mapInArrow(_anchors, "doc long, t1 long, place long, head long"), "anchors")
     again = saved(anchors.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head"), "heads")
-    places = anchors.join(again, "head", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("place", "head")).alias("found"))
-    met = searched.join(places, "doc").select("doc", "text", "found")
-    contexts = met.mapInArrow(_contexts, "head long, right binary, left binary, doc long, place long")
-    order = ["head", "right", "doc", "place"]
+    places = anchors.join(again, "head", "left_semi").groupBy("doc", "t1").agg(F.collect_set(F.struct("place", "head")).alias("found"))
+    # One text of each group of copies is searched.
+    places = places.join(texts.select("t1", F.col("least").alias("doc")), ["doc", "t1"], "left_semi")
+    met = keyed.join(places, ["doc", "t1"]).select("doc", "t1", "text", "found")
+    contexts = saved(met.mapInArrow(_contexts, "head long, right binary, left binary, doc long, t1 long, place long"), "contexts")
+    order = ["head", "right", "doc", "t1", "place"]
     # A head with a third of all rows spreads over ranges; only their edges are compared apart.
     ranged = contexts.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
     compared = saved(ranged.mapInArrow(_neighbours, _OUT), "compared")
-    edges = compared.filter(F.col("edge").isNotNull()).select("head", "right", "left", F.col("edge_doc").alias("doc"), F.col("edge_place").alias("place"))
-    across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_across, "doc long, start long, end long, other long, other_place long, first boolean")
-    columns = ["doc", "start", "end", "other", "first"]
-    spans = compared.filter(F.col("edge").isNull()).select(*columns).unionByName(across.select(*columns)).unionByName(copies).unionByName(copied)
-
-    # Overlapping spans of one document and kind are merged: a span starts a new one beyond all ends before it.
-    own = Window.partitionBy("doc", "first").orderBy("start", "end")
-    reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    marked = spans.distinct().withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1))
-    marked = marked.withColumn("span", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = marked.groupBy("doc", "first", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other").alias("other"))
+    edges = compared.filter(F.col("edge_head").isNotNull())
+    edges = edges.select(F.col("edge_head").alias("head"), "right", "left", F.col("edge_doc").alias("doc"), F.col("edge_t1").alias("t1"), F.col("edge_place").alias("place"))
+    across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_across, _MATCHED)  # two rows a range
+    matched = compared.filter(F.col("edge_head").isNull()).select(*across.columns).unionByName(across)
+
+    # Neighbours tell that a suffix isn't the first of its kind only where a neighbour comes before it. Where a head
+    # has several that seem first, all their runs of words are compared by hash.
+    own = matched.groupBy("head", "doc", "t1", "place").agg(F.bool_and("first").alias("seems")).filter("seems")
+    several = own.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head")
+    rivals = own.join(several, "head", "left_semi").select("head", "doc", "t1", "place")
+    runs = contexts.join(rivals, ["head", "doc", "t1", "place"], "left_semi").select("head", "right", "left", "doc", "t1", "place")
+    runs = saved(runs.mapInArrow(_windows, "k1 long, k2 long, doc long, t1 long, start long").distinct(), "runs")
+    spot = F.struct("doc", "t1", "start")
+    first = saved(runs.groupBy("k1", "k2").agg(F.min(spot).alias("spot"), F.count("*").alias("n")).filter("n > 1").select("k1", "k2", "spot"), "first-runs")
+    later = runs.join(first, ["k1", "k2"]).filter(spot != F.col("spot"))
+    later = later.select("doc", "t1", "start", (F.col("start") + MIN_WORDS).alias("end"), F.col("spot.doc").alias("other"), F.lit(False).alias("first"))
+
+    columns = ["doc", "t1", "start", "end", "other", "first"]
+    spans = matched.select(*columns).unionByName(later).unionByName(copies).unionByName(copied)
+    # What is a later occurrence by any match is one: it's taken off the spans that seem first.
+    merged = _merged(spans)
+    seems = merged.filter("first").select("doc", "t1", "start", "end", "other")
+    gone = merged.filter(~F.col("first")).groupBy("doc", "t1").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone"))
+    left = seems.join(gone, ["doc", "t1"], "left")
+    left = left.withColumn("inside", F.filter(F.coalesce("gone", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda g: (g["end"] > F.col("start")) & (g["start"] < F.col("end"))))
+    pieces = F.zip_with(
+        F.concat(F.array("start"), F.transform("inside", lambda g: g["end"])),
+        F.concat(F.transform("inside", lambda g: g["start"]), F.array("end")),
+        lambda a, b: F.struct(a.alias("start"), b.alias("end")),
+    )
+    left = left.select("doc", "t1", "other", F.explode(F.filter(pieces, lambda x: x["end"] > x["start"])).alias("x"))
+    left = left.select("doc", "t1", F.col("x.start").alias("start"), F.col("x.end").alias("end"), "other", F.lit(True).alias("first"))
+    merged = merged.filter(~F.col("first")).select(*columns).unionByName(left)
     return merged.select(
         F.col("doc").alias("doc_id"),
         F.col("start").alias("start_word"),
@@ -210,6 +251,15 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
 
 
+def _merged(spans: DataFrame) -> DataFrame:
+    """Overlapping spans of one text and kind as one: a span starts a new one beyond all ends before it."""
+    own = Window.partitionBy("doc", "t1", "first").orderBy("start", "end")
+    reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.distinct().withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1))
+    marked = marked.withColumn("span", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy("doc", "t1", "first", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other").alias("other"))
+
+
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the words of spans that aren't kept left out of the text, and the space after each of them."""
     columns = docs.columns
