@@ -27,6 +27,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces in a leaf and in a later group, later rounds, and passes of the search over a group's bins.
 LEAF, ROUNDS, PASSES = 8192, 3, 4
+#: A later group has this many times the pieces of one in the round before, up to GROWN times a leaf's.
+GROWTH, GROWN = 4, 8
 #: Sizes, and bins with a size, that the search for one exchange looks at.
 TRIES = 8
 
@@ -246,10 +248,14 @@ def _pack_group(capacity: int, passes: int, first: bool):
             found = defaultdict(list)
             for i, b in enumerate(rows["bin"].to_pylist()):
                 found[b].append(i)
+            order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+            anew = best_fit([sizes[i] for i in order], capacity)
+            if len(anew) < len(found):  # a better start for the search
+                found = {b: [order[i] for i in own] for b, own in zip(list(found), anew, strict=False)}
         under = {b: list(own) for b, own in found.items() if sum(sizes[i] for i in own) < capacity}
         search = Swaps(under, sizes, capacity)
         search.run(passes)
-        done = {b: own for b, own in found.items() if sum(sizes[i] for i in own) == capacity} if first else {}
+        done = {b: own for b, own in found.items() if sum(sizes[i] for i in own) == capacity}
         bins, offsets, fills = [0] * len(sizes), [0] * len(sizes), [0] * len(sizes)
         for b, own in [*done.items(), *search.bins.items()]:
             at, total = 0, sum(sizes[i] for i in own)
@@ -279,7 +285,7 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, leaf: int = LEAF, roun
     n = todo.count()
     done = None
     for k in range(rounds + 1):
-        nodes = max(1, -(-n // leaf))
+        nodes = max(1, -(-n // (leaf * min(GROWTH**k, GROWN))))
         if k == 0:
             by = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(nodes))
         else:
