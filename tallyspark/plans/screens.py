@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions import dates, text
-from tallyspark.operators import health, matching, screens
+from tallyspark.functions import dates, deadlines, text
+from tallyspark.operators import boards, health, matching, screens
 from tallyspark.plans.holdings import book, table
 from tallyspark.plans.records import event_days, orders
 
@@ -154,6 +154,37 @@ def tolerant(spark, sf_dir):
     return o.select("o_orderkey", dates.tolerant_date(body).alias("day"))
 
 
+def stated_deadlines(spark, sf_dir):
+    o = orders(spark, sf_dir)
+    k = F.col("o_orderkey") % 5
+    body = (
+        F.when(k == 0, F.concat(F.lit("Apply by "), F.date_format("day", "d MMMM yyyy"), F.lit(".")))
+        .when(k == 1, F.concat(F.lit("The deadline, as told, is "), F.date_format("day", "yyyy-MM-dd")))
+        .when(k == 2, F.concat(F.lit("Closing date "), F.lpad(F.lit(""), 100, "x"), F.date_format("day", " yyyy-MM-dd")))
+        .when(k == 3, F.concat(F.lit("Posted "), F.date_format("day", "yyyy-MM-dd"), F.lit(", read on a rolling basis")))
+        .otherwise(F.concat(F.lit("closes 1990-01-01, deadline "), F.date_format("day", "MMMM d, yyyy")))
+    )
+    today = F.lit("1997-06-15").cast("date")
+    return o.select("o_orderkey", deadlines.deadline(body, today).alias("deadline"), deadlines.is_rolling(body, today).alias("rolling"))
+
+
+def pages_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' orders as pages of a scan: five a page asked for, every seventh page served again in place of the next."""
+    o = orders(spark, sf_dir)
+    n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    page = F.floor(n / 5).cast("int")
+    p = o.select(F.col("o_custkey").alias("board"), page.alias("page"), F.col("o_orderkey").cast("string").alias("key"))
+    g = p.groupBy("board", "page").agg(F.collect_list("key").alias("keys"))
+    total = p.groupBy("board").agg(F.count("*").cast("int").alias("total"))
+    again = g.filter("page = 0 and board % 7 = 0").select("board", F.lit(1).alias("page"), F.col("keys").alias("__again"))
+    g = g.join(again, ["board", "page"], "left").withColumn("keys", F.coalesce("__again", "keys")).drop("__again")
+    return g.join(total, "board").withColumn("asked", F.lit(5)).withColumn("failed", (F.col("board") % 11 == 0) & (F.col("page") == 1))
+
+
+def scan_verdicts(spark, sf_dir):
+    return boards.pass_verdicts(pages_of_orders(spark, sf_dir), 2)
+
+
 def statuses(spark, sf_dir):
     e = event_days(spark, sf_dir)
     last = lambda kind: F.max(F.when(F.col("event_type") == kind, F.col("d")))
@@ -245,7 +276,7 @@ QUERIES = {
     "filter_listings": listings, "agg_stage_costs": costs, "window_budget": budget, "join_both_sides": around, "join_campaigns": campaigns,
     "join_first_key": key_matches, "join_contained_names": names, "join_overrides": override, "join_amendments": amendments,
     "window_filer_changes": changed_filers, "agg_joint_filings": joint_filings, "text_mentions": mentions, "text_keyword_battery": battery,
-    "text_amounts": amounts, "dates_tolerant": tolerant, "state_filer_status": statuses, "state_verdicts": verdicts, "state_source_health": healths,
+    "text_amounts": amounts, "dates_tolerant": tolerant, "dates_deadline": stated_deadlines, "state_scan_verdicts": scan_verdicts, "state_filer_status": statuses, "state_verdicts": verdicts, "state_source_health": healths,
     "state_reachable": reached, "build_by_security": by_security, "build_peers": peers, "build_nation_table": nation_table,
     "build_shortlist": shortlist, "build_gold_scores": gold_scores, "window_tumbling": tumbling, "window_sessions": session_counts,
 }
@@ -305,6 +336,15 @@ SQL = {
     "text_keyword_battery": "SELECT doc_id, " + ", ".join(f"len(regexp_extract_all(lower(coalesce(text, '')), '{p}')) >= {n} AS {name}" for name, p, n in BATTERY) + " FROM documents",
     "text_amounts": """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(printf('%.1f', o_totalprice / 1000) AS DOUBLE) WHEN 1 THEN round(CAST(printf('%.1f', o_totalprice / 1000) AS DOUBLE) / 1000, 6) ELSE 7.0 END AS billions FROM orders""",
     "dates_tolerant": f"WITH {_O} SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 AND day(day) <= 12 AND day(day) <> month(day) THEN NULL ELSE day END AS day FROM o",
+    "dates_deadline": f"""WITH {_O}, x AS (SELECT o_orderkey, day, o_orderkey % 5 AS k, day BETWEEN DATE '1997-06-15' AND DATE '1999-06-15' AS soon FROM o)
+      SELECT o_orderkey, CASE WHEN k IN (0, 1, 4) AND soon THEN day END AS deadline, k = 3 AS rolling FROM x""",
+    "state_scan_verdicts": f"""WITH {_O}, n AS (SELECT o_custkey AS board, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) / 5) AS INTEGER) AS page, count(*) OVER (PARTITION BY o_custkey) AS total FROM o),
+      p AS (SELECT board, page, total, count(*) AS n, page = 1 AND board % 7 = 0 AS again, page = 1 AND board % 11 = 0 AS failed FROM n GROUP BY ALL),
+      q AS (SELECT *, CASE WHEN again THEN 0 ELSE n END AS fresh, CASE WHEN again THEN 5 ELSE n END AS shown FROM p),
+      s AS (SELECT *, CASE WHEN fresh = 0 THEN 'replay' WHEN shown < 5 THEN 'short' WHEN sum(fresh) OVER (PARTITION BY board ORDER BY page) >= total THEN 'total' END AS stop FROM q),
+      w AS (SELECT *, coalesce(count(stop) OVER (PARTITION BY board ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
+      SELECT board, CASE WHEN bool_or(failed) THEN 'failures' WHEN bool_or(coalesce(stop = 'replay', false)) THEN 'replay' WHEN count(*) >= 2 AND max(stop) IS NULL THEN 'budget' WHEN max(stop) IS NULL THEN 'open' ELSE 'complete' END AS verdict,
+        CAST(sum(fresh) AS BIGINT) AS rows FROM w WHERE before = 0 GROUP BY board""",
     "state_filer_status": f"""WITH {_E}, g AS (SELECT user_id, max(d) FILTER (event_type = 'purchase') AS r, max(d) FILTER (event_type = 'signup') AS n, max(d) FILTER (event_type = 'error') AS s FROM e GROUP BY 1)
       SELECT user_id, CASE WHEN r >= 27 THEN 'current' WHEN n >= 27 THEN 'notice' WHEN s > coalesce(r, s - 1) THEN 'stopped' ELSE 'overdue' END AS status FROM g""",
     "state_verdicts": f"""WITH {_E}, g AS (SELECT user_id, d, count(*) FILTER (event_type <> 'error') AS r, count(*) FILTER (event_type = 'error') AS f FROM e GROUP BY ALL),
