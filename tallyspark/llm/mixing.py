@@ -130,6 +130,19 @@ def settle(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.nda
     return out
 
 
+def bundled(p: np.ndarray, size: np.ndarray) -> int:
+    """How many of the smallest documents (sizes ascend) the root leaves unpaired.
+
+    Half of them, or more until their words make up for any one document,
+    taken or not: p / (1 - p) or its inverse times that one's words.
+    """
+    if not len(p):
+        return 0
+    odds = p / (1 - p)
+    need = (size * np.maximum(odds, 1 / odds)).max()
+    return min(len(p), max(len(p) // 2, int(np.searchsorted(np.cumsum(size), need)) + 1))
+
+
 def _round_node(seed: int, last: bool):
     """A function for one node: rows of all sources, rounded source by source in a fixed order.
 
@@ -146,7 +159,7 @@ def _round_node(seed: int, last: bool):
         out = part.copy()
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             at = a + np.flatnonzero((part[a:b] > _EPS) & (part[a:b] < 1 - _EPS) & (size[a:b] > 0))
-            small = len(at) // 2 if last else min(RESERVE, len(at) // 2)
+            small = bundled(part[at], size[at]) if last else min(RESERVE, len(at) // 2)
             large = at[small:]
             out[large], left = pivot(part[large], size[large], draw)
             if last:
