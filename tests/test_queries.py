@@ -57,3 +57,27 @@ def test_round_robin_and_pick_three_on_ties(spark):
     assert got == [1, 3, 4, 2]
     picks = {r["pick"]: r["k"] for r in ranking.pick_three(rows.withColumn("v", F.col("k")), "k", "d", "v", "g").collect()}
     assert picks == {1: 1, 2: 4, 3: 3}
+
+
+def test_overlap_in_small_blocks(spark):
+    from tallyspark.operators.holdings import overlap
+
+    books = [("a", "x", 1, 60.0), ("a", "y", 1, 40.0), ("b", "x", 1, 10.0), ("b", "y", 1, 30.0), ("c", "y", 1, 5.0), ("d", "z", 1, 5.0), ("e", "x", 2, 5.0), (None, "x", 1, 5.0), ("f", None, 1, 5.0), ("g", "x", 1, 1.0)]
+    pos = spark.createDataFrame(books, "manager string, security string, q int, value double")
+    shares = {}
+    for m, _, q, v in books:
+        shares[m, q] = shares.get((m, q), 0) + v
+    weight = {(m, q, s): v / shares[m, q] for m, s, q, v in books if m and s}
+    want = {}
+    for m, q, s in weight:
+        for n, p, t in weight:
+            if m != n and q == p and s == t:
+                one = want.setdefault((m, q, n), [0.0, 0])
+                one[0] += min(weight[m, q, s], weight[n, p, t])
+                one[1] += 1
+    for block in (1, 2, 100):
+        got = {(r["manager"], r["q"], r["peer"]): (r["overlap"], r["shared"]) for r in overlap(pos, 25, block).collect()}
+        assert got == {k: (round(v, 6), n) for k, (v, n) in want.items()}
+        top = {(r["manager"], r["peer"]) for r in overlap(pos, 1, block).collect()}
+        assert top == {(m, min((-round(v, 6), n) for (k, _, n), (v, _) in want.items() if k == m)[1]) for m, _, _ in want}
+    assert overlap(pos.limit(0)).count() == 0
