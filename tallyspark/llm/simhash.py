@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import saved, shuffle_partitions
@@ -54,16 +54,23 @@ def fingerprint(body: bytes, words_a_shingle: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_a_shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long) for every row; a null or wordless text has fingerprint zero."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_a_shingle: int = 4, hashes: bool = False) -> DataFrame:
+    """(doc_id, fp long) for every row; a null or wordless text has fingerprint zero. ``hashes`` adds t1 and t2, two hashes of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(x or b"", words_a_shingle) for x in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            kept = [k for k in range(b.num_columns) if k != 1]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in kept], pa.array(fps, pa.int64())], [*[b.schema.names[k] for k in kept], "fp"])
 
     picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    if not hashes:
+        return picked.mapInArrow(run, "doc_id long, fp long")
+    return picked.select("doc_id", "text", *_text_hashes(F.col("text"))).mapInArrow(run, "doc_id long, t1 long, t2 long, fp long")
+
+
+def _text_hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
 
 
 def variant_keys(fp: Column) -> Column:
@@ -176,6 +183,14 @@ def near_links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     return ordered.mapInArrow(_verify, "a long, b long")
 
 
+def _rooted(prints: DataFrame, order: Column) -> DataFrame:
+    """(fp, least, root): the least ``order`` of each fingerprint and the root of its component."""
+    nodes = saved(prints.groupBy("fp").agg(F.min(order).alias("least")), "nodes")
+    rooted = components(near_links(nodes.select("fp")))
+    named = nodes.join(rooted.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    return saved(named.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_a_shingle: int = 4) -> DataFrame:
     """One row for each row of ``docs``: doc_id, fp, component_id.
 
@@ -187,32 +202,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     gives an empty result.
     """
     prints = saved(fingerprints(docs, doc_id, text, words_a_shingle), "fingerprints")
-    nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    rooted = components(near_links(nodes.select("fp")))
-    named = nodes.join(rooted.select(F.col("node").alias("fp"), "root"), "fp", "left")
-    named = saved(named.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    named = _rooted(prints, F.col("doc_id"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = saved(named.join(least, "root").select("fp", "component_id"), "by-print")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_a_shingle: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component: one document of each group, all columns.
+    """One row of each component of ``docs``, all columns: that of the least id, nulls last, then of the least text hash.
 
-    Of rows that share this id one stays. A
-    component whose ids are all null keeps one row. Shingles here are of five
-    words, the default of the near-duplicate operators.
+    The row is found by its id and text, so any number of components without an
+    id keep a row each. A stated id stays once: of components whose rows chosen
+    share it, the one of least text hash keeps its row. Of rows that repeat an id
+    and its text any one stays. Shingles here are of five words, the default of
+    the near-duplicate operators.
     """
     columns = docs.columns
-    found = near_duplicates(docs, doc_id, text, words_a_shingle)
-    value, missing = F.coalesce(F.col("__id"), F.lit(0).cast("long")), F.col("__id").isNull().cast("int")
-    keepers = found.select(F.col("component_id").alias("__id")).distinct().select(value.alias("__k"), missing.alias("__m"))
-    row = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"),
-        F.col(doc_id).cast("long").alias("__id"),
-        F.xxhash64(F.col(text).cast("string")).alias("__text"),
-    ).withColumns({"__k": value, "__m": missing})
-    stay = row.join(keepers, ["__k", "__m"], "left_semi")
-    # The join has already dealt the rows by these keys: the window adds no shuffle.
-    nth = F.row_number().over(Window.partitionBy("__k", "__m").orderBy("__text"))
-    return stay.withColumn("__nth", nth).filter("__nth = 1").select(*[F.col("__row")[c].alias(c) for c in columns])
+    key = ["__m", "__k", "__t1", "__t2"]
+
+    def keys(id_: Column, t1: Column, t2: Column) -> list[Column]:
+        each = (id_.isNull().cast("int"), F.coalesce(id_, F.lit(0).cast("long")), t1, t2)
+        return [c.alias(k) for c, k in zip(each, key, strict=True)]
+
+    prints = saved(fingerprints(docs, doc_id, text, words_a_shingle, hashes=True), "fingerprints")
+    named = _rooted(prints, F.struct(*keys(F.col("doc_id"), F.col("t1"), F.col("t2"))))
+    chosen = named.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    once = chosen.filter("__m = 0").groupBy("__m", "__k").agg(F.min(F.struct("__t1", "__t2")).alias("t")).select("__m", "__k", "t.*")
+    keepers = saved(chosen.filter("__m = 1").unionByName(once), "keepers")
+    t1, t2 = _text_hashes(F.col(text).cast("string"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), *keys(F.col(doc_id).cast("long"), t1, t2))
+    # Repeated rows meet combined, so none of them can make a large partition; the join then needs no other shuffle.
+    each = row.groupBy(*key).agg(F.first("__row").alias("__row"))
+    return each.join(keepers, key, "left_semi").select(*[F.col("__row")[c].alias(c) for c in columns])

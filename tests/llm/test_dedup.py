@@ -93,6 +93,21 @@ def test_keep_one(spark):
     assert simhash.keep_one(empty(spark)).count() == 0 and simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    rng = np.random.default_rng(11)
+    a, b, c, d, e = ("".join(rng.choice(list("abcdefgh "), 400)) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (None, c), (9, c), (3, d), (4, d), (4, e), (5, e), (7, d), (7, b + " ")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # Each text once; 4 stays for e, not for d, whose least id is 3; b + " " is b by its words, and has an id.
+    assert sorted((r["text"].strip(), r["doc_id"] or -1) for r in got) == sorted([(a.strip(), -1), (b.strip(), 7), (c.strip(), 9), (d.strip(), 3), (e.strip(), 4)])
+
+
+def test_keep_one_of_many_null_ids(spark):
+    texts = [f"text {k} " + " ".join(f"{k}w{j}" for j in range(30)) for k in range(40)]
+    df = spark.createDataFrame([(None, t) for t in texts for _ in range(3)], "doc_id long, text string")
+    assert sorted(r["text"] for r in simhash.keep_one(df).collect()) == sorted(texts)
+
+
 def plain_lines(rows):
     texts = sorted({(r[0] is not None, r[0] or 0, r[1]) for r in rows if r[1] is not None}, key=lambda x: x[:2])
     return texts
