@@ -4,7 +4,8 @@ Suffixes start at content-selected places: minimisers of word 8-grams, so equal
 passages select equal places. Of a suffix its first words are one hash; suffixes
 whose hash occurs once can't repeat and go. The others are sorted by hash and by
 the words that follow, neighbours are compared, and their match is extended to
-the right and to the left. Every text of ``MIN_WORDS`` words that returns
+the right and to the left; runs of words are hashed where neighbours don't settle
+a suffix. Every text of ``MIN_WORDS`` words that returns
 contains such a place with its first words inside; overlapping matches of one
 document are merged.
 """
@@ -103,21 +104,21 @@ def _common(a: bytes, b: bytes) -> int:
     return n
 
 
-_MATCH = [(n, pa.int64()) for n in ("doc", "t1", "start", "end", "other", "head", "place")] + [("first", pa.bool_())]
+_MATCH = [(n, pa.int64()) for n in ("doc", "t1", "start", "end", "other", "head", "place")] + [("first", pa.bool_()), ("whole", pa.bool_())]
 _EDGE = [("right", pa.binary()), ("left", pa.binary()), ("edge_head", pa.int64()), ("edge_doc", pa.int64()), ("edge_t1", pa.int64()), ("edge_place", pa.int64())]
-_MATCHED = "doc long, t1 long, start long, end long, other long, head long, place long, first boolean"
+_MATCHED = "doc long, t1 long, start long, end long, other long, head long, place long, first boolean, whole boolean"
 _OUT = f"{_MATCHED}, right binary, left binary, edge_head long, edge_doc long, edge_t1 long, edge_place long"
 
 
 def _matches(a, b) -> Iterator[tuple]:
-    """The match of two neighbours (head, right, left, doc, t1, place), told for both, if it has enough words."""
+    """The match of two neighbours (head, right, left, doc, t1, place), told for both, if it has enough words; ``whole`` if it covers all words kept around a row's head."""
     if a[0] != b[0] or a[3:] == b[3:]:
         return
     r, l = HEAD + _common(a[1], b[1]), _common(a[2], b[2])
     if r + l >= MIN_WORDS:
         low, high = sorted((a, b), key=lambda x: x[3:])
         for x, other, first in ((low, high, True), (high, low, False)):
-            yield x[3], x[4], x[5] - l, x[5] + r, other[3], x[0], x[5], first
+            yield x[3], x[4], x[5] - l, x[5] + r, other[3], x[0], x[5], first, r == HEAD + len(x[1].split()) and l == len(x[2].split())
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,20 +215,21 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_across, _MATCHED)  # two rows a range
     matched = compared.filter(F.col("edge_head").isNull()).select(*across.columns).unionByName(across)
 
-    # Neighbours tell that a suffix isn't the first of its kind only where a neighbour comes before it. Where a head
-    # has several that seem first, all their runs of words are compared by hash.
-    own = matched.groupBy("head", "doc", "t1", "place").agg(F.bool_and("first").alias("seems")).filter("seems")
-    several = own.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head")
-    rivals = own.join(several, "head", "left_semi").select("head", "doc", "t1", "place")
-    runs = contexts.join(rivals, ["head", "doc", "t1", "place"], "left_semi").select("head", "right", "left", "doc", "t1", "place")
+    # Neighbours by right side can hide a match that needs words on the left, and which occurrence is the first. So the
+    # runs of words of all suffixes are compared by hash; only one that an earlier suffix matches as a whole adds none:
+    # the first of such a chain has all its runs.
+    settled = matched.filter("whole and not first").select("head", "doc", "t1", "place").distinct()
+    runs = contexts.join(settled, ["head", "doc", "t1", "place"], "left_anti").select("head", "right", "left", "doc", "t1", "place")
     runs = saved(runs.mapInArrow(_windows, "k1 long, k2 long, doc long, t1 long, start long").distinct(), "runs")
     spot = F.struct("doc", "t1", "start")
     first = saved(runs.groupBy("k1", "k2").agg(F.min(spot).alias("spot"), F.count("*").alias("n")).filter("n > 1").select("k1", "k2", "spot"), "first-runs")
-    later = runs.join(first, ["k1", "k2"]).filter(spot != F.col("spot"))
-    later = later.select("doc", "t1", "start", (F.col("start") + MIN_WORDS).alias("end"), F.col("spot.doc").alias("other"), F.lit(False).alias("first"))
+    pairs = saved(runs.join(first, ["k1", "k2"]).filter(spot != F.col("spot")).select("doc", "t1", "start", "spot"), "later-runs")
+    shown = pairs.groupBy("spot").agg(F.min("doc").alias("other"))
+    shown = shown.select("spot.*", (F.col("spot.start") + MIN_WORDS).alias("end"), "other", F.lit(True).alias("first"))
+    later = pairs.select("doc", "t1", "start", (F.col("start") + MIN_WORDS).alias("end"), F.col("spot.doc").alias("other"), F.lit(False).alias("first"))
 
     columns = ["doc", "t1", "start", "end", "other", "first"]
-    spans = matched.select(*columns).unionByName(later).unionByName(copies).unionByName(copied)
+    spans = matched.select(*columns).unionByName(later).unionByName(shown).unionByName(copies).unionByName(copied)
     # What is a later occurrence by any match is one: it's taken off the spans that seem first.
     merged = _merged(spans)
     seems = merged.filter("first").select("doc", "t1", "start", "end", "other")

@@ -186,6 +186,20 @@ def test_suffixes_on_planted_passages(spark):
     assert cleaned == {k: [x for i, x in enumerate(w) if i not in later[k]] for k, w in docs.items()}
 
 
+def test_suffixes_find_passages_by_their_left_sides(spark):
+    rng = np.random.default_rng(17)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    docs = {}
+    for size in (32, 36, 40, 45, 49):
+        notice, pair = [word() for _ in range(size)], [word() for _ in range(50 - size)]
+        for k in range(30):
+            lead = pair if k in (4, 23) else [word() for _ in range(20)]
+            docs[len(docs)] = [word() for _ in range(40)] + lead + notice + ([] if k % 3 else [word() for _ in range(30)])
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string")
+    every, later = plain_passages(docs)
+    assert len(every) == 10 and spans(suffixes.repeated_passages(df).collect()) == (every, later)
+
+
 def test_suffixes_cases(spark):
     rows = suffixes.repeated_passages(odd(spark)).collect()
     assert rows == [] or all(r["n_words"] >= 50 for r in rows)
