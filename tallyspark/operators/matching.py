@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallyspark.operators.joins import first_per_key
 
 CAMPAIGN_DAYS = 45
-NAME_WORDS = 8
 
 
 def both_sides(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
@@ -49,11 +48,11 @@ def first_key_match(rows: DataFrame, index: DataFrame, keys: list[str], item: st
     return out.withColumn("matched", matched).withColumn("matched_by", name).drop(*[f"__by_{k}" for k in keys])
 
 
-def _runs(words: Column) -> Column:
-    """All runs of consecutive words, space-joined."""
+def _runs(words: Column, most: Column) -> Column:
+    """All runs of at most ``most`` consecutive words, space-joined."""
     size = F.size(words)
     starts = F.sequence(F.lit(1), size)
-    each = F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.array_join(F.slice(words, i, n), " ")))
+    each = F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(size - i + 1, most)), lambda n: F.array_join(F.slice(words, i, n), " ")))
     return F.array_distinct(F.flatten(each))
 
 
@@ -62,18 +61,19 @@ def contained_names(rows: DataFrame, name: str, table: DataFrame, value: str) ->
 
     A stage that gives two values is ambiguous and gives none, and ends the
     search. Containment is an equality of one name with a run of the other's
-    words, so there's no nested loop; runs are of at most ``NAME_WORDS`` words'
-    names, longer names meet exactly only.
+    words, so there's no nested loop; runs have at most as many words as the
+    longest name of the other side, however long the name is itself.
     """
     left = rows.select(F.col(name).alias("__name")).distinct()
     right = table.select(F.col(name).alias("__t"), F.col(value).alias("__v"))
     lower = lambda c: F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
     l2, r2 = left.withColumn("__l", lower(F.col("__name"))), right.withColumn("__r", lower(F.col("__t")))
-    short = lambda c: F.size(F.split(c, " ")) <= NAME_WORDS
     exact = left.join(right, left["__name"] == right["__t"]).select("__name", "__v", F.lit(0).alias("__how"))
     folded = l2.join(r2, l2["__l"] == r2["__r"]).select("__name", "__v", F.lit(1).alias("__how"))
-    l_runs = l2.filter(short(F.col("__l"))).select("__name", F.explode(_runs(F.split("__l", " "))).alias("__run"))
-    r_runs = r2.filter(short(F.col("__r"))).select("__v", F.explode(_runs(F.split("__r", " "))).alias("__run"))
+    n_words = lambda c: F.size(F.split(c, " "))
+    l_most, r_most = l2.agg(F.greatest(F.max(n_words(F.col("__l"))), F.lit(1)).alias("__most")), r2.agg(F.greatest(F.max(n_words(F.col("__r"))), F.lit(1)).alias("__most"))
+    l_runs = l2.crossJoin(F.broadcast(r_most)).select("__name", F.explode(_runs(F.split("__l", " "), F.col("__most"))).alias("__run"))
+    r_runs = r2.crossJoin(F.broadcast(l_most)).select("__v", F.explode(_runs(F.split("__r", " "), F.col("__most"))).alias("__run"))
     inner = l_runs.join(r2, l_runs["__run"] == r2["__r"]).select("__name", "__v", F.lit(2).alias("__how"))
     outer = l2.join(r_runs, l2["__l"] == r_runs["__run"]).select("__name", "__v", F.lit(2).alias("__how"))
     every = exact.unionByName(folded).unionByName(inner).unionByName(outer)

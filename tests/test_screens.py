@@ -60,6 +60,14 @@ def test_keys_in_order_of_precedence(spark):
     assert rows(found, "id", "matched", "matched_by") == [(1, 5, "acc"), (2, 3, "url"), (3, None, None)]
 
 
+def test_contained_names_have_no_longest_name(spark):
+    long = "the very old and quite large iron works company of the far north"
+    names = [(long,), ("old and",), ("works of gold",)]
+    table = spark.createDataFrame([("iron works", 1), ("a b c d e f g h works of gold", 2), ("so old and so long that nobody reads all of it", 3)], "name string, v int")
+    got = {r["name"]: (r["v"], r["how"]) for r in matching.contained_names(spark.createDataFrame(names, "name string"), "name", table, "v").collect()}
+    assert got == {long: (1, "contained"), "old and": (3, "contained"), "works of gold": (2, "contained")}
+
+
 def test_contained_names_are_unique_or_none(spark):
     table = spark.createDataFrame([("Republic of Iron", 1), ("iron", 2), ("Gold Coast", 3), ("coast", 4)], "name string, v int")
     names = [("Iron",), ("iron",), ("the gold  coast",), ("of iron",), ("coastal",), (None,), ("",)]
