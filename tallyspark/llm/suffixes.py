@@ -3,24 +3,27 @@
 Suffixes start at content-selected places: minimisers of word 8-grams, so equal
 passages select equal places. Of a suffix its first words are one hash; suffixes
 whose hash occurs once can't repeat and go. The others are sorted by hash and by
-the words that follow, neighbours are compared, and their match is extended to
-the right and to the left; runs of words are hashed where neighbours don't settle
-a suffix. Every text of ``MIN_WORDS`` words that returns
-contains such a place with its first words inside; overlapping matches of one
-document are merged.
+the words that follow. Lengths of neighbours' common prefixes part the order into
+runs of equal prefixes; along each run the least suffix is carried, and a
+suffix's match with it, extended to the left, settles what of it is a later
+occurrence. Every text of ``MIN_WORDS`` words that returns contains such a place
+with its first words inside; overlapping matches of one document are merged.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyspark.llm.common import WORD_CLASS, saved, shuffle_partitions
+from tallyspark.llm.common import WORD_CLASS, Saved, saved, shuffle_partitions
 
 MIN_WORDS = 50
 GRAM, WINDOW = 8, 20
@@ -62,111 +65,182 @@ def selected(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return places, _rolled(h, HEAD)[places]
 
 
+_ANCHOR = "doc long, t1 long, t2 long, place long, head long"
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, t1, t2, text) to a row for each suffix, t2 left out, and one for the text: place -1, its number of words as head."""
     for b in batches:
-        docs, hashes, places, heads = [], [], [], []
-        for doc, t1, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
-            at, head = selected(body.split())
-            docs.append(np.full(len(at), doc, np.int64))
-            hashes.append(np.full(len(at), t1, np.int64))
-            places.append(at)
-            heads.append(head)
-        if docs:
-            columns = [np.concatenate(docs), np.concatenate(hashes), np.concatenate(places), np.concatenate(heads).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "t1", "place", "head"])
+        keys, counts, places, heads = [], [], [], []
+        for k, body in enumerate(b.column(3).cast(pa.binary()).to_pylist()):
+            words = body.split()
+            if len(words) < MIN_WORDS:
+                continue
+            at, head = selected(words)
+            keys.append(k)
+            counts.append(len(at) + 1)
+            places += [[-1], at]
+            heads += [[len(words)], head.view(np.int64)]
+        if keys:
+            row = np.repeat(keys, counts)
+            place = np.concatenate(places).astype(np.int64)
+            doc, t1, t2 = (b.column(k).take(pa.array(row)) for k in range(3))
+            t2 = pa.array(t2.to_numpy(), mask=place >= 0)
+            yield pa.RecordBatch.from_arrays([doc, t1, t2, pa.array(place), pa.array(np.concatenate(heads).astype(np.int64))], ["doc", "t1", "t2", "place", "head"])
+
+
+_CONTEXT = "head long, head2 long, right binary, left binary, doc long, t1 long, place long"
+_CONTEXT_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+_CONTEXT_NAMES = ["head", "head2", "right", "left", "doc", "t1", "place"]
+#: Suffixes that a task looks at together.
+CHUNK = 50_000
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, t1, text, places) to rows (head, right, left, doc, t1, place): the words after the head, and those before it, nearest first."""
+    """Rows (doc, t1, text, places) to suffixes: 128 bits for the head, the words after it, and those before it, nearest first.
+
+    Each word is followed by a space, so texts with equal first words are neighbours by byte order.
+    """
+    digest = xxhash.xxh64_intdigest
+    out: list[list] = [[] for _ in _CONTEXT_NAMES]
+
+    def told() -> pa.RecordBatch:
+        rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _CONTEXT_TYPES, strict=True)], _CONTEXT_NAMES)
+        for column in out:
+            column.clear()
+        return rows
+
     for b in batches:
-        out: list[list] = [[] for _ in range(6)]
-        for doc, t1, body, found in zip(*[b.column(k).to_pylist() for k in (0, 1)], b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
-            words = body.split()
+        bodies = b.column(2).cast(pa.binary())
+        for k, doc, t1, found in zip(range(b.num_rows), b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
+            words = bodies[k].as_py().split()
             for x in found:
                 at = x["place"]
-                right = b" ".join(words[at + HEAD : at + HEAD + SIDE])
-                left = b" ".join(words[max(0, at - SIDE) : at][::-1])
-                for column, value in zip(out, (x["head"], right, left, doc, t1, at), strict=True):
-                    column.append(value)
-        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["head", "right", "left", "doc", "t1", "place"])
-
-
-def _common(a: bytes, b: bytes) -> int:
-    """Leading words in common."""
-    if a == b:
-        return len(a.split())
-    n = 0
-    for x, y in zip(a.split(), b.split(), strict=False):
-        if x != y:
-            break
-        n += 1
-    return n
-
-
-_MATCH = [(n, pa.int64()) for n in ("doc", "t1", "start", "end", "other", "head", "place")] + [("first", pa.bool_()), ("whole", pa.bool_())]
-_EDGE = [("right", pa.binary()), ("left", pa.binary()), ("edge_head", pa.int64()), ("edge_doc", pa.int64()), ("edge_t1", pa.int64()), ("edge_place", pa.int64())]
-_MATCHED = "doc long, t1 long, start long, end long, other long, head long, place long, first boolean, whole boolean"
-_OUT = f"{_MATCHED}, right binary, left binary, edge_head long, edge_doc long, edge_t1 long, edge_place long"
-
-
-def _matches(a, b) -> Iterator[tuple]:
-    """The match of two neighbours (head, right, left, doc, t1, place), told for both, if it has enough words; ``whole`` if it covers all words kept around a row's head."""
-    if a[0] != b[0] or a[3:] == b[3:]:
-        return
-    r, l = HEAD + _common(a[1], b[1]), _common(a[2], b[2])
-    if r + l >= MIN_WORDS:
-        low, high = sorted((a, b), key=lambda x: x[3:])
-        for x, other, first in ((low, high, True), (high, low, False)):
-            yield x[3], x[4], x[5] - l, x[5] + r, other[3], x[0], x[5], first, r == HEAD + len(x[1].split()) and l == len(x[2].split())
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares each row of a sorted partition with the next; the first and the last row go out as edges."""
-    before = first = None
-    for b in batches:
-        rows = list(zip(*[c.to_pylist() for c in b.columns], strict=True))
-        found = []
-        for row in rows:
-            if before is None:
-                first = row
-            else:
-                found.extend(_matches(before, row))
-            before = row
-        if found:
-            yield _told(found, [])
-    if first is not None:
-        yield _told([], [first, before])
-
-
-def _told(found: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*found, strict=True)) if found else [()] * len(_MATCH)
-    ends = list(zip(*[(r[1], r[2], r[0], *r[3:]) for r in edges], strict=True)) if edges else [()] * len(_EDGE)
-    arrays = [pa.array([*c, *[None] * len(edges)], t) for c, (_, t) in zip(columns, _MATCH, strict=True)]
-    arrays += [pa.array([*[None] * len(found), *c], t) for c, (_, t) in zip(ends, _EDGE, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, [n for n, _ in _MATCH + _EDGE])
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares the edges of partitions, sorted: two rows each."""
-    rows = [r for b in batches for r in zip(*[c.to_pylist() for c in b.columns], strict=True)]
-    found = [m for a, b in zip(rows, rows[1:], strict=False) for m in _matches(a, b)]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*found, strict=True) if found else [()] * len(_MATCH), _MATCH, strict=True)], [n for n, _ in _MATCH])
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs of ``MIN_WORDS`` words that hold a row's head: (k1, k2, doc, t1, start), by two hashes of their words."""
+                end = at + HEAD
+                out[0].append(x["head"])
+                out[1].append(digest(b" ".join(words[at:end]), 7) - (1 << 63))
+                out[2].append(b" ".join([*words[end : end + SIDE], b""]))
+                out[3].append(b" ".join([*words[max(0, at - SIDE) : at][::-1], b""]))
+                out[4].append(doc)
+                out[5].append(t1)
+                out[6].append(at)
+            if len(out[0]) >= CHUNK // 4:
+                yield told()
+    if out[0]:
+        yield told()
+
+
+def _word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(codes (rows, SIDE), words of each row): equal words have equal codes, -1 stands where there is none."""
+    parts = pc.split_pattern(texts, b" ")  # the last part is what follows the last space: nothing
+    codes = parts.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    sizes = np.diff(parts.offsets.to_numpy())
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    column = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    word = column < sizes[row] - 1
+    out = np.full((len(sizes), SIDE), -1, np.int32)
+    out[row[word], column[word]] = codes[word]
+    return out, sizes - 1
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading words in common of the rows of two tables of codes."""
+    return np.logical_and.accumulate((a == b) & (a >= 0), axis=1).sum(axis=1)
+
+
+_FOUND = "doc long, t1 long, start long, end long, other long, first boolean, k1 long, k2 long"
+_FOUND_TYPES = [pa.int64()] * 5 + [pa.bool_(), pa.int64(), pa.int64()]
+_FOUND_NAMES = ["doc", "t1", "start", "end", "other", "first", "k1", "k2"]
+
+
+def _settled(rows: pa.Table) -> pa.RecordBatch:
+    """The matches of sorted suffixes with the least suffix of each run of equal prefixes.
+
+    A run of ``MIN_WORDS`` words around a head takes r words after it and the
+    rest before it. Of the suffixes that share their first r words the least is
+    known from the sorted order: what has that one's left words too is a later
+    occurrence. Only where the least one has other words on the left, and for
+    the least one of a run that may go on beyond these rows, the words
+    themselves go out as a key (k1, k2): equal ones meet there.
+    """
+    column = {name: rows[name].combine_chunks() for name in _CONTEXT_NAMES}
+    n = rows.num_rows
+    doc, t1, place, h1, h2 = (column[c].to_numpy() for c in ("doc", "t1", "place", "head", "head2"))
+    right, n_right = _word_codes(column["right"])
+    left, n_left = _word_codes(column["left"])
+    common = np.full(n, -1)
+    common[1:] = np.where((h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1]), _common(right[1:], right[:-1]), -1)
+    order = np.lexsort((place, t1, doc))
+    new = np.ones(n, bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (t1[order][1:] != t1[order][:-1]) | (place[order][1:] != place[order][:-1])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(new) - 1
+    row_of = order[new]
+
+    none = np.iinfo(np.int64).max
+    low, high, by = np.full(n, -1), np.full(n, -1), np.full(n, none)  # words on the left of a suffix's later runs, and its earlier one
+    first_low, first_high, first_by = low.copy(), high.copy(), by.copy()
+    met, shared = np.full(n, -1), np.zeros(n, np.int64)
+    asked: list[tuple[np.ndarray, int]] = []
+    for r in range(SIDE, -1, -1):
+        before = SIDE - r
+        starts = np.flatnonzero(common < r)
+        size = np.diff(np.append(starts, n))
+        least = np.minimum.reduceat(rank, starts)
+        at_edge = np.zeros(len(starts), bool)
+        at_edge[[0, -1]] = True
+        looked = np.flatnonzero(np.repeat((size > 1) | at_edge, size))
+        own_least = np.repeat(least, size)[looked]
+        is_least = rank[looked] == own_least
+        x, y = looked[~is_least], row_of[own_least[~is_least]]
+        fresh = met[x] != y
+        shared[x[fresh]] = _common(left[x[fresh]], left[y[fresh]])
+        met[x] = y
+        later = shared[x] >= before
+        a, b = x[later], y[later]
+        low[a] = np.where(low[a] < 0, before, low[a])
+        high[a] = before
+        by[a] = np.minimum(by[a], rank[b])
+        first_low[b] = np.where(first_low[b] < 0, before, first_low[b])
+        first_high[b] = before
+        np.minimum.at(first_by, b, rank[a])
+        edge = looked[is_least & np.repeat(at_edge, size)[looked]]
+        open_ = np.concatenate([x[~later], edge])
+        asked.append((open_[(n_left[open_] >= before) & (n_right[open_] >= r)], before))
+
+    out: list[np.ndarray] = [[] for _ in range(8)]
+    for lows, highs, others, first in ((low, high, by, False), (first_low, first_high, first_by, True)):
+        at = np.flatnonzero(highs >= 0)
+        spans = (doc[at], t1[at], place[at] - highs[at], place[at] - lows[at] + MIN_WORDS, doc[row_of[others[at]]], np.full(len(at), first))
+        for c, values in zip(out, spans, strict=False):
+            c.append(values)
+    n_spans = sum(map(len, out[0]))
+    keys = []
+    for x, before in asked:
+        for k in x.tolist():
+            words = [*column["left"][k].as_py().split()[:before], b"", *column["right"][k].as_py().split()[: SIDE - before]]
+            key = xxhash.xxh3_128_intdigest(b"%d %d " % (h1[k], h2[k]) + b" ".join(words))
+            keys.append(((key >> 64) - (1 << 63), (key & ((1 << 64) - 1)) - (1 << 63)))
+        for c, values in zip(out, (doc[x], t1[x], place[x] - before, place[x] - before + MIN_WORDS), strict=False):
+            c.append(values)
+    columns = [np.concatenate(c) for c in out[:4]]
+    spare = len(keys)
+    arrays = [pa.array(c, pa.int64()) for c in columns]
+    arrays += [pa.concat_arrays([pa.array(np.concatenate(c), t), pa.nulls(spare, t)]) for c, t in zip(out[4:6], _FOUND_TYPES[4:6], strict=True)]
+    arrays += [pa.concat_arrays([pa.nulls(n_spans, pa.int64()), pa.array([key[k] for key in keys], pa.int64())]) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(arrays, _FOUND_NAMES)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted suffixes, a chunk at a time; a run that a chunk's end cuts is one that may go on."""
+    held: list[pa.RecordBatch] = []
     for b in batches:
-        out: list[list] = [[] for _ in range(5)]
-        for head, right, left, doc, t1, place in zip(*[c.to_pylist() for c in b.columns], strict=True):
-            r, l = right.split(), left.split()
-            for i in range(min(SIDE, len(l)) + 1):
-                if SIDE - i <= len(r):
-                    body = b" ".join([*l[:i], b"%d" % head, *r[: SIDE - i]])
-                    row = (xxhash.xxh64_intdigest(body, 1) - (1 << 63), xxhash.xxh64_intdigest(body, 2) - (1 << 63), doc, t1, place - i)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["k1", "k2", "doc", "t1", "start"])
+        held.append(b)
+        if sum(x.num_rows for x in held) >= CHUNK:
+            yield _settled(pa.Table.from_batches(held))
+            held = []
+    if any(x.num_rows for x in held):
+        yield _settled(pa.Table.from_batches(held))
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -174,21 +248,32 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     Words are runs of other characters than ASCII spaces, compared as they are.
     ``kept`` spans are first occurrences, by document, then place; for each
-    other span ``match_doc_id`` is the least document that a neighbour in the
-    suffix array, or an equal run of words, shows it from; the two kinds of a
-    document don't overlap, so a kept span can be shorter than ``MIN_WORDS``. An exact copy of a text with ``MIN_WORDS`` words
-    gives one span over all of it, from the least id with this text; only that
-    one is searched further. Shorter and null texts give no rows. Null ids take
-    no part; rows that repeat an id and its text are one document, and of
-    different texts under one id each is searched. Other columns aren't read. An
-    empty table gives an empty result.
+    other span ``match_doc_id`` is the least document among those that showed it
+    as a later one. The two kinds of a document don't overlap, so a kept span
+    can be shorter than ``MIN_WORDS``. An exact copy of a text with
+    ``MIN_WORDS`` words gives one span over all of it, from the least id with
+    this text; only that one is searched further. Shorter and null texts give no
+    rows. Null ids take no part; rows that repeat an id and its text are one
+    document, and of different texts under one id each is searched. Other
+    columns aren't read. An empty table gives an empty result.
     """
+    return _spans(docs, doc_id, text).select(
+        F.col("doc").alias("doc_id"),
+        F.col("start").alias("start_word"),
+        (F.col("end") - F.col("start")).alias("n_words"),
+        F.col("other").alias("match_doc_id"),
+        F.col("first").alias("kept"),
+    )
+
+
+def _spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc, t1, start, end, other, first): the rows of ``repeated_passages`` with the hash of their text."""
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     base = base.filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
-    hashes = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
-    n_words = F.regexp_count("text", F.lit(WORD_CLASS + "+")).cast("long").alias("n_words")
-    hashed = base.select("doc", *hashes, n_words).filter(F.col("n_words") >= MIN_WORDS).distinct()
+    keyed = base.select("doc", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+    anchors = Saved(keyed.mapInArrow(_anchors, _ANCHOR), "anchors")
+    hashed = anchors.df.filter("place < 0").select("doc", "t1", "t2", F.col("head").alias("n_words")).distinct()
     hashed = saved(hashed, "texts")
     texts = saved(hashed.groupBy("t1", "t2").agg(F.min("doc").alias("least"), F.count("*").alias("n"), F.first("n_words").alias("n_words")), "distinct-texts")
     shared = texts.filter("n > 1")
@@ -198,40 +283,37 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     copied = copied.select(F.col("least").alias("doc"), "t1", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), "other", F.lit(True).alias("first"))
 
     # Only light rows are shuffled until the texts of documents with a head that returns are fetched, once.
-    keyed = base.withColumn("t1", F.xxhash64("text")).select("doc", "t1", "text")
-    anchors = saved(keyed.mapInArrow(_anchors, "doc long, t1 long, place long, head long"), "anchors")
-    again = saved(anchors.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head"), "heads")
-    places = anchors.join(again, "head", "left_semi").groupBy("doc", "t1").agg(F.collect_set(F.struct("place", "head")).alias("found"))
+    # A head at one place of one text, however often that is copied, doesn't return.
+    suffixes = anchors.df.filter("place >= 0").select("doc", "t1", "place", "head")
+    spot = F.xxhash64("t1", "place")
+    again = suffixes.groupBy("head").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).filter("a != b").select("head")
+    again = saved(again, "heads")
+    places = suffixes.join(again, "head", "left_semi")
     # One text of each group of copies is searched.
     places = places.join(texts.select("t1", F.col("least").alias("doc")), ["doc", "t1"], "left_semi")
-    met = keyed.join(places, ["doc", "t1"]).select("doc", "t1", "text", "found")
-    contexts = saved(met.mapInArrow(_contexts, "head long, right binary, left binary, doc long, t1 long, place long"), "contexts")
-    order = ["head", "right", "doc", "t1", "place"]
-    # A head with a third of all rows spreads over ranges; only their edges are compared apart.
-    ranged = contexts.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    compared = saved(ranged.mapInArrow(_neighbours, _OUT), "compared")
-    edges = compared.filter(F.col("edge_head").isNotNull())
-    edges = edges.select(F.col("edge_head").alias("head"), "right", "left", F.col("edge_doc").alias("doc"), F.col("edge_t1").alias("t1"), F.col("edge_place").alias("place"))
-    across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_across, _MATCHED)  # two rows a range
-    matched = compared.filter(F.col("edge_head").isNull()).select(*across.columns).unionByName(across)
-
-    # Neighbours by right side can hide a match that needs words on the left, and which occurrence is the first. So the
-    # runs of words of all suffixes are compared by hash; only one that an earlier suffix matches as a whole adds none:
-    # the first of such a chain has all its runs.
-    settled = matched.filter("whole and not first").select("head", "doc", "t1", "place").distinct()
-    runs = contexts.join(settled, ["head", "doc", "t1", "place"], "left_anti").select("head", "right", "left", "doc", "t1", "place")
-    runs = saved(runs.mapInArrow(_windows, "k1 long, k2 long, doc long, t1 long, start long").distinct(), "runs")
+    places = places.groupBy("doc", "t1").agg(F.collect_set(F.struct("place", "head")).alias("found"))
+    met = keyed.select("doc", "t1", "text").join(places, ["doc", "t1"]).select("doc", "t1", "text", "found")
+    contexts = Saved(met.mapInArrow(_contexts, _CONTEXT), "contexts")
+    anchors.remove()
+    order = ["head", "head2", "right", "doc", "t1", "place"]
+    # A head with a third of all rows spreads over ranges.
+    ranged = contexts.df.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    found = saved(ranged.mapInArrow(_compared, _FOUND), "compared")
+    contexts.remove()
+
+    columns = ["doc", "t1", "start", "end", "other", "first"]
     spot = F.struct("doc", "t1", "start")
-    first = saved(runs.groupBy("k1", "k2").agg(F.min(spot).alias("spot"), F.count("*").alias("n")).filter("n > 1").select("k1", "k2", "spot"), "first-runs")
-    pairs = saved(runs.join(first, ["k1", "k2"]).filter(spot != F.col("spot")).select("doc", "t1", "start", "spot"), "later-runs")
+    keys = found.filter(F.col("k1").isNotNull())
+    first = keys.groupBy("k1", "k2").agg(F.min(spot).alias("spot"), F.max(spot).alias("last")).filter(F.col("spot") != F.col("last"))
+    first = saved(first.select("k1", "k2", "spot"), "first-runs")
+    pairs = saved(keys.select("k1", "k2", "doc", "t1", "start", "end").join(first, ["k1", "k2"]).filter(spot != F.col("spot")).select("doc", "t1", "start", "end", "spot"), "later-runs")
     shown = pairs.groupBy("spot").agg(F.min("doc").alias("other"))
     shown = shown.select("spot.*", (F.col("spot.start") + MIN_WORDS).alias("end"), "other", F.lit(True).alias("first"))
-    later = pairs.select("doc", "t1", "start", (F.col("start") + MIN_WORDS).alias("end"), F.col("spot.doc").alias("other"), F.lit(False).alias("first"))
+    later = pairs.select("doc", "t1", "start", "end", F.col("spot.doc").alias("other"), F.lit(False).alias("first"))
 
-    columns = ["doc", "t1", "start", "end", "other", "first"]
-    spans = matched.select(*columns).unionByName(later).unionByName(shown).unionByName(copies).unionByName(copied)
+    spans = found.filter(F.col("k1").isNull()).select(*columns).unionByName(later).unionByName(shown).unionByName(copies).unionByName(copied)
     # What is a later occurrence by any match is one: it's taken off the spans that seem first.
-    merged = _merged(spans)
+    merged = saved(_merged(spans), "spans")
     seems = merged.filter("first").select("doc", "t1", "start", "end", "other")
     gone = merged.filter(~F.col("first")).groupBy("doc", "t1").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone"))
     left = seems.join(gone, ["doc", "t1"], "left")
@@ -243,14 +325,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
     left = left.select("doc", "t1", "other", F.explode(F.filter(pieces, lambda x: x["end"] > x["start"])).alias("x"))
     left = left.select("doc", "t1", F.col("x.start").alias("start"), F.col("x.end").alias("end"), "other", F.lit(True).alias("first"))
-    merged = merged.filter(~F.col("first")).select(*columns).unionByName(left)
-    return merged.select(
-        F.col("doc").alias("doc_id"),
-        F.col("start").alias("start_word"),
-        (F.col("end") - F.col("start")).alias("n_words"),
-        F.col("other").alias("match_doc_id"),
-        F.col("first").alias("kept"),
-    )
+    return merged.filter(~F.col("first")).select(*columns).unionByName(left)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -263,28 +338,34 @@ def _merged(spans: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the words of spans that aren't kept left out of the text, and the space after each of them."""
+    """``docs`` with the words of spans that aren't kept left out of the text, and the space after each of them.
+
+    Spans meet rows by id and text, so different texts under one id lose only
+    their own. Rows with a null id or text, texts without such spans and other
+    columns stay as they are, whatever their names; repeated rows are cut alike.
+    An empty table gives an empty result.
+    """
     columns = docs.columns
-    gone = repeated_passages(docs, doc_id, text).filter(~F.col("kept"))
-    gone = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.array_sort(F.collect_list(F.struct("start_word", "n_words"))).alias("__gone"))
+    gone = _spans(docs, doc_id, text).filter(~F.col("first"))
+    gone = gone.groupBy("doc", "t1").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone"))
+    word = re.compile(rf"{WORD_CLASS}+")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
-
-        word = re.compile(rf"{WORD_CLASS}+")
         for b in batches:
             texts = []
-            for body, spans in zip(b.column(text).to_pylist(), b.column("__gone").to_pylist(), strict=True):
+            for body, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if body is not None and spans:
                     at = [m.start() for m in word.finditer(body)] + [len(body)]
                     kept, end = [], 0
                     for s in spans:
-                        kept.append(body[end : at[min(s["start_word"], len(at) - 1)]])
-                        end = at[min(s["start_word"] + s["n_words"], len(at) - 1)]
+                        kept.append(body[end : at[min(s["start"], len(at) - 1)]])
+                        end = at[min(s["end"], len(at) - 1)]
                     body = "".join(kept) + body[end:]
                 texts.append(body)
-            arrays = [pa.array(texts, pa.string()) if c == text else b.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, columns)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
-    met = docs.join(gone, docs[doc_id] == gone["__id"], "left").select(*columns, "__gone")
-    return met.mapInArrow(cut, docs.schema)
+    body = F.col(f"`{text}`").cast("string")
+    row = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)]).alias("row"), body.alias("text"), F.col(f"`{doc_id}`").cast("long").alias("doc"), F.xxhash64(body).alias("t1"))
+    met = row.join(gone, ["doc", "t1"], "left").select("row", "text", "gone")
+    done = met.mapInArrow(cut, T.StructType([T.StructField("row", row.schema["row"].dataType), T.StructField("text", T.StringType())]))
+    return done.select(*[F.col("text").alias(c) if c == text else F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(columns)])
