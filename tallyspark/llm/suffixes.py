@@ -4,9 +4,9 @@ Suffixes start at content-selected places: minimisers of word 8-grams, so equal
 passages select equal places. Of a suffix its first words are one hash; suffixes
 whose hash occurs once can't repeat and go. The others are sorted by hash and by
 the words that follow. Lengths of neighbours' common prefixes part the order into
-runs of equal prefixes; along each run the least suffix is carried, and a
-suffix's match with it, extended to the left, settles what of it is a later
-occurrence. Every text of ``MIN_WORDS`` words that returns contains such a place
+runs of equal prefixes, to the right and, in a second order, to the left; along
+runs of both the least suffix is carried, and all others are later occurrences.
+Every text of ``MIN_WORDS`` words that returns contains such a place
 with its first words inside; overlapping matches of one document are merged.
 """
 
@@ -154,22 +154,28 @@ _FOUND_NAMES = ["doc", "t1", "start", "end", "other", "first", "k1", "k2"]
 
 
 def _settled(rows: pa.Table) -> pa.RecordBatch:
-    """The matches of sorted suffixes with the least suffix of each run of equal prefixes.
+    """The matches of sorted suffixes within runs of equal prefixes to the right and to the left.
 
     A run of ``MIN_WORDS`` words around a head takes r words after it and the
-    rest before it. Of the suffixes that share their first r words the least is
-    known from the sorted order: what has that one's left words too is a later
-    occurrence. Only where the least one has other words on the left, and for
-    the least one of a run that may go on beyond these rows, the words
-    themselves go out as a key (k1, k2): equal ones meet there.
+    rest before it. Suffixes that share the first r words are neighbours in the
+    order by right sides, those that share the rest in the order by left sides;
+    of the ones in the same run of both orders, all but the least are later
+    occurrences. Only for the least ones of a run that may go on beyond these
+    rows the words themselves go out as a key (k1, k2): equal ones meet there.
     """
     column = {name: rows[name].combine_chunks() for name in _CONTEXT_NAMES}
     n = rows.num_rows
     doc, t1, place, h1, h2 = (column[c].to_numpy() for c in ("doc", "t1", "place", "head", "head2"))
     right, n_right = _word_codes(column["right"])
     left, n_left = _word_codes(column["left"])
+    same_head = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
     common = np.full(n, -1)
-    common[1:] = np.where((h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1]), _common(right[1:], right[:-1]), -1)
+    common[1:] = np.where(same_head, _common(right[1:], right[:-1]), -1)
+    head = np.append(0, np.cumsum(~same_head))
+    by_left = np.lexsort((*left.T[::-1], head))
+    ordered = left[by_left]
+    common_left = np.full(n, -1)
+    common_left[1:] = np.where(head[by_left][1:] == head[by_left][:-1], _common(ordered[1:], ordered[:-1]), -1)
     order = np.lexsort((place, t1, doc))
     new = np.ones(n, bool)
     new[1:] = (doc[order][1:] != doc[order][:-1]) | (t1[order][1:] != t1[order][:-1]) | (place[order][1:] != place[order][:-1])
@@ -180,33 +186,31 @@ def _settled(rows: pa.Table) -> pa.RecordBatch:
     none = np.iinfo(np.int64).max
     low, high, by = np.full(n, -1), np.full(n, -1), np.full(n, none)  # words on the left of a suffix's later runs, and its earlier one
     first_low, first_high, first_by = low.copy(), high.copy(), by.copy()
-    met, shared = np.full(n, -1), np.zeros(n, np.int64)
+    left_run = np.empty(n, np.int64)
     asked: list[tuple[np.ndarray, int]] = []
     for r in range(SIDE, -1, -1):
         before = SIDE - r
-        starts = np.flatnonzero(common < r)
-        size = np.diff(np.append(starts, n))
-        least = np.minimum.reduceat(rank, starts)
-        at_edge = np.zeros(len(starts), bool)
-        at_edge[[0, -1]] = True
-        looked = np.flatnonzero(np.repeat((size > 1) | at_edge, size))
-        own_least = np.repeat(least, size)[looked]
-        is_least = rank[looked] == own_least
-        x, y = looked[~is_least], row_of[own_least[~is_least]]
-        fresh = met[x] != y
-        shared[x[fresh]] = _common(left[x[fresh]], left[y[fresh]])
-        met[x] = y
-        later = shared[x] >= before
-        a, b = x[later], y[later]
+        run = np.cumsum(common < r) - 1
+        size = np.bincount(run)
+        at_edge = (run == 0) | (run == run[-1])
+        looked = np.flatnonzero(((size[run] > 1) | at_edge) & (n_left >= before) & (n_right >= r))
+        if not len(looked):
+            continue
+        left_run[by_left] = np.cumsum(common_left < before)
+        both = run[looked] * (n + 1) + left_run[looked]
+        sorted_ = np.argsort(both, kind="stable")
+        looked, both = looked[sorted_], both[sorted_]
+        starts = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        least = np.repeat(np.minimum.reduceat(rank[looked], starts), np.diff(np.append(starts, len(looked))))
+        later = rank[looked] > least
+        a, b = looked[later], row_of[least[later]]
         low[a] = np.where(low[a] < 0, before, low[a])
         high[a] = before
-        by[a] = np.minimum(by[a], rank[b])
+        by[a] = np.minimum(by[a], least[later])
         first_low[b] = np.where(first_low[b] < 0, before, first_low[b])
         first_high[b] = before
         np.minimum.at(first_by, b, rank[a])
-        edge = looked[is_least & np.repeat(at_edge, size)[looked]]
-        open_ = np.concatenate([x[~later], edge])
-        asked.append((open_[(n_left[open_] >= before) & (n_right[open_] >= r)], before))
+        asked.append((looked[~later & at_edge[looked]], before))
 
     out: list[np.ndarray] = [[] for _ in range(8)]
     for lows, highs, others, first in ((low, high, by, False), (first_low, first_high, first_by, True)):
