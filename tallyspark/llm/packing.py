@@ -9,17 +9,19 @@ anew and searched again together with those of other leaves.
 
 from __future__ import annotations
 
-import base64
+import os
+import re
+import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tallyspark.llm.common import saved
 
@@ -29,37 +31,103 @@ END_ID = 2
 LEAF, ROUNDS, PASSES = 8192, 3, 4
 #: A later group has this many times the pieces of one in the round before, up to GROWN times a leaf's.
 GROWTH, GROWN = 4, 8
+#: Equal pieces that go to a leaf together.
+SAME = 512
 #: Sizes, and bins with a size, that the search for one exchange looks at.
 TRIES = 8
 
-_TOKENIZERS: dict[str, Callable[[str], list[int]]] = {}
+#: The vocabulary's own pattern starts a token at a space between two characters of _PLAIN, and between
+#: a letter and a mark or a single line feed; the apostrophe is no such mark.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARK = r"!-&(-/:-@\[-`{-~"
+_PLAIN = frozenset(c for c in map(chr, range(33, 256)) if re.match(rf"[!-~{_LETTER}]", c))
+_BETWEEN = re.compile(rf"(?<=[{_LETTER}])(?=[{_MARK}\n])|(?<=[{_MARK}])(?=[{_LETTER}])|(?<=[{_LETTER}{_MARK}]\n)(?=[{_LETTER}])")
+_WORD = re.compile(rf" ?[{_LETTER}]+")
+#: Strings with known ids that a worker keeps, and the longest of them.
+KNOWN, LONGEST = 700_000, 64
 
 
-def tokenizer(path: str) -> Callable[[str], list[int]]:
-    """Text to ids by the byte-level vocabulary at ``path`` (a tokenizers file).
+class Ids:
+    """Ids of texts by a tokenizers file, as little-endian unsigned 32-bit integers.
 
-    Where the same vocabulary lies beside it as ranks, those are used: the ids
-    are the same, several times as fast. Texts with the string of a special
-    token go to the tokenizers file itself, which knows it.
+    A text is cut at spaces where a token starts, and the tokenizer is asked
+    once for each distinct piece; what can't be cut there, such as a long run of
+    white space, it gets as a whole.
     """
-    if path in _TOKENIZERS:
-        return _TOKENIZERS[path]
-    exact = Tokenizer.from_file(path)
-    special = [t.content for t in exact.get_added_tokens_decoder().values()]
-
-    def slow(text: str) -> list[int]:
-        return exact.encode(text, add_special_tokens=False).ids
-
-    try:
-        import public_tokenizers
-
-        with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    except OSError:
-        _TOKENIZERS[path] = slow
-        return slow
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    _TOKENIZERS[path] = lambda text: slow(text) if any(s in text for s in special) else fast(text)
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        self.exact = Tokenizer.from_file(path)
+        self.model = self.exact.model
+        spell = ByteLevel(add_prefix_space=False).pre_tokenize_str
+        self.spelled = {ord(c): spell(c)[0][0] for c in (" ", *_PLAIN) if _WORD.fullmatch(f" {c}".rstrip()) or c == " "}
+        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}  # of pieces after a space
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        """One token by the pattern, or any other text."""
+        found = self.parts.get(part)
+        if found is None:
+            if _WORD.fullmatch(part):  # straight to its merges
+                ids = [t.id for t in self.model.tokenize(part.translate(self.spelled))]
+            else:
+                ids = self.exact.encode(part, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(part) <= LONGEST:
+                if len(self.parts) >= KNOWN:
+                    self.parts.clear()
+                self.parts[part] = found
+        return found
+
+    def _whole(self, text: str) -> bytes:
+        if any(x in text for x in self.special):
+            return self._part(text)
+        return b"".join(map(self._part, _BETWEEN.split(text)))
+
+    def packed(self, text: str) -> bytes:
+        first, *pieces = text.split(" ")
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        known, odd, long = self.known, not first or first[-1] not in _PLAIN, []
+        for x in {x for x in pieces if x not in known}:
+            if x and x[0] in _PLAIN and x[-1] in _PLAIN:
+                known[x] = self._whole(" " + x)
+                if len(x) > LONGEST:
+                    long.append(x)
+            else:
+                odd = True
+        if odd:
+            out = self._uneven([first, *pieces])
+        else:
+            out = self._whole(first) + b"".join(map(known.__getitem__, pieces))
+        for x in long:
+            del known[x]
+        return out
+
+    def _uneven(self, pieces: list[str]) -> bytes:
+        """For texts with pieces that no token starts or ends with: those stay with the ones around them."""
+        out, group, lead = [], [pieces[0]], ""
+        for x in pieces[1:]:
+            before = group[-1]
+            if before and before[-1] in _PLAIN and x and x[0] in _PLAIN:
+                out.append(self.known[before] if lead and len(group) == 1 and before in self.known else self._whole(lead + " ".join(group)))
+                group, lead = [x], " "
+            else:
+                group.append(x)
+        return b"".join([*out, self._whole(lead + " ".join(group))])
+
+    def __call__(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
+
+
+_TOKENIZERS: dict[str, Ids] = {}
+
+
+def tokenizer(path: str) -> Ids:
+    """Text to ids by the byte-level vocabulary at ``path`` (a tokenizers file), once a worker."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = Ids(path)
     return _TOKENIZERS[path]
 
 
@@ -77,11 +145,11 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path)
+        end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             out: list[list] = [[] for _ in names]
             for key, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.array([*encode(body or ""), END_ID], "<u4")
+                ids = np.frombuffer(tokenizer(path).packed(body or "") + end, "<u4")
                 for k, (at, n) in enumerate(cut(len(ids), capacity)):
                     own = ids[at : at + n]
                     for column, value in zip(out, (key, k, at, n, zlib.crc32(own.tobytes()), own), strict=False):
@@ -238,6 +306,7 @@ class Swaps:
 def _pack_group(capacity: int, passes: int, first: bool):
     def run(rows: pa.Table) -> pa.Table:
         if first:
+            rows = rows.take(pa.array(np.repeat(np.arange(rows.num_rows), rows["copies"].to_numpy())))
             rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
             sizes = rows["length"].to_pylist()
             node = rows["node"][0].as_py()
@@ -278,8 +347,9 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, leaf: int = LEAF, roun
 
     Groups are dealt by hashes of the pieces' own values, so reruns agree. What
     a group leaves underfull goes on to the next round; a group's rows bound a
-    task's memory. Rows stay rows: repeated documents, null ids and ties by
-    length each get a place of their own.
+    task's memory: equal rows, say of documents without id and text, are counted
+    and dealt in blocks of at most ``SAME``. Rows stay rows: repeated documents,
+    null ids and ties by length each get a place of their own.
     """
     todo = saved(cut_pieces, "pieces")
     n = todo.count()
@@ -287,7 +357,10 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, leaf: int = LEAF, roun
     for k in range(rounds + 1):
         nodes = max(1, -(-n // (leaf * min(GROWTH**k, GROWN))))
         if k == 0:
-            by = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(nodes))
+            counted = todo.groupBy("doc_id", "piece", "start", "length", "ids_crc32").agg(F.count("*").alias("n"))
+            block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SAME).cast("long"))).alias("at")
+            todo = counted.select("*", block).withColumn("copies", F.least(F.col("n") - F.col("at"), F.lit(SAME)))
+            by = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "at"), F.lit(nodes))
         else:
             by = F.pmod(F.xxhash64("bin", F.lit(k)), F.lit(nodes))
         grouped = todo.withColumn("node", by).groupBy("node")

@@ -262,3 +262,41 @@ def _fingerprint5(text):
         return 0
     h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 5]).encode(), 42) for i in range(max(1, len(w) - 4))]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet="ab'sLé ß\n\t.,(|<>1٣ 漢$  ", max_size=60))
+def test_ids_around_spaces_marks_and_feeds(text):
+    assert packing.tokenizer(PATH)(text) == EXACT.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_whole_documents_and_long_runs(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += [c * 200_000 for c in (" ", "\n", "\t", "a", "7", "é", ".", " a", "\n a", "<|endoftext|> a")]
+    encode = packing.Ids(PATH)
+    for text in texts:
+        assert encode(text) == EXACT.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_long_runs_and_equal_rows(spark):
+    rows = [(k, c * 1_000_000) for k, c in enumerate((" ", "\n", "a", "7"))] + [(None, None)] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    used, least = check_packing(packing.pack_documents(df, PATH).collect(), rows)
+    assert used <= least * 1.02 + 1
+
+
+def test_mixing_of_equal_rows_and_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES", 8)
+    monkeypatch.setattr(mixing.rounded, "__defaults__", (0, 256, 4))
+    rows = [(None, "two words", None)] * 2000 + [(k, "a b c " * (k % 40 + 1), f"site{k % 300}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    taken, want, largest = collections.Counter(), {}, collections.Counter()
+    for r in got:
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+        taken[r["source"]] += r["taken"]
+        want[r["source"]] = r["target"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+    assert all(abs(taken[s] - want[s]) <= largest[s] for s in want)
+    assert sorted(map(repr, mixing.mix(df.repartition(7)).collect())) == sorted(map(repr, got))
