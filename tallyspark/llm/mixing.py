@@ -24,6 +24,8 @@ SHARE = 1.5
 MOST_COPIES = 2.0
 #: Documents in a leaf, and leaves that meet in a node of the tree.
 LEAF, FAN_IN = 2048, 32
+#: Sources in a bucket of the tree, and equal rows that go to a leaf together.
+SOURCES, SAME = 64, 128
 #: The smallest documents of a source that a node passes on unrounded.
 RESERVE = 8
 _EPS = 1e-9
@@ -151,10 +153,12 @@ def _round_node(seed: int, last: bool):
     """
 
     def run(rows: pa.Table) -> pa.Table:
+        if "copies" in rows.column_names:
+            rows = rows.take(pa.array(np.repeat(np.arange(rows.num_rows), rows["copies"].to_numpy()))).drop_columns(["copies"])
         rows = rows.sort_by([(c, "ascending") for c in ("source", "size", "doc_id", "whole", "part")]).combine_chunks()
         source = rows["source"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
         part, size = rows["part"].to_numpy(), rows["size"].to_numpy().astype(float)
-        draw = np.random.default_rng([seed, rows["node"][0].as_py()])
+        draw = np.random.default_rng([seed, rows["node"][0].as_py(), rows["bucket"][0].as_py()])
         cuts = [0, *(np.flatnonzero(source[1:] != source[:-1]) + 1), len(source)]
         out = part.copy()
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -170,7 +174,7 @@ def _round_node(seed: int, last: bool):
     return run
 
 
-_ROW = "doc_id long, source string, size long, whole long, part double, node long"
+_ROW = "doc_id long, source string, size long, whole long, part double, bucket long, node long"
 
 
 def rounded(rows: DataFrame, seed: int = 0, leaf: int = LEAF, fan_in: int = FAN_IN) -> DataFrame:
@@ -178,23 +182,31 @@ def rounded(rows: DataFrame, seed: int = 0, leaf: int = LEAF, fan_in: int = FAN_
 
     Leaves are dealt by a hash of the rows' own values and coins by the leaf, so
     reruns agree; a source with a third of all rows is spread over all leaves.
+    Equal rows are counted and dealt in blocks. Above the leaves the tree is one
+    for each bucket of ``SOURCES`` sources, so a node's rows have a bound however
+    many sources there are.
     """
-    n = rows.count()
-    nodes = max(1, -(-n // leaf))
+    n, sources = rows.agg(F.count("*"), F.approx_count_distinct("source")).first()
+    nodes, buckets = max(1, -(-n // leaf)), max(1, -(-sources // SOURCES))
     whole = F.floor("x").cast("long")
-    node = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(nodes))
-    level = rows.select("doc_id", "source", "size", whole.alias("whole"), (F.col("x") - whole).alias("part"), node.alias("node"))
+    counted = rows.groupBy("doc_id", "source", "size", "x").agg(F.count("*").alias("n"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SAME).cast("long"))).alias("at")
+    counted = counted.select("*", block).withColumn("copies", F.least(F.col("n") - F.col("at"), F.lit(SAME)))
+    node = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed), "at"), F.lit(nodes))
+    bucket = F.pmod(F.xxhash64("source"), F.lit(buckets)) if nodes == 1 else F.lit(0).cast("long")
+    level = counted.select("doc_id", "source", "size", whole.alias("whole"), (F.col("x") - whole).alias("part"), bucket.alias("bucket"), node.alias("node"), "copies")
     done = []
     depth = 0
     while True:
         last = nodes == 1
-        out = saved(level.groupBy("node").applyInArrow(_round_node(seed + depth, last), _ROW), "rounded")
+        out = saved(level.groupBy("bucket", "node").applyInArrow(_round_node(seed + depth, last), _ROW), "rounded")
         open_part = (F.col("part") > _EPS) & (F.col("part") < 1 - _EPS) & (F.col("size") > 0)
         done.append(out if last else out.filter(~open_part))
         if last:
             break
         nodes, depth = -(-nodes // fan_in), depth + 1
-        level = out.filter(open_part).withColumn("node", F.floor(F.col("node") / fan_in).cast("long"))
+        up = F.floor(F.col("node") / fan_in).cast("long")
+        level = out.filter(open_part).withColumns({"bucket": F.pmod(F.xxhash64("source"), F.lit(buckets)), "node": up})
     all_done = done[0]
     for more in done[1:]:
         all_done = all_done.unionByName(more)
@@ -214,7 +226,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     aims = saved(targets(rows), "targets").select(F.col("source").alias("__s"), "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     shared = rows.join(aims, rows["source"].eqNullSafe(aims["__s"])).drop("__s")
-    took = rounded(shared.select("doc_id", "source", "size", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("x")), seed)
+    took = rounded(shared.filter("size > 0").select("doc_id", "source", "size", rate.alias("x")), seed)
+    took = took.unionByName(rows.filter("size = 0").withColumn("copies", F.lit(0).cast("long")))
     full = took.join(aims, took["source"].eqNullSafe(aims["__s"])).drop("__s")
     return full.withColumn("taken", F.col("copies") * F.col("size"))
 
