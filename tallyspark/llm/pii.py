@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -107,7 +108,7 @@ def _phones(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15] if "+" in text else []
 
 
-def _proposals(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int, bool]]:
+def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, checksum holds) of what may be added."""
     for run in _DIGITS.finditer(text):
         n = len(_digits(run.group()))
@@ -127,16 +128,24 @@ def _proposals(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, i
 def find(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int, float]]]:
     """The base spans, and the scored spans added to them: (kind, start, end, score)."""
     base = base_spans(text)
-    taken = sorted(x for spans in base.values() for x in spans)
+    starts, ends = [], []  # of what is taken, as disjoint stretches in order
+    for a, b in sorted(x for spans in base.values() for x in spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     added = []
     if any("0" <= c <= "9" for c in text):
-        for kind, a, b, valid in _proposals(text, taken):
+        for kind, a, b, valid in _proposals(text):
             start, checksum, context, words = SCORES[kind]
             near = text[max(0, a - CONTEXT) : a] + " " + text[b : b + CONTEXT]
             score = start + checksum * valid + context * bool(words.search(near))
-            if score >= KEEP - 1e-9 and not any(s < b and a < e for s, e in taken):
+            at = bisect_left(starts, b)
+            if score >= KEEP - 1e-9 and (at == 0 or ends[at - 1] <= a):
                 added.append((kind, a, b, round(score, 3)))
-                taken.append((a, b))
+                starts.insert(at, a)
+                ends.insert(at, b)
     return base, added
 
 
@@ -145,10 +154,10 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, found.
+    """One row for each row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, found.
 
-    Counts and hash are of the base spans; ``spans`` joins all of them, and
-    ``found`` lists them as (kind, start, end, score) with score 1 for base
+    Counts and hash are of the base spans; ``spans`` joins all of them,
+    ``n_spans`` counts them and ``found`` lists them as (kind, start, end, score) with score 1 for base
     ones. Offsets are code points of the whole text. A null text counts as an
     empty one. Rows are scanned one by one: repeated rows and null ids pass
     through, other columns aren't read, an empty table gives an empty result.
@@ -156,20 +165,20 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for body in b.column(1).to_pylist():
                 base, added = find(body or "")
                 first = [(k, a, e) for k in BASE_KINDS for a, e in base[k]]
                 every = [(k, a, e, 1.0) for k, a, e in first] + added
                 every.sort(key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
                 digest = hashlib.sha256(joined(first).encode()).hexdigest()
-                row = (*[len(base[k]) for k in BASE_KINDS], digest, joined([x[:3] for x in every]), [dict(zip(("kind", "start", "end", "score"), x, strict=True)) for x in every])
+                row = (*[len(base[k]) for k in BASE_KINDS], digest, joined([x[:3] for x in every]), len(every), [dict(zip(("kind", "start", "end", "score"), x, strict=True)) for x in every])
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), span]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)]], ["doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "found"])
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64(), span]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)]], ["doc_id", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "n_spans", "found"])
 
     picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     counts = ", ".join(f"n_{k} long" for k in BASE_KINDS)
-    return picked.mapInArrow(run, f"doc_id long, {counts}, base_sha256 string, spans string, found array<struct<kind: string, start: bigint, end: bigint, score: double>>")
+    return picked.mapInArrow(run, f"doc_id long, {counts}, base_sha256 string, spans string, n_spans long, found array<struct<kind: string, start: bigint, end: bigint, score: double>>")
