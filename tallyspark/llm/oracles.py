@@ -33,7 +33,7 @@ m AS (
   FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND n_words <= 1000000
+  NOT base_failed
   AND word_chars >= CAST(2.5 AS DOUBLE) * n_words AND word_chars <= CAST(10 AS DOUBLE) * n_words
   AND n_symbols <= CAST(0.1 AS DOUBLE) * n_words AND n_stop_words >= CAST(0.04 AS DOUBLE) * n_words
   AND n_letter_words >= CAST(0.7 AS DOUBLE) * n_words AND n_dup_lines <= CAST(0.4 AS DOUBLE) * n_lines

@@ -48,7 +48,7 @@ class Rule:
 
 #: The production thresholds, one row a rule.
 RULES = (
-    Rule("length", "n_words", None, 20, 1_000_000),
+    Rule("length", "n_words", None, 20),
     Rule("word_length", "word_chars", "n_words", 2.5, 10.0),
     Rule("symbols", "n_symbols", "n_words", None, 0.1),
     Rule("stop_words", "n_stop_words", "n_words", 0.04, None),

@@ -145,3 +145,103 @@ def test_secret_rows(spark):
     for r in found:
         base = secrets.base_spans(texts[r["doc_id"]])
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(b[0] == k for b in base) for k in secrets.KINDS)
+
+
+def plain_probability(net, codes):
+    """The network's forward pass, number by number."""
+    x = [[float(v) for v in net.embed[c]] for c in codes]
+    width, wide = len(net.conv) // len(x[0]), len(x[0])
+    places = len(x) - width + 1
+    features = []
+    for kind in ("top", "mean"):
+        for f in range(len(net.conv_bias)):
+            values = []
+            for p in range(places):
+                z = float(net.conv_bias[f]) + sum(x[p + w][e] * float(net.conv[w * wide + e, f]) for w in range(width) for e in range(wide))
+                values.append(max(z, 0.0))
+            features.append(max(values) if kind == "top" else sum(values[secrets.BEFORE :]) / (places - secrets.BEFORE))
+    logit = sum(a * float(b) for a, b in zip(features, net.dense, strict=True)) + float(net.bias)
+    return 1 / (1 + np.exp(-(net.scale * logit + net.shift)))
+
+
+def test_secret_network_by_plain_loops():
+    net = secrets.default_network()
+    for text, a, b, _ in secrets.labelled(6, seed=5):
+        codes = secrets._codes(text, a, b)
+        assert abs(plain_probability(net, codes) - net.probability(codes[None])[0]) < 1e-9
+
+
+def test_secret_recall_on_findings_not_used_in_fitting():
+    net = secrets.default_network()
+    for seed in (201, 202, 203):
+        findings = secrets.labelled(3000, seed=seed)
+        y = np.array([f[3] for f in findings])
+        taken = net.highest([secrets.views(*f[:3]) for f in findings]) >= net.threshold
+        assert taken[y == 1].mean() >= 0.95 and taken[y == 0].mean() < 0.02
+
+
+def test_secret_network_sees_whole_candidates():
+    net = secrets.default_network()
+    key = "Zx9Q2kLm84RtYw7PbN3vHs6JdF1gTc5A"
+    text = "see " + "usr/share/lib/ration/unding/ester/ingen/" * 6 + key + " end"
+    seen = secrets.views(text, 4, len(text) - 4)
+    assert net.highest([seen])[0] >= net.threshold > net.highest([seen[:1]])[0]
+    ends = np.array([v[secrets.BEFORE + secrets.BODY :] for v in seen])
+    assert "".join(secrets._ALPHABET[c - 2] for c in ends[-1][:4]) == " end"
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def plain_secrets(text):
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return [(k, a, b) for a, _, k, b in sorted(found)]
+
+
+def test_secret_hashes_and_spans_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    net = secrets.default_network()
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in secrets.scan(docs).collect():
+        base = plain_secrets(texts[r["doc_id"]])
+        told = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(told(base).encode()).hexdigest()
+        text = texts[r["doc_id"]]
+        runs = [m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text)]
+        runs = [x for x in runs if not any(a <= x[0] and x[1] <= b for _, a, b in base)]
+        more = [("network", a, b) for a, b in runs if net.highest([secrets.views(text, a, b)])[0] >= net.threshold]
+        kinds = (*secrets.KINDS, "network")
+        assert r["spans"] == told(sorted(base + more, key=lambda x: (x[1], kinds.index(x[0])))) and r["n_spans"] == len(base + more)
+
+
+def test_pii_spans_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in pii.scan(docs).collect():
+        base = plain_pii(texts[r["doc_id"]])
+        first = [(k, a, b) for k in pii.BASE_KINDS for a, b in base[k]]
+        added = [(k, a, b) for k, a, b, _ in pii.find(texts[r["doc_id"]])[1]]
+        assert [r[f"n_{k}"] for k in pii.BASE_KINDS] == [len(base[k]) for k in pii.BASE_KINDS]
+        assert not any(a < e and s < b for _, a, b in added for _, s, e in first)
+        want = sorted(first + added, key=lambda x: (pii.KINDS.index(x[0]), x[1], x[2]))
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b in want) and r["n_spans"] == len(want)
+
+
+def test_many_spans_in_a_text_take_little_time():
+    import time
+
+    began = time.perf_counter()
+    text = "a@b.cd call 555-123-4567 +1 555 123 4567; " * 20_000
+    assert len(pii.find(text)[1]) == 20_000
+    text = "token=abcdefgh1234 deadbeefdeadbeefdeadbeefdeadbeef some/long-path_of_words " * 20_000
+    assert len(secrets.candidates(text, secrets.base_spans(text))) == 20_000
+    assert time.perf_counter() - began < 8
+
+
+def test_very_long_clean_document_is_kept(spark):
+    sentence = "The house of the river and the garden {k} is an old one that was in the town by the sea for a long time.\n"
+    text = "".join(sentence.format(k=f"n{k}x") for k in range(52_000))
+    row = quality.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["n_words"] > 1_000_000 and row["kept"] == (not row["base_failed"])
