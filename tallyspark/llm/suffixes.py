@@ -273,7 +273,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def _spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, t1, start, end, other, first): the rows of ``repeated_passages`` with the hash of their text."""
     spark = docs.sparkSession
-    base = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+    base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
     base = base.filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
     keyed = base.select("doc", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
     anchors = Saved(keyed.mapInArrow(_anchors, _ANCHOR), "anchors")
