@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import saved
+from tallyspark.llm.common import saved, shared_path
 
 SCALE = 256
 #: Bytes of queries that are broadcast at once, and candidates in a block.
 QUERY_BYTES, BLOCK_ROWS = 32 << 20, 4096
-#: Cells of a dense score array.
-CELLS = 1 << 20
+#: Cells of a dense score array: it stays in a core's cache.
+CELLS = 1 << 17
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -75,7 +75,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int):
 def _block_search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, weights: np.ndarray, k: int):
     """The k best distinct candidate ids of one block for each row of queries."""
     bound = int(np.abs(vectors).max(initial=0)) * int(np.abs(weights).max(initial=0)) * max(vectors.shape[1], 1)
-    kind = np.int64 if bound < 1 << 62 else object  # Python's integers where a long could overflow
+    kind = np.int32 if bound < 1 << 31 else np.int64 if bound < 1 << 62 else object  # Python's integers where a long could overflow
     unique, where = np.unique(ids, return_inverse=True)
     vectors = vectors.astype(kind)
     postings = []
@@ -111,6 +111,9 @@ def _search(queries, k: int, block_rows: int):
     return run
 
 
+_FOUND = "query_id long, vec_id long, score long"
+
+
 def exact_top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -128,27 +131,28 @@ def exact_top_k(
     components count as zero, an empty vector as zeros. An id in several rows is
     one candidate and one query, with the highest score of its rows, and never
     its own candidate. Scores beyond a long are cut to its limits. Other columns
-    aren't read. No queries give an empty result. Queries go out in blocks of at
-    most ``query_bytes``; each block meets all candidates, where they lie.
+    aren't read. No queries give an empty result. Queries go out in blocks of
+    about ``query_bytes``, one after the other; each block meets all candidates,
+    where they lie, and its best ones are written before the next goes out.
     """
     spark = vectors.sparkSession
     base = vectors.filter(F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), quantised(F.col(vector)).alias("v"), is_query.alias("asks"))
     base = base.filter(F.col("v").isNotNull())
     asking = saved(base.filter("asks").select("vec_id", "v"), "queries")
     n, width = asking.agg(F.count("*"), F.max(F.size("v"))).first()
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     blocks = max(1, -(-n * (width or 1) * 8 // query_bytes))
-    merged = None
+    path = shared_path(spark, "top-k")
     for b in range(blocks):
         part = asking.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)) == b).toArrow().combine_chunks()  # at most about query_bytes
-        if not part.num_rows:
-            continue
         lists = part["v"].combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         sent = spark.sparkContext.broadcast((part["vec_id"].to_numpy(), _matrix(lists)))
-        found = base.select("vec_id", "v").mapInArrow(_search(sent, k, block_rows), "query_id long, vec_id long, score long")
-        merged = found if merged is None else merged.unionByName(found)
-    if merged is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        found = base.select("vec_id", "v").mapInArrow(_search(sent, k, block_rows), _FOUND)
+        found.write.mode("append").parquet(path)
+        sent.destroy()  # one block at a time, on the driver too
+    merged = spark.read.schema(_FOUND).parquet(path)
     # Each block sends at most k rows a query; an id's best score in any block is its score.
     best = merged.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
