@@ -19,14 +19,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    It is what ``spark.checkpoint.dir`` names. Only where that is unset (local
-    runs and tests) a temporary folder is made and set as checkpoint folder.
+    It is what ``spark.checkpoint.dir`` names. Only where that is unset in a
+    local run, as in tests, a temporary folder is made and set as checkpoint
+    folder; on a cluster no machine's own folder would do.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -60,19 +60,19 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
     one, so a run of one line shrinks to a single one. A text of fewer lines than a window never changes; a null text stays
     null with no lines; a text all of whose lines are covered becomes empty.
     Rows that repeat an id and its text are one document and get the same
-    result each. All other columns stay; ones named n_lines or n_removed are
+    result each; ids are of any type with an order. All other columns stay; ones named n_lines or n_removed are
     replaced. An empty table gives an empty result.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     starts = covered_starts(docs, doc_id, text, window)
     starts = starts.select(
-        F.coalesce("__doc", F.lit(0)).alias("__k"), F.col("__doc").isNull().alias("__m"), F.col("__text_hash").alias("__h"), "starts"
+        F.coalesce(F.col("__doc").cast("string"), F.lit("")).alias("__k"), F.col("__doc").isNull().alias("__m"), F.col("__text_hash").alias("__h"), "starts"
     )
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), F.col(doc_id).alias("__doc"), F.col(text).cast("string").alias("__text"))
     row = row.select(
         "__row",
         "__text",
-        F.coalesce("__doc", F.lit(0)).alias("__k"),
+        F.coalesce(F.col("__doc").cast("string"), F.lit("")).alias("__k"),
         F.col("__doc").isNull().alias("__m"),
         F.xxhash64("__text").alias("__h"),
     )

@@ -68,8 +68,13 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP4 = """
+SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS text_bytes, sha256(text) AS text_sha256, CAST(0 AS BIGINT) AS full_tiers FROM documents
+"""
+
 SQL = {
     "op1_line_dedup": OP1,
     "op2_exact_top_k": OP2,
     "op3_quality_rules": OP3,
+    "op4_sharding": OP4,
 }

@@ -46,8 +46,9 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rows = sharding.shard_documents(read_table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", F.octet_length("text").alias("text_bytes"), F.xxhash64("text").alias("text_hash"), "shard", "shard_bytes")
+    """The rows as they come back from the compacted shards; no tier may be left with shards enough to merge."""
+    store, rows = sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.octet_length("text").cast("long").alias("text_bytes"), F.sha2("text", 256).alias("text_sha256"), F.lit(store.full_tiers()).cast("long").alias("full_tiers"))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

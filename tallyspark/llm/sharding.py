@@ -2,8 +2,9 @@
 
 Arrivals are appended as small immutable Parquet files, the shards. Compaction
 merges runs of similarly sized shards into files of a target size. Each change
-writes its files first, then the next version of the manifest under another
-name, and commits by renaming it: a reader sees the old version or the new one,
+writes its files first, then the next version of the manifest, and commits by
+renaming a file that names it to the version's own name, which fails where that
+is taken: a reader sees the old version or the new one, one of two writers wins,
 and a lost job leaves nothing but unlisted files.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +48,7 @@ class ShardStore:
         if not fs.exists(self._path("manifest")):
             return 0
         names = [x.getPath().getName() for x in fs.listStatus(self._path("manifest"))]
-        return max((int(n[1:]) for n in names if n[:1] == "v"), default=0)
+        return max((int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()), default=0)
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """path, bytes, rows and tier of each shard."""
@@ -56,20 +58,43 @@ class ShardStore:
         version = self.version() if version is None else version
         if version == 0:
             return self.spark.createDataFrame([], _MANIFEST)
-        return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/v{version:08d}")
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/{self._named(version)}")
+
+    def _named(self, version: int) -> str:
+        """The folder of a version's manifest, as its commit says."""
+        path = self._path(f"manifest/v{version:08d}")
+        stream = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).open(path)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
 
     def _commit(self, shards: DataFrame, schema: T.StructType, version: int) -> int:
         """Publishes ``shards`` as ``version``; its first row carries the schema of the data."""
         head = self.spark.range(1).select(F.lit(None).cast("string").alias("path"), *[F.lit(0).cast(t).alias(c) for c, t in (("bytes", "long"), ("rows", "long"), ("tier", "int"))])
         rows = head.unionByName(shards).withColumn("rows_schema", F.when(F.col("path").isNull(), F.lit(schema.json())))
-        staged = f"manifest-staged/{uuid.uuid4().hex}"
-        rows.coalesce(1).write.parquet(f"{self.root}/{staged}")  # a row for each shard
-        fs = self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+        name = f"manifests/{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(f"{self.root}/{name}")  # a row for each shard
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        fs = self._path("").getFileSystem(conf)
         fs.mkdirs(self._path("manifest"))
-        target = self._path(f"manifest/v{version:08d}")
-        if fs.exists(target) or not fs.rename(self._path(staged), target):
-            fs.delete(self._path(staged), True)
-            raise CommitConflict(f"version {version} of {self.root} is there already")
+        staged, target = self._path(f"{name}.commit"), self._path(f"manifest/v{version:08d}")
+        stream = fs.create(staged, False)
+        stream.writeUTF(name)
+        stream.close()
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        try:  # fails, unlike FileSystem.rename, where the target is there
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(
+                fs.makeQualified(staged), fs.makeQualified(target), self.spark.sparkContext._gateway.new_array(kind, 0)
+            )
+        except Py4JJavaError as error:
+            if fs.exists(staged):
+                fs.delete(staged, False)
+            if not fs.exists(target):
+                raise
+            raise CommitConflict(f"version {version} of {self.root} is there already") from error
+        if self._named(version) != name:
+            raise CommitConflict(f"version {version} of {self.root} is another writer's")
         return version
 
     def _shards(self, folder: str) -> DataFrame:
@@ -82,24 +107,29 @@ class ShardStore:
         )
 
     def append(self, rows: DataFrame, rows_a_shard: int = ROWS_A_SHARD) -> int:
-        """Adds ``rows`` as new shards, where they lie: no shuffle."""
+        """Adds ``rows`` as new shards, where they lie: no shuffle.
+
+        Any columns and values go in as they are; an empty table adds a version
+        without new shards.
+        """
         before = self.version()
         folder = f"data/v{before + 1:08d}-{uuid.uuid4().hex[:8]}"
         rows.write.option("maxRecordsPerFile", rows_a_shard).parquet(f"{self.root}/{folder}")
         return self._commit(self.manifest(before).unionByName(self._shards(folder)), rows.schema, before + 1)
 
-    def compact(self, fan_in: int = FAN_IN, most_rounds: int = 16) -> int:
+    def compact(self, fan_in: int = FAN_IN) -> int:
         """Merges tiers of ``fan_in`` or more shards under the target size until there are none; the version then.
 
         A round merges each full tier at once into as many files as its bytes
-        ask for, by joining partitions of the scan: no shuffle.
+        ask for, by joining partitions of the scan: no shuffle. Each round
+        leaves fewer shards, so it ends. An empty store stays as it is; rows
+        come through as they are, repeated ones and nulls too.
         """
-        for _ in range(most_rounds):
+        while True:
             before = self.version()
             shards = self.manifest(before)
             small = shards.filter(F.col("bytes") < self.target_bytes)
-            tiers = small.groupBy("tier").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).filter(F.col("n") >= fan_in).collect()  # a few rows: one a tier
-            tiers = [t for t in tiers if -(-t["bytes"] // self.target_bytes) < t["n"]]
+            tiers = self._full(small, fan_in)
             if not tiers:
                 return before
             schema = self.schema(before)
@@ -115,7 +145,15 @@ class ShardStore:
             for folder in folders:
                 rest = rest.unionByName(self._shards(folder))
             self._commit(rest, schema, before + 1)
-        return self.version()
+
+    def _full(self, small: DataFrame, fan_in: int) -> list:
+        """Tiers with shards enough to merge into fewer: a few rows, one a tier."""
+        tiers = small.groupBy("tier").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).filter(F.col("n") >= fan_in).collect()
+        return [t for t in tiers if -(-t["bytes"] // self.target_bytes) < t["n"]]
+
+    def full_tiers(self, fan_in: int = FAN_IN) -> int:
+        """Tiers that compaction would merge."""
+        return len(self._full(self.manifest().filter(F.col("bytes") < self.target_bytes), fan_in))
 
     def schema(self, version: int | None = None) -> T.StructType:
         row = self._rows(version).filter(F.col("path").isNull()).first()
@@ -127,7 +165,10 @@ class ShardStore:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p}" for p in paths])
 
     def read(self, version: int | None = None) -> DataFrame:
-        """All rows of a version."""
+        """All rows of a version, as they were put in; version 0 has none, and no columns.
+
+        The driver holds the list of the version's files, as it does for any table that Spark reads.
+        """
         version = self.version() if version is None else version
         return self._read([r["path"] for r in self.manifest(version).select("path").toLocalIterator()], self.schema(version))
 

@@ -209,3 +209,19 @@ def test_suffixes_cases(spark):
     got = sorted((r["doc_id"], r["n_words"], r["match_doc_id"], r["kept"]) for r in suffixes.repeated_passages(df).collect())
     assert got == [(1, 60, 2, True), (2, 60, 1, False), (3, 60, 1, False)]
     assert suffixes.without_repeats(df.withColumn("start", F.lit(1))).count() == 5
+
+
+def test_line_dedup_of_named_documents(spark):
+    text = "a\nb\nc\nd"
+    rows = spark.createDataFrame([("x1", text), ("x2", text), (None, "e\nf\ng"), ("x2", "h")], "doc_id string, text string")
+    got = sorted((r["doc_id"] or "", r["text"]) for r in line_dedup.dedup_lines(rows).collect())
+    assert got == [("", "e\nf\ng"), ("x1", text), ("x2", ""), ("x2", "h")]
+
+
+def test_suffixes_of_two_texts_under_one_id(spark):
+    shared = " ".join(f"s{k}" for k in range(60))
+    first, second = " ".join(f"w{k}" for k in range(90)), "start of " + shared + " and its end"
+    rows = [(1, shared), (2, first), (2, second), (None, shared)]
+    df = spark.createDataFrame(rows, "`__id` long, `a.text` string").withColumn("__gone", F.lit(1))
+    got = sorted((r[0] is None, r[0] or 0, r[1]) for r in suffixes.without_repeats(df, "__id", "a.text").collect())
+    assert got == sorted([(False, 1, shared), (False, 2, first), (False, 2, "start of and its end"), (True, 0, shared)])

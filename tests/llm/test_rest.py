@@ -300,3 +300,54 @@ def test_mixing_of_equal_rows_and_many_sources(spark, monkeypatch):
         largest[r["source"]] = max(largest[r["source"]], r["size"])
     assert all(abs(taken[s] - want[s]) <= largest[s] for s in want)
     assert sorted(map(repr, mixing.mix(df.repartition(7)).collect())) == sorted(map(repr, got))
+
+
+def test_shards_of_two_writers(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = sharding.ShardStore(spark, str(tmp_path / "store"))
+    docs = documents(spark)
+    store.append(docs.filter("doc_id % 3 = 0"))
+    parts = [docs.filter("doc_id % 3 = 1"), docs.filter("doc_id % 3 = 2")]
+    before = store.manifest(1)
+    shards = []
+    for k, part in enumerate(parts):
+        part.write.parquet(f"{store.root}/data/v00000002-{k}")
+        shards.append(before.unionByName(store._shards(f"data/v00000002-{k}")))
+
+    def commit(k):
+        try:
+            return store._commit(shards[k], docs.schema, 2)
+        except sharding.CommitConflict:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        won = list(pool.map(commit, range(2)))
+    assert sorted(won, key=str) == [2, None]
+    k = won.index(2)
+    assert store.version() == 2 and store.read().count() == docs.count() - parts[1 - k].count()
+    assert store.append(parts[1 - k]) == 3 and store.read().exceptAll(docs).count() == 0 and store.read().count() == docs.count()
+
+
+def test_shards_have_target_sizes(spark, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "store"), target_bytes=100_000)
+    for k in range(9):
+        store.append(documents(spark).filter(F.col("doc_id") % 9 == k), rows_a_shard=5)
+    store.compact()
+    sizes = [r["bytes"] for r in store.manifest().collect()]
+    assert store.full_tiers() == 0 and len(sizes) <= 3 * sharding.FAN_IN + sum(sizes) / 50_000
+    tiers = collections.Counter(r["tier"] for r in store.manifest().filter("bytes < 100000").collect())
+    assert all(n < sharding.FAN_IN for n in tiers.values())
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    for name, docs in (("odd", odd(spark)), ("empty", empty(spark))):
+        docs = docs.withColumnsRenamed({"rank": "n_lines"})
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        stage = docs
+        for _, f in corpus_pipeline.STAGES[:-1]:
+            stage = f(spark, stage, str(tmp_path / name))
+            assert stage.columns == docs.columns and stage.schema == docs.schema
+            stage = spark.createDataFrame(stage.collect(), stage.schema)
+            assert all(r["n_lines"] in ("x", "y", "z") and r["n_removed"] in ("x", "y", "z") for r in stage.collect())
+        assert (corpus_pipeline.run(spark, str(tmp_path / name)).count() > 0) == (name == "odd")
