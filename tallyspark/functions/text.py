@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import unicodedata
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Marks that decomposition would strip, as pairs of letters: fixed table.
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: Lower-case Latin letters with marks and the letters that decomposition leaves of them.
+_PAIRS = [(c, unicodedata.normalize("NFKD", c)[0]) for c in map(chr, (*range(0xDF, 0x250), *range(0x1E00, 0x1F00))) if c.islower() and len(unicodedata.normalize("NFKD", c)) > 1]
+_ACCENTED, _PLAIN = ("".join(x) for x in zip(*[(a, b) for a, b in _PAIRS if "a" <= b <= "z"], strict=True))
 #: Endings that don't tell one company from another.
 COMPANY_SUFFIXES = "incorporated|inc|corporation|corp|company|co|limited|ltd|llc|lp|plc|sa|ag|nv|holdings|group|trust"
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid|source"
@@ -69,9 +72,39 @@ def html_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
+def visible_text(html: Column) -> Column:
+    """``html_text`` with every entity decoded, named and numeric, and all space-like characters squashed."""
+    t = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</(script|style)>", " ")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?s)<!--.*?-->", " "), r"<[^>]*>", " ")
+    return F.trim(F.regexp_replace(entities_decoded(t), r"[\s\u00a0]+", " "))
+
+
+#: Named entities beside the five of XML: fixed names of the standard's Latin and punctuation sets.
+_NAMED = [(f"&{n};", chr(c)) for n, c in sorted(name2codepoint.items()) if n not in ("amp", "nbsp")]
+
+
+def entities_decoded(text: Column) -> Column:
+    """Numeric entities, decimal and hexadecimal, then named ones; the ampersand last, so nothing is decoded twice."""
+
+    def char(code: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+    def valid(code: Column) -> Column:
+        return (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+
+    whole = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};)"), 1))
+    code = lambda e: F.when(F.lower(e).startswith("&#x"), F.conv(F.regexp_extract(e, "[xX]([0-9a-fA-F]+)", 1), 16, 10)).otherwise(F.regexp_extract(e, "([0-9]+)", 1)).cast("long")
+    t = F.aggregate(whole, text, lambda t, e: F.when(valid(code(e)), F.replace(t, e, char(code(e)))).otherwise(t))
+    # Only entities that stand in the text are looked up.
+    named = F.array_distinct(F.regexp_extract_all(t, F.lit("(&[A-Za-z0-9]{2,8};)"), 1))
+    table = F.create_map(*[F.lit(x) for pair in _NAMED for x in pair])
+    t = F.aggregate(named, t, lambda t, e: F.replace(t, e, F.coalesce(F.element_at(table, e), e)))
+    return F.replace(F.replace(t, F.lit("&nbsp;"), F.lit(" ")), F.lit("&amp;"), F.lit("&"))
+
+
 def links(html: Column) -> Column:
-    """href of each anchor, in order."""
-    return F.regexp_extract_all(html, F.lit(r'<a href="([^"]*)"'), 1)
+    """href of each anchor, in order, whatever its quotes and other attributes."""
+    return F.regexp_extract_all(html, F.lit(r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^"'\s>]*)"""), 1)
 
 
 def amount_billions(text: Column) -> Column:

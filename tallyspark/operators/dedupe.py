@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import first_per_key
+from tallyspark.operators.state import checkpoint_folder
 
 #: Link, title and time rules of near-duplicates of dated items.
 DAYS_APART, ALIKE, ALIKE_WITH_NAMES, SHARED_NAMES = 2, 0.6, 0.2, 2
@@ -92,28 +93,64 @@ def alike_pairs(items: DataFrame, item: str, title: str, day: str) -> DataFrame:
     return j.filter(F.col("similarity") >= ALIKE).select("a", "b", "similarity")
 
 
-def keep_first_alike(items: DataFrame, pairs: DataFrame, item: str, most_rounds: int = 50) -> DataFrame:
+def names(title: Column) -> Column:
+    """Distinct capitalised words of three letters and more."""
+    return F.array_distinct(F.regexp_extract_all(title, F.lit(r"(?:^|[^\p{L}\p{N}])(\p{Lu}[\p{L}\p{N}]{2,})"), 1))
+
+
+def near_duplicate_pairs(items: DataFrame, item: str, title: str, day: str, link: str) -> DataFrame:
+    """(a, b, rule) of near-duplicates: the same link, the same title, or alike within two days.
+
+    Alike are titles with a similarity of at least 0.6, or of 0.2 with two names
+    in common. Items of one link, or of one title, pair with the first of them
+    only. Titles alike are paired once a title and day, by the first item;
+    pairs of names meet by equality on two names and a bucket of days.
+    """
+    rows = items.select(F.col(item).alias("id"), F.col(title).alias("title"), F.unix_date(F.col(day).cast("date")).alias("d"), F.col(link).alias("link"))
+    rows = rows.withColumn("plain", F.array_join(F.array_sort(words(F.col("title"))), " "))
+
+    def same(key: str, rule: str) -> DataFrame:
+        known = rows.filter(F.col(key).isNotNull() & (F.col(key) != ""))
+        first = known.groupBy(key).agg(F.min("id").alias("a"))
+        return known.join(first, key).filter("id != a").select("a", F.col("id").alias("b"), F.lit(rule).alias("rule"))
+
+    one = rows.groupBy("plain", "d").agg(F.min_by(F.struct("id", "title"), "id").alias("x")).select("x.*", "d")
+    dated = one.withColumn("day", F.date_from_unix_date("d"))
+    alike = alike_pairs(dated, "id", "title", "day").select("a", "b", F.lit("alike").alias("rule"))
+    named = one.select("id", "d", words(F.col("title")).alias("w"), F.array_sort(names(F.col("title"))).alias("n")).filter(F.size("n") >= SHARED_NAMES)
+    two = F.flatten(F.transform("n", lambda x, i: F.transform(F.slice(F.col("n"), i + 2, F.size("n")), lambda y: F.concat_ws(" ", x, y))))
+    posted = named.withColumn("two", F.explode(two))
+    bucket = F.floor(F.col("d") / 3)
+    left = posted.select("two", F.col("id").alias("a"), F.col("w").alias("wa"), F.col("d").alias("da"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b3"))
+    right = posted.select("two", F.col("id").alias("b"), F.col("w").alias("wb"), F.col("d").alias("db"), bucket.alias("b3"))
+    j = left.join(right, ["two", "b3"]).filter((F.col("a") < F.col("b")) & (F.abs(F.col("da") - F.col("db")) <= DAYS_APART))
+    j = j.dropDuplicates(["a", "b"]).filter(jaccard(F.col("wa"), F.col("wb")) >= ALIKE_WITH_NAMES).select("a", "b", F.lit("names").alias("rule"))
+    every = same("link", "link").unionByName(same("plain", "title")).unionByName(alike).unionByName(j)
+    order = F.when(F.col("rule") == "link", 0).when(F.col("rule") == "title", 1).when(F.col("rule") == "alike", 2).otherwise(3)
+    return every.groupBy("a", "b").agg(F.min_by("rule", order).alias("rule"))
+
+
+def keep_first_alike(items: DataFrame, pairs: DataFrame, item: str) -> DataFrame:
     """Greedy choice in order of ``item``: an item goes if a kept, earlier one is alike.
 
     Each round settles items with no earlier undecided partner, as the fold in
-    order would; the rounds are as many as the longest chain of decisions.
+    order would; the rounds are as many as the longest chain of decisions, and
+    go on until nothing is open. A round's state is checkpointed, so plans stay
+    small whatever the number of rounds. Items in no pair stay.
     """
     spark = items.sparkSession
-    edges = pairs.select("a", "b").persist()
-    todo = edges.select(F.col("b").alias("id")).distinct().persist()
-    kept = edges.select(F.col("a").alias("id")).distinct().join(todo, "id", "left_anti").persist()
-    gone = spark.createDataFrame([], kept.schema)
-    for _ in range(most_rounds):
-        if not todo.take(1):
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
+    edges = pairs.select("a", "b").filter("a < b").distinct().checkpoint()
+    gone = edges.select(F.col("b").alias("id")).limit(0)
+    while True:
+        # Open edges: neither end is decided; an item with no earlier open partner stays, and its later ones go.
+        heads = edges.select(F.col("a").alias("id")).distinct().join(edges.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
+        hit = edges.join(heads.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct().checkpoint()
+        if not hit.take(1):
             break
-        hit = edges.join(kept.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct().join(todo, "id", "left_semi")
-        gone = gone.unionByName(hit).distinct().persist()
-        left = todo.join(gone, "id", "left_anti")
-        open_edges = edges.join(gone.withColumnRenamed("id", "a"), "a", "left_anti")
-        waiting = open_edges.join(left.withColumnRenamed("id", "b"), "b", "left_semi").select(F.col("b").alias("id")).distinct()
-        free = left.join(waiting, "id", "left_anti")
-        kept = kept.unionByName(free).distinct().persist()
-        todo = waiting.persist()
+        gone = gone.unionByName(hit).checkpoint()
+        edges = edges.join(hit.withColumnRenamed("id", "a"), "a", "left_anti").join(hit.withColumnRenamed("id", "b"), "b", "left_anti").checkpoint()
     return items.join(gone.withColumnRenamed("id", item), item, "left_anti")
 
 
@@ -137,9 +174,12 @@ def anchored_groups(rows: DataFrame, key: str, day: str, days: int) -> DataFrame
 def first_fit_groups(rows: DataFrame, key: str, item: str, at: str, apart: int) -> DataFrame:
     """Incremental grouping: in order, a row joins the first group of its key whose every member is within ``apart`` of it.
 
-    Groups of a key are bounded by the key's rows, which one task folds.
+    No group spans a gap of more than ``apart``, so each stretch between such
+    gaps is folded by itself and its groups are numbered on from those before: a
+    task holds a stretch, not a key.
     """
-    schema = f"{key} {rows.schema[key].dataType.simpleString()}, {item} {rows.schema[item].dataType.simpleString()}, group int"
+    kind = lambda c: rows.schema[c].dataType.simpleString()
+    schema = f"{key} {kind(key)}, stretch long, {item} {kind(item)}, group int"
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([at, item])
@@ -154,9 +194,16 @@ def first_fit_groups(rows: DataFrame, key: str, item: str, at: str, apart: int)
             else:
                 spans.append([v, v])
                 found.append(len(spans) - 1)
-        return pdf.assign(group=found)[[key, item, "group"]]
-
-    return rows.select(key, item, at).groupBy(key).applyInPandas(fold, schema)
+        return pdf.assign(group=found)[[key, "stretch", item, "group"]]
+
+    own = Window.partitionBy(key).orderBy(at, item)
+    parted = rows.select(key, item, at).withColumn("new", F.when(F.col(at) - F.lag(at).over(own) <= apart, 0).otherwise(1))
+    parted = parted.withColumn("stretch", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+    folded = parted.groupBy(key, "stretch").applyInPandas(fold, schema)
+    before = folded.groupBy(key, "stretch").agg((F.max("group") + 1).alias("n"))
+    before = before.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = folded.join(before.select(key, "stretch", "before"), [key, "stretch"])
+    return j.select(key, item, (F.col("group") + F.col("before")).cast("int").alias("group"))
 
 
 def unique_slugs(rows: DataFrame, item: str, base: str, region: str) -> DataFrame:

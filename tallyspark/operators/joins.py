@@ -87,13 +87,18 @@ def within_days(left: DataFrame, right: DataFrame, key: str, left_day: str, righ
 
 
 def effective_on(rows: DataFrame, table: DataFrame, key: str, day: str) -> DataFrame:
-    """Rows with ``status``: resolved if one entry of ``table`` (key, valid_from, valid_to, value; null ends are open) holds on the day, ambiguous if more, else unresolved."""
-    j = rows.join(table, key, "left")
+    """Rows with ``status``: resolved if one entry of ``table`` (key, valid_from, valid_to, value; null ends are open) holds on the day, ambiguous if more, else unresolved.
+
+    Entries are looked up once for each key and day; repeated rows stay, and an
+    entry that stands twice in ``table`` is one.
+    """
+    asked = rows.select(key, day).distinct()
+    j = asked.join(table.distinct(), key)
     holds = (F.col("valid_from").isNull() | (F.col("valid_from") <= F.col(day))) & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col(day)))
-    j = j.withColumn("__hit", F.when(F.col("value").isNotNull() & holds, F.col("value")))
-    g = j.groupBy(*rows.columns).agg(F.count("__hit").alias("__n"), F.min("__hit").alias("__v"))
+    g = j.filter(holds & F.col("value").isNotNull()).groupBy(key, day).agg(F.count("*").alias("__n"), F.min("value").alias("__v"))
     status = F.when(F.col("__n") == 1, "resolved").when(F.col("__n") > 1, "ambiguous").otherwise("unresolved")
-    return g.select(*rows.columns, F.when(F.col("__n") == 1, F.col("__v")).alias("value"), status.alias("status"))
+    found = rows.join(g, [key, day], "left")
+    return found.select(*rows.columns, F.when(F.col("__n") == 1, F.col("__v")).alias("value"), status.alias("status"))
 
 
 def movement(old: DataFrame, new: DataFrame, group: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import first_per_key
@@ -10,6 +12,16 @@ from tallyspark.operators.joins import first_per_key
 BACKOFF_BASE, BACKOFF_MOST, FORGET_DAYS, RETAIN_DAYS, ARCHIVE_DAYS, HISTORY = 3, 21, 45, 7, 365, 120
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for checkpoints, as ``spark.checkpoint.dir`` names it; a temporary one in local runs without."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+    return tempfile.mkdtemp(prefix="tallyspark-")
+
+
 def backoff(misses: Column, base: int = BACKOFF_BASE, most: int = BACKOFF_MOST) -> Column:
     """Days until the next try: base * 2^(misses - 1), at most ``most``."""
     return F.least(F.lit(base) * F.pow(F.lit(2.0), F.least(misses, F.lit(30)) - 1), F.lit(most)).cast("int")

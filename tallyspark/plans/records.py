@@ -73,7 +73,7 @@ def merged_spans(spark, sf_dir):
 
 def same_keys(spark, sf_dir):
     e = event_days(spark, sf_dir)
-    return dedupe.same_keys(e.filter("d < 10"), e.filter("d >= 10 and d < 20"), "user_id")
+    return dedupe.same_keys(e.filter("d < 15"), e.filter("d >= 15"), "user_id")
 
 
 def anchored(spark, sf_dir):
@@ -97,36 +97,42 @@ def kept_titles(spark, sf_dir):
     return dedupe.keep_first_alike(p, dedupe.alike_pairs(p, "page_id", "title", "day"), "page_id").select("page_id")
 
 
+def near_duplicates(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("url", r"^([^?#]*)", 1).alias("link"))
+    p = p.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 5).cast("int")))
+    return dedupe.near_duplicate_pairs(p, "page_id", "title", "day", "link").select("b").distinct()
+
+
 def unique_slugs(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", text.slug(F.col("c_mktsegment")).alias("base"), F.col("c_nationkey").cast("string").alias("region"))
     return dedupe.unique_slugs(c, "c_custkey", "base", "region")
 
 
 def deadline_ledger(spark, sf_dir):
-    """Twenty days of readings: a purchase's value says in how many days a user's deadline is, an error is a miss."""
+    """All readings in two runs: a purchase's value says in how many days a user's deadline is, an error is a miss."""
     e = event_days(spark, sf_dir)
-    day15, day20 = F.lit("2024-01-15").cast("date"), F.lit("2024-01-20").cast("date")
+    day15, last = F.lit("2024-01-15").cast("date"), F.lit("2024-01-31").cast("date")
     closing = F.when(F.col("event_type") == "purchase", F.date_add("day", F.floor("value").cast("int")))
     seen = e.filter(F.col("event_type").isin("purchase", "error")).select(F.col("user_id").alias("id"), "day", closing.alias("closing"))
     empty = spark.createDataFrame([], "id long, closing date, first_seen date, last_seen date, misses int")
     first = state.ledger(empty, seen.filter(F.col("day") <= day15).drop("day"), day15)
-    return state.ledger(first, seen.filter((F.col("day") > day15) & (F.col("day") <= day20)).drop("day"), day20)
+    return state.ledger(first, seen.filter(F.col("day") > day15).drop("day"), last)
 
 
 def retention(spark, sf_dir):
     e = event_days(spark, sf_dir)
-    today = F.lit("2024-01-21").cast("date")
-    previous = e.filter("d < 20").groupBy("user_id").agg(F.max("day").alias("last_confirmed"))
+    today = F.lit("2024-01-29").cast("date")
+    previous = e.filter("d < 28").groupBy("user_id").agg(F.max("day").alias("last_confirmed"))
     previous = previous.withColumn("grp", (F.col("user_id") % 7).cast("int"))
-    now = e.filter("d = 20").select("user_id", (F.col("user_id") % 7).cast("int").alias("grp")).distinct()
+    now = e.filter("d >= 28").select("user_id", (F.col("user_id") % 7).cast("int").alias("grp")).distinct()
     failed = now.select("grp").distinct().filter("grp < 4")
     return state.retain(previous, now, failed, "user_id", "grp", today)
 
 
 def archived(spark, sf_dir):
     e = event_days(spark, sf_dir)
-    old = e.filter("d < 20").groupBy("user_id").agg(F.min("day").alias("first_seen"), F.max("day").alias("last_seen"))
-    return state.archive(old, e.filter("d = 20").select("user_id").distinct(), "user_id", F.lit("2024-01-21").cast("date"), 10)
+    old = e.filter("d < 29").groupBy("user_id").agg(F.min("day").alias("first_seen"), F.max("day").alias("last_seen"))
+    return state.archive(old, e.filter("d >= 29").select("user_id").distinct(), "user_id", F.lit("2024-01-30").cast("date"), 10)
 
 
 def registered(spark, sf_dir):
@@ -168,12 +174,12 @@ def signature_changes(spark, sf_dir):
 
 def group_movement(spark, sf_dir):
     o = orders(spark, sf_dir)
-    return joins.movement(o.filter("year(day) = 1998"), o.filter("year(day) = 1999"), "priority")
+    return joins.movement(o.filter("day < '1998-07-01'"), o.filter("day >= '1998-07-01'"), "priority")
 
 
 def contract_counts(spark, sf_dir):
     o = orders(spark, sf_dir)
-    return contracts.count_checks(o.filter("year(day) = 1998"), o.filter("year(day) = 1999"), 200)
+    return contracts.count_checks(o.filter("day < '1998-07-01'"), o.filter("day >= '1998-07-01'"), 200)
 
 
 def contract_fields(spark, sf_dir):
@@ -182,7 +188,7 @@ def contract_fields(spark, sf_dir):
 
 def contract_groups(spark, sf_dir):
     o = orders(spark, sf_dir)
-    return contracts.collapsed_groups(o.filter("year(day) = 1998"), o.filter("year(day) = 1999 and (priority <> '5-LOW' or o_orderkey % 3 = 0)"), "priority")
+    return contracts.collapsed_groups(o.filter("day < '1998-07-01'"), o.filter("day >= '1998-07-01'").withColumn("priority", F.when((F.col("priority") == "5-LOW") & (F.col("status") == "F"), "4-NOT SPECIFIED").otherwise(F.col("priority"))), "priority")
 
 
 def field_losses(spark, sf_dir):
@@ -208,13 +214,13 @@ def field_changes(spark, sf_dir):
 
 def refreshed(spark, sf_dir):
     o = orders(spark, sf_dir)
-    return joins.refresh(o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 3 = 0").withColumn("status", F.lit("new")), "o_orderkey").select("o_orderkey", "status")
+    return joins.refresh(o, o.filter("status = 'O' or day >= '1998-07-01'").withColumn("status", F.lit("new")), "o_orderkey").select("o_orderkey", "status")
 
 
 def carried(spark, sf_dir):
     o = orders(spark, sf_dir)
     failed = o.select("priority").distinct().filter("priority < '3'")
-    return joins.carry_forward(o.filter("year(day) = 1998"), o.filter("year(day) = 1999"), failed, "o_orderkey", "priority").select("o_orderkey", "carried")
+    return joins.carry_forward(o.filter("day < '1998-07-01'"), o.filter("day >= '1998-07-01'"), failed, "o_orderkey", "priority").select("o_orderkey", "carried")
 
 
 def unambiguous_brands(spark, sf_dir):
@@ -343,7 +349,7 @@ QUERIES = {
     "rank_top_n_per_group": top_per_group, "rank_global_cap": global_cap, "rank_round_robin": round_robin, "rank_pick_three": pick_three,
     "rank_best_by_score": best_by_score, "dedupe_first_wins": first_wins, "dedupe_duplicate_texts": duplicate_texts, "dedupe_dropped_in_any": dropped_in_any,
     "dedupe_provenance": provenance, "dedupe_repeat_marks": repeat_marks, "dedupe_merge_spans": merged_spans, "dedupe_same_keys": same_keys,
-    "dedupe_anchored_groups": anchored, "dedupe_first_fit_groups": first_fit, "dedupe_alike_titles": alike_titles, "dedupe_kept_titles": kept_titles,
+    "dedupe_anchored_groups": anchored, "dedupe_first_fit_groups": first_fit, "dedupe_alike_titles": alike_titles, "dedupe_kept_titles": kept_titles, "dedupe_near_duplicates": near_duplicates,
     "dedupe_unique_slugs": unique_slugs, "state_deadline_ledger": deadline_ledger, "state_retention": retention, "state_archive": archived,
     "state_slug_registry": registered, "state_absence_spells": absences, "state_freshness": freshness, "state_transitions": role_transitions,
     "state_signature_changes": signature_changes, "join_group_movement": group_movement, "contract_counts": contract_counts, "contract_fields": contract_fields,

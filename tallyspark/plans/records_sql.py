@@ -7,7 +7,9 @@ _E = """e AS (SELECT event_id, user_id, event_type, value, CAST(date_diff('day',
 _NEW = f"""{_O}, old AS (SELECT o_orderkey, price, status, priority, 1 AS version FROM o),
 new AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 3 THEN price END AS price, CASE WHEN o_orderkey % 700 <> 3 THEN status END AS status, priority,
   CASE WHEN o_orderkey % 4 = 1 THEN 2 ELSE 1 END AS version FROM o)"""
-_MOVE = """a AS (SELECT priority, count(*) AS n FROM o WHERE year(day) = 1998 GROUP BY 1), b AS (SELECT priority, count(*) AS n FROM o WHERE year(day) = 1999 {more} GROUP BY 1),
+#: Later orders of the lowest priority that are closed count in another group.
+MOVED = "CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1998-07-01' AND o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS priority"
+_MOVE = """a AS (SELECT priority, count(*) AS n FROM o WHERE day < DATE '1998-07-01' GROUP BY 1), b AS (SELECT priority, count(*) AS n FROM o WHERE day >= DATE '1998-07-01' {more} GROUP BY 1),
 m AS (SELECT priority, coalesce(a.n, 0) AS from_n, coalesce(b.n, 0) AS to_n, coalesce(b.n, 0) - coalesce(a.n, 0) AS delta FROM a FULL JOIN b USING (priority))"""
 _TITLE_WORDS = """list_distinct(list_filter(regexp_extract_all(lower(regexp_extract(html, '<title>([^<]*)</title>', 1)), '[\\p{L}\\p{N}]{3,}'),
   lambda w: w NOT IN ('the','of','and','to','in','a','is','that','for','it','on','with','as','by','at','from','this','are','or','an')))"""
@@ -38,7 +40,7 @@ SQL = {
       i AS (SELECT user_id, x, x - row_number() OVER (PARTITION BY user_id ORDER BY x) AS g FROM covered),
       m AS (SELECT user_id, CAST(min(x) AS INTEGER) AS start, CAST(max(x) AS INTEGER) AS stop FROM i GROUP BY user_id, g)
       SELECT m.user_id, m.start, m.stop AS "end", (SELECT count(*) FROM s WHERE s.user_id = m.user_id AND s.start BETWEEN m.start AND m.stop) AS n FROM m""",
-    "dedupe_same_keys": f"""WITH {_E}, a AS (SELECT DISTINCT user_id FROM e WHERE d < 10), b AS (SELECT DISTINCT user_id FROM e WHERE d >= 10 AND d < 20),
+    "dedupe_same_keys": f"""WITH {_E}, a AS (SELECT DISTINCT user_id FROM e WHERE d < 15), b AS (SELECT DISTINCT user_id FROM e WHERE d >= 15),
       c AS (SELECT (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS only_left, (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS only_right)
       SELECT only_left, only_right, only_left = 0 AND only_right = 0 AS agree FROM c""",
     "dedupe_anchored_groups": f"""WITH RECURSIVE {_E}, days AS (SELECT DISTINCT user_id, day FROM e),
@@ -49,6 +51,11 @@ SQL = {
       j AS (SELECT a.page_id AS a, b.page_id AS b, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS similarity
         FROM p a JOIN p b ON a.page_id < b.page_id AND abs(a.d - b.d) <= 2 AND len(a.w) > 0 AND len(b.w) > 0)
       SELECT a, b, round(similarity, 6) AS similarity FROM j WHERE similarity >= 0.6::DOUBLE""",
+    "dedupe_near_duplicates": f"""WITH p AS (SELECT page_id, {_TITLE_WORDS} AS w, page_id % 5 AS d, regexp_extract(url, '^([^?#]*)', 1) AS link,
+        list_distinct(regexp_extract_all(regexp_extract(html, '<title>([^<]*)</title>', 1), '(?:^|[^\\p{{L}}\\p{{N}}])(\\p{{Lu}}[\\p{{L}}\\p{{N}}]{{2,}})', 1)) AS n FROM pages)
+      SELECT DISTINCT b.page_id AS b FROM p a JOIN p b ON a.page_id < b.page_id WHERE a.link <> '' AND a.link = b.link OR len(a.w) > 0 AND list_sort(a.w) = list_sort(b.w)
+        OR abs(a.d - b.d) <= 2 AND len(list_distinct(list_concat(a.w, b.w))) > 0 AND (len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.6::DOUBLE
+          OR len(list_intersect(a.n, b.n)) >= 2 AND len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.2::DOUBLE)""",
     "dedupe_unique_slugs": """WITH c AS (SELECT c_custkey, lower(c_mktsegment) AS base, c_nationkey AS region FROM customer),
       f AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY c_custkey) = 1 AS first FROM c),
       k AS (SELECT *, row_number() OVER (PARTITION BY base, region, first ORDER BY c_custkey) AS k FROM f)
@@ -69,18 +76,18 @@ SQL = {
     "state_deadline_ledger": f"""WITH {_E}, s AS (SELECT user_id AS id, day, CASE WHEN event_type = 'purchase' THEN day + CAST(floor(value) AS INTEGER) END AS closing FROM e WHERE event_type IN ('purchase', 'error')),
       f AS (SELECT id, max(closing) AS hit FROM s WHERE day <= DATE '2024-01-15' GROUP BY id),
       one AS (SELECT id, hit AS closing, CASE WHEN hit IS NOT NULL THEN DATE '2024-01-15' END AS seen, CASE WHEN hit IS NULL THEN 1 ELSE 0 END AS misses FROM f WHERE hit IS NULL OR hit >= DATE '2024-01-15'),
-      g AS (SELECT id, max(closing) AS hit FROM s WHERE day > DATE '2024-01-15' AND day <= DATE '2024-01-20' GROUP BY id)
-      SELECT id, coalesce(g.hit, one.closing) AS closing, CASE WHEN g.hit IS NOT NULL THEN coalesce(one.seen, DATE '2024-01-20') ELSE one.seen END AS first_seen,
-        CASE WHEN g.hit IS NOT NULL THEN DATE '2024-01-20' ELSE one.seen END AS last_seen,
+      g AS (SELECT id, max(closing) AS hit FROM s WHERE day > DATE '2024-01-15' GROUP BY id)
+      SELECT id, coalesce(g.hit, one.closing) AS closing, CASE WHEN g.hit IS NOT NULL THEN coalesce(one.seen, DATE '2024-01-31') ELSE one.seen END AS first_seen,
+        CASE WHEN g.hit IS NOT NULL THEN DATE '2024-01-31' ELSE one.seen END AS last_seen,
         CAST(CASE WHEN g.hit IS NOT NULL THEN 0 WHEN g.id IS NOT NULL THEN coalesce(one.misses, 0) + 1 ELSE coalesce(one.misses, 0) END AS INTEGER) AS misses
-      FROM one FULL JOIN g USING (id) WHERE coalesce(g.hit, one.closing) IS NULL OR coalesce(g.hit, one.closing) >= DATE '2024-01-20'""",
-    "state_retention": f"""WITH {_E}, p AS (SELECT user_id, CAST(user_id % 7 AS INTEGER) AS grp, max(day) AS last_confirmed FROM e WHERE d < 20 GROUP BY ALL),
-      n AS (SELECT DISTINCT user_id, CAST(user_id % 7 AS INTEGER) AS grp FROM e WHERE d = 20)
-      SELECT user_id, grp, DATE '2024-01-21' AS last_confirmed, false AS unconfirmed FROM n UNION ALL
+      FROM one FULL JOIN g USING (id) WHERE coalesce(g.hit, one.closing) IS NULL OR coalesce(g.hit, one.closing) >= DATE '2024-01-31'""",
+    "state_retention": f"""WITH {_E}, p AS (SELECT user_id, CAST(user_id % 7 AS INTEGER) AS grp, max(day) AS last_confirmed FROM e WHERE d < 28 GROUP BY ALL),
+      n AS (SELECT DISTINCT user_id, CAST(user_id % 7 AS INTEGER) AS grp FROM e WHERE d >= 28)
+      SELECT user_id, grp, DATE '2024-01-29' AS last_confirmed, false AS unconfirmed FROM n UNION ALL
       SELECT user_id, grp, last_confirmed, true FROM p WHERE grp IN (SELECT grp FROM n WHERE grp < 4) AND user_id NOT IN (SELECT user_id FROM n)
-        AND date_diff('day', last_confirmed, DATE '2024-01-21') <= 7""",
-    "state_archive": f"""WITH {_E}, s AS (SELECT user_id, min(day) AS f, max(day) AS l FROM e WHERE d < 20 GROUP BY 1 UNION ALL SELECT DISTINCT user_id, DATE '2024-01-21', DATE '2024-01-21' FROM e WHERE d = 20)
-      SELECT user_id, min(f) AS first_seen, max(l) AS last_seen FROM s GROUP BY 1 HAVING date_diff('day', max(l), DATE '2024-01-21') <= 10""",
+        AND date_diff('day', last_confirmed, DATE '2024-01-29') <= 7""",
+    "state_archive": f"""WITH {_E}, s AS (SELECT user_id, min(day) AS f, max(day) AS l FROM e WHERE d < 29 GROUP BY 1 UNION ALL SELECT DISTINCT user_id, DATE '2024-01-30', DATE '2024-01-30' FROM e WHERE d >= 29)
+      SELECT user_id, min(f) AS first_seen, max(l) AS last_seen FROM s GROUP BY 1 HAVING date_diff('day', max(l), DATE '2024-01-30') <= 10""",
     "state_slug_registry": """WITH c AS (SELECT c_custkey, concat('seg-', c_nationkey, '-', c_custkey % 50) AS slug FROM customer),
       k AS (SELECT * FROM c WHERE c_custkey % 3 = 0 QUALIFY row_number() OVER (PARTITION BY slug ORDER BY c_custkey) = 1),
       n AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY c_custkey) AS i FROM c WHERE c_custkey NOT IN (SELECT c_custkey FROM k))
@@ -98,12 +105,12 @@ SQL = {
       c AS (SELECT n.priority, n.q FROM n LEFT JOIN p USING (priority, q) WHERE n.s IS DISTINCT FROM p.s)
       SELECT * FROM c UNION SELECT c.priority, c.q + 1 FROM c JOIN n ON n.priority = c.priority AND n.q = c.q + 1""",
     "join_group_movement": f"WITH {_O}, {_MOVE.format(more='')} SELECT * FROM m",
-    "contract_counts": f"""WITH {_O}, c AS (SELECT count(*) FILTER (year(day) = 1998) AS b, count(*) FILTER (year(day) = 1999) AS n FROM o)
+    "contract_counts": f"""WITH {_O}, c AS (SELECT count(*) FILTER (day < DATE '1998-07-01') AS b, count(*) FILTER (day >= DATE '1998-07-01') AS n FROM o)
       SELECT 'least_rows' AS name, CAST(n AS DOUBLE) AS value, n >= 200 AS ok FROM c UNION ALL SELECT 'ratio', n / b, n / b BETWEEN 0.6::DOUBLE AND 2 FROM c""",
     "contract_fields": """SELECT name, value, value = 0 AS ok FROM (SELECT 'doc_id' AS name, count(*) FILTER (doc_id IS NULL) AS value FROM documents UNION ALL
       SELECT 'text', count(*) FILTER (coalesce(trim(text), '') = '') FROM documents UNION ALL SELECT 'lang', count(*) FILTER (coalesce(trim(lang), '') = '') FROM documents UNION ALL
       SELECT 'source', count(*) FILTER (coalesce(trim(source), '') = '') FROM documents)""",
-    "contract_groups": f"WITH {_O}, {_MOVE.format(more='''AND (priority <> '5-LOW' OR o_orderkey % 3 = 0)''')} SELECT *, from_n < 20 OR to_n * 2 > from_n AS ok FROM m",
+    "contract_groups": f"WITH {_O.replace('o_orderpriority AS priority', MOVED)}, {_MOVE.format(more='')} SELECT *, from_n < 20 OR to_n * 2 > from_n AS ok FROM m",
     "contract_field_losses": f"""WITH {_NEW}, c AS (SELECT f AS field, count(*) FILTER (CASE f WHEN 'price' THEN o.price IS NOT NULL WHEN 'status' THEN o.status IS NOT NULL ELSE o.priority IS NOT NULL END) AS had,
       count(*) FILTER (CASE f WHEN 'price' THEN n.price IS NULL WHEN 'status' THEN n.status IS NULL ELSE n.priority IS NULL END) AS lost
       FROM old o JOIN new n USING (o_orderkey), (VALUES ('price'), ('status'), ('priority')) t(f) GROUP BY f)
@@ -112,8 +119,8 @@ SQL = {
       CASE WHEN n.version > o.version THEN n.status ELSE coalesce(n.status, o.status) END AS status, n.version,
       CAST(CASE WHEN n.version > o.version THEN 0 ELSE (n.price IS NULL)::INT + (n.status IS NULL)::INT END AS INTEGER) AS restored FROM new n JOIN old o USING (o_orderkey)""",
     "join_field_changes": f"""WITH {_NEW} SELECT n.o_orderkey, 'price' AS field, 'lost' AS change FROM new n WHERE n.price IS NULL UNION ALL SELECT n.o_orderkey, 'status', 'lost' FROM new n WHERE n.status IS NULL""",
-    "join_refresh": f"WITH {_O} SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE status END AS status FROM o WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0",
-    "join_carry_forward": f"WITH {_O} SELECT o_orderkey, false AS carried FROM o WHERE year(day) = 1999 UNION ALL SELECT o_orderkey, true FROM o WHERE year(day) = 1998 AND priority < '3'",
+    "join_refresh": f"WITH {_O} SELECT o_orderkey, CASE WHEN status = 'O' OR day >= DATE '1998-07-01' THEN 'new' ELSE status END AS status FROM o",
+    "join_carry_forward": f"WITH {_O} SELECT o_orderkey, false AS carried FROM o WHERE day >= DATE '1998-07-01' UNION ALL SELECT o_orderkey, true FROM o WHERE day < DATE '1998-07-01' AND priority < '3'",
     "join_unambiguous": "SELECT p_name, min(p_brand) AS p_brand FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) = 1",
     "join_fill_from_group": """WITH p AS (SELECT p_partkey, p_size AS grp, CASE WHEN p_partkey % 3 = 0 THEN CASE WHEN p_size % 2 = 0 THEN 'even' ELSE p_type END END AS label FROM part),
       g AS (SELECT grp, min(label) AS l FROM p GROUP BY 1 HAVING count(DISTINCT label) = 1) SELECT p_partkey, p.grp, coalesce(label, l) AS label FROM p LEFT JOIN g USING (grp)""",

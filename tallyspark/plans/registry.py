@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import facts, holdings, market, records, screens
+from tallyspark.plans import books, facts, holdings, market, records, screens
 
-AREAS = (holdings, market, records, facts, screens)
+AREAS = (holdings, market, records, facts, screens, books)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
