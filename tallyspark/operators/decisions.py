@@ -58,7 +58,7 @@ def choose_subject(filers: DataFrame, reports: DataFrame, most: int = 5) -> Data
     """
     rank = F.when(F.col("named"), 0).when(F.col("kind") == "firm", 1).when(F.col("kind") == "vehicle", 2).otherwise(3)
     f = filers.withColumn("rank", rank)
-    f = f.withColumn("n", F.row_number().over(Window.partitionBy("filing").orderBy("rank", "listed")))
+    f = f.withColumn("n", F.row_number().over(Window.partitionBy("filing").orderBy("rank", "listed", "filer")))
     known = f.filter(F.col("n") <= most).join(reports.select("filer").distinct().withColumn("__r", F.lit(True)), "filer", "left")
     fit = F.col("named") | F.coalesce("__r", F.lit(False))
     return known.filter(fit).groupBy("filing").agg(F.min_by("filer", "n").alias("subject"))

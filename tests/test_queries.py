@@ -81,3 +81,50 @@ def test_overlap_in_small_blocks(spark):
         top = {(r["manager"], r["peer"]) for r in overlap(pos, 1, block).collect()}
         assert top == {(m, min((-round(v, 6), n) for (k, _, n), (v, _) in want.items() if k == m)[1]) for m, _, _ in want}
     assert overlap(pos.limit(0)).count() == 0
+
+
+def test_kept_titles_of_a_long_chain(spark):
+    from tallyspark.operators.dedupe import keep_first_alike
+
+    items = spark.range(60).toDF("id")
+    pairs = spark.range(59).selectExpr("id AS a", "id + 1 AS b")
+    assert sorted(r["id"] for r in keep_first_alike(items, pairs, "id").collect()) == list(range(0, 60, 2))
+
+
+def test_effective_on_of_repeated_rows(spark):
+    from tallyspark.operators.joins import effective_on
+
+    rows = spark.createDataFrame([("a", 5), ("a", 5), ("b", 5), ("c", 1)], "k string, d int")
+    entries = [("a", 1, 9, "x"), ("b", 1, None, "y"), ("b", 4, 6, "z"), ("c", 2, 3, "w")]
+    table = spark.createDataFrame([*entries, entries[0]], "k string, valid_from int, valid_to int, value string")
+    got = sorted((r["k"], r["value"], r["status"]) for r in effective_on(rows, table, "k", "d").collect())
+    assert got == [("a", "x", "resolved"), ("a", "x", "resolved"), ("b", None, "ambiguous"), ("c", None, "unresolved")]
+
+
+def test_first_fit_groups_go_on_after_a_gap(spark):
+    from tallyspark.operators.dedupe import first_fit_groups
+
+    rows = spark.createDataFrame([(1, k, d) for k, d in enumerate([0, 4, 7, 30, 35, 37, 90])], "key int, item int, at int")
+    got = {r["item"]: r["group"] for r in first_fit_groups(rows, "key", "item", "at", 6).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 2, 4: 2, 5: 3, 6: 4}
+
+
+def test_visible_text_and_links(spark):
+    from tallyspark.functions import text
+
+    html = "<p>A&#233;b &#x41;&eacute;&amp;lt; &nbsp; end</p><A class=x HREF='/one'>1</A><a href=/two>2</a>"
+    row = spark.createDataFrame([(html,)], "h string").select(text.visible_text("h").alias("t"), text.links("h").alias("l")).first()
+    assert row["t"] == "Aéb Aé&lt; end 1 2" and row["l"] == ["/one", "/two"]
+
+
+def test_tables_of_expected_amounts_and_dates(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.functions import dates, text
+
+    amounts = [("worth $1.5 billion", 1.5), ("GBP 250 million deal", 0.25), ("€3bn, then $9bn", 3.0), ("EUR 40m", 0.04), ("no figure", None)]
+    got = spark.createDataFrame([(a,) for a, _ in amounts], "t string").select(text.amount_billions(F.col("t"))).collect()
+    assert [None if r[0] is None else round(r[0], 6) for r in got] == [b for _, b in amounts]
+    days = [("2024-02-29", "2024-02-29"), ("3 March 2021", "2021-03-03"), ("March 3, 2021", "2021-03-03"), ("31/12/2020", "2020-12-31"), ("soon", None)]
+    got = spark.createDataFrame([(a,) for a, _ in days], "t string").select(dates.tolerant_date(F.col("t"))).collect()
+    assert [None if r[0] is None else str(r[0]) for r in got] == [b for _, b in days]
