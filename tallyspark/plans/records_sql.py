@@ -51,6 +51,13 @@ SQL = {
       j AS (SELECT a.page_id AS a, b.page_id AS b, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS similarity
         FROM p a JOIN p b ON a.page_id < b.page_id AND abs(a.d - b.d) <= 2 AND len(a.w) > 0 AND len(b.w) > 0)
       SELECT a, b, round(similarity, 6) AS similarity FROM j WHERE similarity >= 0.6::DOUBLE""",
+    "dedupe_kept_titles": f"""WITH RECURSIVE p AS (SELECT page_id, {_TITLE_WORDS} AS w FROM pages),
+      j AS (SELECT b.page_id AS b, list(a.page_id) AS partners FROM p a JOIN p b ON a.page_id < b.page_id AND len(a.w) > 0 AND len(b.w) > 0
+        WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.6::DOUBLE GROUP BY 1),
+      r AS (SELECT page_id, row_number() OVER (ORDER BY page_id) AS n, coalesce(partners, []) AS partners FROM p LEFT JOIN j ON b = page_id),
+      g AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS kept UNION ALL
+        SELECT r.n, CASE WHEN len(list_intersect(g.kept, r.partners)) > 0 THEN g.kept ELSE list_append(g.kept, r.page_id) END FROM g JOIN r ON r.n = g.n + 1)
+      SELECT unnest(kept) AS page_id FROM g WHERE n = (SELECT max(n) FROM r)""",
     "dedupe_near_duplicates": f"""WITH p AS (SELECT page_id, {_TITLE_WORDS} AS w, page_id % 5 AS d, regexp_extract(url, '^([^?#]*)', 1) AS link,
         list_distinct(regexp_extract_all(regexp_extract(html, '<title>([^<]*)</title>', 1), '(?:^|[^\\p{{L}}\\p{{N}}])(\\p{{Lu}}[\\p{{L}}\\p{{N}}]{{2,}})', 1)) AS n FROM pages)
       SELECT DISTINCT b.page_id AS b FROM p a JOIN p b ON a.page_id < b.page_id WHERE a.link <> '' AND a.link = b.link OR len(a.w) > 0 AND list_sort(a.w) = list_sort(b.w)
