@@ -65,49 +65,54 @@ def filed(pos: DataFrame) -> DataFrame:
     return pos.select("manager", "q").distinct()
 
 
-def actions(pos: DataFrame) -> DataFrame:
-    """Each position with the shares of the quarter before and its action.
+def moves(pos: DataFrame) -> DataFrame:
+    """Each position with shares and value of the quarter before, its action, and whether it's gone from the next book.
 
     Only an adjacent quarter compares: without one the action is held and
-    ``comparable`` false.
+    ``comparable`` false; no next book proves no exit. One window over a
+    position's quarters gives both neighbours, one aggregate the quarters filed.
     """
-    before = pos.select(*_KEY, (F.col("q") + 1).alias("q"), F.col("shares").alias("prior_shares"), F.col("value").alias("prior_value"))
-    had = filed(pos).select("manager", (F.col("q") + 1).alias("q"), F.lit(True).alias("had"))
-    j = pos.join(before, [*_KEY, "q"], "left").join(had, ["manager", "q"], "left")
-    action = (
-        F.when(F.col("had").isNull(), "held")
-        .when(F.col("prior_shares").isNull(), "new")
-        .when(F.col("shares") > F.col("prior_shares"), "added")
-        .when(F.col("shares") < F.col("prior_shares"), "trimmed")
-        .otherwise("held")
-    )
-    return j.withColumn("action", action).withColumn("comparable", F.coalesce("had", F.lit(False))).drop("had")
+    own = Window.partitionBy(*_KEY).orderBy("q")
+    w = pos.withColumns({"__pq": F.lag("q").over(own), "__ps": F.lag("shares").over(own), "__pv": F.lag("value").over(own), "__nq": F.lead("q").over(own)})
+    j = w.join(pos.groupBy("manager").agg(F.collect_set("q").alias("__filed")), "manager")
+    adjacent, had = F.col("__pq") == F.col("q") - 1, F.array_contains("__filed", F.col("q") - 1)
+    prior = F.when(adjacent, F.col("__ps"))
+    action = F.when(~had, "held").when(prior.isNull(), "new").when(F.col("shares") > prior, "added").when(F.col("shares") < prior, "trimmed").otherwise("held")
+    gone = F.array_contains("__filed", F.col("q") + 1) & ~F.coalesce(F.col("__nq") == F.col("q") + 1, F.lit(False))
+    return j.select(*pos.columns, prior.alias("prior_shares"), F.when(adjacent, F.col("__pv")).alias("prior_value"), action.alias("action"), had.alias("comparable"), gone.alias("gone_next"))
+
+
+def actions(pos: DataFrame) -> DataFrame:
+    """``moves`` without what comes after: each position with the quarter before and its action."""
+    return moves(pos).drop("gone_next")
 
 
 def exits(pos: DataFrame) -> DataFrame:
     """Positions of a quarter that are gone from the manager's next book; no next book proves no exit."""
-    now = filed(pos)
-    gone = pos.select(*_KEY, (F.col("q") + 1).alias("q"), F.col("value").alias("prior_value"), F.col("shares").alias("prior_shares"))
-    return gone.join(now, ["manager", "q"], "left_semi").join(pos, [*_KEY, "q"], "left_anti")
+    gone = moves(pos).filter("gone_next")
+    return gone.select(*_KEY, (F.col("q") + 1).alias("q"), F.col("value").alias("prior_value"), F.col("shares").alias("prior_shares"))
 
 
 def action_counts(pos: DataFrame) -> DataFrame:
     """New, added, trimmed, held and exited of each comparable book."""
-    moved = actions(pos).filter("comparable").select("manager", "q", "action")
-    moved = moved.unionByName(exits(pos).select("manager", "q", F.lit("exited").alias("action")))
-    return moved.groupBy("manager", "q").agg(*[F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ("new", "added", "trimmed", "held", "exited")])
+    counts = [F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ("new", "added", "trimmed", "held")]
+    g = moves(pos).groupBy("manager", "q").agg(*counts, F.count_if("gone_next").alias("__gone"), F.bool_or("comparable").alias("__c"))
+    before = F.lag("__gone").over(Window.partitionBy("manager").orderBy("q"))
+    return g.withColumn("n_exited", before).filter("__c").drop("__gone", "__c")
 
 
 def turnover(pos: DataFrame) -> DataFrame:
     """min(bought, sold) over the mean of the book's totals now and a quarter before."""
-    a = actions(pos).filter("comparable")
     price, change = F.col("value") / F.col("shares"), F.col("shares") - F.col("prior_shares")
-    bought = F.when(F.col("action") == "new", F.col("value")).when(F.col("action") == "added", change * price)
-    sold = F.when(F.col("action") == "trimmed", -change * price)
-    moved = a.groupBy("manager", "q").agg(F.sum(bought).alias("bought"), F.sum(sold).alias("sold"), F.sum("value").alias("total"))
-    closed = exits(pos).groupBy("manager", "q").agg(F.sum("prior_value").alias("closed"))
-    before = pos.groupBy("manager", (F.col("q") + 1).alias("q")).agg(F.sum("value").alias("prior_total"))
-    j = moved.join(closed, ["manager", "q"], "left").join(before, ["manager", "q"])
+    g = moves(pos).groupBy("manager", "q").agg(
+        F.sum(F.when(F.col("comparable") & (F.col("action") == "new"), F.col("value")).when(F.col("action") == "added", change * price)).alias("bought"),
+        F.sum(F.when(F.col("action") == "trimmed", -change * price)).alias("sold"),
+        F.sum("value").alias("total"),
+        F.sum(F.when(F.col("gone_next"), F.col("value"))).alias("closes"),
+        F.bool_or("comparable").alias("comparable"),
+    )
+    own = Window.partitionBy("manager").orderBy("q")
+    j = g.withColumns({"prior_total": F.lag("total").over(own), "closed": F.lag("closes").over(own)}).filter("comparable")
     zero = F.lit(0.0)
     least = F.least(F.coalesce("bought", zero), F.coalesce("sold", zero) + F.coalesce("closed", zero))
     return j.select("manager", "q", F.round(least / ((F.col("total") + F.col("prior_total")) / 2), 4).alias("turnover"))
