@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import books, decisions, facts, holdings, market, mergers, records, screens
+from tallyspark.plans import books, decisions, facts, holdings, landed, market, mergers, records, screens
 
-AREAS = (holdings, market, records, facts, screens, books, decisions, mergers)
+AREAS = (holdings, market, records, facts, screens, books, decisions, mergers, landed)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

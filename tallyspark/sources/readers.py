@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.functions.text import visible_text
+
 HOLDING_SCHEMA = (
     "nameOfIssuer string, titleOfClass string, cusip string, value string, "
     "shrsOrPrnAmt struct<sshPrnamt: string, sshPrnamtType: string>, putCall string"
@@ -148,12 +150,82 @@ def anchors(pages: DataFrame, key: str, html: str, least: int = 6, most: int = 1
     return fit.groupBy(key, "title").agg(F.min_by("url", "__k").alias("url"))
 
 
-def dated_entries(pages: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, raw, day): every d Month yyyy and Month d, yyyy of a text, odd dates left out."""
-    months = "January|February|March|April|May|June|July|August|September|October|November|December"
-    raw = F.explode(F.regexp_extract_all(text, F.lit(rf"((?:\d{{1,2}} (?:{months}) \d{{4}})|(?:(?:{months}) \d{{1,2}}, \d{{4}}))"), 1)).alias("raw")
-    rows = pages.select(key, raw)
-    return rows.withColumn("day", F.coalesce(F.try_to_date("raw", "d MMMM yyyy"), F.try_to_date("raw", "MMMM d, yyyy"))).filter("day is not null")
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+
+
+def dated_entries(pages: DataFrame, key: str, text: str, around: int = 80) -> DataFrame:
+    """(key, raw, day, context): every d Month yyyy and Month d, yyyy of a text, odd dates left out.
+
+    The context is up to ``around`` characters on both sides, no further than the next date.
+    """
+    date = rf"(?:\d{{1,2}} (?:{MONTHS}) \d{{4}})|(?:(?:{MONTHS}) \d{{1,2}}, \d{{4}})"
+    rows = pages.select(key, F.split(text, date).alias("__parts"), F.posexplode(F.regexp_extract_all(text, F.lit(f"({date})"), 1)).alias("__k", "raw"))
+    before, after = F.get("__parts", F.col("__k")), F.get("__parts", F.col("__k") + 1)
+    context = F.concat(F.substring(before, F.greatest(F.length(before) - around + 1, F.lit(1)), F.lit(around)), F.col("raw"), F.substring(after, 1, around))
+    day = F.coalesce(F.try_to_date("raw", "d MMMM yyyy"), F.try_to_date("raw", "MMMM d, yyyy"))
+    return rows.select(key, "raw", day.alias("day"), context.alias("context")).filter("day is not null")
+
+
+def _blocks(html: Column, tag: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
+
+
+def filing_documents(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, seq, description, filename, href, inline, type, size): rows of an index page's file tables with five cells or more."""
+    tables = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<table[^>]*class="tableFile"[^>]*>(.*?)</table>'), 1)
+    rows = pages.select(key, F.explode(F.flatten(F.transform(tables, lambda t: _blocks(t, "tr")))).alias("r")).select(key, _blocks(F.col("r"), "td").alias("c")).filter("size(c) >= 5")
+    cell = lambda k: visible_text(F.get("c", F.lit(k)))
+    linked = rows.withColumn("href", F.nullif(F.regexp_extract(F.get("c", F.lit(2)), '(?i)href="([^"]+)"', 1), F.lit("")))
+    name = visible_text(F.regexp_extract(F.get("c", F.lit(2)), r"(?is)<a\b[^>]*>(.*?)</a>", 1))
+    return linked.select(
+        key,
+        cell(0).alias("seq"),
+        cell(1).alias("description"),
+        F.coalesce(F.nullif(name, F.lit("")), F.substring_index("href", "/", -1), F.lit("")).alias("filename"),
+        "href",
+        F.coalesce(F.col("href").rlike(r"(?i)ix\?doc="), F.lit(False)).alias("inline"),
+        cell(3).alias("type"),
+        F.nullif(F.regexp_replace(cell(4), r"\D", "").try_cast("long"), F.lit(0)).alias("size"),
+    )
+
+
+def filing_parties(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, name, role, cik) of an index page's company spans; the role is subject, filer or other."""
+    spans = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<span class="companyName">(.*?)</span>'), 1)
+    rows = pages.select(key, F.explode(spans).alias("s")).withColumn("said", visible_text(F.col("s")))
+    role = F.when(F.col("said").rlike(r"(?i)\(Subject\)"), "subject").when(F.col("said").rlike(r"(?i)\((Filed by|Filer)\)"), "filer").otherwise("other")
+    cik = [F.nullif(F.regexp_extract("s", p, 1), F.lit("")) for p in (r"(?i)CIK=(\d{10})", r"(?i)(\d{10})\s*\(see all company filings\)")]
+    name = F.trim(F.regexp_replace("said", r"(?is)\((Subject|Filed by|Filer)\).*$", ""))
+    return rows.select(key, name.alias("name"), role.alias("role"), F.coalesce(*cik).alias("cik"))
+
+
+def filing_facts(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, period, filed, accepted) from an index page's headed cells; what isn't there is null."""
+
+    def info(label: str) -> Column:
+        found = F.regexp_extract(html, rf'(?i)<div class="infoHead">\s*{label}\s*</div>\s*<div class="info">([^<]*)</div>', 1)
+        return F.nullif(visible_text(found), F.lit(""))
+
+    return pages.select(key, info("Period of Report").alias("period"), info("Filing Date").alias("filed"), info("Accepted").alias("accepted"))
+
+
+SERIES_SCHEMA = "status string, message array<string>, Results struct<series: array<struct<seriesID: string, data: array<struct<year: string, period: string, value: string>>>>>"
+
+
+def year_windows(first: int, last: int, years: int = 10) -> list[tuple[int, int]]:
+    """Windows of at most ten years from ``first`` to ``last``, as one request each may ask for."""
+    return [(a, min(a + years - 1, last)) for a in range(first, last + 1, years)]
+
+
+def monthly_series(answers: DataFrame) -> DataFrame:
+    """(series, d, v) of JSON answers (column value): months only, no annual averages, gaps that aren't numbers out; a refused answer is an error."""
+    read = answers.select(F.from_json("value", SERIES_SCHEMA).alias("a"))
+    refused = F.raise_error(F.concat(F.lit("series refused: "), F.coalesce(F.array_join("a.message", "; "), F.lit("unreadable"))))
+    series = read.select(F.explode(F.when(F.col("a.status") == "REQUEST_SUCCEEDED", F.col("a.Results.series")).otherwise(refused)).alias("s"))
+    points = series.select(F.col("s.seriesID").alias("series"), F.explode("s.data").alias("p"))
+    v = F.col("p.value").try_cast("double")
+    months = points.filter(F.col("p.period").rlike("^M(0[1-9]|1[0-2])$") & ~F.isnan(v) & (F.abs(v) != float("inf")))
+    return months.select("series", F.to_date(F.concat("p.year", F.lit("-"), F.substring("p.period", 2, 2), F.lit("-01"))).alias("d"), v.alias("v"))
 
 
 def sitemap_paths(maps: DataFrame, prefixes: list[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import prefer, refresh
@@ -73,3 +75,65 @@ def markdown_table(rows: DataFrame, order: list[str], columns: list[str]) -> Dat
     packed = rows.select(F.struct(*order, line.alias("line")).alias("r")).agg(F.array_sort(F.collect_list("r")).alias("rs"))
     head = f"| {' | '.join(columns)} |\n|{'---|' * len(columns)}"
     return packed.select(F.concat_ws("\n", F.lit(head), F.array_join(F.transform("rs", lambda r: r["line"]), "\n")).alias("table"))
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def refresh_quarters(rows: DataFrame, path: str, running: str) -> DataFrame:
+    """Rows by ``quarter``: those that the cache at ``path`` holds are served from it, the running one and new ones are written.
+
+    Returns the cache's rows after that; the running quarter is always replaced.
+    """
+    spark = rows.sparkSession
+    fs, jpath = _fs(spark, path)
+    if fs.exists(jpath):
+        held = spark.read.schema(rows.schema).parquet(path).select("quarter").distinct().filter(F.col("quarter") != running)
+        rows = rows.join(F.broadcast(held), "quarter", "left_anti")  # one row a quarter
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def index_and_years(positions: DataFrame, path: str, manager: str, security: str, quarter: str, value: str, top: int = 25) -> tuple[DataFrame, DataFrame]:
+    """Writes positions as files a manager and year, an index of the ``top`` largest of each quarter, and series of all that ever were; gives (index, series).
+
+    Quarters are text that begins with the year. Ties go to the lesser security.
+    """
+    ranked = positions.withColumn("rank", F.row_number().over(Window.partitionBy(manager, quarter).orderBy(F.desc(value), F.col(security))))
+    spark = positions.sparkSession
+    ranked.withColumn("year", F.substring(quarter, 1, 4)).repartition(manager, "year").write.mode("overwrite").partitionBy(manager, "year").parquet(f"{path}/years")
+    schema = ranked.withColumn("year", F.lit("")).schema
+    back = spark.read.schema(schema).parquet(f"{path}/years").drop("year")
+    back.filter(F.col("rank") <= top).write.mode("overwrite").parquet(f"{path}/index")
+    index = spark.read.parquet(f"{path}/index")
+    notable = index.select(manager, security).distinct()
+    return index, back.drop("rank").join(notable, [manager, security], "left_semi")
+
+
+def publish(df: DataFrame, root: str) -> str:
+    """Writes a version of a table under ``root`` and makes it the current one by replacing one small file, so readers see the old one or the new."""
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{root}/{version}")
+    fs, staged = _fs(spark, f"{root}/_current-{version}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
+    stream = fs.create(staged)
+    stream.writeUTF(version)
+    stream.close()
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(staged), fs.makeQualified(target), how)
+    return version
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of a table that ``publish`` wrote."""
+    fs, target = _fs(spark, f"{root}/_current")
+    stream = fs.open(target)
+    version = stream.readUTF()
+    stream.close()
+    return spark.read.parquet(f"{root}/{version}")

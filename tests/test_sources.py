@@ -113,3 +113,43 @@ def test_merge_ledger_and_markdown(spark, tmp_path):
     table = sinks.markdown_table(spark.createDataFrame([(2, "b|c"), (1, None)], "k int, t string"), ["k"], ["k", "t"]).first()["table"]
     assert table.splitlines()[2:] == ["| 1 |  |", "| 2 | b\\|c |"]
     assert sorted(r["shard"] for r in sinks.sharded(spark.createDataFrame([("abc",), ("9x",)], "s string"), "s").collect()) == ["#", "A"]
+
+
+def test_filing_pages_with_nothing_in_them(spark):
+    pages = spark.createDataFrame([(1, None), (2, ""), (3, '<table class="tableFile"><tr><td>1<td>2</table><span class="companyName"></span>')], "k int, html string")
+    assert readers.filing_documents(pages, "k", "html").count() == 0
+    assert [(r["k"], r["name"], r["role"], r["cik"]) for r in readers.filing_parties(pages, "k", "html").collect()] == [(3, "", "other", None)]
+    assert sorted((r["k"], r["filed"]) for r in readers.filing_facts(pages, "k", "html").collect()) == [(1, None), (2, None), (3, None)]
+
+
+def test_monthly_series_and_refusals(spark):
+    assert readers.year_windows(2004, 2026) == [(2004, 2013), (2014, 2023), (2024, 2026)]
+    answer = '{"status": "REQUEST_SUCCEEDED", "Results": {"series": [{"seriesID": "S", "data": [{"year": "2025", "period": "M10", "value": "-"}, {"year": "2025", "period": "M09", "value": "3.5"}, {"year": "2025", "period": "M13", "value": "3"}]}]}}'
+    got = readers.monthly_series(spark.createDataFrame([(answer,)], "value string")).collect()
+    assert [(r["series"], r["d"], r["v"]) for r in got] == [("S", dt.date(2025, 9, 1), 3.5)]
+    for refused in ('{"status": "REQUEST_FAILED", "message": ["daily limit"]}', "no json"):
+        with pytest.raises(Exception, match="series refused"):
+            readers.monthly_series(spark.createDataFrame([(refused,)], "value string")).collect()
+
+
+def test_job_boards_that_are_odd(spark):
+    from tallyspark.sources import postings
+
+    rows = [
+        ("oracle", "b", "h", None), ("oracle", "b", "h", "{oops"), ("unknown", "b", "h", '{"jobs": [{"id": 1}]}'), (None, "b", "h", '{"jobs": []}'),
+        ("eightfold", "b", "h", '{"positions": [{"id": 7, "name": "T", "t_create": 1700000000000, "department": "", "business_unit": "U"}, {"id": 8, "name": " "}]}'),
+        ("recruitee", "Firm", "h", '{"offers": [{"id": 1, "title": "T", "company_name": "firm", "careers_url": "u", "status": "draft"}, {"id": 2, "title": "T", "company_name": "firm", "careers_url": "u", "published_at": "soon"}, {"id": 3, "title": "T", "company_name": "other", "careers_url": "u"}]}'),
+    ]
+    df = spark.createDataFrame(rows, "family string, board string, host string, value string")
+    got = sorted((r["family"], r["id"], r["posted"], r["department"], r["url"]) for r in postings.jobs(df).collect())
+    assert got == [("eightfold", "7", None, "U", "https://h/careers/job/7"), ("recruitee", "2", None, None, "u")]
+    assert postings.jobs(df.limit(0)).count() == 0
+
+
+def test_a_published_version_stays_whole(spark, tmp_path):
+    root = str(tmp_path / "t")
+    one, two = spark.range(3), spark.range(5)
+    sinks.publish(one, root)
+    before = sinks.published(spark, root)
+    sinks.publish(two, root)
+    assert before.count() == 3 and sinks.published(spark, root).count() == 5
