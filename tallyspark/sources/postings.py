@@ -109,19 +109,24 @@ def jobs(boards: DataFrame) -> DataFrame:
     that can't be read gives no rows. A posting listed again for another city is
     one job with all its cities.
     """
-    path = F.lit(None).cast("string")
-    for family, (where, _, _) in FAMILIES.items():
-        path = F.when(F.col("family") == family, F.get_json_object("value", where)).otherwise(path)
-    each = boards.select("family", "board", "host", F.posexplode(F.from_json(path, "array<string>")).alias("k", "r"))
-    shape = F.lit(None)
-    for family, (_, schema, to_job) in FAMILIES.items():
-        said = to_job(F.from_json("r", schema), F.col("board"), F.col("host"))
-        job = F.struct(*[(F.trim(said[f]) if f in ("id", "title") else said[f] if f in said else F.lit(None).cast("string")).alias(f) for f in FIELDS])
-        shape = F.when(F.col("family") == family, job).otherwise(shape)
-    rows = each.select("family", "board", "k", shape.alias("job")).select("family", "board", "k", *[F.col("job")[f].alias(f) for f in FIELDS])
-    rows = rows.filter("id <> '' and title <> '' and url <> ''").withColumn("location", F.coalesce("location", F.lit("")))
-    rows = rows.withColumn("description", F.coalesce("description", F.lit("")))
-    return rows.filter(~F.col("family").isin(*LISTED_BY_CITY)).drop("k").unionByName(_one_for_all_cities(rows.filter(F.col("family").isin(*LISTED_BY_CITY))))
+    found = None
+    for family in FAMILIES:
+        rows = _jobs_of(boards, family)
+        rows = _one_for_all_cities(rows) if family in LISTED_BY_CITY else rows.drop("k")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _jobs_of(boards: DataFrame, family: str) -> DataFrame:
+    """A family's postings; the filter reaches the scan, so boards stored by family are read once in all."""
+    path, schema, to_job = FAMILIES[family]
+    listed = F.from_json(F.get_json_object("value", path), "array<string>")
+    each = boards.filter(F.col("family") == family).select("board", "host", F.posexplode(listed).alias("k", "r"))
+    said = to_job(F.col("r"), F.col("board"), F.col("host"))
+    fields = {f: said.get(f, F.lit(None)).cast("string") for f in FIELDS}
+    fields |= {f: F.trim(fields[f]) for f in ("id", "title")} | {f: F.coalesce(fields[f], F.lit("")) for f in ("location", "description")}
+    rows = each.withColumn("r", F.from_json("r", schema)).select(F.lit(family).alias("family"), "board", "k", *[c.alias(f) for f, c in fields.items()])
+    return rows.filter("id <> '' and title <> '' and url <> ''")
 
 
 def _one_for_all_cities(rows: DataFrame) -> DataFrame:

@@ -174,7 +174,8 @@ def filing_documents(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, seq, description, filename, href, inline, type, size): rows of an index page's file tables with five cells or more."""
     tables = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<table[^>]*class="tableFile"[^>]*>(.*?)</table>'), 1)
     rows = pages.select(key, F.explode(F.flatten(F.transform(tables, lambda t: _blocks(t, "tr")))).alias("r")).select(key, _blocks(F.col("r"), "td").alias("c")).filter("size(c) >= 5")
-    cell = lambda k: visible_text(F.get("c", F.lit(k)))
+    rows = rows.withColumn("said", F.transform(F.slice("c", 1, 5), visible_text))
+    cell = lambda k: F.get("said", F.lit(k))
     linked = rows.withColumn("href", F.nullif(F.regexp_extract(F.get("c", F.lit(2)), '(?i)href="([^"]+)"', 1), F.lit("")))
     name = visible_text(F.regexp_extract(F.get("c", F.lit(2)), r"(?is)<a\b[^>]*>(.*?)</a>", 1))
     return linked.select(
