@@ -95,3 +95,23 @@ def growth(axis: DataFrame) -> DataFrame:
     """v over the period before, less one, along rows (cik, tag, end, v); null for the first and after zero."""
     w = Window.partitionBy("cik", "tag").orderBy("end")
     return axis.withColumn("growth", F.round(F.try_divide(F.col("v"), F.lag("v").over(w)) - 1, 6))
+
+
+def statements(facts: DataFrame, revenue: str, lines: list[str], years: int = 5) -> DataFrame:
+    """Rows (cik, end, revenue, growth, and each line with its margin): a company's last ``years`` annual revenues and what was reported at those ends.
+
+    A line takes the annual fact that ends nearest, at most seven days off; one
+    that isn't reported is null, and so is its margin. Growth is over the year
+    before on the axis, also beyond the years shown. Margins of no revenue are null.
+    """
+    f = earliest_filed(facts).filter(period_kind(F.col("start"), F.col("end")) == "year").select("cik", "tag", "end", "val")
+    own = Window.partitionBy("cik")
+    axis = f.filter(F.col("tag") == revenue).groupBy("cik", "end").agg(F.min("val").alias("revenue"))
+    axis = axis.withColumn("growth", F.round(F.try_divide("revenue", F.lag("revenue").over(own.orderBy("end"))) - 1, 6))
+    axis = axis.withColumn("__k", F.row_number().over(own.orderBy(F.desc("end")))).filter(F.col("__k") <= years).drop("__k")
+    other = f.filter(F.col("tag").isin(lines)).select("cik", "tag", F.col("end").alias("__end"), "val")
+    gap = F.abs(F.datediff("end", "__end"))
+    near = axis.select("cik", "end").join(other, "cik").filter(gap <= ALIGN_DAYS)
+    held = near.groupBy("cik", "end").agg(*[F.min(F.when(F.col("tag") == t, F.struct(gap.alias("gap"), "__end", "val")))["val"].alias(t) for t in lines])
+    full = axis.join(held, ["cik", "end"], "left")
+    return full.select("cik", "end", "revenue", "growth", *[c for t in lines for c in (F.col(t), F.round(F.try_divide(F.col(t), F.col("revenue")), 6).alias(f"{t}_margin"))])

@@ -47,3 +47,33 @@ def reachable(edges: DataFrame, start: str) -> DataFrame:
         args={"start": start},
     )
     return found
+
+
+EMPTY_SHARE, EDGE_SHARE, REPLACED_SHARE, FEWEST_MARKERS, SHORT_TEXT = 0.3, 0.6, 0.001, 3, 2000
+
+
+def text_health(units: DataFrame, doc: str, text: str, markers: list[str]) -> DataFrame:
+    """A row a document: how sound its extracted text is, from its units (pages, sections).
+
+    Shares of empty units and of units that open or close with the same line
+    (none for two units or fewer), replacement characters, how many of the
+    lower-case markers occur anywhere, and what to be warned of. A null unit is
+    an empty one.
+    """
+    t = units.select(doc, F.coalesce(F.col(text), F.lit("")).alias("t"))
+    lines = F.filter(F.transform(F.split("t", "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    said = t.groupBy(doc).agg(
+        F.count("*").alias("n_units"),
+        (F.sum(F.length("t")) + F.count("*") - 1).alias("n_chars"),
+        F.count_if(F.trim(F.regexp_replace("t", r"\s+", " ")) == "").alias("n_empty"),
+        F.sum(F.regexp_count("t", F.lit("�"))).alias("n_replaced"),
+        *[F.max(F.contains(F.lower("t"), F.lit(m)).cast("int")).alias(f"__m{k}") for k, m in enumerate(markers)],
+    )
+    edge = t.select(doc, lines.alias("l")).select(doc, F.explode(F.array(F.struct(F.lit("head").alias("side"), F.get("l", F.lit(0)).alias("line")), F.struct(F.lit("foot").alias("side"), F.get("l", F.size("l") - 1).alias("line")))).alias("e"))
+    most = edge.filter("e.line is not null").groupBy(doc, "e").agg(F.count("*").alias("n")).groupBy(doc).agg(F.max("n").alias("most"))
+    j = said.join(most, doc, "left").withColumn("n_markers", sum([F.col(f"__m{k}") for k in range(len(markers))], F.lit(0)))
+    share = F.when(F.col("n_units") > 2, F.coalesce("most", F.lit(0)) / F.col("n_units")).otherwise(F.lit(0.0))
+    empty, replaced = F.col("n_empty") / F.col("n_units"), F.coalesce(F.try_divide("n_replaced", "n_chars"), F.lit(0.0))
+    warned = [(empty > EMPTY_SHARE, "empty"), (share > EDGE_SHARE, "edges"), (replaced > REPLACED_SHARE, "encoding"), (F.col("n_markers") < FEWEST_MARKERS, "markers"), (F.col("n_chars") < SHORT_TEXT, "short")]
+    warnings = F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in warned])), ",")
+    return j.select(doc, "n_units", "n_chars", F.round(empty, 6).alias("empty_ratio"), F.round(share, 6).alias("edge_ratio"), F.round(replaced, 6).alias("replaced_rate"), "n_markers", warnings.alias("warnings"))

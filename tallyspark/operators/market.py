@@ -125,3 +125,20 @@ def event_boundary(actions: DataFrame) -> DataFrame:
     """The last slot of each symbol with an action that history can't be carried over."""
     cut = F.col("kind").isin("other", "unresolved")
     return actions.groupBy("symbol").agg(F.max(F.when(cut, F.col("i"))).alias("boundary"))
+
+
+def two_deep(trades: DataFrame, breaks: DataFrame) -> DataFrame:
+    """(symbol, i, price): the last trade of a slot, or the one before if a break undid it; null if both are undone, as no third is kept.
+
+    Breaks (symbol, seq) come after the slot's trades; trades broken earlier are for ``last_unbroken``.
+    """
+    undone = breaks.select("symbol", "seq").distinct().withColumn("undone", F.lit(True))
+    last = Window.partitionBy("symbol", "i").orderBy(F.desc("at"), F.desc("seq"))
+    two = trades.withColumn("k", F.row_number().over(last)).filter("k <= 2").join(undone, ["symbol", "seq"], "left")
+    return two.groupBy("symbol", "i").agg(F.min(F.when(F.col("undone").isNull(), F.struct("k", "price")))["price"].alias("price"))
+
+
+def late_trades(trades: DataFrame, close: Column, minutes: int = 30) -> DataFrame:
+    """(symbol, i, late, late_minutes): trades in the last ``minutes`` before a slot's close, and how many of those minutes have one."""
+    late = (F.col("at") < close) & (F.col("at") >= close - F.expr(f"interval {minutes} minutes"))
+    return trades.groupBy("symbol", "i").agg(F.count_if(late).alias("late"), F.count_distinct(F.when(late, F.date_trunc("minute", "at"))).alias("late_minutes"))

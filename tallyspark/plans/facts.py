@@ -52,6 +52,10 @@ def growth(spark, sf_dir):
     return facts.growth(f.select("cik", "tag", "end", F.col("val").alias("v")))
 
 
+def statements(spark, sf_dir):
+    return facts.statements(known_facts(spark, sf_dir), "R", ["A", "N"], 4)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -76,8 +80,8 @@ def valued(spark, sf_dir):
 
 def duplicates(spark, sf_dir):
     r = readings(spark, sf_dir).withColumn("target", F.split("deal", ":")[0])
-    known = r.filter("reading % 10 = 0").select("target", F.col("filed").alias("announced"), F.col("reading").alias("deal"))
-    return deals.duplicate_intervals(r.filter("reading % 10 = 1").select("target", "filed", F.col("reading").alias("candidate")), known, "target")
+    known = r.filter("n_doubts = 0").select("target", F.col("filed").alias("announced"), F.col("reading").alias("deal"))
+    return deals.duplicate_intervals(r.filter("n_doubts > 0").select("target", "filed", F.col("reading").alias("candidate")), known, "target")
 
 
 def primary(spark, sf_dir):
@@ -93,7 +97,7 @@ def size_buckets(spark, sf_dir):
 
 
 QUERIES = {
-    "facts_trailing_year": trailing, "facts_period_kinds": kinds, "facts_chosen_tag": chosen, "facts_ebitda": ebitda, "facts_net_debt": net_debt, "facts_growth": growth,
+    "facts_trailing_year": trailing, "facts_period_kinds": kinds, "facts_chosen_tag": chosen, "facts_ebitda": ebitda, "facts_net_debt": net_debt, "facts_growth": growth, "facts_statements": statements,
     "deals_valued": valued, "deals_duplicate_intervals": duplicates, "deals_primary_reading": primary, "deals_borrowed": borrowed, "deals_size_buckets": size_buckets,
 }
 
@@ -123,13 +127,17 @@ SQL = {
       w AS (SELECT *, max(stop) OVER (PARTITION BY cik) AS newest FROM l)
       SELECT cik, round(sum(val) FILTER (tag IN ('A', 'R')) - coalesce(sum(val) FILTER (tag = 'N'), 0), 2) AS net_debt FROM w WHERE newest - stop <= 100 GROUP BY cik""",
     "facts_growth": f"""WITH {_F} SELECT cik, tag, stop AS "end", val AS v, round(val / lag(val) OVER (PARTITION BY cik, tag ORDER BY stop) - 1, 6) AS growth FROM k WHERE kind = 'year'""",
+    "facts_statements": f"""WITH {_F}, y AS (SELECT * FROM k WHERE kind = 'year'),
+      a AS (SELECT cik, stop, val, round(val / lag(val) OVER (PARTITION BY cik ORDER BY stop) - 1, 6) AS growth FROM y WHERE tag = 'R' QUALIFY row_number() OVER (PARTITION BY cik ORDER BY stop DESC) <= 4)
+      SELECT a.cik, a.stop AS "end", a.val AS revenue, growth, p.val AS "A", round(p.val / a.val, 6) AS "A_margin", q.val AS "N", round(q.val / a.val, 6) AS "N_margin" FROM a
+      LEFT JOIN y p ON p.cik = a.cik AND p.stop = a.stop AND p.tag = 'A' LEFT JOIN y q ON q.cik = a.cik AND q.stop = a.stop AND q.tag = 'N'""",
     "deals_valued": f"""WITH {_R}, v AS (SELECT *, offer / (1 + premium) AS unaffected, offer * shares + net_debt AS ev FROM r),
       m AS (SELECT *, CASE WHEN revenue > 0 THEN ev / revenue END AS er, CASE WHEN ebitda > 0 THEN ev / ebitda END AS ee FROM v)
       SELECT reading, round(unaffected, 12) AS unaffected, round(ev, 12) AS ev, round(er, 12) AS ev_revenue, round(ee, 12) AS ev_ebitda,
         array_to_string(list_filter([CASE WHEN offer > 2000 THEN 'offer' END, CASE WHEN premium > 1.5::DOUBLE THEN 'premium' END, CASE WHEN net_debt IS NULL THEN 'balance' END, CASE WHEN ev <= 0 THEN 'ev' END,
         CASE WHEN revenue < 0 THEN 'revenue' END, CASE WHEN NOT ee BETWEEN 1 AND 75 THEN 'ev_ebitda' END, CASE WHEN er > 60 THEN 'ev_revenue' END], lambda x: x IS NOT NULL), ',') AS doubts FROM m""",
     "deals_duplicate_intervals": f"""WITH {_R} SELECT c.reading AS candidate, k.reading AS deal, CAST(abs(c.filed - k.filed) AS INTEGER) AS gap FROM r c JOIN r k ON c.target = k.target
-      AND c.reading % 10 = 1 AND k.reading % 10 = 0 AND abs(c.filed - k.filed) <= 180 QUALIFY row_number() OVER (PARTITION BY c.reading ORDER BY abs(c.filed - k.filed), k.reading) = 1""",
+      AND c.n_doubts > 0 AND k.n_doubts = 0 AND abs(c.filed - k.filed) <= 180 QUALIFY row_number() OVER (PARTITION BY c.reading ORDER BY abs(c.filed - k.filed), k.reading) = 1""",
     "deals_primary_reading": f"""WITH {_R} SELECT deal, reading FROM r QUALIFY row_number() OVER (PARTITION BY deal ORDER BY offer IS NULL, filed DESC, n_doubts, reading) = 1""",
     "deals_borrowed": f"""WITH {_R}, b AS (SELECT *, last_value(CASE WHEN premium IS NOT NULL THEN {{'v': premium, 'o': offer}} END IGNORE NULLS) OVER w AS lp, last_value(net_debt IGNORE NULLS) OVER w AS ln FROM r
       WINDOW w AS (PARTITION BY deal ORDER BY filed, reading ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from tallyspark.operators.health import text_health
 from tallyspark.operators.state import checkpoint_folder
 from tallyspark.plans.holdings import table
 from tallyspark.sources import files, postings, readers, sinks
@@ -354,18 +355,36 @@ def replaced(spark, sf_dir):
     return sinks.published(spark, root)
 
 
+MARKERS = ["the", "you", "that", "stand", "ou.", "xyz"]
+
+
+def health_of_texts(spark, sf_dir):
+    """Conversations as documents, turns as units; every seventh turn is blank, every ninth ends in odd characters."""
+    t = F.when(F.col("turn") % 7 == 6, " \n ").when(F.col("turn") % 9 == 3, F.concat("text", F.lit("\ufffd\ufffd\nfooter"))).otherwise(F.col("text"))
+    return text_health(table(spark, sf_dir, "conversations").select("conv_id", t.alias("t")), "conv_id", "t", MARKERS)
+
+
 QUERIES = {
     "read_holdings_xml": holdings_xml, "read_reference_rates": reference_rates, "read_json_files": json_files, "read_json_columns": columnar, "read_observations": observations,
     "read_decoded_holders": decoded_holders, "read_dated_csv": dated_csv, "read_form_index": form_index, "read_newest_symbols": newest_symbols, "read_zipped_lines": zipped, "read_sheets": sheets,
     "read_image_blocks": images, "read_sections": sections, "read_feeds": feeds, "read_calendars": calendars, "read_dated_entries": dated, "read_anchors": anchors, "read_sitemaps": sitemaps,
     "read_filing_documents": filing_documents, "read_filing_parties": filing_parties, "read_filing_facts": filing_facts, "read_monthly_series": monthly, "read_job_boards": job_boards,
     "read_board_links": board_links, "text_board_tokens": guessed, "write_changed": write_changed, "write_merged": merged, "write_sharded": sharded, "write_ledger": ledger, "write_markdown": markdown,
-    "write_quarter_cache": quarter_cache, "write_index_split": index_split, "write_replaced": replaced,
+    "write_quarter_cache": quarter_cache, "write_index_split": index_split, "write_replaced": replaced, "text_health": health_of_texts,
 }
 
 _O = "o AS (SELECT *, CAST(o_orderdate AS DATE) AS day, o_orderkey % 2 = 0 AS even FROM orders)"
 
 SQL = {
+    "text_health": f"""WITH u AS (SELECT conv_id, CASE WHEN turn % 7 = 6 THEN ' ' || chr(10) || ' ' WHEN turn % 9 = 3 THEN text || chr(65533) || chr(65533) || chr(10) || 'footer' ELSE coalesce(text, '') END AS t FROM conversations),
+      l AS (SELECT conv_id, t, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS l FROM u),
+      e AS (SELECT conv_id, max(n) AS most FROM (SELECT conv_id, side, line, count(*) AS n FROM (SELECT conv_id, 0 AS side, l[1] AS line FROM l UNION ALL SELECT conv_id, 1, l[-1] FROM l) WHERE line IS NOT NULL GROUP BY ALL) GROUP BY ALL),
+      g AS (SELECT conv_id, count(*) AS n_units, CAST(sum(length(t)) + count(*) - 1 AS BIGINT) AS n_chars, count(*) FILTER (len(l) = 0) AS n_empty, sum(length(t) - length(replace(t, chr(65533), ''))) AS n_r, lower(string_agg(t, chr(10))) AS whole FROM l GROUP BY ALL),
+      m AS (SELECT *, CASE WHEN n_units > 2 THEN coalesce(most, 0) / n_units ELSE 0 END AS er, CASE WHEN n_chars > 0 THEN n_r / n_chars ELSE 0 END AS rr,
+        CAST({" + ".join(f"contains(whole, '{m}')::INTEGER" for m in MARKERS)} AS INTEGER) AS n_markers FROM g LEFT JOIN e USING (conv_id))
+      SELECT conv_id, n_units, n_chars, round(n_empty / n_units, 6) AS empty_ratio, round(er, 6) AS edge_ratio, round(rr, 6) AS replaced_rate, n_markers,
+        array_to_string(list_filter([CASE WHEN n_empty / n_units > 0.3 THEN 'empty' END, CASE WHEN er > 0.6 THEN 'edges' END, CASE WHEN rr > 0.001 THEN 'encoding' END, CASE WHEN n_markers < 3 THEN 'markers' END,
+        CASE WHEN n_chars < 2000 THEN 'short' END], lambda x: x IS NOT NULL), ',') AS warnings FROM m""",
     "read_holdings_xml": """SELECT upper(p_brand) AS cusip, p_name AS issuer, l_returnflag AS class, CASE WHEN l_linenumber = 1 AND l_linestatus = 'O' THEN 'PUT' ELSE '' END AS put_call,
       CASE WHEN l_returnflag = 'R' THEN 'PRN' ELSE 'SH' END AS type, CASE WHEN l_linenumber = 7 THEN 0 ELSE l_extendedprice END AS value, l_quantity AS shares FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "read_reference_rates": "SELECT DATE '2026-01-02' AS day, 'N' || chr(65 + n_nationkey // 26) || chr(65 + n_nationkey % 26) AS currency, (n_nationkey + 1) / 8 AS rate FROM nation",

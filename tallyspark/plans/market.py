@@ -27,6 +27,15 @@ def unbroken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.last_unbroken(t, t.filter(F.col("event_type") == "error"))
 
 
+def two_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = trades(spark, sf_dir)
+    return market.two_deep(t, t.filter(F.col("event_type") == "error"))
+
+
+def late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return market.late_trades(trades(spark, sf_dir), F.date_trunc("day", "at") + F.expr("interval 1 day"), 360)
+
+
 def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = obs(spark, sf_dir)
     g = market.grade(F.col("trades") * 20, F.col("dollars") * 200, F.col("trades") * 3, F.col("trades") * 60)
@@ -84,6 +93,8 @@ def merged_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "market_daily": obs,
     "market_last_unbroken": unbroken,
+    "market_two_deep": two_deep,
+    "market_late_trades": late,
     "market_grade": graded,
     "market_overnight_moves": moves,
     "market_back_adjusted": adjusted,
@@ -124,6 +135,9 @@ SQL = {
     "market_daily": f"WITH {_OBS} SELECT * FROM obs",
     "market_last_unbroken": f"""WITH {_OBS} SELECT symbol, i, last(price ORDER BY tm, seq) AS price, count(*) AS trades,
       CAST(sum(CAST(price * 100 AS DECIMAL(18,4))) AS DOUBLE) AS dollars FROM t WHERE event_type <> 'error' GROUP BY ALL""",
+    "market_two_deep": f"""WITH {_OBS}, r AS (SELECT *, row_number() OVER (PARTITION BY symbol, i ORDER BY tm DESC, seq DESC) AS k FROM t)
+      SELECT symbol, i, arg_min(price, k) FILTER (k <= 2 AND event_type <> 'error') AS price FROM r GROUP BY ALL""",
+    "market_late_trades": f"""WITH {_OBS} SELECT symbol, i, count(*) FILTER (hour(tm) >= 18) AS late, count(DISTINCT date_trunc('minute', tm)) FILTER (hour(tm) >= 18) AS late_minutes FROM t GROUP BY ALL""",
     "market_grade": f"""WITH {_OBS} SELECT symbol, i, CASE WHEN trades * 20 >= 100 AND dollars * 200 >= 1000000 AND trades * 3 >= 10 AND trades * 60 <= 300 THEN 'H'
       WHEN trades * 20 >= 20 AND dollars * 200 >= 100000 AND trades * 3 >= 3 AND trades * 60 <= 1800 THEN 'U' END AS grade FROM obs""",
     "market_overnight_moves": f"WITH {_MOVES} SELECT symbol, i, round(change, 9) AS change, ordinary_volume, shape FROM s",

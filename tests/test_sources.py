@@ -153,3 +153,18 @@ def test_a_published_version_stays_whole(spark, tmp_path):
     before = sinks.published(spark, root)
     sinks.publish(two, root)
     assert before.count() == 3 and sinks.published(spark, root).count() == 5
+
+
+def test_two_deep_and_text_health_edges(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.operators import health, market
+
+    t = spark.createDataFrame([("a", 1, 1, 1, 5.0), ("a", 1, 2, 2, 6.0), ("a", 1, 3, 3, 7.0), ("b", 1, 1, 4, 8.0)], "symbol string, i int, at int, seq int, price double")
+    undone = lambda *k: t.filter(F.col("seq").isin(*k))
+    price = lambda *k: {r["symbol"]: r["price"] for r in market.two_deep(t, undone(*k)).collect()}
+    assert price() == {"a": 7.0, "b": 8.0} and price(3) == {"a": 6.0, "b": 8.0} and price(3, 2, 4) == {"a": None, "b": None} and price(1) == {"a": 7.0, "b": 8.0}
+    units = spark.createDataFrame([(1, None), (1, "")], "d int, t string")
+    (r,) = health.text_health(units, "d", "t", ["x"]).collect()
+    assert (r["n_units"], r["empty_ratio"], r["edge_ratio"], r["replaced_rate"], r["warnings"]) == (2, 1.0, 0.0, 0.0, "empty,markers,short")
+    assert health.text_health(units.limit(0), "d", "t", ["x"]).count() == 0
