@@ -99,11 +99,11 @@ def refresh_quarters(rows: DataFrame, path: str, running: str) -> DataFrame:
 def index_and_years(positions: DataFrame, path: str, manager: str, security: str, quarter: str, value: str, top: int = 25) -> tuple[DataFrame, DataFrame]:
     """Writes positions as files a manager and year, an index of the ``top`` largest of each quarter, and series of all that ever were; gives (index, series).
 
-    Quarters are text that begins with the year. Ties go to the lesser security.
+    Quarters are text that begins with the year. Ties go to the lesser security. Large managers and years are split over tasks, small ones share them.
     """
     ranked = positions.withColumn("rank", F.row_number().over(Window.partitionBy(manager, quarter).orderBy(F.desc(value), F.col(security))))
     spark = positions.sparkSession
-    ranked.withColumn("year", F.substring(quarter, 1, 4)).repartition(manager, "year").write.mode("overwrite").partitionBy(manager, "year").parquet(f"{path}/years")
+    ranked.withColumn("year", F.substring(quarter, 1, 4)).hint("rebalance", manager, "year").write.mode("overwrite").partitionBy(manager, "year").parquet(f"{path}/years")
     schema = ranked.withColumn("year", F.lit("")).schema
     back = spark.read.schema(schema).parquet(f"{path}/years").drop("year")
     back.filter(F.col("rank") <= top).write.mode("overwrite").parquet(f"{path}/index")
