@@ -72,9 +72,28 @@ OP4 = """
 SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS text_bytes, sha256(text) AS text_sha256, CAST(0 AS BIGINT) AS full_tiers FROM documents
 """
 
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id AS other_id, q.label = c.label AS alike, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS r FROM s WHERE alike) WHERE r <= 5),
+n AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 SQL = {
     "op1_line_dedup": OP1,
     "op2_exact_top_k": OP2,
     "op3_quality_rules": OP3,
     "op4_sharding": OP4,
+    "op13_hard_negatives": OP13,
 }
