@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import line_dedup, mixing, negatives, packing, periods, pii, quality, secrets, sharding, simhash, suffixes, topk
+from tallyspark.llm import fingerprints, line_dedup, mixing, negatives, packing, periods, pii, quality, secrets, sharding, simhash, suffixes, topk
 from tallyspark.llm.common import read_table
 
 
@@ -95,6 +95,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_with_edited(read_table(spark, sf_dir, "documents"))
+    edited = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", edited, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -113,5 +119,6 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_hard_negatives": op13_hard_negatives,
 }
