@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions import text
 from tallyspark.functions.rules import first_match
 
 PLACE = "struct<city: string, region: string, province: string, name: string, country: string, fullLocation: string, remote: boolean, hidden: boolean>"
@@ -39,12 +40,13 @@ def _oracle(r: Column, board: Column, host: Column) -> dict[str, Column]:
 
 
 def _eightfold(r: Column, board: Column, host: Column) -> dict[str, Column]:
-    at = F.coalesce(r["t_create"], r["t_update"])  # seconds; anything else, milliseconds say, is no time
+    at = F.coalesce(r["t_create"], r["t_update"])  # seconds; what isn't a day of these years, milliseconds say, is no time
+    first, after = (F.unix_timestamp(F.lit(f"{year}-01-01"), "yyyy-MM-dd") for year in (1990, 2100))
     return {
         "id": F.coalesce(r["id"], r["ats_job_id"], r["display_job_id"]), "title": F.coalesce(r["name"], r["posting_name"]),
         "location": F.coalesce(r["location"], F.array_join(r["locations"], ", ")), "department": F.coalesce(_stated(r["department"]), r["business_unit"]),
         "url": F.coalesce(r["canonicalPositionUrl"], F.concat(F.lit("https://"), host, F.lit("/careers/job/"), r["id"])),
-        "posted": F.when((at > 1e8) & (at < 4e9), F.date_format(F.timestamp_seconds(at), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")), "description": r["job_description"],
+        "posted": F.when(at.between(first, after), F.date_format(F.timestamp_seconds(at), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")), "description": r["job_description"],
     }
 
 
@@ -60,13 +62,15 @@ def _smartrecruiters(r: Column, board: Column, host: Column) -> dict[str, Column
 
 
 def _recruitee(r: Column, board: Column, host: Column) -> dict[str, Column]:
-    open_ = (F.coalesce(r["status"], F.lit("published")) == "published") & ~r["title"].rlike(r"(?i)^\s*\(?\s*closed\b")
+    word = F.lower(F.regexp_extract(r["title"], "[A-Za-z]+", 0))
+    open_ = (F.coalesce(r["status"], F.lit("published")) == "published") & (word != "closed")
     own = F.lower(F.coalesce(_stated(r["company_name"]), board)) == F.lower(board)
-    at = F.replace(F.replace(F.trim(r["published_at"]), F.lit(" UTC"), F.lit("Z")), F.lit(" "), F.lit("T"))
+    stated = F.trim(r["published_at"])
+    at = F.coalesce(F.try_to_timestamp(stated, F.lit("yyyy-MM-dd HH:mm:ss 'UTC'")), F.try_to_timestamp(stated))
     return {
         "id": F.when(open_ & own, r["id"]), "title": r["title"], "url": F.coalesce(_stated(r["careers_url"]), r["careers_apply_url"]), "department": r["department"], "deadline": r["close_at"],
         "location": _places(r["locations"], F.coalesce(F.nullif(_joined(r["city"], r["country"]), F.lit("")), F.trim(r["location"]))),
-        "posted": F.when(F.try_to_timestamp(at).isNotNull(), at), "description": F.concat_ws(" ", r["description"], r["requirements"]),
+        "posted": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), "description": F.concat_ws(" ", r["description"], r["requirements"]),
     }
 
 
@@ -87,7 +91,8 @@ def _workable(r: Column, board: Column, host: Column) -> dict[str, Column]:
     }
 
 
-#: Each family: where a board's answer lists its postings, the fields of one, and its common shape.
+#: Each family: where a board's answer lists its postings, the fields of one, and its common shape. The names of fields are
+#: fixed values: they are those of the boards' answers.
 FAMILIES = {
     "oracle": ("$.items", "Id string, Title string, PrimaryLocation string, JobFamily string, PostedDate string, PostingEndDate string, ShortDescriptionStr string, ExternalQualificationsStr string, ExternalResponsibilitiesStr string", _oracle),
     "eightfold": ("$.positions", "id string, ats_job_id string, display_job_id string, name string, posting_name string, location string, locations array<string>, canonicalPositionUrl string, department string, business_unit string, t_create double, t_update double, job_description string", _eightfold),
@@ -144,8 +149,9 @@ HOSTS = [
     (r"\.myworkdayjobs\.", "workday"), (r"greenhouse\.io", "greenhouse"), (r"lever\.co", "lever"), (r"ashbyhq\.com", "ashby"), (r"oraclecloud\.com", "oracle"),
     (r"eightfold\.ai", "eightfold"), (r"smartrecruiters\.com", "smartrecruiters"), (r"recruitee\.com", "recruitee"), (r"pinpointhq\.com", "pinpoint"), (r"workable\.com", "workable"),
 ]
-CAMPUS = "(?i)campus|student|graduate|early|university|school|intern"
-LATERAL = "(?i)lateral|experienc|professional|alumni|returner"
+#: Words of a site's path that speak for first jobs, and for later ones.
+FIRST_JOBS = ("campus", "early", "graduate", "graduates", "intern", "interns", "internships", "student", "students", "university")
+LATER_JOBS = ("alumni", "experienced", "lateral", "laterals", "professional", "professionals")
 
 
 def board_of_page(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -156,19 +162,27 @@ def board_of_page(pages: DataFrame, key: str, html: str) -> DataFrame:
     """
     urls = F.regexp_extract_all(F.col(html), F.lit(r"""((?:https?:)?//[A-Za-z0-9-][^\s"'<>()\\]*)"""), 1)
     each = pages.select(key, F.posexplode(urls).alias("__k", "url")).withColumn("url", F.when(F.col("url").startswith("//"), F.concat(F.lit("https:"), F.col("url"))).otherwise(F.col("url")))
-    host, site = F.regexp_extract("url", "^https?://([^/?#]*)", 1), F.regexp_extract("url", "^https?://[^/?#]*(.*)$", 1)
+    host = F.regexp_extract("url", "^https?://([^/?#]*)", 1)
     found = each.withColumn("family", first_match(host, HOSTS)).filter("family is not null")
-    rank = F.when(F.col("family") != HOSTS[0][1], 3).when(site.rlike(CAMPUS), 0).when(~site.rlike(LATERAL), 1).otherwise(2)
-    best = found.groupBy(key).agg(F.min_by(F.struct("family", "url"), F.struct(rank, F.col("__k"))).alias("b"))
+    words = F.split(F.lower(F.regexp_replace("url", "^https?://[^/?#]*", "")), "[^a-z]+")
+    has = lambda listed: F.arrays_overlap(words, F.array(*[F.lit(w) for w in listed])).cast("int")
+    worth = (F.col("family") == HOSTS[0][1]).cast("int") * (1 + (1 - has(LATER_JOBS)) + 2 * has(FIRST_JOBS))
+    best = found.groupBy(key).agg(F.max_by(F.struct("family", "url"), F.struct(worth, -F.col("__k"))).alias("b"))
     return best.select(key, "b.family", "b.url")
 
 
-SUFFIXES = "group|partners|capital|management|advisors|advisers|securities|global|holdings|company|co|inc|llc|lp|international"
+#: Words of firms' names that their boards leave out, besides legal endings.
+TRADE_WORDS = ("advisers", "advisors", "asset", "associates", "bank", "capital", "investments", "management", "partners", "securities")
 
 
 def guessed_tokens(name: Column) -> Column:
-    """Board tokens that a firm of this name might use: run together, dashed, its first word, without suffixes; over two letters, each once."""
-    base = F.trim(F.regexp_replace(F.replace(F.lower(name), F.lit("&"), F.lit("and")), "[^a-z0-9 ]", ""))
-    bare = F.regexp_replace(base, rf"\b({SUFFIXES})\b", "")
-    tokens = F.array(F.replace(base, F.lit(" "), F.lit("")), F.regexp_replace(base, " +", "-"), F.regexp_extract(base, "^([^ ]*)", 1), F.replace(bare, F.lit(" "), F.lit("")))
+    """Board tokens that a firm of this name might use, each once and over two letters long.
+
+    The whole name run together and with dashes, its first word, and what is left
+    without legal endings and words of the trade.
+    """
+    words = F.split(text.fold(name), " ")
+    common = F.array(*[F.lit(w) for w in (*text.COMPANY_SUFFIXES.split("|"), *TRADE_WORDS)])
+    own = F.filter(words, lambda w: ~F.array_contains(common, w))
+    tokens = F.array(F.array_join(words, ""), F.array_join(words, "-"), F.get(words, F.lit(0)), F.array_join(own, ""))
     return F.array_distinct(F.filter(tokens, lambda t: F.length(t) > 2))

@@ -166,48 +166,77 @@ def dated_entries(pages: DataFrame, key: str, text: str, around: int = 80) -> Da
     return rows.select(key, "raw", day.alias("day"), context.alias("context")).filter("day is not null")
 
 
-def _blocks(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
+def _pieces(html: Column, opening: str) -> Column:
+    """What follows each opening tag of these names, up to the next one or the end; the tag's name and attributes are left in."""
+    return F.slice(F.split(html, rf"(?i)<(?={opening})"), F.lit(2), F.lit(1 << 30))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    return F.regexp_extract(tag, rf"""(?i)^[^>]*?\b{name}\s*=\s*["']?([^"'\s>]*)""", 1)
+
+
+def _content(tag: Column) -> Column:
+    return F.regexp_replace(tag, "^[^>]*>", "")
 
 
 def filing_documents(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, seq, description, filename, href, inline, type, size): rows of an index page's file tables with five cells or more."""
-    tables = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<table[^>]*class="tableFile"[^>]*>(.*?)</table>'), 1)
-    rows = pages.select(key, F.explode(F.flatten(F.transform(tables, lambda t: _blocks(t, "tr")))).alias("r")).select(key, _blocks(F.col("r"), "td").alias("c")).filter("size(c) >= 5")
-    rows = rows.withColumn("said", F.transform(F.slice("c", 1, 5), visible_text))
-    cell = lambda k: F.get("said", F.lit(k))
-    linked = rows.withColumn("href", F.nullif(F.regexp_extract(F.get("c", F.lit(2)), '(?i)href="([^"]+)"', 1), F.lit("")))
-    name = visible_text(F.regexp_extract(F.get("c", F.lit(2)), r"(?is)<a\b[^>]*>(.*?)</a>", 1))
-    return linked.select(
+    """(key, seq, description, filename, href, inline, type, size): rows of an index page's file tables.
+
+    Cells are taken by their headings, fixed values of these pages; rows with
+    fewer cells than five, headings among them, are none. A link without a name
+    is called by the last part of its path; a size of nothing is null.
+    """
+    tables = pages.select(key, F.posexplode(_pieces(F.col(html), r"table\b")).alias("t", "tag")).filter(_attribute(F.col("tag"), "class") == "tableFile")
+    body = F.element_at(F.split("tag", "(?i)</table"), 1)
+    rows = tables.select(key, F.explode(_pieces(body, r"tr\b")).alias("row")).select(key, _pieces(F.col("row"), r"td\b").alias("tags")).filter("size(tags) >= 5")
+    said = F.transform("tags", lambda t: visible_text(_content(t)))
+    rows = rows.withColumn("cell", F.map_from_arrays(F.array(*[F.lit(h) for h in ("Seq", "Description", "Document", "Type", "Size")]), F.slice(said, 1, 5)))
+    link = F.element_at(F.concat(_pieces(F.get("tags", F.lit(2)), r"a\b"), F.array(F.lit(""))), 1)
+    rows = rows.withColumn("href", F.nullif(_attribute(link, "href"), F.lit(""))).withColumn("named", visible_text(F.concat(F.lit("<"), link)))
+    cell = lambda heading: F.col("cell")[heading]
+    path = F.coalesce("href", F.lit(""))
+    return rows.select(
         key,
-        cell(0).alias("seq"),
-        cell(1).alias("description"),
-        F.coalesce(F.nullif(name, F.lit("")), F.substring_index("href", "/", -1), F.lit("")).alias("filename"),
+        cell("Seq").alias("seq"),
+        cell("Description").alias("description"),
+        F.when(F.col("named") != "", F.col("named")).otherwise(F.element_at(F.split(path, "/"), -1)).alias("filename"),
         "href",
-        F.coalesce(F.col("href").rlike(r"(?i)ix\?doc="), F.lit(False)).alias("inline"),
-        cell(3).alias("type"),
-        F.nullif(F.regexp_replace(cell(4), r"\D", "").try_cast("long"), F.lit(0)).alias("size"),
+        F.contains(F.lower(path), F.lit("ix?doc=")).alias("inline"),
+        cell("Type").alias("type"),
+        F.nullif(F.array_join(F.regexp_extract_all(cell("Size"), F.lit("([0-9]+)"), 1), "").try_cast("long"), F.lit(0)).alias("size"),
     )
 
 
+#: What index pages say of a party in brackets; fixed values.
+PARTY_ROLES = {"subject": "subject", "filed by": "filer", "filer": "filer"}
+
+
 def filing_parties(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, name, role, cik) of an index page's company spans; the role is subject, filer or other."""
-    spans = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<span class="companyName">(.*?)</span>'), 1)
-    rows = pages.select(key, F.explode(spans).alias("s")).withColumn("said", visible_text(F.col("s")))
-    role = F.when(F.col("said").rlike(r"(?i)\(Subject\)"), "subject").when(F.col("said").rlike(r"(?i)\((Filed by|Filer)\)"), "filer").otherwise("other")
-    cik = [F.nullif(F.regexp_extract("s", p, 1), F.lit("")) for p in (r"(?i)CIK=(\d{10})", r"(?i)(\d{10})\s*\(see all company filings\)")]
-    name = F.trim(F.regexp_replace("said", r"(?is)\((Subject|Filed by|Filer)\).*$", ""))
-    return rows.select(key, name.alias("name"), role.alias("role"), F.coalesce(*cik).alias("cik"))
+    """(key, name, role, cik) of an index page's company spans.
+
+    The first bracket that states a role ends the name; without one the role is
+    "other". The number is the span's first of just ten digits.
+    """
+    spans = pages.select(key, F.explode(_pieces(F.col(html), r"span\b")).alias("tag")).filter(_attribute(F.col("tag"), "class") == "companyName")
+    inner = _content(F.element_at(F.split("tag", "(?i)</span"), 1))
+    rows = spans.select(key, visible_text(inner).alias("said"), F.regexp_extract("tag", r"(?<![0-9])([0-9]{10})(?![0-9])", 1).alias("digits"))
+    roles = F.create_map(*[F.lit(x) for pair in PARTY_ROLES.items() for x in pair])
+    brackets = F.filter(F.regexp_extract_all("said", F.lit(r"\(([^()]*)\)"), 1), lambda b: F.map_contains_key(roles, F.lower(b)))
+    rows = rows.withColumn("stated", F.get(brackets, F.lit(0)))
+    name = F.when(F.col("stated").isNull(), F.col("said")).otherwise(F.expr("substring_index(said, concat('(', stated, ')'), 1)"))
+    role = F.coalesce(F.element_at(roles, F.lower("stated")), F.lit("other"))
+    return rows.select(key, F.trim(name).alias("name"), role.alias("role"), F.nullif("digits", F.lit("")).alias("cik"))
 
 
 def filing_facts(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, period, filed, accepted) from an index page's headed cells; what isn't there is null."""
-
-    def info(label: str) -> Column:
-        found = F.regexp_extract(html, rf'(?i)<div class="infoHead">\s*{label}\s*</div>\s*<div class="info">([^<]*)</div>', 1)
-        return F.nullif(visible_text(found), F.lit(""))
-
-    return pages.select(key, info("Period of Report").alias("period"), info("Filing Date").alias("filed"), info("Accepted").alias("accepted"))
+    tags = F.transform(_pieces(F.col(html), r"div\b"), lambda t: F.struct(_attribute(t, "class").alias("kind"), visible_text(_content(F.element_at(F.split(t, "(?i)</div"), 1))).alias("said")))
+    each = pages.select(key, tags.alias("tags"))
+    headed = F.zip_with("tags", F.slice("tags", F.lit(2), F.greatest(F.size("tags"), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = F.filter(headed, lambda p: (p["a"]["kind"] == "infoHead") & (p["b"]["kind"] == "info"))
+    each = each.withColumn("pairs", pairs)
+    value = lambda heading: F.nullif(F.get(F.filter("pairs", lambda p: F.lower(p["a"]["said"]) == heading), F.lit(0))["b"]["said"], F.lit(""))
+    return each.select(key, value("period of report").alias("period"), value("filing date").alias("filed"), value("accepted").alias("accepted"))
 
 
 SERIES_SCHEMA = "status string, message array<string>, Results struct<series: array<struct<seriesID: string, data: array<struct<year: string, period: string, value: string>>>>>"
