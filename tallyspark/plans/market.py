@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators import joins, market, ranking, series
+from tallyspark.operators import joins, market, ranking, reference_rows, series
 from tallyspark.plans.holdings import table
 
 FIRST_DAY = "2024-01-01"
@@ -59,6 +61,32 @@ def boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.event_boundary(m.select("symbol", "i", kind.alias("kind")))
 
 
+#: The reference row's windows, scaled to the thirty days of the events.
+CALENDAR = [datetime.date(2024, 1, 1) + datetime.timedelta(k) for k in range(LAST + 1)]
+YEAR, CHANGES, COVERAGE = 25, {"1m": 5, "3m": 10, "6m": 15, "12m": 20}, 0.5
+
+
+def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = obs(spark, sf_dir)
+    n = F.col("trades")
+    seen = o.select("symbol", "i", "price", market.grade(n * 40, F.col("dollars") * 400, n * 5, n * 60).alias("grade"), (n * 60).alias("seconds"), "trades", (n * 3).alias("late"), "dollars")
+    moved = market.overnight_moves(o).withColumn("shape", market.split_shape(F.col("change")))
+    known, ordinary = F.col("shape").isNotNull(), F.coalesce("ordinary_volume", F.lit(False))
+    kind = F.when(known & (F.col("symbol") % 3 != 1), "split").when(known & ordinary & (F.col("i") < 20), "unresolved").when(~ordinary & (F.col("symbol") % 2 == 0), "other").otherwise("ordinary")
+    actions = moved.select("symbol", "i", kind.alias("kind"), (1 / F.col("shape")).alias("ratio"))
+    return reference_rows.reference_rows(seen, actions, CALENDAR, YEAR, CHANGES, coverage=COVERAGE)
+
+
+def market_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots_of = lambda c: F.array_join(F.transform(c, lambda a: a["date"].cast("string")), ",").alias(c)
+    r = reference(spark, sf_dir)
+    return r.select(*[slots_of(c) if c in ("splits", "corporate_actions") else F.col(c) for c in r.columns if c != "weekly"])
+
+
+def weekly_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_rows.weekly_shards(reference(spark, sf_dir).withColumn("symbol", F.col("symbol").cast("string")))
+
+
 def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     g = o.groupBy(F.col("o_orderpriority").alias("id"), F.col("o_orderdate").cast("date").alias("d"))
@@ -104,6 +132,8 @@ QUERIES = {
     "market_realised_volatility": lambda spark, sf_dir: market.realised_volatility(obs(spark, sf_dir)),
     "market_max_drawdown": lambda spark, sf_dir: market.max_drawdown(obs(spark, sf_dir)),
     "market_staleness": lambda spark, sf_dir: market.staleness(obs(spark, sf_dir), LAST),
+    "build_market_reference": market_reference,
+    "build_weekly_shards": weekly_shards,
     "join_as_of": as_of_value,
     "join_evidence_window": evidence_window,
     "series_last_of_month": lambda spark, sf_dir: series.last_of_period(order_series(spark, sf_dir), "month"),
@@ -128,6 +158,45 @@ _MOVES = f"""{_OBS}, w AS (
     quantile_cont(dollars, 0.5) OVER (PARTITION BY symbol ORDER BY i RANGE BETWEEN 21 PRECEDING AND 1 PRECEDING) AS usual FROM obs),
 m AS (SELECT symbol, i, price / prev AS change, dollars <= 3 * usual AS ordinary_volume FROM w WHERE gap <= 5 AND prev > 0 AND price > 0 AND abs(ln(price / prev)) > ln(1.4)),
 s AS (SELECT *, {_SHAPE} AS shape FROM m)"""
+_KIND = """CASE WHEN shape IS NOT NULL AND symbol % 3 <> 1 THEN 'split' WHEN shape IS NOT NULL AND coalesce(ordinary_volume, false) AND i < 20 THEN 'unresolved'
+    WHEN NOT coalesce(ordinary_volume, false) AND symbol % 2 = 0 THEN 'other' ELSE 'ordinary' END"""
+_GRID = f"""{_MOVES}, a AS (SELECT symbol, i, {_KIND} AS kind, 1 / shape AS ratio FROM s),
+sy AS (SELECT symbol, max(i) AS last FROM obs GROUP BY symbol),
+b AS (SELECT symbol, max(i) FILTER (kind IN ('other', 'unresolved')) AS boundary, string_agg(i, ',' ORDER BY i) FILTER (kind = 'split') AS splits,
+  string_agg(i, ',' ORDER BY i) FILTER (kind <> 'ordinary') AS corporate_actions FROM a GROUP BY symbol),
+g0 AS (SELECT sy.symbol, k.i, last, last - {YEAR - 1} AS first, boundary, coalesce(splits, '') AS splits, coalesce(corporate_actions, '') AS corporate_actions, o.price, o.trades, o.dollars, a.kind,
+  o.price * coalesce(product(CASE WHEN a.kind = 'split' THEN ratio ELSE 1 END) OVER (PARTITION BY sy.symbol ORDER BY k.i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 1) AS p
+  FROM sy CROSS JOIN range(30) k(i) LEFT JOIN b USING (symbol) LEFT JOIN obs o ON o.symbol = sy.symbol AND o.i = k.i LEFT JOIN a ON a.symbol = sy.symbol AND a.i = k.i),
+g1 AS (SELECT *, ln(p / lag(p) OVER w) AS step, CASE WHEN i BETWEEN first AND last THEN p END AS py FROM g0 WINDOW w AS (PARTITION BY symbol ORDER BY i)),
+g2 AS (SELECT *, max(py) OVER w AS top, arg_max(i, py) OVER w AS top_i FROM g1 WINDOW w AS (PARTITION BY symbol ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT *, CASE WHEN py < top THEN 1 - py / top END AS fall,
+  CASE WHEN trades * 40 >= 100 AND dollars * 400 >= 1000000 AND trades * 5 >= 10 AND trades * 60 <= 300 THEN 'H' WHEN trades * 40 >= 20 AND dollars * 400 >= 100000 AND trades * 5 >= 3 AND trades * 60 <= 1800 THEN 'U' END AS grade FROM g2)"""
+_BASE = "".join(
+    f""", count(p) FILTER (i BETWEEN last - {n} AND last) AS seen_{k}, arg_min(struct_pack(p := p, i := i), abs(i - last + {n}) * 2 + CASE WHEN i > last - {n} THEN 1 ELSE 0 END)
+      FILTER (p IS NOT NULL AND abs(i - last + {n}) <= 3 AND (i <= last - {n} OR i < last)) AS near_{k}"""
+    for k, n in CHANGES.items()
+)
+_ROWS = f"""{_GRID}, r AS (SELECT symbol, any_value(last) AS last, any_value(first) AS first, any_value(boundary) AS boundary, any_value(splits) AS splits, any_value(corporate_actions) AS corporate_actions,
+  max(price) FILTER (i = last) AS price, max(grade) FILTER (i = last) AS grade, max(kind) FILTER (i = last) AS kind, max(trades) FILTER (i = last) AS trades, max(dollars) FILTER (i = last) AS dollars,
+  count(py) AS in_year, arg_max(i, py) AS high_date, max(py) AS high, arg_min(i, py) AS low_date, min(py) AS low, arg_max(struct_pack(p := p, i := i, top := top, top_i := top_i), fall) FILTER (fall > 0) AS deep,
+  count(step) FILTER (i > last - 10 AND i <= last) AS n_short, stddev_samp(step) FILTER (i > last - 10 AND i <= last) AS sd_short,
+  count(step) FILTER (i > first - 1 AND i <= last) AS n_year, stddev_samp(step) FILTER (i > first - 1 AND i <= last) AS sd_year{_BASE} FROM g GROUP BY symbol),
+q AS (SELECT *, CASE WHEN 29 - last > 2 THEN 'stale' WHEN kind IN ('ordinary', 'unresolved') AND coalesce(grade, '') <> 'H' THEN 'discontinuity' ELSE 'ok' END AS status,
+  first >= 0 AND (boundary IS NULL OR first >= boundary) AND in_year >= 13 AS whole FROM r),
+f AS (SELECT *, status = 'ok' AS ok, status = 'ok' AND whole AS okay FROM q)"""
+_AFTER = "(boundary IS NULL OR {0} >= boundary)"
+_STATED = {k: f"ok AND last >= {n} AND {_AFTER.format(f'last - {n}')} AND seen_{k} >= {-(-(n + 1) // 2)} AND {_AFTER.format(f'near_{k}.i')}" for k, n in CHANGES.items()}
+_VOLS = {"short": f"ok AND {_AFTER.format('last - 10')} AND n_short >= 5", "year": f"okay AND {_AFTER.format('first - 1')} AND n_year >= 12"}
+_REFERENCE = f"""WITH {_ROWS} SELECT symbol, CAST(29 - last AS INTEGER) AS lag, status, last AS date, grade, trades * 60 AS seconds, trades, trades * 3 AS late, dollars, CASE WHEN ok THEN round(price, 4) END AS price,
+  splits, corporate_actions, boundary AS valid_from, round(in_year / 25.0::DOUBLE, 2) AS coverage, CASE WHEN whole THEN 'ok' ELSE 'history' END AS stats_status,
+  {", ".join(f"CASE WHEN {w} THEN round(near_{k}.p, 4) END AS base_{k}, CASE WHEN {w} THEN CAST(near_{k}.i AS INTEGER) END AS base_{k}_date" for k, w in _STATED.items())},
+  {", ".join(f"CASE WHEN {w} THEN round(sd_{k} * sqrt(252), 4) END AS vol_{k}, CASE WHEN {w} THEN n_{k} END AS vol_{k}_returns" for k, w in _VOLS.items())},
+  CASE WHEN okay THEN round(high, 4) END AS high, CASE WHEN okay THEN CAST(high_date AS INTEGER) END AS high_date, CASE WHEN okay THEN round(low, 4) END AS low, CASE WHEN okay THEN CAST(low_date AS INTEGER) END AS low_date,
+  CASE WHEN okay THEN round(deep.top, 4) END AS drawdown_peak, CASE WHEN okay THEN CAST(deep.top_i AS INTEGER) END AS drawdown_peak_date,
+  CASE WHEN okay THEN round(deep.p, 4) END AS drawdown_trough, CASE WHEN okay THEN CAST(deep.i AS INTEGER) END AS drawdown_trough_date FROM f"""
+_WEEKLY = f"""WITH {_ROWS}, c AS (SELECT g.symbol, g.i, g.p, date_trunc('week', DATE '2024-01-01' + CAST(g.i AS INTEGER)) AS week FROM g JOIN f USING (symbol)
+    WHERE f.ok AND g.p IS NOT NULL AND g.i >= greatest(5, coalesce(f.boundary, 0)))
+  SELECT left(CAST(symbol AS VARCHAR), 1) AS shard, CAST(symbol AS VARCHAR) AS symbol, CAST(max(i) AS INTEGER) AS date, round(arg_max(p, i), 4) AS price FROM c GROUP BY symbol, week"""
 _SERIES = """s AS (
   SELECT o_orderpriority AS id, CAST(o_orderdate AS DATE) AS d, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM orders GROUP BY ALL)"""
 
@@ -158,6 +227,8 @@ SQL = {
     "market_max_drawdown": f"""WITH {_OBS}, w AS (SELECT symbol, i, 1 - price / max(price) OVER (PARTITION BY symbol ORDER BY i) AS fall FROM obs)
       SELECT symbol, round(max(fall), 6) AS drawdown, first(i ORDER BY fall DESC, i) AS at FROM w GROUP BY symbol""",
     "market_staleness": f"WITH {_OBS} SELECT symbol, 29 - max(i) AS lag, 29 - max(i) > 2 AS stale FROM obs GROUP BY symbol",
+    "build_market_reference": _REFERENCE,
+    "build_weekly_shards": _WEEKLY,
     "join_as_of": """WITH r AS (SELECT user_id, ts, max(value) AS viewed FROM events WHERE event_type = 'view' GROUP BY ALL)
       SELECT l.user_id, l.ts, l.event_id, r.viewed, r.ts AS viewed_at FROM (SELECT * FROM events WHERE event_type = 'purchase') l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.ts""",
     "join_evidence_window": """WITH j AS (SELECT s.event_id AS signup, p.event_id AS purchase, abs(date_diff('day', CAST(s.ts AS DATE), CAST(p.ts AS DATE))) AS gap

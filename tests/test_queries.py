@@ -128,3 +128,36 @@ def test_tables_of_expected_amounts_and_dates(spark):
     days = [("2024-02-29", "2024-02-29"), ("3 March 2021", "2021-03-03"), ("March 3, 2021", "2021-03-03"), ("31/12/2020", "2020-12-31"), ("soon", None)]
     got = spark.createDataFrame([(a,) for a, _ in days], "t string").select(dates.tolerant_date(F.col("t"))).collect()
     assert [None if r[0] is None else str(r[0]) for r in got] == [b for _, b in days]
+
+
+def test_reference_row_by_hand(spark):
+    import datetime as dt
+
+    from tallyspark.operators import reference_rows
+
+    seen = "symbol string, i int, price double, grade string, seconds int, trades long, late long, dollars double"
+    one = lambda s, i, p, g="H": (s, i, p, g, 60, 200, 20, 2e6)
+    rows = [one("rise", i, 10.0 + i) for i in range(12)]
+    rows += [one("split", i, 20.0 if i < 6 else 10.0) for i in range(12)]
+    rows += [one("bound", i, 5.0 + i % 3) for i in range(12)]
+    rows += [one("gone", i, 1.0) for i in range(9)] + [one("jump", i, 1.0 if i < 11 else 3.0, "U") for i in range(12)]
+    rows += [one("gaps", i, float(i)) for i in (1, 2, 8, 11)] + [one("late", 12, 1.0)]
+    actions = [("split", 6, "split", 0.5), ("bound", 9, "other", None), ("jump", 11, "ordinary", None), ("none", 3, "split", 2.0)]
+    calendar = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(12)]
+    changes = {"1m": 2, "3m": 4}
+    found = reference_rows.reference_rows(spark.createDataFrame(rows, seen), spark.createDataFrame(actions, "symbol string, i int, kind string, ratio double"), calendar, 10, changes)
+    got = {r["symbol"]: r for r in found.collect()}
+    assert set(got) == {"rise", "split", "bound", "gone", "jump", "gaps"}
+    r = got["rise"]
+    assert (r["status"], r["stats_status"], r["price"], r["base_1m"], r["base_3m_date"], r["high"], r["low"], r["low_date"], r["drawdown_peak"]) == ("ok", "ok", 21.0, 19.0, 7, 21.0, 12.0, 2, None)
+    assert [(w["date"], w["price"]) for w in r["weekly"]] == [(6, 16.0), (11, 21.0)]
+    r = got["split"]
+    assert (r["price"], r["high"], r["low"], r["vol_year"], r["splits"][0]["ratio"], r["valid_from"]) == (10.0, 10.0, 10.0, 0.0, 0.5, None)
+    r = got["bound"]
+    assert (r["valid_from"], r["stats_status"], r["base_1m"], r["base_3m"], r["high"], r["vol_short"]) == (9, "history", 5.0, None, None, None)
+    assert [w["date"] for w in r["weekly"]] == [11] and r["corporate_actions"][0]["kind"] == "other"
+    assert (got["gone"]["status"], got["gone"]["lag"], got["gone"]["price"], got["gone"]["weekly"]) == ("stale", 3, None, None)
+    assert (got["jump"]["status"], got["jump"]["price"]) == ("discontinuity", None)
+    r = got["gaps"]
+    assert (r["coverage"], r["base_1m"], r["base_3m"], r["stats_status"]) == (0.3, None, None, "history")
+    assert found.limit(0).count() == 0 and reference_rows.reference_rows(spark.createDataFrame([], seen), spark.createDataFrame(actions, "symbol string, i int, kind string, ratio double"), calendar, 10, changes).count() == 0
