@@ -114,9 +114,21 @@ def index_and_years(positions: DataFrame, path: str, manager: str, security: str
 
 def publish(df: DataFrame, root: str) -> str:
     """Writes a version of a table under ``root`` and makes it the current one by replacing one small file, so readers see the old one or the new."""
-    spark = df.sparkSession
     version = uuid.uuid4().hex
     df.write.parquet(f"{root}/{version}")
+    return _make_current(df.sparkSession, root, version)
+
+
+def publish_together(tables: dict[str, DataFrame], root: str) -> str:
+    """Writes tables as one version under ``root``: readers see all of the old ones or all of the new, whatever fails in between."""
+    version = uuid.uuid4().hex
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{version}/{name}")
+        spark = df.sparkSession
+    return _make_current(spark, root, version)
+
+
+def _make_current(spark: SparkSession, root: str, version: str) -> str:
     fs, staged = _fs(spark, f"{root}/_current-{version}")
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
     stream = fs.create(staged)
@@ -130,10 +142,10 @@ def publish(df: DataFrame, root: str) -> str:
     return version
 
 
-def published(spark: SparkSession, root: str) -> DataFrame:
-    """The current version of a table that ``publish`` wrote."""
+def published(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
+    """The current version of a table that ``publish`` wrote, or of the one of that name that ``publish_together`` wrote."""
     fs, target = _fs(spark, f"{root}/_current")
     stream = fs.open(target)
     version = stream.readUTF()
     stream.close()
-    return spark.read.parquet(f"{root}/{version}")
+    return spark.read.parquet(f"{root}/{version}/{name}" if name else f"{root}/{version}")

@@ -27,3 +27,34 @@ def test_amendments_by_what_they_hold(spark):
         ("d", 1, "w", 41.0, 3.0, "replaced"), ("d", 1, "x", 55.0, 7.0, "replaced"),  # as large as the book, mostly on lines it knows
     ]
     assert book([], lines) == [] and book(filings, []) == []
+
+
+def test_explorer_tables_by_hand(spark):
+    from tallyspark.operators import explorer
+
+    own = "manager string, security string, class string, q int, value double, shares double"
+    rows = [(m, "x", "COM", q, 10.0 * q, 5.0 + (q if m == "a" else 0)) for m in "abcdef" for q in (1, 2)]
+    rows += [(m, "y", "COM", q, 1.0, 1.0) for m in "abcdef" for q in (1, 2, 3, 4)]
+    rows += [("a", "x", "COM", 3, 1.0, 1.0), ("g", "z", "COM", 4, 9.0, 3.0), ("g", "y", "COM", 3, 1.0, 1.0), ("a", "w", "COMPUT", 2, 1.0, 1.0), ("a", "w", "COM", 4, 1.0, 1.0)]
+    pos = spark.createDataFrame(rows, own)
+    symbols = pos.select("security").distinct().selectExpr("security", "upper(security) AS symbol")
+    whole = pos.select("manager", "q").distinct().filter("manager <> 'g'")
+    none = spark.createDataFrame([], "manager string, symbol string, q int")
+    found = explorer.tables(pos, symbols, whole, none.select("symbol", "q"), none, none.select("symbol", "q"), lambda df, name: df)
+    by = {(r["symbol"], r["q"]): r for r in found["quarters"].collect()}
+    assert (by["X", 2]["holders"], by["X", 2]["added"], by["X", 2]["net_shares"], by["X", 2]["conviction"]) == (6, 1, 1.0, round(1 / 31, 4))
+    left = by["X", 3]  # five of six left, one stray holder with hardly a share
+    assert (left["exited"], left["holders"], left["listing"], left["ranked"]) == (5, 1, "ended", False)
+    assert by["X", 4]["listing"] == "ended" and by["X", 4]["holders"] == 0
+    assert by["W", 4]["listing"] == "new-coverage"  # only a right was held before
+    z = by["Z", 4]
+    assert (z["coverage"], z["new"], z["net_shares"], z["listing"]) == ("listed", 0, None, "new-listing")  # g's books weren't read whole
+    assert by["Y", 4]["net_shares"] is None and by["Y", 4]["exited"] == 0
+    stock = {r["symbol"]: r for r in found["stocks"].collect()}
+    assert stock["X"]["spark"] == "0,0,0,0,0,6,1,0" and stock["X"]["last_q"] == 3 and stock["Y"]["holders"] == 6
+    held = {(r["symbol"], r["q"], r["manager"], r["action"]) for r in found["holders"].collect()}
+    assert ("X", 3, "b", "exited") in held and ("X", 2, "a", "added") in held and all(q < 4 for _, q, _, _ in held)
+    who = {(r["manager"], r["at"]): r for r in found["managers"].collect()}
+    assert who["g", "latest"]["positions"] == 1 and who["a", "default"]["new"] == 1
+    empty = explorer.tables(pos.limit(0), symbols.limit(0), whole.limit(0), none.select("symbol", "q"), none, none.select("symbol", "q"), lambda df, name: df)
+    assert all(t.count() == 0 for t in empty.values())
