@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.dedupe import fold_first_fit
 from tallyspark.operators.joins import first_per_key
 
+#: Days between readings of one deal: of its agreement, or where a reading states none, of its announcement.
+SAME_AGREEMENT_DAYS, SAME_DEAL_DAYS = 7, 180
 DUPLICATE_DAYS, OFFER_TOLERANCE, MOST_FX_MOVE = 180, 0.005, 0.2
 
 
@@ -33,6 +36,54 @@ def duplicate_intervals(candidates: DataFrame, known: DataFrame, key: str, days:
     return first_per_key(j.withColumn("gap", gap).filter(F.col("gap") <= days), ["candidate"], [F.col("gap"), F.col("deal")]).select("candidate", "deal", "gap")
 
 
+def _within(a: Column, b: Column, days: int) -> Column:
+    return F.abs(F.datediff(a, b)) <= days
+
+
+def same_deal(a: Column, b: Column) -> Column:
+    """Whether two readings of one target, structs of (day, agreed, original, buyer, parties), are of one deal.
+
+    ``original`` is the day of the agreement that a revised one amends: a
+    reading of that agreement by the same or an unnamed buyer is the same deal.
+    Else two buyers are two deals, unless either reading names the other's buyer
+    as a party; then the agreements' days decide, or, with one unstated, the days of announcement.
+    """
+    both = a["buyer"].isNotNull() & b["buyer"].isNotNull()
+    one_buyer = ~both | (a["buyer"] == b["buyer"])
+    amends = lambda x, y: F.coalesce(_within(x["original"], F.coalesce(y["agreed"], y["original"]), SAME_AGREEMENT_DAYS), F.lit(False))
+    named = lambda x, y: F.coalesce(F.array_contains(x["parties"], y["buyer"]), F.lit(False))
+    agreed = F.when(a["agreed"].isNotNull() & b["agreed"].isNotNull(), _within(a["agreed"], b["agreed"], SAME_AGREEMENT_DAYS))
+    near = F.coalesce(agreed, _within(a["day"], b["day"], SAME_DEAL_DAYS), F.lit(False))
+    return ((amends(a, b) | amends(b, a)) & one_buyer) | ((one_buyer | named(a, b) | named(b, a)) & near)
+
+
+def deal_groups(readings: DataFrame) -> DataFrame:
+    """(target, reading, deal, readings): the deal of each reading (target, reading, day, filed, agreed, original, buyer, parties).
+
+    In order of (day, filed, reading) a reading joins the first deal of its
+    target with all of whose readings it is of one deal. A deal is called by its
+    target and the first day that any of its readings states, with a number where several
+    would be called alike; readings without a target are no deal's. No date of one deal lies further than half a year from
+    all others, so stretches of a target's readings between longer gaps are
+    folded one by one: a task holds a stretch.
+    """
+    dated = F.array_compact(F.array("day", "agreed", "original"))
+    r = readings.filter(F.col("target").isNotNull()).withColumns({"__from": F.array_min(dated), "__to": F.array_max(dated)})
+    own = Window.partitionBy("target").orderBy(F.col("__from").asc_nulls_first(), "reading")
+    so_far = F.max("__to").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    parted = F.when(F.datediff("__from", so_far) <= SAME_DEAL_DAYS, 0).otherwise(1)
+    r = r.withColumn("__stretch", parted).withColumn("__stretch", F.sum("__stretch").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    member = F.struct("day", "filed", "reading", "agreed", "original", "buyer", "parties", F.array_min(F.array_compact(F.array("day", "original"))).alias("first"))
+    kind = r.select(F.array(member).alias("a")).schema["a"].dataType.simpleString()
+    folded = r.groupBy("target", "__stretch").agg(F.array_sort(F.collect_list(member)).alias("rows"))
+    deals = folded.select("target", F.explode(fold_first_fit(F.col("rows"), same_deal, kind)).alias("members"))
+    deals = deals.withColumn("first", F.array_min(F.transform("members", lambda m: m["first"]))).withColumn("least", F.array_min(F.transform("members", lambda m: m["reading"])))
+    again = F.row_number().over(Window.partitionBy("target", "first").orderBy("least"))
+    name = F.concat_ws(":", F.col("target").cast("string"), F.coalesce(F.col("first").cast("string"), F.col("least").cast("string")), F.when(again > 1, again.cast("string")))
+    named = deals.withColumn("deal", name).select("target", "deal", F.size("members").alias("readings"), F.explode("members").alias("m"))
+    return named.select("target", F.col("m.reading").alias("reading"), "deal", "readings")
+
+
 def primary_reading(readings: DataFrame) -> DataFrame:
     """Each deal's reading to show: among priced ones if there are any, the newest, with fewest doubts, of least id."""
     priced = F.col("offer").isNotNull()

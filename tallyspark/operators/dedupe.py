@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -171,6 +172,20 @@ def anchored_groups(rows: DataFrame, key: str, day: str, days: int) -> DataFrame
     return j.withColumn("group", F.size(F.filter("__anchors", lambda a: a <= F.col(day).cast("date")))).drop("__anchors")
 
 
+def fold_first_fit(ordered: Column, fits: Callable[[Column, Column], Column], members: str) -> Column:
+    """Groups of an array's elements: in order, each joins the first group all of whose members it fits, or starts one.
+
+    ``ordered`` is an array of structs and ``members`` its type; the result is an array of arrays of them.
+    """
+
+    def place(groups: Column, one: Column) -> Column:
+        open_to = F.array_position(F.transform(groups, lambda g: F.forall(g, lambda member: F.coalesce(fits(one, member), F.lit(False)))), True)
+        joined = F.transform(groups, lambda g, k: F.when(k == open_to - 1, F.array_append(g, one)).otherwise(g))
+        return F.when(open_to > 0, joined).otherwise(F.array_append(groups, F.array(one)))
+
+    return F.aggregate(ordered, F.array().cast(f"array<{members}>"), place)
+
+
 def first_fit_groups(rows: DataFrame, key: str, item: str, at: str, apart: int) -> DataFrame:
     """Incremental grouping: in order, a row joins the first group of its key whose every member is within ``apart`` of it.
 
@@ -178,32 +193,17 @@ def first_fit_groups(rows: DataFrame, key: str, item: str, at: str, apart: int)
     gaps is folded by itself and its groups are numbered on from those before: a
     task holds a stretch, not a key.
     """
-    kind = lambda c: rows.schema[c].dataType.simpleString()
-    schema = f"{key} {kind(key)}, stretch long, {item} {kind(item)}, group int"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([at, item])
-        spans: list[list[float]] = []
-        found = []
-        for v in pdf[at]:
-            for k, (low, high) in enumerate(spans):
-                if v - low <= apart and high - v <= apart:
-                    spans[k] = [min(low, v), max(high, v)]
-                    found.append(k)
-                    break
-            else:
-                spans.append([v, v])
-                found.append(len(spans) - 1)
-        return pdf.assign(group=found)[[key, "stretch", item, "group"]]
-
     own = Window.partitionBy(key).orderBy(at, item)
     parted = rows.select(key, item, at).withColumn("new", F.when(F.col(at) - F.lag(at).over(own) <= apart, 0).otherwise(1))
     parted = parted.withColumn("stretch", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
-    folded = parted.groupBy(key, "stretch").applyInPandas(fold, schema)
-    before = folded.groupBy(key, "stretch").agg((F.max("group") + 1).alias("n"))
-    before = before.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = folded.join(before.select(key, "stretch", "before"), [key, "stretch"])
-    return j.select(key, item, (F.col("group") + F.col("before")).cast("int").alias("group"))
+    member = F.struct(F.col(at).alias("at"), F.col(item).alias("item"))
+    kind = parted.select(F.array(member).alias("a")).schema["a"].dataType.simpleString()
+    folded = parted.groupBy(key, "stretch").agg(F.array_sort(F.collect_list(member)).alias("rows"))
+    folded = folded.select(key, "stretch", fold_first_fit(F.col("rows"), lambda a, b: F.abs(a["at"] - b["at"]) <= apart, kind).alias("groups"))
+    earlier = Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    folded = folded.withColumn("before", F.coalesce(F.sum(F.size("groups")).over(earlier), F.lit(0)))
+    each = folded.select(key, "before", F.posexplode("groups").alias("g", "members"))
+    return each.select(key, (F.col("g") + F.col("before")).cast("int").alias("group"), F.explode("members").alias("m")).select(key, F.col("m.item").alias(item), "group")
 
 
 def unique_slugs(rows: DataFrame, item: str, base: str, region: str) -> DataFrame:

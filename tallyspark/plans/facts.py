@@ -56,6 +56,19 @@ def statements(spark, sf_dir):
     return facts.statements(known_facts(spark, sf_dir), "R", ["A", "N"], 4)
 
 
+def identities(spark, sf_dir):
+    """Orders as readings of deals, five customers a target: buyers known, unknown or joint; agreements; amended ones."""
+    o = table(spark, sf_dir, "orders")
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    buyer = F.when(k % 3 != 0, F.concat(F.lit("b"), F.floor(k / 8) % 3))
+    rows = o.select(
+        F.floor(F.col("o_custkey") / 5).alias("target"), k.alias("reading"), day.alias("day"), F.date_add(day, 30).alias("filed"),
+        F.when(k % 4 == 0, F.date_sub(day, (k % 10).cast("int"))).alias("agreed"), F.when(k % 7 == 0, F.date_sub(day, (k % 100 + 20).cast("int"))).alias("original"),
+        buyer.alias("buyer"), F.when(k % 5 == 0, F.array(F.lit("b0"), F.lit("b1"))).alias("parties"),
+    )
+    return deals.deal_groups(rows)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -98,7 +111,7 @@ def size_buckets(spark, sf_dir):
 
 QUERIES = {
     "facts_trailing_year": trailing, "facts_period_kinds": kinds, "facts_chosen_tag": chosen, "facts_ebitda": ebitda, "facts_net_debt": net_debt, "facts_growth": growth, "facts_statements": statements,
-    "deals_valued": valued, "deals_duplicate_intervals": duplicates, "deals_primary_reading": primary, "deals_borrowed": borrowed, "deals_size_buckets": size_buckets,
+    "deals_groups": identities, "deals_valued": valued, "deals_duplicate_intervals": duplicates, "deals_primary_reading": primary, "deals_borrowed": borrowed, "deals_size_buckets": size_buckets,
 }
 
 _F = """i AS (SELECT l_suppkey AS cik, l_returnflag AS tag, CAST(l_shipdate AS DATE) AS d, CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem),
@@ -115,7 +128,22 @@ _R = """r AS (SELECT o_orderkey AS reading, concat(o_custkey, ':', year(o_orderd
   CAST(o_orderkey % 90 + 10 AS DOUBLE) AS shares, CASE WHEN o_orderkey % 7 <> 0 THEN CAST((o_orderkey % 50) * 100 - 1000 AS DOUBLE) END AS net_debt,
   CAST((o_orderkey % 400) * 10 - 20 AS DOUBLE) AS revenue, CAST((o_orderkey % 150) * 5 AS DOUBLE) AS ebitda, CAST(o_orderkey % 4 AS INTEGER) AS n_doubts FROM orders)"""
 
+_SAME = """coalesce((coalesce(abs(x.original - coalesce(m.agreed, m.original)) <= 7, false) OR coalesce(abs(m.original - coalesce(x.agreed, x.original)) <= 7, false)) AND (x.buyer IS NULL OR m.buyer IS NULL OR x.buyer = m.buyer), false)
+  OR ((x.buyer IS NULL OR m.buyer IS NULL OR x.buyer = m.buyer OR coalesce(list_contains(x.parties, m.buyer), false) OR coalesce(list_contains(m.parties, x.buyer), false))
+    AND CASE WHEN x.agreed IS NOT NULL AND m.agreed IS NOT NULL THEN abs(x.agreed - m.agreed) <= 7 ELSE abs(x.day - m.day) <= 180 END)"""
+
 SQL = {
+    "deals_groups": f"""WITH RECURSIVE o AS (SELECT o_custkey // 5 AS target, o_orderkey AS k, CAST(o_orderdate AS DATE) AS day FROM orders),
+      r AS (SELECT target, k AS reading, row_number() OVER (PARTITION BY target ORDER BY day, k) AS i, struct_pack(reading := k, day := day, agreed := CASE WHEN k % 4 = 0 THEN day - CAST(k % 10 AS INTEGER) END,
+          original := CASE WHEN k % 7 = 0 THEN day - CAST(k % 100 + 20 AS INTEGER) END, buyer := CASE WHEN k % 3 <> 0 THEN 'b' || (k // 8) % 3 END, parties := CASE WHEN k % 5 = 0 THEN ['b0', 'b1'] END) AS x FROM o),
+      fold AS (SELECT target, 1 AS i, [[x]] AS groups FROM r WHERE i = 1
+        UNION ALL SELECT target, i, CASE WHEN coalesce(pos, 0) = 0 THEN list_append(groups, [x]) ELSE list_concat(list_concat(groups[:pos - 1], [list_append(groups[pos], x)]), groups[pos + 1:]) END FROM (
+          SELECT f.target, f.i + 1 AS i, f.groups, r.x, list_position(list_transform(f.groups, lambda g: len(list_filter(g, lambda m: NOT ({_SAME}))) = 0), true) AS pos
+          FROM fold f JOIN r ON r.target = f.target AND r.i = f.i + 1)),
+      done AS (SELECT target, unnest(arg_max(groups, i)) AS g FROM fold GROUP BY target),
+      d AS (SELECT target, g, list_min(list_concat(list_transform(g, lambda m: m.day), list_transform(g, lambda m: m.original))) AS first, list_min(list_transform(g, lambda m: m.reading)) AS least FROM done),
+      n AS (SELECT *, row_number() OVER (PARTITION BY target, first ORDER BY least) AS again FROM d)
+      SELECT target, unnest(list_transform(g, lambda m: m.reading)) AS reading, concat(target, ':', first, CASE WHEN again > 1 THEN ':' || again ELSE '' END) AS deal, CAST(len(g) AS INTEGER) AS readings FROM n""",
     "facts_trailing_year": f"""WITH {_LTM} SELECT cik, tag, stop AS "end", round(ltm, 2) AS ltm, basis FROM t""",
     "facts_period_kinds": f"WITH {_F} SELECT cik, kind, count(*) AS n FROM k GROUP BY ALL",
     "facts_chosen_tag": f"""WITH {_F}, g AS (SELECT cik, tag, max(stop) AS l, count(*) AS n FROM k WHERE tag IN ('R', 'A', 'N') GROUP BY ALL)

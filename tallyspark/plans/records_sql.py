@@ -47,6 +47,13 @@ SQL = {
       anchors AS (SELECT user_id, min(day) AS day FROM days GROUP BY user_id UNION ALL
         SELECT a.user_id, (SELECT min(d.day) FROM days d WHERE d.user_id = a.user_id AND date_diff('day', a.day, d.day) > 5) AS day FROM anchors a WHERE a.day IS NOT NULL)
       SELECT e.event_id, CAST((SELECT count(*) FROM anchors a WHERE a.user_id = e.user_id AND a.day <= e.day) AS INTEGER) AS "group" FROM e""",
+    "dedupe_first_fit_groups": f"""WITH RECURSIVE {_E}, r AS (SELECT user_id, event_id, date_diff('day', DATE '2024-01-01', day) AS d, row_number() OVER (PARTITION BY user_id ORDER BY day, event_id) AS i FROM e),
+      fold AS (SELECT user_id, event_id, 1 AS i, [[d]] AS groups, CAST(0 AS BIGINT) AS g FROM r WHERE i = 1
+        UNION ALL SELECT user_id, event_id, i, CASE WHEN p = 0 THEN list_append(groups, [d]) ELSE list_concat(list_concat(groups[:p - 1], [list_append(groups[p], d)]), groups[p + 1:]) END,
+          CASE WHEN p = 0 THEN len(groups) ELSE p - 1 END FROM (
+          SELECT f.user_id, r.event_id, r.i, r.d, f.groups, coalesce(list_position(list_transform(f.groups, lambda g: list_max(g) - r.d <= 6 AND r.d - list_min(g) <= 6), true), 0) AS p
+          FROM fold f JOIN r ON r.user_id = f.user_id AND r.i = f.i + 1))
+      SELECT user_id, event_id, CAST(g AS INTEGER) AS "group" FROM fold""",
     "dedupe_alike_titles": f"""WITH p AS (SELECT page_id, {_TITLE_WORDS} AS w, page_id % 5 AS d FROM pages),
       j AS (SELECT a.page_id AS a, b.page_id AS b, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS similarity
         FROM p a JOIN p b ON a.page_id < b.page_id AND abs(a.d - b.d) <= 2 AND len(a.w) > 0 AND len(b.w) > 0)

@@ -161,3 +161,27 @@ def test_reference_row_by_hand(spark):
     r = got["gaps"]
     assert (r["coverage"], r["base_1m"], r["base_3m"], r["stats_status"]) == (0.3, None, None, "history")
     assert found.limit(0).count() == 0 and reference_rows.reference_rows(spark.createDataFrame([], seen), spark.createDataFrame(actions, "symbol string, i int, kind string, ratio double"), calendar, 10, changes).count() == 0
+
+
+def test_deals_by_complete_link(spark):
+    import datetime as dt
+
+    from tallyspark.operators import deals
+
+    d = lambda m, k=1, y=2022: dt.date(y, m, k)
+    rows = [
+        ("t", 1, d(1), d(1), None, None, "acme", None), ("t", 2, d(3), d(3), None, None, None, None), ("t", 3, d(4), d(4), None, None, "blue", None),
+        ("t", 4, d(8, 1), d(8), None, None, "acme", None),  # within half a year of 2 and 3, not of 1
+        ("t", 5, d(5), d(5), None, None, "blue", ["acme"]),
+        ("u", 6, d(8), d(8), d(8, 4), None, "robo", None), ("u", 7, d(7, 24, 2023), d(7), d(7, 24, 2023), d(8, 5), "robo", None), ("u", 8, d(7, 30, 2023), d(7), d(7, 30, 2023), None, "robo", None),
+        ("v", 9, None, d(1), None, None, None, None), ("v", 10, None, d(1), None, None, None, None), (None, 11, d(1), d(1), None, None, None, None),
+        ("w", 12, d(1), d(1), d(1), None, None, None), ("w", 13, d(1, 20), d(1), d(1, 20), None, None, None),
+    ]
+    schema = "target string, reading int, day date, filed date, agreed date, original date, buyer string, parties array<string>"
+    found = {}
+    for r in deals.deal_groups(spark.createDataFrame(rows, schema)).collect():
+        found.setdefault(r["deal"], set()).add(r["reading"])
+    assert found == {
+        "t:2022-01-01": {1, 2, 5}, "t:2022-04-01": {3}, "t:2022-08-01": {4}, "u:2022-08-01": {6, 7}, "u:2023-07-30": {8}, "v:9": {9}, "v:10": {10}, "w:2022-01-01": {12}, "w:2022-01-20": {13},
+    }
+    assert deals.deal_groups(spark.createDataFrame([], schema)).count() == 0
