@@ -78,7 +78,7 @@ def deal_groups(readings: DataFrame) -> DataFrame:
     folded = r.groupBy("target", "__stretch").agg(F.array_sort(F.collect_list(member)).alias("rows"))
     deals = folded.select("target", F.explode(fold_first_fit(F.col("rows"), same_deal, kind)).alias("members"))
     deals = deals.withColumn("first", F.array_min(F.transform("members", lambda m: m["first"]))).withColumn("least", F.array_min(F.transform("members", lambda m: m["reading"])))
-    again = F.row_number().over(Window.partitionBy("target", "first").orderBy("least"))
+    again = F.row_number().over(Window.partitionBy("target", "first", F.when(F.col("first").isNull(), F.col("least"))).orderBy("least"))
     name = F.concat_ws(":", F.col("target").cast("string"), F.coalesce(F.col("first").cast("string"), F.col("least").cast("string")), F.when(again > 1, again.cast("string")))
     named = deals.withColumn("deal", name).select("target", "deal", F.size("members").alias("readings"), F.explode("members").alias("m"))
     return named.select("target", F.col("m.reading").alias("reading"), "deal", "readings")
