@@ -167,8 +167,11 @@ def class_statements(texts: DataFrame) -> DataFrame:
     for p, n, c in patterns:
         numbers, names = (F.regexp_extract_all("s", F.lit(p), g) for g in (n, c))
         found.append(F.zip_with(numbers, names, lambda a, b: F.struct(class_name(b).alias("class"), _number(a).alias("shares"), F.lit(None).cast("double").alias("price"), F.lit(False).alias("bare"))))
-    paid = rf"(?i)each (?:outstanding )?share of {_CLASS}[^.;$]*?(?:right to receive|converted into|exchanged for) (?:an amount equal to )?{_MONEY}"
-    prices = F.zip_with(F.regexp_extract_all("s", F.lit(paid), 1), F.regexp_extract_all("s", F.lit(paid), 2), lambda a, b: F.struct(class_name(a).alias("class"), F.lit(None).cast("double").alias("shares"), _number(b).alias("price"), F.lit(False).alias("bare")))
+    # One payment may be for each share of several classes.
+    paid = F.regexp_extract_all("s", F.lit(rf"((?i:each (?:outstanding )?share of)[^.;$]*?(?:right to receive|converted into|exchanged for) (?:an amount equal to )?{_MONEY})"), 1)
+    named = lambda p: F.regexp_extract_all(p, F.lit(rf"(?i:share of) {_CLASS}"), 1)
+    for_each = lambda p: F.transform(named(p), lambda c: F.struct(class_name(c).alias("class"), F.lit(None).cast("double").alias("shares"), _number(_first(p, _MONEY)).alias("price"), F.lit(False).alias("bare")))
+    prices = F.flatten(F.transform(paid, for_each))
     bare = rf"{_CLASS}[^.;]*?(?:no economic (?:rights|interest)|not entitled to (?:any )?(?:dividends|consideration))"
     none = F.transform(F.regexp_extract_all("s", F.lit(bare), 1), lambda a: F.struct(class_name(a).alias("class"), F.lit(None).cast("double").alias("shares"), F.lit(None).cast("double").alias("price"), F.lit(True).alias("bare")))
     return s.select("deal", F.inline(F.concat(*found, prices, none)))

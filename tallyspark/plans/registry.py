@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import books, decisions, explorer, facts, holdings, landed, market, mergers, records, screens
+from tallyspark.plans import books, decisions, explorer, facts, holdings, landed, market, mergers, records, screens, terms
 
-AREAS = (holdings, market, records, facts, screens, books, explorer, decisions, mergers, landed)
+AREAS = (holdings, market, records, facts, screens, books, explorer, decisions, mergers, terms, landed)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

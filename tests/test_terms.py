@@ -58,6 +58,7 @@ CLASSES = [
     ("votes", "5,000 shares of common stock were outstanding. 5,000 common shares outstanding. 6,000 shares of common stock were outstanding.", (5000.0, "common", "", "all")),
     ("preferred", "There are 800 ordinary shares outstanding and 50 preferred shares outstanding.", (800.0, "ordinary", "", "all")),
     ("named", "There are 800 shares of common stock outstanding and 50 shares of Series B preferred stock outstanding. Each share of common stock is converted into $4.00.", (800.0, "common", "", "considered")),
+    ("both", "There are 800 ordinary shares outstanding and 50 shares of Series B preferred stock outstanding. Each share of Series B preferred stock and each share of ordinary stock is exchanged for $4.00.", (850.0, "b,ordinary", "", "considered")),
     ("none", "No shares are told.", None), ("null", None, None),
 ]
 
