@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import dates, deadlines, text
 from tallyspark.operators import boards, health, matching, screens
+from tallyspark.operators import mentions as named
 from tallyspark.plans.holdings import book, table
 from tallyspark.plans.records import event_days, orders
 
@@ -52,6 +53,15 @@ def listings(spark, sf_dir):
     return screens.eligible_listings(rows, seen, F.lit("1998-02-15").cast("date"), "o_orderkey").select("o_orderkey")
 
 
+def alias_mentions(spark, sf_dir):
+    """Passages of two and three words of the benchmark's items, wherever whole documents have them; some open several items."""
+    b = table(spark, sf_dir, "benchmark")
+    words = F.regexp_extract_all(F.lower("text"), F.lit(f"({named.WORD})"), 1)
+    cuts = [(1, 2), (1, 3), (4, 3), (8, 2)]
+    names = b.select("item_id", F.explode(F.array(*[F.array_join(F.slice(words, a, n), " ") for a, n in cuts])).alias("alias")).filter("size(split(alias, ' ')) > 1")
+    return named.mentions(table(spark, sf_dir, "documents"), "doc_id", "text", named.alias_table(names, "item_id", "alias"))
+
+
 def costs(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_type", F.col("value").cast("decimal(18,2)").alias("units"))
     prices = spark.createDataFrame([("view", 1), ("click", 2), ("purchase", 5), ("signup", 3)], "event_type string, price int")
@@ -286,6 +296,7 @@ def session_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "text_alias_mentions": alias_mentions,
     "filter_wanted": wanted_parts, "filter_horizon": horizon, "filter_hosts": allowed_pages, "text_paragraphs": prose, "filter_not_rejected": undecided,
     "filter_listings": listings, "agg_stage_costs": costs, "window_budget": budget, "join_both_sides": around, "join_campaigns": campaigns,
     "join_first_key": key_matches, "join_contained_names": names, "join_overrides": override, "join_amendments": amendments,
@@ -301,6 +312,20 @@ _NAMES = ", ".join(f"('{n}', {v})" for n, v in NAMES)
 _HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
 
 SQL = {
+    "text_alias_mentions": """WITH RECURSIVE bw AS (SELECT item_id, regexp_extract_all(lower(text), '[A-Za-z0-9]+') AS w FROM benchmark),
+      n AS (SELECT item_id, unnest([array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' '), array_to_string(w[4:6], ' '), array_to_string(w[8:9], ' ')]) AS words FROM bw),
+      a AS (SELECT words, CASE WHEN count(DISTINCT item_id) = 1 THEN min(item_id) END AS entity, len(string_split(words, ' ')) AS n FROM n WHERE contains(words, ' ') GROUP BY words),
+      pieces AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9]+') AS ps FROM documents),
+      p AS (SELECT doc_id, unnest(ps) AS piece, unnest(range(len(ps))) AS i FROM pieces),
+      o AS (SELECT doc_id, i, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS start FROM p),
+      t AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos, lower(piece) AS w, start, start + length(piece) AS stop FROM o WHERE regexp_matches(piece, '^[A-Za-z0-9]')),
+      g AS (SELECT doc_id, pos, start, w || ' ' || lead(w) OVER d AS two, lead(stop) OVER d AS stop2, w || ' ' || lead(w) OVER d || ' ' || lead(w, 2) OVER d AS three, lead(stop, 2) OVER d AS stop3 FROM t WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+      c AS (SELECT doc_id, pos, start, coalesce(x.words, y.words) AS words, CASE WHEN x.words IS NOT NULL THEN stop3 ELSE stop2 END AS stop, CASE WHEN x.words IS NOT NULL THEN x.entity ELSE y.entity END AS entity, CASE WHEN x.words IS NOT NULL THEN 3 ELSE 2 END AS n
+        FROM g LEFT JOIN a x ON x.words = g.three LEFT JOIN a y ON y.words = g.two WHERE x.words IS NOT NULL OR y.words IS NOT NULL),
+      r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM c),
+      f AS (SELECT doc_id, k, pos + n AS free, true AS taken FROM r WHERE k = 1
+        UNION ALL SELECT r.doc_id, r.k, CASE WHEN r.pos >= f.free THEN r.pos + r.n ELSE f.free END, r.pos >= f.free FROM f JOIN r ON r.doc_id = f.doc_id AND r.k = f.k + 1)
+      SELECT r.doc_id, CAST(start AS INTEGER) AS start, CAST(stop AS INTEGER) AS stop, words, entity FROM r JOIN f USING (doc_id, k) WHERE taken""",
     "filter_wanted": "SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, '(?i)widget|bolt') AND NOT regexp_matches(p_name, '(?i)cold|small')",
     "filter_horizon": f"WITH {_O} SELECT o_orderkey, day FROM o WHERE day BETWEEN DATE '1998-03-01' AND DATE '1998-03-01' + 120 AND (regexp_matches(priority, 'URGENT|HIGH') OR status = 'P')",
     "filter_hosts": rf"""WITH p AS (SELECT page_id, url, {_HOST} AS host FROM pages), b AS (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS host FROM p WHERE page_id % 17 = 0)
