@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.state import checkpoint_folder
+
 #: Verdicts from best to worst.
 VERDICTS = ("ok", "partial", "failed")
 
@@ -34,19 +38,27 @@ def source_health(checks: DataFrame, source: str, at: str, ok: Column) -> DataFr
     return c.groupBy(source).agg(F.max("__last").alias("last_success"), F.min(F.when(failing, F.col(at))).alias("failing_since"), F.count(F.when(failing, 1)).alias("failures"))
 
 
-def reachable(edges: DataFrame, start: str) -> DataFrame:
-    """(state): all states that edges (from_state, to_state) lead to from ``start``, which is among them only if an edge leads back."""
+def reachable(edges: DataFrame, start: str, most_rounds: int = 1000) -> DataFrame:
+    """(state): all states that edges (from_state, to_state) lead to from ``start``, which is among them only if an edge leads back.
+
+    A round follows the edges out of the states found last, until it finds none
+    that is new; what is found is written in the shared folder. More rounds than
+    ``most_rounds`` are an error, never a shorter answer. Edges with a null end lead nowhere.
+    """
     spark = edges.sparkSession
-    edges.createOrReplaceTempView("__edges")
-    found = spark.sql(
-        """WITH RECURSIVE r(state, depth) AS (
-             SELECT to_state, 1 FROM __edges WHERE from_state = :start
-             UNION ALL
-             SELECT e.to_state, r.depth + 1 FROM r JOIN __edges e ON e.from_state = r.state WHERE r.depth < 12)
-           SELECT DISTINCT state FROM r""",
-        args={"start": start},
-    )
-    return found
+    root = f"{checkpoint_folder(spark).rstrip('/')}/reachable-{uuid.uuid4().hex}"
+    known = edges.select("from_state", "to_state").distinct()
+    newest = known.filter(F.col("from_state") == start).select(F.col("to_state").alias("state")).filter("state is not null").distinct()
+    schema = newest.schema
+    newest.write.parquet(f"{root}/round=0")
+    for k in range(1, most_rounds + 1):
+        newest = spark.read.schema(schema).parquet(f"{root}/round={k - 1}")
+        so_far = spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/round={j}" for j in range(k)]).select("state")
+        more = newest.join(known, newest["state"] == known["from_state"]).select(F.col("to_state").alias("state")).filter("state is not null").distinct().join(so_far, "state", "left_anti")
+        more.write.parquet(f"{root}/round={k}")
+        if not spark.read.schema(schema).parquet(f"{root}/round={k}").take(1):
+            return so_far
+    raise RuntimeError(f"states are still found after {most_rounds} rounds")
 
 
 EMPTY_SHARE, EDGE_SHARE, REPLACED_SHARE, FEWEST_MARKERS, SHORT_TEXT = 0.3, 0.6, 0.001, 3, 2000

@@ -224,7 +224,9 @@ def carried(spark, sf_dir):
 
 
 def unambiguous_brands(spark, sf_dir):
-    return joins.unambiguous(table(spark, sf_dir, "part").select("p_name", "p_brand"), "p_name", "p_brand")
+    """Customers by the priority of all their orders of a month: months of several priorities are left out."""
+    o = orders(spark, sf_dir).select(F.concat_ws("/", "o_custkey", F.date_format("day", "yyyy-MM")).alias("month"), "priority")
+    return joins.unambiguous(o, "month", "priority")
 
 
 def filled_from_group(spark, sf_dir):

@@ -135,7 +135,7 @@ SQL = {
     "join_field_changes": f"""WITH {_NEW} SELECT n.o_orderkey, 'price' AS field, 'lost' AS change FROM new n WHERE n.price IS NULL UNION ALL SELECT n.o_orderkey, 'status', 'lost' FROM new n WHERE n.status IS NULL""",
     "join_refresh": f"WITH {_O} SELECT o_orderkey, CASE WHEN status = 'O' OR day >= DATE '1998-07-01' THEN 'new' ELSE status END AS status FROM o",
     "join_carry_forward": f"WITH {_O} SELECT o_orderkey, false AS carried FROM o WHERE day >= DATE '1998-07-01' UNION ALL SELECT o_orderkey, true FROM o WHERE day < DATE '1998-07-01' AND priority < '3'",
-    "join_unambiguous": "SELECT p_name, min(p_brand) AS p_brand FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) = 1",
+    "join_unambiguous": """SELECT o_custkey || '/' || strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, min(o_orderpriority) AS priority FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) = 1""",
     "join_fill_from_group": """WITH p AS (SELECT p_partkey, p_size AS grp, CASE WHEN p_partkey % 3 = 0 THEN CASE WHEN p_size % 2 = 0 THEN 'even' ELSE p_type END END AS label FROM part),
       g AS (SELECT grp, min(label) AS l FROM p GROUP BY 1 HAVING count(DISTINCT label) = 1) SELECT p_partkey, p.grp, coalesce(label, l) AS label FROM p LEFT JOIN g USING (grp)""",
     "join_longest_prefix": """WITH t AS (SELECT * FROM (VALUES ('10', 'ten'), ('101', 'ten-one'), ('12', 'twelve'), ('1234', 'run'), ('55', 'double')) v(prefix, value))

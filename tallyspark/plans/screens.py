@@ -220,13 +220,13 @@ def healths(spark, sf_dir):
     return health.source_health(table(spark, sf_dir, "events"), "user_id", "ts", F.col("event_type") != "error")
 
 
-EDGES = [("draft", "review", False), ("review", "accepted", True), ("review", "draft", False), ("accepted", "published", False), ("draft", "dropped", False), ("published", "withdrawn", True)]
-
-
 def reached(spark, sf_dir):
-    """What a draft reaches without a person: an edge that needs one doesn't count."""
-    edges = spark.createDataFrame(EDGES, "from_state string, to_state string, person boolean")
-    return health.reachable(edges.filter("not person"), "draft")
+    """Kinds of orders, a month of the year and priority each, that follow one another at a customer within a month: what one kind leads to."""
+    o = orders(spark, sf_dir)
+    state = F.concat_ws("/", F.date_format("day", "MM"), F.substring("priority", 1, 1))
+    own = Window.partitionBy("o_custkey").orderBy("day", "o_orderkey")
+    edges = o.select(state.alias("from_state"), F.lead(state).over(own).alias("to_state"), F.datediff(F.lead("day").over(own), "day").alias("gap"))
+    return health.reachable(edges.filter("gap <= 31").select("from_state", "to_state"), "01/1")
 
 
 def by_security(spark, sf_dir):
@@ -394,8 +394,9 @@ SQL = {
     "state_source_health": """WITH l AS (SELECT user_id, max(ts) FILTER (event_type <> 'error') AS last_success FROM events GROUP BY 1)
       SELECT l.user_id, last_success, min(ts) FILTER (event_type = 'error' AND (last_success IS NULL OR ts > last_success)) AS failing_since,
         count(*) FILTER (event_type = 'error' AND (last_success IS NULL OR ts > last_success)) AS failures FROM l JOIN events e USING (user_id) GROUP BY 1, 2""",
-    "state_reachable": """WITH RECURSIVE s AS (SELECT * FROM (VALUES ('draft', 'review'), ('review', 'draft'), ('accepted', 'published'), ('draft', 'dropped')) t(a, b)),
-      r AS (SELECT b AS state FROM s WHERE a = 'draft' UNION SELECT s.b FROM r JOIN s ON s.a = r.state) SELECT state FROM r""",
+    "state_reachable": f"""WITH RECURSIVE {_O}, e AS (SELECT strftime(day, '%m') || '/' || priority[1] AS a, lead(strftime(day, '%m') || '/' || priority[1]) OVER w AS b, lead(day) OVER w - day AS gap
+        FROM o WINDOW w AS (PARTITION BY o_custkey ORDER BY day, o_orderkey)),
+      r AS (SELECT b AS state FROM e WHERE a = '01/1' AND gap <= 31 UNION SELECT e.b FROM r JOIN e ON e.a = r.state WHERE gap <= 31) SELECT state FROM r""",
     "build_by_security": """WITH l AS (SELECT l_suppkey AS manager, upper(p_brand) AS security, year(l_shipdate) * 4 + quarter(l_shipdate) - 1 AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem JOIN part ON l_partkey = p_partkey),
       b AS (SELECT manager, security, q, sum(v) AS value FROM l GROUP BY ALL)
       SELECT security, CAST(q AS INTEGER) AS q, count(DISTINCT manager) AS holders, CAST(sum(value) AS DOUBLE) AS value, first(manager ORDER BY value DESC, manager) AS largest FROM b GROUP BY 1, 2 HAVING count(DISTINCT manager) >= 2""",

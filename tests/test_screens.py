@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import deadlines
@@ -103,6 +104,10 @@ def test_reachable_through_a_cycle(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("d", "e")], "from_state string, to_state string")
     assert rows(health.reachable(edges, "a"), "state") == [("b",), ("c",)]
     assert health.reachable(edges, "e").count() == 0
+    chain = spark.range(30).selectExpr("concat('s', id) AS from_state", "concat('s', id + 1) AS to_state")
+    assert health.reachable(chain, "s0").count() == 30
+    with pytest.raises(RuntimeError, match="still found"):
+        health.reachable(chain, "s0", 5)
 
 
 def test_deadlines(spark):
