@@ -138,6 +138,35 @@ def two_deep(trades: DataFrame, breaks: DataFrame) -> DataFrame:
     return two.groupBy("symbol", "i").agg(F.min(F.when(F.col("undone").isNull(), F.struct("k", "price")))["price"].alias("price"))
 
 
+def replayed(messages: DataFrame) -> DataFrame:
+    """(symbol, i, price): the last trade of each slot after its trades and breaks in order, two trades deep.
+
+    ``messages`` is (symbol, i, seq, kind, price, ref): a "trade", or a "break" of the trade whose seq is ref. A break of
+    the last trade leaves the one before, with none behind it; one of the trade before leaves the last one alone; one of
+    an earlier or unknown trade changes nothing. The price is null where a third trade would be needed. Two
+    trades in a row fix the state whatever came before, so only what
+    follows a slot's last such pair is replayed: about as many messages as it has breaks. Breaks before any trade,
+    and rows of another kind, count for nothing.
+    """
+    m = messages.filter(F.col("kind").isin("trade", "break"))
+    own = Window.partitionBy("symbol", "i").orderBy("seq")
+    trade = F.col("kind") == "trade"
+    m = m.withColumns({"__pair": trade & (F.lag("kind").over(own) == "trade"), "__before": F.lag("seq").over(own)})
+    start = F.max(F.when(F.col("__pair"), F.struct("seq", "__before"))).over(Window.partitionBy("symbol", "i"))
+    tail = m.withColumn("__from", start["__before"]).filter(F.col("__from").isNull() | (F.col("seq") >= F.col("__from")))
+    kept = tail.groupBy("symbol", "i").agg(F.array_sort(F.collect_list(F.struct("seq", "kind", F.col("price").cast("double").alias("price"), F.col("ref").cast("long").alias("ref")))).alias("m"), F.bool_or(trade).alias("traded"))
+    slot = lambda seq, price: F.struct(seq.cast("long").alias("seq"), price.cast("double").alias("price"))
+    none = slot(F.lit(None), F.lit(None))
+
+    def step(s: Column, x: Column) -> Column:
+        pair = lambda last, before: F.struct(last.alias("last"), before.alias("before"))
+        undone = F.when(x["ref"] == s["last"]["seq"], pair(s["before"], none)).when(x["ref"] == s["before"]["seq"], pair(s["last"], none)).otherwise(s)
+        return F.when(x["kind"] == "trade", pair(slot(x["seq"], x["price"]), s["last"])).otherwise(undone)
+
+    last = F.aggregate("m", F.struct(none.alias("last"), none.alias("before")), step)["last"]["price"]
+    return kept.filter("traded").select("symbol", "i", last.alias("price"))
+
+
 def late_trades(trades: DataFrame, close: Column, minutes: int = 30) -> DataFrame:
     """(symbol, i, late, late_minutes): trades in the last ``minutes`` before a slot's close, and how many of those minutes have one."""
     late = (F.col("at") < close) & (F.col("at") >= close - F.expr(f"interval {minutes} minutes"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators import joins, market, ranking, reference_rows, series
@@ -34,6 +34,17 @@ def two_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.two_deep(t, t.filter(F.col("event_type") == "error"))
 
 
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A week's events of a user: errors break the event one, two or three before."""
+    t = trades(spark, sf_dir).withColumn("i", F.floor(F.col("i") / 7).cast("int"))
+    own = Window.partitionBy("symbol", "i").orderBy("at", "seq")
+    back = F.when(F.col("seq") % 3 == 0, F.lag("seq", 1).over(own)).when(F.col("seq") % 3 == 1, F.lag("seq", 2).over(own)).otherwise(F.lag("seq", 3).over(own))
+    m = t.select("symbol", "i", F.row_number().over(own).alias("n"), "seq", back.alias("back"), "price", F.when(F.col("event_type") == "error", "break").otherwise("trade").alias("kind"))
+    # Messages are numbered in their order; a break names its trade by that number.
+    numbers = m.select("symbol", "i", F.col("seq").alias("back"), F.col("n").alias("ref"))
+    return market.replayed(m.join(numbers, ["symbol", "i", "back"], "left").select("symbol", "i", F.col("n").alias("seq"), "kind", "price", "ref"))
+
+
 def late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.late_trades(trades(spark, sf_dir), F.date_trunc("day", "at") + F.expr("interval 1 day"), 360)
 
@@ -123,6 +134,7 @@ QUERIES = {
     "market_last_unbroken": unbroken,
     "market_two_deep": two_deep,
     "market_late_trades": late,
+    "market_replayed": replayed,
     "market_grade": graded,
     "market_overnight_moves": moves,
     "market_back_adjusted": adjusted,
@@ -206,6 +218,13 @@ SQL = {
       CAST(sum(CAST(price * 100 AS DECIMAL(18,4))) AS DOUBLE) AS dollars FROM t WHERE event_type <> 'error' GROUP BY ALL""",
     "market_two_deep": f"""WITH {_OBS}, r AS (SELECT *, row_number() OVER (PARTITION BY symbol, i ORDER BY tm DESC, seq DESC) AS k FROM t)
       SELECT symbol, i, arg_min(price, k) FILTER (k <= 2 AND event_type <> 'error') AS price FROM r GROUP BY ALL""",
+    "market_replayed": f"""WITH RECURSIVE {_OBS}, w AS (SELECT symbol, i // 7 AS i, tm, seq, price, event_type = 'error' AS broken FROM t),
+      m AS (SELECT symbol, i, seq, price, broken, row_number() OVER p AS n, CASE seq % 3 WHEN 0 THEN lag(seq) OVER p WHEN 1 THEN lag(seq, 2) OVER p ELSE lag(seq, 3) OVER p END AS ref FROM w WINDOW p AS (PARTITION BY symbol, i ORDER BY tm, seq)),
+      f AS (SELECT symbol, i, n, CASE WHEN NOT broken THEN seq END AS a, CASE WHEN NOT broken THEN price END AS pa, CAST(NULL AS BIGINT) AS b, CAST(NULL AS DOUBLE) AS pb, NOT broken AS traded FROM m WHERE n = 1
+        UNION ALL SELECT m.symbol, m.i, m.n, CASE WHEN NOT broken THEN m.seq WHEN ref = a THEN b ELSE a END, CASE WHEN NOT broken THEN m.price WHEN ref = a THEN pb ELSE pa END,
+          CASE WHEN NOT broken THEN a WHEN ref = a OR ref = b THEN NULL ELSE b END, CASE WHEN NOT broken THEN pa WHEN ref = a OR ref = b THEN NULL ELSE pb END, traded OR NOT broken
+        FROM f JOIN m ON m.symbol = f.symbol AND m.i = f.i AND m.n = f.n + 1)
+      SELECT symbol, CAST(i AS INTEGER) AS i, arg_max(struct_pack(p := pa), n).p AS price FROM f GROUP BY symbol, i HAVING bool_or(traded)""",
     "market_late_trades": f"""WITH {_OBS} SELECT symbol, i, count(*) FILTER (hour(tm) >= 18) AS late, count(DISTINCT date_trunc('minute', tm)) FILTER (hour(tm) >= 18) AS late_minutes FROM t GROUP BY ALL""",
     "market_grade": f"""WITH {_OBS} SELECT symbol, i, CASE WHEN trades * 20 >= 100 AND dollars * 200 >= 1000000 AND trades * 3 >= 10 AND trades * 60 <= 300 THEN 'H'
       WHEN trades * 20 >= 20 AND dollars * 200 >= 100000 AND trades * 3 >= 3 AND trades * 60 <= 1800 THEN 'U' END AS grade FROM obs""",

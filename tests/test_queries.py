@@ -185,3 +185,35 @@ def test_deals_by_complete_link(spark):
         "t:2022-01-01": {1, 2, 5}, "t:2022-04-01": {3}, "t:2022-08-01": {4}, "u:2022-08-01": {6, 7}, "u:2023-07-30": {8}, "v:9": {9}, "v:10": {10}, "w:2022-01-01": {12}, "w:2022-01-20": {13},
     }
     assert deals.deal_groups(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_breaks_replayed_in_order(spark):
+    import random
+
+    from tallyspark.operators import market
+
+    rng, rows, want = random.Random(8), [], {}
+    for symbol in range(200):
+        last = before = None
+        traded = False
+        for seq in range(rng.randrange(1, 14)):
+            ids = [r[2] for r in rows if r[0] == symbol and r[3] == "trade"]
+            if rng.random() < 0.55 or not ids:
+                kind = "trade" if rng.random() < 0.9 else "break"
+            else:
+                kind = "break"
+            if kind == "trade":
+                rows.append((symbol, 0, seq, "trade", float(seq), None))
+                last, before, traded = seq, last, True
+                continue
+            ref = rng.choice(ids[-3:]) if ids else 99
+            rows.append((symbol, 0, seq, "break", None, ref))
+            if ref == last:
+                last, before = before, None
+            elif ref == before:
+                before = None
+        if traded:
+            want[symbol] = None if last is None else float(last)
+    rows.append((500, 0, 1, "note", 1.0, None))
+    got = market.replayed(spark.createDataFrame(rows, "symbol int, i int, seq long, kind string, price double, ref long"))
+    assert {r["symbol"]: r["price"] for r in got.collect()} == want and None in want.values()
