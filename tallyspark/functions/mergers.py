@@ -121,12 +121,18 @@ def fee_perimeter(total: Column, parts: Column, tolerance: float = 0.03) -> Colu
     every = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
     gap = every - total
     near = lambda v: F.abs(v - gap) <= tolerance * total
-    at = F.sequence(F.lit(0), n - 1)
-    one = F.filter(F.transform(at, lambda i: F.array(i)), lambda c: near(F.get(parts, F.get(c, F.lit(0)))))
-    two = F.flatten(F.transform(at, lambda i: F.transform(F.filter(at, lambda j: j > i), lambda j: F.array(i, j))))
-    two = F.filter(two, lambda c: near(F.get(parts, F.get(c, F.lit(0))) + F.get(parts, F.get(c, F.lit(1)))))
-    three = F.flatten(F.transform(at, lambda i: F.flatten(F.transform(F.filter(at, lambda j: j > i), lambda j: F.transform(F.filter(at, lambda k: k > j), lambda k: F.array(i, j, k))))))
-    three = F.filter(three, lambda c: near(F.get(parts, F.get(c, F.lit(0))) + F.get(parts, F.get(c, F.lit(1))) + F.get(parts, F.get(c, F.lit(2)))))
-    none = F.array().cast("array<int>")
-    out = F.when((n == 0) | (F.abs(gap) <= tolerance * total), none).otherwise(F.coalesce(F.get(one, F.lit(0)), F.get(two, F.lit(0)), F.get(three, F.lit(0))))
+    at, none = F.sequence(F.lit(0), n - 1), F.array().cast("array<int>")
+    part = lambda i: F.get(parts, i)
+    first = lambda places, found: F.aggregate(places, F.lit(None).cast("array<int>"), lambda held, i: F.coalesce(held, found(i)))
+    after = lambda i: F.filter(at, lambda j: j > i)
+
+    def last(sofar: Column, places: Column, *taken: Column) -> Column:
+        k = F.get(F.filter(places, lambda k: near(sofar + part(k))), F.lit(0))
+        return F.when(k.isNotNull(), F.array(*taken, k))
+
+    # One combination is held at a time; the fewest components come first, then the first ones.
+    one = last(F.lit(0.0), at)
+    two = first(at, lambda i: last(part(i), after(i), i))
+    three = first(at, lambda i: first(after(i), lambda j: last(part(i) + part(j), after(j), i, j)))
+    out = F.when((n == 0) | (F.abs(gap) <= tolerance * total), none).otherwise(F.coalesce(one, two, three))
     return F.struct(every.alias("sum"), out.alias("left_out"))

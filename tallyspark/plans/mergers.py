@@ -60,10 +60,9 @@ def targets(spark, sf_dir):
 def perimeter(spark, sf_dir):
     """An order's items as a fee table whose total leaves out one or two of them."""
     i = table(spark, sf_dir, "lineitem")
-    parts = i.filter("l_linenumber <= 7").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice"))), lambda x: F.ceil(x["l_extendedprice"] / 1000) * 1000.0).alias("parts"))
-    parts = parts.filter("size(parts) between 4 and 7")
+    parts = i.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice"))), lambda x: F.ceil(x["l_extendedprice"] / 1000) * 1000.0).alias("parts"))
     every = F.aggregate("parts", F.lit(0.0), lambda a, x: a + x)
-    total = F.when(F.col("l_orderkey") % 3 == 0, every).when(F.col("l_orderkey") % 3 == 1, every - F.get("parts", F.lit(1))).otherwise(every - F.get("parts", F.lit(0)) - F.get("parts", F.lit(2)))
+    total = F.when(F.col("l_orderkey") % 3 == 0, every).when(F.col("l_orderkey") % 3 == 1, every - F.coalesce(F.get("parts", F.lit(1)), F.lit(0.0))).otherwise(every - F.get("parts", F.lit(0)) - F.coalesce(F.get("parts", F.lit(2)), F.lit(0.0)))
     f = parts.withColumn("total", total).withColumn("x", m.fee_perimeter(F.col("total"), F.col("parts"), 1e-9))
     left = F.aggregate(F.coalesce("x.left_out", F.array().cast("array<int>")), F.lit(0.0), lambda a, i: a + F.get("parts", i))
     return f.select("l_orderkey", F.col("x.sum").alias("sum"), (F.abs(F.col("x.sum") - left - F.col("total")) < 0.01).alias("explained"))
@@ -188,7 +187,7 @@ SQL = {
     "merger_dates": f"WITH {_O} SELECT o_orderkey, day AS agreed, day + 9 AS amended FROM o",
     "merger_parties": "SELECT o_orderkey, 'Acme, Inc.|Blue Parent LLC|Merger Sub Corp' AS parties FROM orders",
     "merger_targets": "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'shell' WHEN 1 THEN 'fund' WHEN 2 THEN 'class' WHEN 3 THEN 'shell' END AS problem FROM orders",
-    "merger_perimeter": """SELECT l_orderkey, sum(ceil(l_extendedprice / 1000) * 1000.0::DOUBLE) AS sum, true AS explained FROM lineitem WHERE l_linenumber <= 7 GROUP BY 1 HAVING count(*) BETWEEN 4 AND 7""",
+    "merger_perimeter": """SELECT l_orderkey, sum(ceil(l_extendedprice / 1000) * 1000.0::DOUBLE) AS sum, true AS explained FROM lineitem GROUP BY 1""",
     "text_normalised": "SELECT p_partkey, p_name || ' fix' AS name FROM part",
     "build_daily_post": f"""WITH {_O}, g AS (SELECT day, min(o_orderkey) FILTER (priority = '1-URGENT' AND status = 'P') AS entry, first(o_orderkey ORDER BY price DESC, o_orderkey DESC) FILTER (price > 250000) AS deal FROM o GROUP BY 1)
       SELECT day, CASE WHEN entry IS NOT NULL THEN 'calendar' WHEN deal IS NOT NULL THEN 'deal' ELSE 'puzzle' END AS kind, coalesce(entry, deal) AS o_orderkey FROM g""",

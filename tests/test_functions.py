@@ -64,3 +64,17 @@ def test_as_of_on_equal_times_and_missing_keys(spark):
     right = spark.createDataFrame([("a", 5, "x"), ("a", 2, "y")], "k string, t int, v string")
     got = {r["id"]: r["v"] for r in as_of(left, right, "k", "t", "v").collect()}
     assert got == {1: "x", 2: None, 3: None}
+
+
+def test_fee_perimeter_of_many_parts(spark):
+    import itertools
+
+    from tallyspark.functions.mergers import fee_perimeter
+
+    parts = [float(3 * k * k + 7) for k in range(60)]
+    cases = [(parts, sum(parts)), (parts, sum(parts) - parts[7]), (parts, sum(parts) - parts[3] - parts[50]), (parts, sum(parts) - parts[1] - parts[30] - parts[59]), (parts, 1.0), ([], 5.0), ([4.0], 0.0)]
+    rows = spark.createDataFrame(cases, "parts array<double>, total double").select("parts", "total", fee_perimeter(F.col("total"), F.col("parts"), 1e-9).alias("x")).collect()
+    for r, (own, total) in zip(rows, cases, strict=True):
+        gap = sum(own) - total
+        fits = [c for n in range(4) for c in itertools.combinations(range(len(own)), n) if abs(sum(own[i] for i in c) - gap) <= 1e-9 * total] if own else [()]
+        assert (None if r["x"]["left_out"] is None else tuple(r["x"]["left_out"])) == (fits[0] if fits else None)
