@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.operators import terms
+from tallyspark.operators import deal_rows, terms
+from tallyspark.plans.holdings import table
 from tallyspark.plans.records import orders
 
 def _key():
@@ -69,12 +70,42 @@ def share_counts(spark, sf_dir):
     return terms.share_counts(deals(spark, sf_dir).select("deal", text.alias("text")))
 
 
-QUERIES = {"terms_premiums": premiums, "terms_stock_values": stock_values, "terms_share_counts": share_counts}
+def rows_of_deals(spark, sf_dir):
+    """An order's lines as its deal's documents; suppliers are targets, some of them shells, with their sales by year as financials."""
+    i = table(spark, sf_dir, "lineitem")
+    n, day = F.col("l_linenumber"), F.col("l_shipdate").cast("date")
+    i = i.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("l_suppkey"), F.min(day).alias("day"), F.min("l_quantity").alias("quantity"))
+    said = F.concat(
+        F.when(F.col("quantity") < 40, F.concat(F.lit("Each holder has the right to receive $"), F.floor("quantity").cast("string"), F.lit(".50 in cash. "))).otherwise(""),
+        F.when(n % 2 == 1, F.concat(F.lit("The agreement is dated as of "), F.date_format("day", "MMMM d, yyyy"), F.lit(". "))).otherwise(""),
+        F.when(F.col("quantity") > 25, F.concat(F.lit("That is a premium of "), F.floor("quantity").cast("string"), F.lit("% over the closing price."))).otherwise(""),
+    )
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("release", "proxy", "agreement", "proxy", "letter", "agreement", "release")]), n)
+    name = F.when(n == 5, "").when(F.col("l_suppkey") % 50 == 7, F.concat(F.lit("Orion "), "l_suppkey", F.lit(" Acquisition Corp"))).otherwise(F.concat(F.lit("Acme "), F.col("l_suppkey") % 10))
+    docs = i.select(F.col("l_orderkey").alias("deal"), n.alias("doc"), kind.alias("kind"), F.col("day").alias("filed"), name.alias("name"), F.lit(3500).alias("sic"), said.alias("text"))
+    years = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("Acme "), F.col("l_suppkey") % 10).alias("target"), F.last_day(F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(1))).alias("period"))
+    financials = years.agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("ebitda"))
+    return deal_rows.deal_rows(deal_rows.read_documents(docs), financials)
+
+
+QUERIES = {"build_deal_rows": rows_of_deals, "terms_premiums": premiums, "terms_stock_values": stock_values, "terms_share_counts": share_counts}
 
 _D = """d AS (SELECT o_orderkey AS deal, CAST(o_orderdate AS DATE) AS day, floor(o_totalprice / 1000) + 1.25 AS offer, o_orderkey % 50 + 5 AS p, o_custkey % 10 AS acquirer FROM orders),
 e AS (SELECT *, floor(offer / (1 + p / 100.0::DOUBLE) * 100) / 100 AS over FROM d)"""
 
+_CHOICE = "arg_max(struct_pack(v := {v}, doc := doc, kind := kind), struct_pack(a := -list_position([{kinds}], kind), b := filed, c := doc)) FILTER ({v} IS NOT NULL AND kind IN ({kinds})) AS {f}"
+_KINDS = {f: ", ".join(f"'{k}'" for k in kinds) for f, kinds in deal_rows.PRECEDENCE.items()}
+
 SQL = {
+    "build_deal_rows": f"""WITH i AS (SELECT l_orderkey AS deal, l_linenumber AS doc, min(l_suppkey) AS s, min(CAST(l_shipdate AS DATE)) AS filed, CAST(floor(min(l_quantity)) AS BIGINT) AS q FROM lineitem GROUP BY ALL),
+      d AS (SELECT deal, doc, ['release', 'proxy', 'agreement', 'proxy', 'letter', 'agreement', 'release'][doc] AS kind, filed, CASE WHEN q < 40 THEN q + 0.5::DOUBLE END AS offer, CASE WHEN doc % 2 = 1 THEN filed END AS agreed,
+        CASE WHEN doc = 5 THEN NULL WHEN s % 50 = 7 THEN 'Orion ' || s || ' Acquisition Corp' ELSE 'Acme ' || s % 10 END AS target, CASE WHEN q > 25 THEN round(q / 100.0::DOUBLE, 6) END AS premium, doc <> 5 AND s % 50 = 7 AS no FROM i),
+      g AS (SELECT deal, count(*) AS docs, bool_or(no) AS no, {", ".join(_CHOICE.format(v=f, f="b_" + f, kinds=k) for f, k in _KINDS.items())} FROM d GROUP BY deal),
+      c AS (SELECT g.deal, {", ".join(f"CASE WHEN count(DISTINCT d.{f}) FILTER (d.kind = g.b_{f}.kind) > 1 THEN '{f}' END AS c_{f}" for f in _KINDS)} FROM g JOIN d USING (deal) GROUP BY ALL),
+      y AS (SELECT 'Acme ' || l_suppkey % 10 AS target, make_date(year(l_shipdate), 12, 31) AS period, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS ebitda FROM lineitem GROUP BY ALL),
+      x AS (SELECT g.deal, arg_max(struct_pack(revenue := revenue, ebitda := ebitda, period := period), period) AS x FROM g JOIN y ON y.target = g.b_target.v AND g.b_agreed.v - y.period BETWEEN 1 AND 550 GROUP BY g.deal)
+      SELECT g.deal, CASE WHEN no THEN 'rejected' WHEN b_offer IS NOT NULL AND b_target IS NOT NULL THEN 'ok' ELSE 'missing ' || concat_ws(',', CASE WHEN b_offer IS NULL THEN 'offer' END, CASE WHEN b_target IS NULL THEN 'target' END) END AS status, docs,
+        {", ".join(f"b_{f}.v AS {f}, b_{f}.doc AS {f}_doc" for f in _KINDS)}, concat_ws(',', {", ".join(f"c_{f}" for f in _KINDS)}) AS conflicts, x.revenue, x.ebitda, x.period FROM g LEFT JOIN c ON c.deal = g.deal LEFT JOIN x ON x.deal = g.deal""",
     "terms_premiums": f"""WITH {_D}
       SELECT deal, 'close' AS basis, round(p / 100.0::DOUBLE, 6) AS premium, over AS price, day AS date, 'reproduced' AS verdict, 2 AS stated, 0 AS refused FROM e WHERE deal % 5 = 0
       UNION ALL SELECT deal, 'close', round(p / 100.0::DOUBLE, 6), over, day, 'reproduced', 1, 0 FROM e WHERE deal % 5 = 1

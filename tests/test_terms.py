@@ -70,3 +70,25 @@ def test_share_counts(spark, parted):
         rows = [(d, s) for d, t in rows if t for s in terms.sentences(spark.createDataFrame([(d, t)], "deal string, text string")).toPandas()["s"]]
     got = {r["deal"]: tuple(r)[1:] for r in terms.share_counts(spark.createDataFrame(rows, "deal string, text string")).collect()}
     assert got == {d: w for d, _, w in CLASSES if w}
+
+
+def test_deal_rows_by_precedence(spark):
+    from tallyspark.operators import deal_rows
+
+    d = dt.date
+    text = "Each holder has the right to receive $20.50 in cash. It is dated as of March 3, 2024. That is a premium of 31% over the closing price."
+    docs = [
+        ("x", 1, "release", d(2024, 3, 4), "Acme", 1, "Each holder has the right to receive $19.00 in cash."),
+        ("x", 2, "agreement", d(2024, 3, 3), " ", 1, text), ("x", 3, "proxy", d(2024, 5, 1), "Acme Tools", 1, "Each holder has the right to receive $21.00 in cash. That is a premium of 29.5% over the closing price."),
+        ("x", 4, "proxy", d(2024, 6, 1), "Acme Tools, Inc.", 1, "Nothing new."), ("x", 5, "letter", d(2024, 9, 1), "Other", 1, "Each holder has the right to receive $99.00 in cash."),
+        ("y", 6, "release", d(2024, 3, 4), "Bright Income Fund", 2, text), ("z", 7, "release", d(2024, 3, 4), None, None, None),
+    ]
+    schema = "deal string, doc int, kind string, filed date, name string, sic int, text string"
+    money = [("Acme Tools, Inc.", d(2023, 12, 31), 9.0, 2.0), ("Acme Tools, Inc.", d(2022, 12, 31), 8.0, 1.0), ("Acme Tools, Inc.", d(2024, 12, 31), 99.0, 9.0)]
+    financials = spark.createDataFrame(money, "target string, period date, revenue double, ebitda double")
+    rows = {r["deal"]: r for r in deal_rows.deal_rows(deal_rows.read_documents(spark.createDataFrame(docs, schema)), financials).collect()}
+    x = rows["x"]
+    assert (x["status"], x["docs"], x["offer"], x["offer_doc"], x["target"], x["target_doc"], x["agreed"], x["premium"], x["premium_doc"]) == ("ok", 5, 20.5, 2, "Acme Tools, Inc.", 4, d(2024, 3, 3), 0.295, 3)
+    assert (x["conflicts"], x["revenue"], x["period"]) == ("target", 9.0, d(2023, 12, 31))
+    assert rows["y"]["status"] == "rejected" and rows["z"]["status"] == "missing offer,target" and rows["z"]["revenue"] is None
+    assert deal_rows.deal_rows(deal_rows.read_documents(spark.createDataFrame([], schema)), financials).count() == 0
