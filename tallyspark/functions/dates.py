@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 DUE_DAYS = 49
 
 
+def reporting_period(day: Column) -> Column:
+    """FYyyyy for a year's end, yyyyH1 for the end of June, else FYyyyyH1 or H2 by the half that is running."""
+    m, year = F.month(day), F.year(day).cast("string")
+    ends = F.last_day(day) == F.to_date(day)
+    running = F.concat(F.lit("FY"), year, F.when(m <= 6, "H1").otherwise("H2"))
+    return F.when(ends & (m == 12), F.concat(F.lit("FY"), year)).when(ends & (m == 6), F.concat(year, F.lit("H1"))).otherwise(running)
+
+
 def quarter_key(day: Column) -> Column:
     return F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
 

@@ -9,6 +9,26 @@ from pyspark.sql import functions as F
 CUSIP_ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ*@#"
 
 
+#: Symbols of exchanges' own tests; fixed values.
+TEST_SYMBOLS = ("ZVZZT", "ZWZZT", "ZXZZT", "ZJZZT", "TEST")
+
+
+def publishable(symbol: Column) -> Column:
+    """Whether a symbol is one to five letters with an optional class of one or two, and none of the tests."""
+    return symbol.rlike(r"^[A-Z]{1,5}([.-][A-Z]{1,2})?$") & ~symbol.isin(*TEST_SYMBOLS)
+
+
+def accession(url: Column) -> Column:
+    """A filing's id from its address, with dashes; empty if the address has none."""
+    raw = F.regexp_extract(url, r"/data/[0-9]+/([0-9]{18})/", 1)
+    return F.regexp_replace(raw, r"^([0-9]{10})([0-9]{2})([0-9]{6})$", "$1-$2-$3")
+
+
+def index_address(url: Column) -> Column:
+    """The address of the index page of a filing that has this address."""
+    return F.concat(F.regexp_extract(url, r"^(.*/[0-9]{18}/)", 1), accession(url), F.lit("-index.htm"))
+
+
 def cusip_check_digit(base: Column) -> Column:
     """The check digit of eight characters: every second value doubled, digits summed, modulo ten; null for others."""
     upper = F.upper(base)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import movement
@@ -34,6 +34,29 @@ def collapsed_groups(old: DataFrame, new: DataFrame, group: str, floor: int = GR
     return movement(old, new, group).withColumn("ok", (F.col("from_n") < floor) | (F.col("to_n") * 2 > F.col("from_n")))
 
 
+def stamp_checks(rows: DataFrame, stamp: str, today: Column, most_days: int) -> DataFrame:
+    """(name, value, ok): the days since the newest stamp; without one, or with one in the future, it isn't ok."""
+    g = rows.agg(F.datediff(today, F.max(stamp)).cast("double").alias("value"))
+    return g.select(F.lit("stamp_age").alias("name"), "value", F.coalesce(F.col("value").between(0, most_days), F.lit(False)).alias("ok"))
+
+
+def never_shrinks(old: DataFrame, new: DataFrame, group: str) -> DataFrame:
+    """(group, from_n, to_n, ok) of each group there was: ok if it has as many rows as before, or more."""
+    return movement(old, new, group).filter("from_n > 0").withColumn("ok", F.col("to_n") >= F.col("from_n"))
+
+
+def immutable_changes(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(key, change, fields): published rows that are "gone", or "changed" in fields that never may; null to null is no change.
+
+    Rows that are new aren't listed. Fields are comma-joined in the order given.
+    """
+    b = new.select(key, *[F.col(f).alias(f"__{f}") for f in fields], F.lit(True).alias("__there"))
+    j = old.join(b, key, "left")
+    differ = F.array_join(F.array_compact(F.array(*[F.when(~F.col(f).eqNullSafe(F.col(f"__{f}")), F.lit(f)) for f in fields])), ",")
+    change = F.when(F.col("__there").isNull(), "gone").when(differ != "", "changed")
+    return j.select(key, change.alias("change"), F.when(change == "changed", differ).alias("fields")).filter("change is not null")
+
+
 def field_losses(old: DataFrame, new: DataFrame, key: str, fields: list[str], rows: int = LOSS_ROWS, share: float = LOSS_SHARE) -> DataFrame:
     """(field, had, lost, refused): filled values of rows in both that are null now; refused from ``rows`` and over ``share``."""
     b = new.select(key, *[F.col(f).alias(f"__{f}") for f in fields])

@@ -115,3 +115,13 @@ def statements(facts: DataFrame, revenue: str, lines: list[str], years: int = 5)
     held = near.groupBy("cik", "end").agg(*[F.min(F.when(F.col("tag") == t, F.struct(gap.alias("gap"), "__end", "val")))["val"].alias(t) for t in lines])
     full = axis.join(held, ["cik", "end"], "left")
     return full.select("cik", "end", "revenue", "growth", *[c for t in lines for c in (F.col(t), F.round(F.try_divide(F.col(t), F.col("revenue")), 6).alias(f"{t}_margin"))])
+
+
+def fiscal_years(ends: DataFrame, filings: DataFrame, key: str, within: int = 150) -> DataFrame:
+    """(key, end, fy): a period end's fiscal year by the first filing (key, filed, fy) at most ``within`` days after it, else by its own year.
+
+    Ends in January and February are of the year before, whatever is filed.
+    """
+    j = ends.join(filings, key).filter(F.datediff("filed", "end").between(1, within)).groupBy(key, "end").agg(F.min_by("fy", F.struct("filed", "fy")).alias("fy"))
+    own = F.when(F.month("end") <= 2, F.year("end") - 1).otherwise(F.year("end"))
+    return ends.join(j, [key, "end"], "left").select(key, "end", F.coalesce(F.when(F.month("end") > 2, F.col("fy")), own).cast("int").alias("fy"))

@@ -21,6 +21,17 @@ def round_robin(rows: DataFrame, group: str, order: list[Column], cap: int) -> D
     return picked.orderBy("round", group).limit(cap)
 
 
+def card_and_detail(pages: DataFrame, key: str, page: str, score: Column, kind: Column) -> DataFrame:
+    """(key, card, detail): the page of the best score, ties to the lesser page, and of the others the first by (kind, score, page); null if there is none.
+
+    The two best by the second order hold the detail page whichever the card is, so one aggregate does.
+    """
+    in_turn = F.row_number().over(Window.partitionBy(key).orderBy(kind, score.desc(), F.col(page)))
+    p = pages.select(key, page, score.alias("__s"), in_turn.alias("__n"))
+    g = p.groupBy(key).agg(F.max_by(page, F.struct("__s", -F.col(page))).alias("card"), F.max(F.when(F.col("__n") == 1, F.col(page))).alias("__1"), F.max(F.when(F.col("__n") == 2, F.col(page))).alias("__2"))
+    return g.select(key, "card", F.when(F.col("__1") != F.col("card"), F.col("__1")).otherwise(F.col("__2")).alias("detail"))
+
+
 def pick_three(rows: DataFrame, key: str, day: str, value: str, area: str) -> DataFrame:
     """The newest; the largest of the rest; the newest of another area than both; then the newest left: three rows with ``pick``."""
     newest = [F.desc(day), F.asc(key)]

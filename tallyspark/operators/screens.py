@@ -14,6 +14,12 @@ PARAGRAPH_CHARS, PARAGRAPH_TABS = 160, 2
 ENUMERATED = r"^\(?[0-9a-z]{1,3}[.)]"
 
 
+def allowed_fields(fields: Column, allowed: tuple[str, ...], forbidden: tuple[str, ...]) -> tuple[list[Column], Column]:
+    """The allowed entries of a map as columns in a fixed order, null where missing, and the forbidden ones that it has, comma-joined by name."""
+    bad = F.array_sort(F.map_keys(F.map_filter(fields, lambda k, v: k.isin(*forbidden))))
+    return [F.element_at(fields, k).alias(k) for k in allowed], F.array_join(bad, ",")
+
+
 def keep_matching(rows: DataFrame, text: str, wanted: str, noise: str) -> DataFrame:
     """Rows whose text has the wanted pattern and not the noise, letters in either case; null texts go."""
     return rows.filter(F.col(text).rlike(f"(?i){wanted}") & ~F.col(text).rlike(f"(?i){noise}"))

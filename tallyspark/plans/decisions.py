@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions import tables, text
+from tallyspark.functions import arrays, dates, identifiers, tables, text
 from tallyspark.operators import decisions as d
-from tallyspark.operators import deals, market, state
+from tallyspark.operators import deals, facts, market, state
 from tallyspark.plans.holdings import table
 from tallyspark.plans.records import event_days, orders
 
@@ -231,28 +231,27 @@ def symbols(spark, sf_dir):
     """Publishable symbols: one to five letters with an optional class, no test symbol."""
     p = table(spark, sf_dir, "part").select("p_partkey", F.upper(F.concat(F.regexp_replace("p_name", "[^a-z]", ""), F.when(F.col("p_size") % 3 == 0, F.lit(".b")).otherwise(F.lit("")))).alias("s"))
     s = F.when(F.col("p_partkey") % 5 == 0, F.substring("s", 1, 4)).when(F.col("p_partkey") % 5 == 1, F.lit("ZVZZT")).otherwise(F.col("s"))
-    return p.select("p_partkey", s.alias("symbol")).filter(F.col("symbol").rlike(r"^[A-Z]{1,5}([.-][A-Z]{1,2})?$") & ~F.col("symbol").isin("ZVZZT", "ZWZZT", "ZXZZT", "ZJZZT", "TEST"))
+    return p.select("p_partkey", s.alias("symbol")).filter(identifiers.publishable(F.col("symbol")))
 
 
 def roundings(spark, sf_dir):
     """Half up, half even and six places of the same number."""
     o = orders(spark, sf_dir)
     v = F.floor(F.col("price")).cast("decimal(18,4)") / 8
-    return o.select("o_orderkey", F.round(v.cast("decimal(18,4)"), 2).cast("double").alias("up"), F.bround(v.cast("decimal(18,4)"), 2).cast("double").alias("even"), F.round(F.col("price") / 7, 6).alias("six"))
+    return o.select("o_orderkey", arrays.rounded(v).alias("up"), arrays.rounded(v, half_even=True).alias("even"), F.round(F.col("price") / 7, 6).alias("six"))
 
 
 def capped(spark, sf_dir):
     """The first five distinct parts of a supplier and how many were left out."""
     i = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.array_sort(F.collect_set("l_partkey")).alias("parts"))
-    return i.select("l_suppkey", F.array_join(F.transform(F.slice("parts", 1, 5), lambda x: x.cast("string")), ",").alias("kept"), F.greatest(F.size("parts") - 5, F.lit(0)).alias("left_out"))
+    i = i.withColumn("x", arrays.capped(F.col("parts"), 5))
+    return i.select("l_suppkey", F.array_join(F.transform("x.kept", lambda x: x.cast("string")), ",").alias("kept"), "x.left_out")
 
 
 def periods(spark, sf_dir):
     """FYyyyy for a year's end, yyyyH1 for a half's end, else FYyyyy with the half running."""
     o = orders(spark, sf_dir)
-    m, dd, y = F.month("day"), F.dayofmonth("day"), F.year("day").cast("string")
-    label = F.when((m == 12) & (dd == 31), F.concat(F.lit("FY"), y)).when((m == 6) & (dd == 30), F.concat(y, F.lit("H1"))).otherwise(F.concat(F.lit("FY"), y, F.when(m <= 6, "H1").otherwise("H2")))
-    return o.select("o_orderkey", label.alias("period"))
+    return o.select("o_orderkey", dates.reporting_period(F.col("day")).alias("period"))
 
 
 def fiscal_years(spark, sf_dir):
@@ -260,9 +259,7 @@ def fiscal_years(spark, sf_dir):
     o = orders(spark, sf_dir)
     ends = o.select("o_custkey", F.last_day("day").alias("end")).distinct()
     filed = o.select("o_custkey", F.col("day").alias("filed"), F.year("day").alias("fy"))
-    j = ends.join(filed, "o_custkey").filter(F.datediff("filed", "end").between(1, 150)).groupBy("o_custkey", "end").agg(F.min_by("fy", F.struct("filed", "fy")).alias("fy"))
-    own = F.when(F.month("end") <= 2, F.year("end") - 1).otherwise(F.year("end"))
-    return ends.join(j, ["o_custkey", "end"], "left").select("o_custkey", "end", F.coalesce(F.when(F.month("end") > 2, F.col("fy")), own).cast("int").alias("fy"))
+    return facts.fiscal_years(ends, filed, "o_custkey")
 
 
 def filing_ids(spark, sf_dir):
@@ -270,9 +267,7 @@ def filing_ids(spark, sf_dir):
     o = orders(spark, sf_dir)
     accession = F.concat_ws("-", F.lpad(F.col("o_custkey").cast("string"), 10, "0"), F.date_format("day", "yy"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))
     url = F.concat(F.lit("https://www.example.org/Archives/data/"), F.col("o_custkey"), F.lit("/"), F.replace(accession, F.lit("-"), F.lit("")), F.lit("/doc.htm"))
-    raw = F.regexp_extract(url, r"/data/[0-9]+/([0-9]{18})/", 1)
-    parsed = F.regexp_replace(raw, r"^([0-9]{10})([0-9]{2})([0-9]{6})$", "$1-$2-$3")
-    return o.select("o_orderkey", parsed.alias("accession"), F.concat(F.regexp_extract(url, r"^(.*/[0-9]{18}/)", 1), parsed, F.lit("-index.htm")).alias("index"))
+    return o.select("o_orderkey", identifiers.accession(url).alias("accession"), identifiers.index_address(url).alias("index"))
 
 
 QUERIES = {

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tallyspark.functions import mergers as m
+from tallyspark.functions.unicode import nfkc
+from tallyspark.operators import ranking, screens
 from tallyspark.plans.holdings import table
 from tallyspark.plans.records import event_days, orders
 
@@ -68,12 +66,6 @@ def perimeter(spark, sf_dir):
     return f.select("l_orderkey", F.col("x.sum").alias("sum"), (F.abs(F.col("x.sum") - left - F.col("total")) < 0.01).alias("explained"))
 
 
-@F.pandas_udf(StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    """Compatibility normalisation, which no built-in function has, in Arrow batches."""
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
-
-
 def normalised(spark, sf_dir):
     """Full-width and ligature writings of part names come back to the plain ones."""
     p = table(spark, sf_dir, "part")
@@ -133,19 +125,14 @@ def catalogue(spark, sf_dir):
 def allowed(spark, sf_dir):
     """Only allowed fields in a fixed order; forbidden ones are named."""
     e = table(spark, sf_dir, "events").select("event_id", F.from_json(F.to_json(F.struct("event_type", "user_id", "value")), "map<string,string>").alias("m"))
-    kept, barred = ("event_type", "value"), ("user_id", "email")
-    bad = F.array_join(F.array_sort(F.map_keys(F.map_filter("m", lambda k, v: k.isin(*barred)))), ",")
-    return e.select("event_id", *[F.element_at("m", k).alias(k) for k in kept[:1]], bad.alias("forbidden"))
+    kept, bad = screens.allowed_fields(F.col("m"), ("event_type",), ("user_id", "email"))
+    return e.select("event_id", *kept, bad.alias("forbidden"))
 
 
 def page_choice(spark, sf_dir):
     """Of a customer's judged pages the best card and, among the others, the best detail page."""
     o = orders(spark, sf_dir)
-    score = F.floor(F.col("price") / 10000)
-    card = o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct(score, -F.col("o_orderkey"))).alias("card"))
-    rest = o.join(card, "o_custkey").filter("o_orderkey != card")
-    detail = rest.groupBy("o_custkey").agg(F.min_by("o_orderkey", F.struct("priority", -score, F.col("o_orderkey"))).alias("detail"))
-    return card.join(detail, "o_custkey", "left")
+    return ranking.card_and_detail(o, "o_custkey", "o_orderkey", F.floor(F.col("price") / 10000), F.col("priority"))
 
 
 def editions(spark, sf_dir):

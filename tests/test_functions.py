@@ -78,3 +78,30 @@ def test_fee_perimeter_of_many_parts(spark):
         gap = sum(own) - total
         fits = [c for n in range(4) for c in itertools.combinations(range(len(own)), n) if abs(sum(own[i] for i in c) - gap) <= 1e-9 * total] if own else [()]
         assert (None if r["x"]["left_out"] is None else tuple(r["x"]["left_out"])) == (fits[0] if fits else None)
+
+
+def test_functions_moved_from_queries(spark):
+    from tallyspark.functions import arrays, identifiers
+    from tallyspark.functions.unicode import nfkc
+    from tallyspark.operators import ranking, screens
+
+    symbols = {"ABC": True, "BRK.B": True, "ZVZZT": False, "TOOLONG": False, "a": False, "AB-CDE": False}
+    got = spark.createDataFrame([(s,) for s in symbols], "s string").select("s", identifiers.publishable(F.col("s"))).collect()
+    assert dict(map(tuple, got)) == symbols
+    url = "https://www.example.org/Archives/data/12/000000001224000007/doc.htm"
+    r = spark.createDataFrame([(url,), ("https://www.example.org/",)], "u string").select(identifiers.accession(F.col("u")).alias("a"), identifiers.index_address(F.col("u")).alias("i")).collect()
+    assert r[0]["a"] == "0000000012-24-000007" and r[0]["i"].endswith("/000000001224000007/0000000012-24-000007-index.htm") and r[1]["a"] == ""
+    days = {dt.date(2024, 12, 31): "FY2024", dt.date(2024, 6, 30): "2024H1", dt.date(2024, 6, 29): "FY2024H1", dt.date(2024, 7, 1): "FY2024H2"}
+    assert {r[0]: r[1] for r in spark.createDataFrame([(d,) for d in days], "d date").select("d", dates.reporting_period(F.col("d"))).collect()} == days
+    (r,) = spark.createDataFrame([([3, 1, 3, 2],)], "a array<int>").select(arrays.capped(F.col("a"), 2).alias("x"), arrays.rounded(F.lit("0.125")).alias("u"), arrays.rounded(F.lit("0.125"), half_even=True).alias("e")).collect()
+    assert (list(r["x"]["kept"]), r["x"]["left_out"], r["u"], r["e"]) == ([3, 1], 1, 0.13, 0.12)
+    assert [r[0] for r in spark.createDataFrame([("ﬁxＡ",), (None,)], "t string").select(nfkc("t")).collect()] == ["fixA", None]
+    m = spark.createDataFrame([({"a": "1", "z": "2", "b": "3"},), ({},)], "m map<string,string>")
+    kept, bad = screens.allowed_fields(F.col("m"), ("b", "a"), ("z", "y"))
+    assert [tuple(r) for r in m.select(*kept, bad).collect()] == [("3", "1", "z"), (None, None, "")]
+    pages = spark.createDataFrame([("k", 1, 5, "b"), ("k", 2, 9, "a"), ("k", 3, 9, "a"), ("one", 4, 1, "a")], "k string, page int, s int, kind string")
+    rows = ranking.card_and_detail(pages, "k", "page", F.col("s"), F.col("kind")).collect()
+    assert {r["k"]: (r["card"], r["detail"]) for r in rows} == {"k": (2, 3), "one": (4, None)}
+    ends = spark.createDataFrame([("c", dt.date(2024, 1, 31)), ("c", dt.date(2024, 3, 31)), ("c", dt.date(2023, 3, 31))], "k string, end date")
+    filed = spark.createDataFrame([("c", dt.date(2024, 5, 1), 2099), ("c", dt.date(2024, 6, 1), 2098)], "k string, filed date, fy int")
+    assert {r["end"].year * 100 + r["end"].month: r["fy"] for r in facts.fiscal_years(ends, filed, "k").collect()} == {202401: 2023, 202403: 2099, 202303: 2023}
