@@ -191,6 +191,28 @@ def contract_groups(spark, sf_dir):
     return contracts.collapsed_groups(o.filter("day < '1998-07-01'"), o.filter("day >= '1998-07-01'").withColumn("priority", F.when((F.col("priority") == "5-LOW") & (F.col("status") == "F"), "4-NOT SPECIFIED").otherwise(F.col("priority"))), "priority")
 
 
+def contract_stamps(spark, sf_dir):
+    """The age of the newest order of each status, as the stamp of a publication of its own, by a day in 1998."""
+    o, today = orders(spark, sf_dir), F.lit("1998-08-01").cast("date")
+    one = lambda s: contracts.stamp_checks(o.filter(F.col("status") == s), "day", today, 30).withColumn("status", F.lit(s))
+    return one("F").unionByName(one("O")).unionByName(one("P")).unionByName(one("X"))
+
+
+def contract_shrinks(spark, sf_dir):
+    """Orders by customer's segment of priorities, before and after a day: none may get fewer."""
+    o = orders(spark, sf_dir).withColumn("own", F.concat_ws("/", F.col("o_custkey"), "status"))
+    return contracts.never_shrinks(o.filter("day < '1995-06-01'"), o.filter("day >= '1995-06-01'"), "own")
+
+
+def contract_immutable(spark, sf_dir):
+    """Orders published once and again: some are gone, prices or statuses of others differ, some are new."""
+    k = F.col("o_orderkey")
+    o = orders(spark, sf_dir).select("o_orderkey", "price", "status", "day")
+    old = o.filter(F.col("day") < "1998-01-01").withColumn("status", F.when(k % 11 != 0, F.col("status")))
+    new = o.filter((k % 13 != 0) | (F.col("status") == "O")).select("o_orderkey", F.when(k % 7 == 0, F.col("price") + 1).otherwise(F.col("price")).alias("price"), F.when(k % 22 != 0, F.col("status")).alias("status"))
+    return contracts.immutable_changes(old, new, "o_orderkey", ["price", "status"])
+
+
 def field_losses(spark, sf_dir):
     old, new = _before_after(spark, sf_dir)
     return contracts.field_losses(old, new, "o_orderkey", ["price", "status", "priority"])
@@ -355,7 +377,7 @@ QUERIES = {
     "dedupe_unique_slugs": unique_slugs, "state_deadline_ledger": deadline_ledger, "state_retention": retention, "state_archive": archived,
     "state_slug_registry": registered, "state_absence_spells": absences, "state_freshness": freshness, "state_transitions": role_transitions,
     "state_signature_changes": signature_changes, "join_group_movement": group_movement, "contract_counts": contract_counts, "contract_fields": contract_fields,
-    "contract_groups": contract_groups, "contract_field_losses": field_losses, "contract_protect": protected, "join_field_changes": field_changes,
+    "contract_groups": contract_groups, "contract_stamps": contract_stamps, "contract_shrinks": contract_shrinks, "contract_immutable": contract_immutable, "contract_field_losses": field_losses, "contract_protect": protected, "join_field_changes": field_changes,
     "join_refresh": refreshed, "join_carry_forward": carried, "join_unambiguous": unambiguous_brands, "join_fill_from_group": filled_from_group,
     "join_longest_prefix": longest_prefix, "join_effective_on": effective, "rules_first_match": ordered_rules, "rules_row_problems": row_problems,
     "text_canonical_url": canonical_urls, "text_html": html_texts, "text_links": page_links, "text_folded_names": folded_names,

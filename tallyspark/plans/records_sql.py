@@ -125,6 +125,13 @@ SQL = {
       SELECT 'text', count(*) FILTER (coalesce(trim(text), '') = '') FROM documents UNION ALL SELECT 'lang', count(*) FILTER (coalesce(trim(lang), '') = '') FROM documents UNION ALL
       SELECT 'source', count(*) FILTER (coalesce(trim(source), '') = '') FROM documents)""",
     "contract_groups": f"WITH {_O.replace('o_orderpriority AS priority', MOVED)}, {_MOVE.format(more='')} SELECT *, from_n < 20 OR to_n * 2 > from_n AS ok FROM m",
+    "contract_stamps": f"""WITH {_O} SELECT 'stamp_age' AS name, CAST(DATE '1998-08-01' - m AS DOUBLE) AS value, coalesce(DATE '1998-08-01' - m BETWEEN 0 AND 30, false) AS ok, status
+      FROM (SELECT s AS status, (SELECT max(day) FROM o WHERE o.status = s) AS m FROM (VALUES ('F'), ('O'), ('P'), ('X')) v(s))""",
+    "contract_shrinks": f"""WITH {_O}, g AS (SELECT o_custkey || '/' || status AS own, count(*) FILTER (day < DATE '1995-06-01') AS from_n, count(*) FILTER (day >= DATE '1995-06-01') AS to_n FROM o GROUP BY 1)
+      SELECT own, from_n, to_n, to_n - from_n AS delta, to_n >= from_n AS ok FROM g WHERE from_n > 0""",
+    "contract_immutable": f"""WITH {_O}, a AS (SELECT o_orderkey AS k, price, CASE WHEN o_orderkey % 11 <> 0 THEN status END AS status, status AS s FROM o WHERE day < DATE '1998-01-01'),
+      b AS (SELECT k, k % 13 <> 0 OR s = 'O' AS there, k % 7 = 0 AS p, CASE WHEN k % 22 <> 0 THEN s END IS DISTINCT FROM status AS t FROM a)
+      SELECT k AS o_orderkey, CASE WHEN there THEN 'changed' ELSE 'gone' END AS change, CASE WHEN there THEN concat_ws(',', CASE WHEN p THEN 'price' END, CASE WHEN t THEN 'status' END) END AS fields FROM b WHERE NOT there OR p OR t""",
     "contract_field_losses": f"""WITH {_NEW}, c AS (SELECT f AS field, count(*) FILTER (CASE f WHEN 'price' THEN o.price IS NOT NULL WHEN 'status' THEN o.status IS NOT NULL ELSE o.priority IS NOT NULL END) AS had,
       count(*) FILTER (CASE f WHEN 'price' THEN n.price IS NULL WHEN 'status' THEN n.status IS NULL ELSE n.priority IS NULL END) AS lost
       FROM old o JOIN new n USING (o_orderkey), (VALUES ('price'), ('status'), ('priority')) t(f) GROUP BY f)

@@ -126,3 +126,18 @@ def test_deadlines(spark):
     assert [(r["d"], r["r"]) for r in df.orderBy("k").collect()] == [
         (day(2024, 7, 3), False), (day(2024, 8, 9), False), (day(2024, 7, 15), False), (None, True), (None, False), (None, False), (None, False),
     ]
+
+
+def test_publication_contract_edges(spark):
+    from tallyspark.operators import contracts
+
+    today = F.lit("2024-06-01").cast("date")
+    stamps = spark.createDataFrame([(datetime.date(2024, 5, 20),), (None,), (datetime.date(2024, 5, 1),)], "d date")
+    age = lambda df: tuple(contracts.stamp_checks(df, "d", today, 14).first())
+    assert age(stamps) == ("stamp_age", 12.0, True) and age(stamps.filter("d < '2024-05-10'")) == ("stamp_age", 31.0, False) and age(stamps.limit(0)) == ("stamp_age", None, False)
+    assert age(stamps.withColumn("d", F.date_add("d", 30)))[2] is False  # the newest lies ahead
+    old = spark.createDataFrame([(1, "a", None), (2, "a", "x"), (3, "b", "y")], "k int, g string, v string")
+    new = spark.createDataFrame([(1, "a", None), (2, "c", "x"), (4, "b", "y")], "k int, g string, v string")
+    assert {r["g"]: r["ok"] for r in contracts.never_shrinks(old, new, "g").collect()} == {"a": False, "b": True}
+    assert sorted(map(tuple, contracts.immutable_changes(old, new, "k", ["g", "v"]).collect())) == [(2, "changed", "g"), (3, "gone", None)]
+    assert contracts.immutable_changes(old.limit(0), new, "k", ["g"]).count() == 0
