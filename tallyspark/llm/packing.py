@@ -61,19 +61,25 @@ class Ids:
         self.model = self.exact.model
         spell = ByteLevel(add_prefix_space=False).pre_tokenize_str
         self.spelled = {ord(c): spell(c)[0][0] for c in (" ", *_PLAIN) if _WORD.fullmatch(f" {c}".rstrip()) or c == " "}
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.exact.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)").search
         self.known: dict[str, bytes] = {}  # of pieces after a space
         self.parts: dict[str, bytes] = {}
 
+    def _merged(self, word: str) -> bytes:
+        """A word of the pattern, with or without a space ahead: straight to its merges."""
+        ids = [t.id for t in self.model.tokenize(word.translate(self.spelled))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _part(self, part: str) -> bytes:
         """One token by the pattern, or any other text."""
         found = self.parts.get(part)
         if found is None:
-            if _WORD.fullmatch(part):  # straight to its merges
-                ids = [t.id for t in self.model.tokenize(part.translate(self.spelled))]
+            if _WORD.fullmatch(part):
+                found = self._merged(part)
             else:
                 ids = self.exact.encode(part, add_special_tokens=False).ids
-            found = struct.pack(f"<{len(ids)}I", *ids)
+                found = struct.pack(f"<{len(ids)}I", *ids)
             if len(part) <= LONGEST:
                 if len(self.parts) >= KNOWN:
                     self.parts.clear()
@@ -81,18 +87,19 @@ class Ids:
         return found
 
     def _whole(self, text: str) -> bytes:
-        if any(x in text for x in self.special):
+        if self.special(text):
             return self._part(text)
-        return b"".join(map(self._part, _BETWEEN.split(text)))
+        parts = _BETWEEN.split(text)
+        return self._part(text) if len(parts) == 1 else b"".join(map(self._part, parts))
 
     def packed(self, text: str) -> bytes:
         first, *pieces = text.split(" ")
         if len(self.known) >= KNOWN:
             self.known.clear()
         known, odd, long = self.known, not first or first[-1] not in _PLAIN, []
-        for x in {x for x in pieces if x not in known}:
+        for x in set(pieces).difference(known):
             if x and x[0] in _PLAIN and x[-1] in _PLAIN:
-                known[x] = self._whole(" " + x)
+                known[x] = self._part(" " + x) if x.isalpha() else self._whole(" " + x)  # letters alone have no cut
                 if len(x) > LONGEST:
                     long.append(x)
             else:

@@ -342,3 +342,17 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
             stage = spark.createDataFrame(stage.collect(), stage.schema)
             assert all(r["n_lines"] in ("x", "y", "z") and r["n_removed"] in ("x", "y", "z") for r in stage.collect())
         assert (corpus_pipeline.run(spark, str(tmp_path / name)).count() > 0) == (name == "odd")
+
+
+def test_words_of_letters_are_not_looked_at_for_cuts():
+    """Only what may hold a cut is searched for one; ids stay the tokenizer's."""
+    encode, asked = packing.Ids(PATH), []
+    whole = encode._whole
+    encode._whole = lambda text: asked.append(text) or whole(text)
+    text = "One plain élan word after another, naïve ﬁn ǅ x² 日本 said <|endoftext|>it"
+    assert encode(text) == EXACT.encode(text, add_special_tokens=False).ids
+    encode.known.clear()
+    asked.clear()
+    plain = "One plain word after another, said it"
+    assert encode(plain) == EXACT.encode(plain, add_special_tokens=False).ids
+    assert sorted(asked) == [" another,", "One"]
