@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -42,9 +43,13 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARK = r"!-&(-/:-@\[-`{-~"
 _PLAIN = frozenset(c for c in map(chr, range(33, 256)) if re.match(rf"[!-~{_LETTER}]", c))
 _BETWEEN = re.compile(rf"(?<=[{_LETTER}])(?=[{_MARK}\n])|(?<=[{_MARK}])(?=[{_LETTER}])|(?<=[{_LETTER}{_MARK}]\n)(?=[{_LETTER}])")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if re.match(rf"[{_MARK}]", c))
 _WORD = re.compile(rf" ?[{_LETTER}]+")
+#: Bytes of texts that are looked up together.
+BLOCK = 8 << 20
 #: Strings with known ids that a worker keeps, and the longest of them.
 KNOWN, LONGEST = 700_000, 64
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(LONGEST)]
 
 
 class Ids:
@@ -58,59 +63,68 @@ class Ids:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.exact = Tokenizer.from_file(path)
-        self.model = self.exact.model
+        self.merge = self.exact.model.tokenize
         spell = ByteLevel(add_prefix_space=False).pre_tokenize_str
         self.spelled = {ord(c): spell(c)[0][0] for c in (" ", *_PLAIN) if _WORD.fullmatch(f" {c}".rstrip()) or c == " "}
+        self.space = self.spelled[ord(" ")]
         special = [re.escape(t.content) for t in self.exact.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special) or r"(?!)").search
         self.known: dict[str, bytes] = {}  # of pieces after a space
         self.parts: dict[str, bytes] = {}
 
     def _merged(self, word: str) -> bytes:
-        """A word of the pattern, with or without a space ahead: straight to its merges."""
-        ids = [t.id for t in self.model.tokenize(word.translate(self.spelled))]
+        """A word of the pattern, spelled as the vocabulary does: straight to its merges."""
+        ids = [t.id for t in self.merge(word)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _asked(self, part: str) -> bytes:
+        """One token by the pattern, or any other text."""
+        if _WORD.fullmatch(part):
+            return self._merged(part.translate(self.spelled))
+        ids = self.exact.encode(part, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
-        """One token by the pattern, or any other text."""
         found = self.parts.get(part)
         if found is None:
-            if _WORD.fullmatch(part):
-                found = self._merged(part)
-            else:
-                ids = self.exact.encode(part, add_special_tokens=False).ids
-                found = struct.pack(f"<{len(ids)}I", *ids)
+            found = self._asked(part)
             if len(part) <= LONGEST:
                 if len(self.parts) >= KNOWN:
                     self.parts.clear()
                 self.parts[part] = found
         return found
 
+    def _word(self, word: str) -> bytes:
+        """A space and letters, of which the first and the last are plain: no cut."""
+        found = self.known.get(word)
+        if found is None:
+            found = self._merged(self.space + word) if word.isascii() else self._asked(" " + word)
+            if len(word) <= LONGEST:
+                self.known[word] = found
+        return found
+
     def _whole(self, text: str) -> bytes:
         if self.special(text):
             return self._part(text)
-        parts = _BETWEEN.split(text)
-        return self._part(text) if len(parts) == 1 else b"".join(map(self._part, parts))
-
-    def packed(self, text: str) -> bytes:
-        first, *pieces = text.split(" ")
-        if len(self.known) >= KNOWN:
-            self.known.clear()
-        known, odd, long = self.known, not first or first[-1] not in _PLAIN, []
-        for x in set(pieces).difference(known):
+        word = text[1:].rstrip(_MARKS)
+        if text[:1] == " " and word.isalpha() and word[0] in _PLAIN and word[-1] in _PLAIN:
+            return self._word(word) + self._part(text[len(word) + 1 :])
+        head, *parts = _BETWEEN.split(text)
+        return b"".join([self._whole(head), *map(self._part, parts)]) if parts else self._part(head)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes | None]:
+        """Of each piece the ids with a space ahead; none if no token starts or ends with the piece."""
+        found = list(map(self.known.get, pieces))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            x = pieces[k]
             if x and x[0] in _PLAIN and x[-1] in _PLAIN:
-                known[x] = self._part(" " + x) if x.isalpha() else self._whole(" " + x)  # letters alone have no cut
-                if len(x) > LONGEST:
-                    long.append(x)
-            else:
-                odd = True
-        if odd:
-            out = self._uneven([first, *pieces])
-        else:
-            out = self._whole(first) + b"".join(map(known.__getitem__, pieces))
-        for x in long:
-            del known[x]
-        return out
+                if x.isalpha():
+                    found[k] = self._word(x)
+                else:
+                    found[k] = own = self._whole(" " + x)
+                    if len(x) <= LONGEST and "\n" not in x:  # the ends of two lines seldom meet again
+                        self.known[x] = own
+        return found
 
     def _uneven(self, pieces: list[str]) -> bytes:
         """For texts with pieces that no token starts or ends with: those stay with the ones around them."""
@@ -124,8 +138,44 @@ class Ids:
                 group.append(x)
         return b"".join([*out, self._whole(lead + " ".join(group))])
 
+    def packed(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each text's with ``end`` behind, and where each text's end."""
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        which, spelled = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False)
+        at, n, rows = split.offsets.to_numpy(), len(spelled), np.arange(len(texts))
+        first = at[:-1]
+        led = np.ones(len(which), bool)
+        led[first] = False
+        asked = np.zeros(n, bool)
+        asked[which[led]] = True
+        found = np.full(n, b"", object)
+        found[asked] = self._pieces(spelled[asked].tolist())
+        odd = np.equal(found, None)
+        found[odd] = b""
+        uneven = np.logical_or.reduceat(odd[which] & led, first)
+        firsts = []
+        for k, x in enumerate(spelled[which[first]].tolist()):
+            uneven[k] |= not x or x[-1] not in _PLAIN
+            firsts.append(self._uneven(texts[k].as_py().split(" ")) if uneven[k] else self._whole(x))
+        bodies = [*found, end, b"", *firsts]
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        # which body each piece has, and each text's end behind its last one; an uneven text has all ids in its first
+        body = np.insert(which, at[1:], n)
+        body[first + rows] = n + 2 + rows
+        body[np.repeat(uneven, np.diff(at) + 1) & (body < n)] = n + 1
+        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(bodies), "<u4")
+        sizes = sizes[body]
+        ends = np.cumsum(sizes)
+        narrow = np.int32 if max(len(ids), ends[-1]) < 2**31 else np.int64
+        take = np.repeat((starts[body] - ends + sizes).astype(narrow), sizes)
+        take += np.arange(len(take), dtype=narrow)
+        return ids[take], ends[at[1:] + rows]
+
     def __call__(self, text: str) -> list[int]:
-        return np.frombuffer(self.packed(text), "<u4").tolist()
+        return self.packed(pa.array([text]))[0].tolist()
 
 
 _TOKENIZERS: dict[str, Ids] = {}
@@ -138,6 +188,13 @@ def tokenizer(path: str) -> Ids:
     return _TOKENIZERS[path]
 
 
+def blocks(texts: pa.Array) -> list[tuple[int, int]]:
+    """Ranges of texts: in each, those behind the first hold less than ``BLOCK`` bytes together."""
+    block = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // BLOCK
+    at = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(texts)]
+    return [(low, high) for low, high in zip(at, at[1:], strict=False) if low < high]
+
+
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole if it fits, else full ones after a first that may be shorter."""
     first = n % capacity or capacity
@@ -155,12 +212,14 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             out: list[list] = [[] for _ in names]
-            for key, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(tokenizer(path).packed(body or "") + end, "<u4")
-                for k, (at, n) in enumerate(cut(len(ids), capacity)):
-                    own = ids[at : at + n]
-                    for column, value in zip(out, (key, k, at, n, zlib.crc32(own.tobytes()), own), strict=False):
-                        column.append(value)
+            keys, texts = b.column(0).to_pylist(), pc.fill_null(b.column(1), "")
+            for low, high in blocks(texts):
+                ids, ends = tokenizer(path).packed(texts[low:high], end)
+                for key, own in zip(keys[low:high], np.split(ids, ends[:-1]), strict=True):
+                    for k, (at, n) in enumerate(cut(len(own), capacity)):
+                        part = own[at : at + n]
+                        for column, value in zip(out, (key, k, at, n, zlib.crc32(part), part), strict=False):
+                            column.append(value)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=False)], names)
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -356,3 +357,41 @@ def test_words_of_letters_are_not_looked_at_for_cuts():
     plain = "One plain word after another, said it"
     assert encode(plain) == EXACT.encode(plain, add_special_tokens=False).ids
     assert sorted(asked) == [" another,", "One"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab'sLé ß\n\t.,(|<>1٣ 漢$  ", max_size=30), min_size=1, max_size=8))
+def test_ids_of_many_texts_at_once(texts):
+    end = b"\2\0\0\0"
+    ids, ends = packing.tokenizer(PATH).packed(pa.array(texts), end)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [EXACT.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    ids, ends = packing.tokenizer(PATH).packed(pa.array(["x y", *texts])[1:])
+    assert ids.tolist() == [i for t in texts for i in EXACT.encode(t, add_special_tokens=False).ids] and ends[-1] == len(ids)
+
+
+def test_texts_are_looked_up_together():
+    """A piece that many texts share is looked up once, and words with marks behind share the word's merges."""
+    encode, asked, merged = packing.Ids(PATH), [], []
+    look, merge = encode._pieces, encode.merge
+    encode._pieces = lambda pieces: asked.append(sorted(pieces)) or look(pieces)
+    encode.merge = lambda word: merged.append(word) or merge(word)
+    texts = ["One plain word", "A plain, word.\nA word", "", "plain", "uneven  plain word\n"] * 20
+    ids, ends = encode.packed(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [EXACT.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked == [["", "plain", "plain,", "word", "word\n", "word.\nA"]]
+    assert len(merged) == len(set(merged)) and "Ġplain" in merged
+
+
+def test_blocks_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 10)
+    for sizes in ([], [0], [50], [3] * 20, [0, 25, 0, 1, 9, 10, 0], [10, 10]):
+        found = packing.blocks(pa.array(["é" * n for n in sizes], pa.string()))
+        assert [k for low, high in found for k in range(low, high)] == list(range(len(sizes)))
+        assert all(sum(sizes[low + 1 : high]) * 2 < 10 for low, high in found)
+
+
+def test_packing_of_texts_in_several_blocks(spark):
+    rows = [(k, "plain word, said\nit " * 400_000 if k % 2 else t) for k, t in enumerate((None, "", "a  b", "", "x\n", "", " <|endoftext|>", ""))]
+    assert sum(len(t or "") for _, t in rows) > packing.BLOCK
+    used, least = check_packing(packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH).collect(), rows)
+    assert used <= least * 1.02 + 1
