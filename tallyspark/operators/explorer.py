@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions.arrays import quotient
 from tallyspark.operators.books import is_right
 from tallyspark.operators.holdings import COMPARABLE_SHARE
 
@@ -149,13 +150,16 @@ def holders(moved: DataFrame, cover: DataFrame) -> DataFrame:
 
 
 def managers(moved: DataFrame, filed: DataFrame, cover: DataFrame) -> DataFrame:
-    """(manager, at, q, value, positions, top, new, added, trimmed, exited): each manager's latest quarter and, if filed, the default one."""
+    """(manager, at, q, value, positions, top, new, added, trimmed, exited): each manager's latest quarter and, if filed, the default one.
+
+    A manager who only left positions then has no value, and a top of NaN.
+    """
     default = cover.filter("is_default").agg(F.max("q").alias("d"))
     when = filed.crossJoin(F.broadcast(default)).select("manager", F.array_max("filed").alias("latest"), F.when(F.array_contains("filed", F.col("d")), F.col("d")).alias("d"))  # one row
     at = when.select("manager", F.inline(F.array(F.struct(F.lit("latest").alias("at"), F.col("latest").alias("q")), F.struct(F.lit("default").alias("at"), F.col("d").alias("q"))))).filter("q is not null")
     n = lambda kind: F.count_if(F.col("action") == kind).alias(kind)
     g = moved.groupBy("manager", "q").agg(F.sum("value").alias("value"), F.count_if("holds").alias("positions"), F.max("value").alias("most"), n("new"), n("added"), n("trimmed"), n("exited"))
-    return at.join(g, ["manager", "q"]).select("manager", "at", "q", "value", "positions", F.round(F.col("most") / F.col("value"), 4).alias("top"), "new", "added", "trimmed", "exited")
+    return at.join(g, ["manager", "q"]).select("manager", "at", "q", "value", "positions", F.round(quotient(F.col("most"), F.col("value")), 4).alias("top"), "new", "added", "trimmed", "exited")
 
 
 def tables(pos: DataFrame, symbols: DataFrame, whole: DataFrame, split: DataFrame, flagged: DataFrame, reissued: DataFrame, keep) -> dict[str, DataFrame]:

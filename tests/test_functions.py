@@ -105,3 +105,16 @@ def test_functions_moved_from_queries(spark):
     ends = spark.createDataFrame([("c", dt.date(2024, 1, 31)), ("c", dt.date(2024, 3, 31)), ("c", dt.date(2023, 3, 31))], "k string, end date")
     filed = spark.createDataFrame([("c", dt.date(2024, 5, 1), 2099), ("c", dt.date(2024, 6, 1), 2098)], "k string, filed date, fy int")
     assert {r["end"].year * 100 + r["end"].month: r["fy"] for r in facts.fiscal_years(ends, filed, "k").collect()} == {202401: 2023, 202403: 2099, 202303: 2023}
+
+
+def test_quotients_and_logarithms_of_zero(spark):
+    import duckdb
+
+    from tallyspark.functions import arrays
+
+    each = [0.0, 2.0, -3.0, None, float("nan"), float("inf"), float("-inf")]
+    rows = spark.createDataFrame([(a, b) for a in each for b in each], "a double, b double")
+    got = rows.select(arrays.quotient(F.col("a"), F.col("b")), arrays.logarithm(F.col("a"))).collect()
+    c = duckdb.connect()
+    want = [c.execute("SELECT a / b, ln(a) FROM (SELECT ?::DOUBLE AS a, ?::DOUBLE AS b)", [a, b]).fetchone() for a in each for b in each]
+    assert [repr(tuple(r)) for r in got] == [repr(tuple(r)) for r in want]
