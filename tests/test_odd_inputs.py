@@ -50,3 +50,7 @@ def rights_only(tmp_path_factory):
 
 def test_published_tables_with_a_manager_who_only_left(spark, rights_only):
     assert len(same(spark, rights_only, "build_explorer")) == 5
+
+
+def test_managers_who_only_left(spark, rights_only):
+    assert "nan" in repr(same(spark, rights_only, "explorer_managers"))
