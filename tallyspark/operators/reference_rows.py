@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions.arrays import logarithm, quotient, scaled_round
+
 YEAR, COVERAGE, MOST_LAG, SLACK = 252, 0.8, 2, 3
 #: Slots back of the changes that a row states, and the one that its shorter volatility spans.
 CHANGES = {"1m": 21, "3m": 63, "6m": 126, "12m": 252}
@@ -63,7 +65,8 @@ def reference_rows(
     base_K and base_K_date of each change, vol_short, high, low and their dates,
     vol_year, and the drawdown's peak and trough; ``weekly`` holds the last
     observation of each week. Dates are slots of the calendar. A price whose day's big move nothing explains, seen at a
-    grade other than H, is withheld as a discontinuity; what isn't supported is null.
+    grade other than H, is withheld as a discontinuity; what isn't supported is null. A price
+    of zero counts: the steps to and from it are infinite, and a volatility over them is NaN.
     """
     changes = CHANGES if changes is None else changes
     slots = len(calendar)
@@ -73,9 +76,9 @@ def reference_rows(
     first = last - year + 1
     within = lambda a: (i >= a) & (i <= last)
     day = F.element_at(F.array(*[F.lit(d) for d in calendar]), i + 1)
-    g = g.withColumn("step", F.log(p / F.lag(p).over(own)))
+    g = g.withColumn("step", logarithm(quotient(p, F.lag(p).over(own))))
     g = g.withColumn("top", F.max(F.when(within(first) & p.isNotNull(), F.struct(p.alias("p"), (-i).alias("less")))).over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    g = g.withColumn("fall", F.when(within(first) & (p < F.col("top.p")), 1 - p / F.col("top.p")))
+    g = g.withColumn("fall", F.when(within(first) & (p < F.col("top.p")), 1 - quotient(p, F.col("top.p"))))
     week = Window.partitionBy("symbol", F.date_trunc("week", day))
     charted = p.isNotNull() & (i >= F.greatest(F.lit(slots - year), F.coalesce(bound, F.lit(0))))
     g = g.withColumn("charted", charted & (i == F.max(F.when(charted, i)).over(week)))
@@ -96,7 +99,7 @@ def reference_rows(
     found["high"] = F.max(F.struct(in_year.alias("p"), (-i).alias("less")))
     found["low"] = F.min(F.when(in_year.isNotNull(), F.struct(in_year.alias("p"), i.alias("i"))))
     found["deepest"] = F.max(F.when(F.col("fall") > 0, F.struct("fall", (-i).alias("less"), p.alias("p"), "top")))
-    found["weekly"] = F.array_sort(F.collect_list(F.when(F.col("charted"), F.struct(i.alias("date"), F.round(p, 4).alias("price")))))
+    found["weekly"] = F.array_sort(F.collect_list(F.when(F.col("charted"), F.struct(i.alias("date"), scaled_round(p, 4).alias("price")))))
     r = g.groupBy("symbol").agg(*[c.alias(f"_{k}") for k, c in found.items()])
 
     c = {k: F.col(f"_{k}") for k in found}
@@ -109,13 +112,13 @@ def reference_rows(
     whole = (first >= 0) & after(bound, first) & enough(c["in_year"], year)
     ok, full = status == "ok", (status == "ok") & whole
     say = lambda when, x: F.when(F.coalesce(when, F.lit(False)), x)
-    price = lambda x: F.round(x, 4)
+    price = lambda x: scaled_round(x, 4)
     actions_of = lambda kinds: F.filter(c["actions"], lambda a: a["kind"].isin(*kinds))
     out = {
         "lag": lag, "status": status, "date": last, "grade": c["grade"], "seconds": c["seconds"], "trades": c["trades"], "late": c["late"], "dollars": c["dollars"],
         "price": say(ok, price(c["price"])), "splits": F.transform(actions_of(("split",)), lambda a: F.struct(a["i"].alias("date"), a["ratio"].alias("ratio"))),
         "corporate_actions": F.transform(actions_of(("split", *BOUNDING)), lambda a: F.struct(a["i"].alias("date"), a["kind"].alias("kind"))),
-        "valid_from": bound, "coverage": F.round(c["in_year"] / year, 2), "stats_status": F.when(whole, "ok").otherwise("history"),
+        "valid_from": bound, "coverage": scaled_round(c["in_year"] / year, 2), "stats_status": F.when(whole, "ok").otherwise("history"),
     }
     for name, back in changes.items():
         near = c[f"near_{name}"]

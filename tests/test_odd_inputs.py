@@ -54,3 +54,7 @@ def test_published_tables_with_a_manager_who_only_left(spark, rights_only):
 
 def test_managers_who_only_left(spark, rights_only):
     assert "nan" in repr(same(spark, rights_only, "explorer_managers"))
+
+
+def test_reference_rows_with_zero_prices(spark, zero_prices):
+    assert "nan" in repr(same(spark, zero_prices, "build_market_reference"))
