@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.functions.arrays import quotient
 from tallyspark.operators import joins
 
 #: Share ratios of stock splits, held against a price move in either direction.
@@ -98,7 +99,7 @@ def base_prices(obs: DataFrame, last: int, backs: tuple[int, ...], slack: int =
     counts = targets.join(obs.select("symbol", "i"), "symbol").filter(F.col("i") >= F.col("target")).groupBy("symbol", "target").agg(F.count("*").alias("points"))
     j = based.join(counts, ["symbol", "target"], "left").join(newest, "symbol")
     enough = F.coalesce("points", F.lit(0)) >= F.ceil((F.col("back") + 1) * coverage)
-    return j.select("symbol", "back", F.when(enough, F.col("value")).alias("base"), F.when(enough, F.round(F.col("now") / F.col("value") - 1, 6)).alias("change"))
+    return j.select("symbol", "back", F.when(enough, F.col("value")).alias("base"), F.when(enough, F.round(quotient(F.col("now"), F.col("value")) - 1, 6)).alias("change"))
 
 
 def realised_volatility(obs: DataFrame, least: int = 2, year: int = 252) -> DataFrame:

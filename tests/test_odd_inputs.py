@@ -58,3 +58,7 @@ def test_managers_who_only_left(spark, rights_only):
 
 def test_reference_rows_with_zero_prices(spark, zero_prices):
     assert "nan" in repr(same(spark, zero_prices, "build_market_reference"))
+
+
+def test_base_prices_of_zero(spark, zero_prices):
+    assert "inf" in repr(same(spark, zero_prices, "market_base_prices"))
