@@ -113,7 +113,7 @@ def realised_volatility(obs: DataFrame, least: int = 2, year: int = 252) -> Data
 def max_drawdown(obs: DataFrame) -> DataFrame:
     """The largest fall from a running high and the first slot that reaches it."""
     w = obs.withColumn("peak", F.max("price").over(_own().rowsBetween(Window.unboundedPreceding, 0)))
-    w = w.withColumn("fall", 1 - F.col("price") / F.col("peak"))
+    w = w.withColumn("fall", 1 - quotient(F.col("price"), F.col("peak")))
     return w.groupBy("symbol").agg(F.round(F.max("fall"), 6).alias("drawdown"), F.max_by("i", F.struct(F.col("fall"), -F.col("i"))).alias("at"))
 
 

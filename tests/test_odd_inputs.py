@@ -62,3 +62,7 @@ def test_reference_rows_with_zero_prices(spark, zero_prices):
 
 def test_base_prices_of_zero(spark, zero_prices):
     assert "inf" in repr(same(spark, zero_prices, "market_base_prices"))
+
+
+def test_drawdown_from_a_zero_price(spark, zero_prices):
+    assert "nan" in repr(same(spark, zero_prices, "market_max_drawdown"))
