@@ -7,16 +7,21 @@ compares. Sums of money and shares are decimals until they are divided.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, StructType
+
+from tallyspark.operators import overlaps
+from tallyspark.operators.state import checkpoint_folder
 
 #: Split factors that a share count or a price is held against, whole and inverse.
 SPLIT_FACTORS = (2.0, 3.0, 4.0, 5.0, 10.0, 20.0)
 COMPARABLE_SHARE, PRICE_TOLERANCE, LEAST_PRICED = 0.75, 0.05, 3
-#: Managers in a block of the overlap: a pair of blocks has its square in cells.
-OVERLAP_BLOCK = 512
+#: Managers in a block of the overlap: a pair of blocks has its square in cells. Positions that a task holds.
+OVERLAP_BLOCK, OVERLAP_UNIT = 2048, 1 << 20
 
 _KEY = ["manager", "security"]
 
@@ -231,68 +236,37 @@ def coverage(pos: DataFrame, on_file: int | None = None) -> DataFrame:
     return counts.crossJoin(F.broadcast(default)).select("q", "filed", "comparable", "on_file", (F.col("q") == F.col("d")).alias("is_default"))
 
 
-def _block_overlap(peers: int):
-    """A function for one pair of blocks of a quarter's managers: postings of shared securities into dense sums, best peers of each."""
-
-    def best(managers, others, sums, counts):
-        for m, own, n in zip(managers, sums, counts, strict=True):
-            at = np.flatnonzero(n)
-            at = at[np.argsort(-np.round(own[at], 6), kind="stable")[:peers]]  # others ascend, so ties go to the lesser
-            yield np.full(len(at), m, managers.dtype), others[at], own[at], n[at]
-
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        q, low, high = (k.as_py() for k in key)
-        coded = rows["manager"].combine_chunks().dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False)
-        order = np.argsort(names, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        manager, names = place[coded.indices.to_numpy()], names[order]
-        security = rows["security"].combine_chunks().dictionary_encode().indices.to_numpy()
-        block, w = rows["block"].to_numpy(), rows["w"].to_numpy()
-        by = np.argsort(security, kind="stable")
-        ends = np.append(np.flatnonzero(np.diff(security[by])) + 1, len(by))
-        a_names, b_names = np.unique(manager[block == low]), np.unique(manager[block == high])
-        sums, counts = np.zeros((len(a_names), len(b_names))), np.zeros((len(a_names), len(b_names)), np.int64)
-        for start, end in zip(np.append(0, ends[:-1]), ends, strict=True):
-            held = by[start:end]
-            a, b = held[block[held] == low], held[block[held] == high]
-            if len(a) and len(b):
-                cells = np.ix_(np.searchsorted(a_names, manager[a]), np.searchsorted(b_names, manager[b]))
-                sums[cells] += np.minimum.outer(w[a], w[b])
-                counts[cells] += 1
-        if low == high:
-            np.fill_diagonal(counts, 0)
-        found = list(best(names[a_names], names[b_names], sums, counts))
-        if low != high:
-            found += best(names[b_names], names[a_names], sums.T, counts.T)
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [names[:0], names[:0], sums[:0].ravel(), counts[:0].ravel()]
-        kind = rows.schema.field("manager").type
-        return pa.table([pa.array(columns[0], kind), pa.array(np.full(len(columns[0]), q), pa.int32()), pa.array(columns[1], kind), columns[2], columns[3]], ["manager", "q", "peer", "overlap", "shared"])
-
-    return run
-
-
-def overlap(pos: DataFrame, peers: int = 25, block: int = OVERLAP_BLOCK) -> DataFrame:
+def overlap(pos: DataFrame, peers: int = 25, block: int = OVERLAP_BLOCK, unit: int = OVERLAP_UNIT) -> DataFrame:
     """Each manager's ``peers`` most alike books of the same quarter: the sum of the lesser weights over shared securities.
 
-    Managers of a quarter are dealt into blocks, and each pair of blocks is one
-    group that sends on at most ``peers`` rows a manager: pairs that share a
-    security are never rows of a join. A position goes to as many groups as its
-    quarter has blocks. Null managers and securities take no part.
+    Books are packed into blobs, which are written once. A quarter's blobs are
+    dealt into units of about ``unit`` positions: one task holds a unit, compares
+    its books with each other and with the quarter's other blobs as they are streamed past, and keeps
+    ``peers`` a book. Pairs are never rows, so what is shuffled is the blobs, times the units
+    of their quarter. Null managers, securities and quarters take no part.
     """
+    spark = pos.sparkSession
     book = Window.partitionBy("manager", "q")
-    w = pos.select(*_KEY, "q", (F.col("value") / F.sum(F.col("value").cast("decimal(18,2)")).over(book).cast("double")).alias("w"))
-    w = w.filter(F.col("manager").isNotNull() & F.col("security").isNotNull() & F.col("w").isNotNull())
-    parts = w.groupBy("q").agg(F.ceil(F.countDistinct("manager") / block).cast("int").alias("parts"))
-    dealt = w.join(parts, "q").withColumn("block", F.pmod(F.xxhash64("manager"), F.col("parts")).cast("int"))
-    units = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda c: F.struct(F.least("block", c).alias("low"), F.greatest("block", c).alias("high")))
-    dealt = dealt.select(*_KEY, "q", "w", "block", F.explode(units).alias("u")).select(*_KEY, "q", "w", "block", "u.low", "u.high")
-    kind = pos.schema["manager"].dataType.simpleString()
-    met = dealt.groupBy("q", "low", "high").applyInArrow(_block_overlap(peers), f"manager {kind}, q int, peer {kind}, overlap double, shared long")
-    met = met.withColumn("overlap", F.round("overlap", 6))
-    rank = F.row_number().over(Window.partitionBy("manager", "q").orderBy(F.desc("overlap"), "peer"))
-    return met.withColumn("rank", rank).filter(F.col("rank") <= peers)
+    w = pos.select("q", "manager", "security", (F.col("value") / F.sum(F.col("value").cast("decimal(18,2)")).over(book).cast("double")).alias("w"))
+    w = w.filter(F.col("q").isNotNull() & F.col("manager").isNotNull() & F.col("security").isNotNull() & F.col("w").isNotNull()).sortWithinPartitions("manager", "q")
+    kind, named = (pos.schema[c].dataType.simpleString() for c in ("manager", "security"))
+    fields = StructType.fromDDL(f"q int, id bigint, n int, managers array<{kind}>, securities array<{named}>, counts binary, codes binary, weights binary")
+    kinds = {f.name: to_arrow_type(f.dataType.elementType if isinstance(f.dataType, ArrayType) else f.dataType) for f in fields}
+    path = f"{checkpoint_folder(spark).rstrip('/')}/overlap-{uuid.uuid4().hex}"
+    w.mapInArrow(overlaps.pack(" ".join(fields.names), kinds), fields).write.parquet(path)
+    blobs = spark.read.schema(fields).parquet(path)
+    parts = blobs.groupBy("q").agg(F.ceil(F.sum("n") / unit).cast("int").alias("parts"))
+    units, most = parts.agg(F.sum("parts"), F.max("parts")).first()
+    dealt = blobs.join(F.broadcast(parts), "q").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))  # one row a quarter
+    rest = [f for f in fields.names if f != "q"]
+    rows = dealt.select("q", F.col("own").alias("s"), F.lit(0).alias("side"), *rest)
+    if (most or 0) > 1:
+        others = dealt.withColumn("s", F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda s: s != F.col("own"))))
+        bare = [F.col(f) if f in ("id", "n", "managers") else F.lit(None).cast(fields[f].dataType).alias(f) for f in rest]
+        rows = rows.unionByName(others.select("q", "s", F.lit(1).alias("side"), *bare)).unionByName(others.select("q", "s", F.lit(2).alias("side"), *rest))
+    rows = rows.repartition(4 * (units or 1), "q", "s").sortWithinPartitions("q", "s", "side", "id")
+    found = f"manager {kind}, q int, peer {kind}, overlap double, shared bigint, rank int"
+    return rows.mapInArrow(overlaps.meet(peers, block), found)
 
 
 def first_last_seen(pos: DataFrame) -> DataFrame:

@@ -64,6 +64,11 @@ def book_category_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.category_weights(book(spark, sf_dir), categories)
 
 
+def overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines are dealt by manager and quarter at once: their sums and weights need no second shuffle."""
+    return h.overlap(h.positions(lines(spark, sf_dir).repartition("manager", "q")))
+
+
 def scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.value_scale(lines(spark, sf_dir))
 
@@ -83,7 +88,7 @@ QUERIES = {
     "holdings_split_by_price": _on_book(h.split_by_price),
     "holdings_net_shares": _on_book(h.net_shares),
     "holdings_coverage": _on_book(h.coverage),
-    "holdings_overlap": _on_book(h.overlap),
+    "holdings_overlap": overlap,
     "holdings_first_last_seen": _on_book(h.first_last_seen),
     "holdings_spark_line": _on_book(h.holders_spark),
     "holdings_listing_status": _on_book(h.listing_status),

@@ -66,3 +66,36 @@ def test_base_prices_of_zero(spark, zero_prices):
 
 def test_drawdown_from_a_zero_price(spark, zero_prices):
     assert "nan" in repr(same(spark, zero_prices, "market_max_drawdown"))
+
+
+def test_overlap_of_streamed_units(spark):
+    import random
+
+    from tallyspark.operators.holdings import overlap
+
+    rng, books = random.Random(5), []
+    for q in (1, 2, 3):
+        for m in range(40):
+            held = [(f"s{s}", float(rng.choice([0, 1, 1, 2, 5, 900]))) for s in rng.sample(range(14), rng.randrange(1, 9))] if m % 5 or not books else held
+            held = [*held, ("s3x", -0.5)] if q == 3 and m % 7 == 1 else held
+            if sum(v for _, v in held) > 0:
+                books += [(f"m{m}", s, q, v) for s, v in held]
+    totals, weight = {}, {}
+    for m, _, q, v in books:
+        totals[m, q] = totals.get((m, q), 0) + v
+    for m, s, q, v in books:
+        weight.setdefault((q, m), {})[s] = v / totals[m, q]
+    want = set()
+    for (q, m), a in weight.items():
+        found = []
+        for (p, n), b in weight.items():
+            if p == q and n != m and (both := a.keys() & b.keys()):
+                found.append((-round(sum(min(a[s], b[s]) for s in both), 6), n, len(both)))
+        want |= {(m, q, n, round(-o, 6), c, k + 1) for k, (o, n, c) in enumerate(sorted(found)[:4])}
+    pos = spark.createDataFrame(books, "manager string, security string, q int, value double")
+    columns = ["manager", "q", "peer", "overlap", "shared", "rank"]
+    for block, unit in ((7, 30), (3, 200), (2048, 1 << 20)):
+        found = overlap(pos, 4, block, unit)
+        assert {(*r[:3], round(r[3], 6), *r[4:]) for r in found.select(columns).collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan  # positions aren't multiplied, pairs aren't ranked as rows
