@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.explorer import keeper
 from tallyspark.operators.joins import first_per_key
 from tallyspark.operators.state import checkpoint_folder
 
 #: Link, title and time rules of near-duplicates of dated items.
 DAYS_APART, ALIKE, ALIKE_WITH_NAMES, SHARED_NAMES = 2, 0.6, 0.2, 2
+#: Items of one title and day that are written out as pairs at once with so many others.
+MEMBERS = 256
 #: Words too common to pair items by.
 COMMON_WORDS = frozenset("the of and to in a is that for it on with as by at from this are or an".split())
 
@@ -75,23 +78,61 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(0.0)
 
 
-def alike_pairs(items: DataFrame, item: str, title: str, day: str) -> DataFrame:
+def word_sets(items: DataFrame, item: str, title: str, day: str) -> DataFrame:
+    """(id, set, d): items with a word, an id and a day; ``set`` is a title's words in order, d the day's number."""
+    i = items.select(F.col(item).alias("id"), F.array_join(F.array_sort(words(F.col(title))), " ").alias("set"), F.unix_date(F.col(day).cast("date")).alias("d"))
+    return i.filter("id IS NOT NULL AND set <> '' AND d IS NOT NULL").distinct()
+
+
+def alike_sets(sets: DataFrame) -> DataFrame:
+    """Pairs (x, y, similarity) of different word sets (set) at least 0.6 alike, each once.
+
+    Words are put in one order, rare ones first. Sets of p and q words that are alike
+    share at least t = 0.6 / 1.6 * (p + q), so the first that they share is among the first p - t + 1
+    and q - t + 1 of them, with t - 1 after it: they meet on that word and on their
+    sizes, and only there. What meets is weighed at once; none is left out.
+    """
+    each = sets.select("set", F.explode(F.split("set", " ")).alias("word"))
+    counts = each.groupBy("word").agg(F.count("*").alias("n"))
+    w = F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"])
+    ordered = each.join(counts, "word").groupBy("set").agg(w.alias("w")).withColumn("p", F.size("w"))
+    # In whole numbers: t = ceil(3 (p + q) / 8); the smaller of two alike sets has three fifths of the larger's words at least.
+    shared = lambda p, q: F.expr(f"int((3 * ({p} + {q}) + 7) div 8)")
+    small = ordered.withColumn("q", F.explode(F.expr("sequence(p, int(5 * p div 3))")))
+    small = small.select("p", "q", F.col("w").alias("wx"), F.posexplode(F.slice("w", F.lit(1), F.col("p") - shared("p", "q") + 1)).alias("i", "word"))
+    large = ordered.select(F.col("p").alias("q"), F.col("w").alias("wy"), F.posexplode(F.slice("w", F.lit(1), F.col("p") - shared("p", "int((3 * p + 4) div 5)") + 1)).alias("j", "word"))
+    j = small.join(large, ["word", "q"]).filter((F.least(F.col("p") - F.col("i"), F.col("q") - F.col("j")) >= shared("p", "q")) & ((F.col("p") < F.col("q")) | (F.col("wx") < F.col("wy"))))
+    j = j.withColumn("both", F.array_intersect("wx", "wy")).filter((F.size("both") >= shared("p", "q")) & (F.element_at("both", 1) == F.col("word")))
+    plain = lambda c: F.array_join(F.array_sort(c), " ")
+    j = j.withColumn("similarity", F.size("both") / (F.col("p") + F.col("q") - F.size("both"))).filter(F.col("similarity") >= ALIKE)
+    return j.select(plain("wx").alias("x"), plain("wy").alias("y"), "similarity")
+
+
+def alike_pairs(items: DataFrame, item: str, title: str, day: str, block: int = MEMBERS) -> DataFrame:
     """Pairs (a, b, similarity) of items at most two days apart with similar titles.
 
-    Candidates share one of either's rarest words - so many that no pair of the
-    wanted similarity can miss - within a bucket of days; none is left out.
+    Only different word sets are compared. The items of a set and day are dealt
+    into blocks, and each pair of blocks of alike sets (a set and itself
+    too) is a row that is written out as pairs in place: what many items share is no
+    key with their square in one task.
     """
-    i = items.select(F.col(item).alias("id"), words(F.col(title)).alias("w"), F.unix_date(F.col(day).cast("date")).alias("d"))
-    posted = i.select("id", "w", "d", F.explode("w").alias("word"))
-    counts = posted.groupBy("word").agg(F.count("*").alias("n"))
-    ranked = posted.join(counts, "word").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("n", "word")))
-    # A pair with similarity s shares a word among the rarest (1 - s) * size + 1 of either.
-    prefix = ranked.filter(F.col("r") <= F.size("w") - F.ceil(F.size("w") * ALIKE) + 1)
-    a = prefix.select("word", F.col("id").alias("a"), F.col("w").alias("wa"), F.col("d").alias("da"), F.explode(F.array(F.floor(F.col("d") / 3) - 1, F.floor(F.col("d") / 3), F.floor(F.col("d") / 3) + 1)).alias("b3"))
-    b = prefix.select("word", F.col("id").alias("b"), F.col("w").alias("wb"), F.col("d").alias("db"), F.floor(F.col("d") / 3).alias("b3"))
-    j = a.join(b, ["word", "b3"]).filter((F.col("a") < F.col("b")) & (F.abs(F.col("da") - F.col("db")) <= DAYS_APART))
-    j = j.select("a", "b", "wa", "wb").dropDuplicates(["a", "b"]).withColumn("similarity", jaccard(F.col("wa"), F.col("wb")))
-    return j.filter(F.col("similarity") >= ALIKE).select("a", "b", "similarity")
+    spark = items.sparkSession
+    i = keeper(spark, checkpoint_folder(spark).rstrip("/"))(word_sets(items, item, title, day), "titles")
+    each = i.withColumn("k", F.floor(F.row_number().over(Window.partitionBy("set", "d").orderBy("id")) / block))
+    each = each.groupBy("set", "d", "k").agg(F.collect_list("id").alias("ids"))
+    alike = alike_sets(i.select("set").distinct())
+    own = i.select(F.col("set").alias("x"), F.col("set").alias("y"), F.lit(1.0).alias("similarity")).distinct()
+    one = each.select(F.col("set").alias("x"), F.col("d").alias("dx"), F.col("k").alias("kx"), F.col("ids").alias("ix"))
+    two = each.select(F.col("set").alias("y"), F.col("d").alias("dy"), F.col("k").alias("ky"), F.col("ids").alias("iy"))
+    met = alike.unionByName(own).join(one, "x").join(two, "y").filter(F.abs(F.col("dx") - F.col("dy")) <= DAYS_APART)
+    once = (F.col("x") != F.col("y")) | (F.struct("dx", "kx") <= F.struct("dy", "ky"))
+    same = (F.col("x") == F.col("y")) & (F.col("dx") == F.col("dy")) & (F.col("kx") == F.col("ky"))
+    # A few rows can stand for most pairs: they are dealt out by their number, not their size.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = met.filter(once).repartition(spread, "x", "dx", "kx", "y", "dy", "ky").select("ix", "iy", "similarity", same.alias("same"))
+    out = met.select(F.explode("ix").alias("s"), "iy", "similarity", "same").select("s", F.explode("iy").alias("t"), "similarity", "same")
+    out = out.filter((F.col("s") < F.col("t")) | ((F.col("s") > F.col("t")) & ~F.col("same")))
+    return out.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"), "similarity")
 
 
 def names(title: Column) -> Column:
@@ -155,6 +196,23 @@ def keep_first_alike(items: DataFrame, pairs: DataFrame, item: str) -> DataFrame
     return items.join(gone.withColumnRenamed("id", item), item, "left_anti")
 
 
+def keep_first_titles(items: DataFrame, item: str, title: str) -> DataFrame:
+    """Greedy choice in order of ``item``: an item goes if a kept, earlier one has a similar title; those without a word stay.
+
+    Items of the same words as an earlier one always go: it is kept, or what it
+    went for is like them too. So only the first of each word set is compared.
+    """
+    spark = items.sparkSession
+    keep = keeper(spark, checkpoint_folder(spark).rstrip("/"))
+    i = keep(word_sets(items.withColumn("__day", F.current_date()), item, title, "__day"), "titles")
+    first = keep(i.groupBy("set").agg(F.min("id").alias("first")), "firsts")
+    pairs = alike_sets(first.select("set")).join(first.select(F.col("set").alias("x"), F.col("first").alias("s")), "x").join(first.select(F.col("set").alias("y"), F.col("first").alias("t")), "y")
+    later = i.join(first, "set").filter("id <> first").select(F.col("id").alias(item)).distinct()
+    firsts = keep_first_alike(first.select("first"), pairs.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")), "first")
+    gone = first.join(firsts, "first", "left_anti").select(F.col("first").alias(item)).unionByName(later).distinct()
+    return items.join(gone, item, "left_anti")
+
+
 def anchored_groups(rows: DataFrame, key: str, day: str, days: int) -> DataFrame:
     """Rows with ``group``: a row more than ``days`` after the FIRST of its group starts a new one.
 

@@ -99,3 +99,29 @@ def test_overlap_of_streamed_units(spark):
         assert {(*r[:3], round(r[3], 6), *r[4:]) for r in found.select(columns).collect()} == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Window" not in plan  # positions aren't multiplied, pairs aren't ranked as rows
+
+
+def random_titles():
+    import random
+
+    rng = random.Random(3)
+    said = [" ".join(rng.sample("alpha beta gamma delta epsilon zeta eta theta iota kappa".split(), rng.randrange(1, 9))) for _ in range(40)]
+    rows = [(k, rng.choice(said[: 5 + k // 4]) if k % 13 else rng.choice(["", "of the", None]), 1 + rng.randrange(6)) for k in range(160)]
+    rows += [(k + 1000, " ".join(reversed(t.split())).upper(), d) for k, t, d in rows[:30] if t]
+    sets = [(k, {w for w in (t or "").lower().split() if w not in ("of", "the")}, d) for k, t, d in rows]
+    alike = lambda a, b: bool(a and b) and len(a & b) / len(a | b) >= 0.6
+    return rows, sets, alike
+
+
+def test_titles_kept_of_many_alike(spark):
+    from tallyspark.operators.dedupe import keep_first_titles
+
+    rows, sets, alike = random_titles()
+    kept = []
+    for k, s, _ in sorted(sets, key=lambda x: x[0]):
+        if not any(alike(s, t) for _, t in kept):
+            kept.append((k, s))
+    items = spark.createDataFrame([*rows, rows[0], (None, rows[0][1], 1)], "id long, title string, d int")
+    got = sorted(r["id"] if r["id"] is not None else -1 for r in keep_first_titles(items, "id", "title").collect())
+    assert got == sorted([-1, *(k for k, _ in kept), *(k for k, _ in kept if k == rows[0][0])])
+    assert keep_first_titles(items.limit(0), "id", "title").count() == 0
