@@ -125,3 +125,17 @@ def test_titles_kept_of_many_alike(spark):
     got = sorted(r["id"] if r["id"] is not None else -1 for r in keep_first_titles(items, "id", "title").collect())
     assert got == sorted([-1, *(k for k, _ in kept), *(k for k, _ in kept if k == rows[0][0])])
     assert keep_first_titles(items.limit(0), "id", "title").count() == 0
+
+
+def test_pairs_of_titles_in_small_blocks(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.operators.dedupe import alike_pairs
+
+    rows, sets, alike = random_titles()
+    want = {(a, b, round(len(s & t) / len(s | t), 6)) for a, s, d in sets for b, t, e in sets if a < b and abs(d - e) <= 2 and alike(s, t)}
+    items = spark.createDataFrame([*rows, rows[1], (None, rows[1][1], 1), (7000, rows[1][1], None)], "id long, title string, d int").withColumn("day", F.date_from_unix_date("d"))
+    for block in (1, 3, 256):
+        got = [(r["a"], r["b"], round(r["similarity"], 6)) for r in alike_pairs(items, "id", "title", "day", block).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert alike_pairs(items.limit(0), "id", "title", "day").count() == 0
