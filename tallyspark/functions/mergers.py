@@ -6,6 +6,8 @@ a stated order; patterns are this module's own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def _all(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), 1)
 
 
+def _once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value worked out once, however often it is named there: a lambda names a variable, not its expression."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def offer(text: Column) -> Column:
     """struct(price, stated, refused): the figure stated most often, ties to the earlier pattern, then the higher figure.
 
@@ -32,28 +39,27 @@ def offer(text: Column) -> Column:
     count; where all are such, there is no price and ``refused`` is true.
     """
     sentences = F.split(F.regexp_replace(text, r"\s+", " "), r"(?<=[.;!?]) (?=[A-Z\"])")
-    def stated(pattern: str, k: int) -> Column:
-        def of(sentence: Column) -> Column:
-            return F.transform(_all(sentence, pattern), lambda v: F.struct(v.cast("double").alias("v"), F.lit(k).alias("k"), sentence.rlike(REFUSALS).alias("no")))
-
-        return F.flatten(F.transform(sentences, of))
-
-    figures = [stated(pattern, k) for k, pattern in enumerate(OFFER_PATTERNS)]
-    every = F.concat(*figures)
-    paid = F.filter(every, lambda x: ~x["no"])
-    values = F.array_distinct(F.transform(paid, lambda x: x["v"]))
-    ranked = F.transform(
-        values,
-        lambda v: F.struct(F.size(F.filter(paid, lambda x: x["v"] == v)).alias("n"), (-F.array_min(F.transform(F.filter(paid, lambda x: x["v"] == v), lambda x: x["k"]))).alias("k"), v.alias("v")),
-    )
-    best = F.array_max(ranked)
-    return F.struct(best["v"].alias("price"), F.coalesce(best["n"], F.lit(0)).alias("stated"), ((F.size(paid) == 0) & (F.size(every) > 0)).alias("refused"))
+    named = F.filter(sentences, lambda s: s.contains("$"))  # every pattern has one
+
+    def stated(sentence: Column) -> Column:
+        figures = lambda no, pattern, k: F.transform(_all(sentence, pattern), lambda v: F.struct(v.cast("double").alias("v"), F.lit(k).alias("k"), no.alias("no")))
+        return _once(sentence.rlike(REFUSALS), lambda no: F.concat(*[figures(no, pattern, k) for k, pattern in enumerate(OFFER_PATTERNS)]))
+
+    def choose(every: Column, paid: Column) -> Column:
+        ranked = F.transform(
+            F.array_distinct(F.transform(paid, lambda x: x["v"])),
+            lambda v: _once(F.filter(paid, lambda x: x["v"] == v), lambda of: F.struct(F.size(of).alias("n"), (-F.array_min(F.transform(of, lambda x: x["k"]))).alias("k"), v.alias("v"))),
+        )
+        refused = (F.size(paid) == 0) & (F.size(every) > 0)
+        return _once(F.array_max(ranked), lambda best: F.struct(best["v"].alias("price"), F.coalesce(best["n"], F.lit(0)).alias("stated"), refused.alias("refused")))
+
+    return _once(F.flatten(F.transform(named, stated)), lambda every: _once(F.filter(every, lambda x: ~x["no"]), lambda paid: choose(every, paid)))
 
 
 def consideration(text: Column) -> Column:
     """cash, stock, mixed or none, by what a holder has the right to receive."""
     cash, stock = text.rlike(r"(?i)\$[0-9.]+ (?:per (?:share|ADS) )?in cash"), text.rlike(r"(?i)[0-9.]+ (?:of a )?shares? of [A-Z]?[\w ]{0,40}common stock")
-    return F.when(cash & stock, "mixed").when(cash, "cash").when(stock, "stock").otherwise("none")
+    return F.when(cash, F.when(stock, "mixed").otherwise("cash")).otherwise(F.when(stock, "stock").otherwise("none"))
 
 
 def exchange_ratio(text: Column) -> Column:

@@ -139,3 +139,19 @@ def test_pairs_of_titles_in_small_blocks(spark):
         got = [(r["a"], r["b"], round(r["similarity"], 6)) for r in alike_pairs(items, "id", "title", "day", block).collect()]
         assert len(got) == len(want) and set(got) == want
     assert alike_pairs(items.limit(0), "id", "title", "day").count() == 0
+
+
+def test_offers_are_read_once(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.functions import mergers
+
+    plan = registry.queries()["merger_offers"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(p) for p in mergers.OFFER_PATTERNS] == [1, 1, 1] and plan.count(mergers.REFUSALS) == 1
+    texts = [
+        ("The offer price of $7.5 stands. Holders get $9 per share in cash. All get $9 per share in cash.", (9.0, 2, False)), ("An offer price of $7. A right to receive $8 in cash.", (8.0, 1, False)),
+        ("An earlier proposal had an offer price of $7.", (None, 0, True)), ("Costs of $3.", (None, 0, False)), ("", (None, 0, False)), (None, (None, 0, None)),
+    ]
+    got = spark.createDataFrame([(t,) for t, _ in texts], "t string").select(mergers.offer(F.col("t")).alias("x"), mergers.consideration(F.col("t")).alias("c")).collect()
+    assert [tuple(r["x"]) for r in got] == [x for _, x in texts]
+    assert [r["c"] for r in got] == ["cash", "cash", "none", "none", "none", "none"]
